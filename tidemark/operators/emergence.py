@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import between_days, day_key
+from tidemark.functions.columns import between_days, day_key, half_even
 from tidemark.functions.series import bind, median, zero_padded
 from tidemark.params import DEFAULTS, Params
 
@@ -35,12 +35,17 @@ def history_days(past: DataFrame) -> Column:
 
 
 def daily_history(past: DataFrame, articles: DataFrame | None = None) -> DataFrame:
-    """Edits and distinct editors per article and day, for the articles given."""
-    if articles is not None:
-        past = past.join(articles.select(*ARTICLE).distinct(), ARTICLE, "left_semi")
-    return past.groupBy(*ARTICLE, "day").agg(
+    """Edits and distinct editors per article and day, optionally only for the articles given.
+
+    Counted before it meets the articles: a heavily edited one is then at most one row
+    per day, where joining the raw edits would gather all of them in one task.
+    """
+    history = past.groupBy(*ARTICLE, "day").agg(
         F.count("*").alias("edit_count"), F.count_distinct("user").alias("unique_editors")
     )
+    if articles is None:
+        return history
+    return history.join(articles.select(*ARTICLE).distinct(), ARTICLE, "left_semi")
 
 
 def article_history(history: DataFrame) -> DataFrame:
@@ -80,30 +85,27 @@ def flag_emerging(
     history there is no baseline: all null and nobody emerges.
     """
     observed = F.lit(days).cast("int") if isinstance(days, int) else days
-    enough = F.col("history_days") >= params.min_history_days
-    scored = (
+
+    def judged(editors: Column, edit_count: Column) -> Column:
+        emerging = (editors["z"] >= params.z_threshold) & (F.col("unique_editors") >= params.min_editors)
+        return F.struct(
+            editors["baseline"].alias("baseline_editors"),
+            F.coalesce(emerging, F.lit(False)).alias("is_emerging"),
+            half_even(editors["z"], 2).alias("z_editors"),
+            half_even(edit_count["z"], 2).alias("z_edits"),
+            half_even(editors["z"], 2).alias("anomaly_score"),
+        )
+
+    def score(metric: str) -> Column:
+        z = robust_z(F.col(metric).cast("double"), F.col(f"past_{metric}"), F.col("history_days"), params)
+        return F.when(F.col("history_days") >= params.min_history_days, z)
+
+    # inline keeps later filters above the scores, so each score is evaluated once
+    scores = bind(score("unique_editors"), lambda e: bind(score("edit_count"), lambda c: judged(e, c)))
+    return (
         today.join(article_history(history), ARTICLE, "left")
         .withColumn("history_days", observed)
-        .withColumns(
-            {
-                f"score_{m}": F.when(
-                    enough, robust_z(F.col(m).cast("double"), F.col(f"past_{m}"), F.col("history_days"), params)
-                )
-                for m in METRICS
-            }
-        )
-    )
-    exact = F.col("score_unique_editors.z")
-    emerging = (exact >= params.z_threshold) & (F.col("unique_editors") >= params.min_editors)
-    rounded = {m: F.rint(F.col(f"score_{m}.z") * 100) / 100 for m in METRICS}
-    return scored.select(
-        *today.columns,
-        "history_days",
-        F.col("score_unique_editors.baseline").alias("baseline_editors"),
-        F.coalesce(emerging, F.lit(False)).alias("is_emerging"),
-        rounded["unique_editors"].alias("z_editors"),
-        rounded["edit_count"].alias("z_edits"),
-        rounded["unique_editors"].alias("anomaly_score"),
+        .select(*today.columns, "history_days", F.inline(F.array(scores)))
     )
 
 

@@ -4,62 +4,74 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+TEXT, FLAG, COUNT, WHOLE, REAL, INSTANT = (
+    T.StringType(), T.BooleanType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.TimestampType(),
+)
+
+
+def record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def listed(element: T.DataType) -> T.ArrayType:
+    return T.ArrayType(element)
 
 
 # A live change event, as the public stream sends it.
-CHANGE_EVENT = _struct(
-    "server_name STRING, bot BOOLEAN, namespace INT, type STRING, timestamp DOUBLE, "
-    "title STRING, user STRING, minor BOOLEAN, length STRUCT<old: BIGINT, new: BIGINT>, "
-    "revision STRUCT<new: BIGINT>, comment STRING"
+CHANGE_EVENT = record(
+    server_name=TEXT, bot=FLAG, namespace=WHOLE, type=TEXT, timestamp=REAL, title=TEXT, user=TEXT, minor=FLAG,
+    length=record(old=COUNT, new=COUNT), revision=record(new=COUNT), comment=TEXT,
 )
 
-# An edit message. ``timestamp`` is DOUBLE because a BIGINT would null out 1.5.
-EDIT_MESSAGE = _struct(
-    "timestamp DOUBLE, project STRING, title STRING, user STRING, type STRING, minor BOOLEAN, "
-    "length_old BIGINT, length_new BIGINT, comment STRING, rev_id BIGINT"
+# An edit message. ``timestamp`` is a double because a BIGINT would null out 1.5.
+EDIT_MESSAGE = record(
+    timestamp=REAL, project=TEXT, title=TEXT, user=TEXT, type=TEXT, minor=FLAG, length_old=COUNT,
+    length_new=COUNT, comment=TEXT, rev_id=COUNT,
 )
 
-EDITS = _struct(
-    "timestamp_utc TIMESTAMP, project STRING, rev_id BIGINT, title STRING, user STRING, type STRING, "
-    "minor BOOLEAN, edit_size BIGINT, length_old BIGINT, length_new BIGINT, comment STRING"
+EDITS = record(
+    timestamp_utc=INSTANT, project=TEXT, rev_id=COUNT, title=TEXT, user=TEXT, type=TEXT, minor=FLAG,
+    edit_size=COUNT, length_old=COUNT, length_new=COUNT, comment=TEXT,
 )
 
-HOURLY_TSV = _struct("hour_utc STRING, project STRING, title STRING, views BIGINT")
-HOURLY_VIEWS = _struct("hour_utc TIMESTAMP, project STRING, title STRING, views BIGINT")
+HOURLY_TSV = record(hour_utc=TEXT, project=TEXT, title=TEXT, views=COUNT)
+HOURLY_VIEWS = record(hour_utc=INSTANT, project=TEXT, title=TEXT, views=COUNT)
 
-DAILY_TOP_JSON = _struct(
-    "items ARRAY<STRUCT<articles: ARRAY<STRUCT<article: STRING, views: BIGINT, rank: BIGINT>>>>"
-)
-DAILY_TOP = _struct("date_utc TIMESTAMP, project STRING, rank BIGINT, article STRING, views BIGINT")
+DAILY_TOP_JSON = record(items=listed(record(articles=listed(record(article=TEXT, views=COUNT, rank=COUNT)))))
+DAILY_TOP = record(date_utc=INSTANT, project=TEXT, rank=COUNT, article=TEXT, views=COUNT)
 
-ENTITY_RESPONSE = _struct(
-    "project STRING, status INT, titles ARRAY<STRING>, "
-    "body STRUCT<error: STRUCT<code: STRING, info: STRING>, `continue`: STRING, "
-    "query: STRUCT<normalized: ARRAY<STRUCT<`from`: STRING, `to`: STRING>>, "
-    "redirects: ARRAY<STRUCT<`from`: STRING, `to`: STRING>>, "
-    "pages: ARRAY<STRUCT<title: STRING, missing: BOOLEAN, pageprops: STRUCT<wikibase_item: STRING>>>>>"
+RENAME = T.StructType([T.StructField("from", TEXT), T.StructField("to", TEXT)])
+ENTITY_BODY = T.StructType(
+    [
+        T.StructField("error", record(code=TEXT, info=TEXT)),
+        T.StructField("continue", TEXT),
+        T.StructField(
+            "query",
+            record(
+                normalized=listed(RENAME),
+                redirects=listed(RENAME),
+                pages=listed(record(title=TEXT, missing=FLAG, pageprops=record(wikibase_item=TEXT))),
+            ),
+        ),
+    ]
 )
-ENTITY_IDS = _struct("project STRING, title STRING, wikidata_id STRING")
+ENTITY_RESPONSE = record(project=TEXT, status=WHOLE, titles=listed(TEXT), body=ENTITY_BODY)
+ENTITY_IDS = record(project=TEXT, title=TEXT, wikidata_id=TEXT)
 
-TRENDING = _struct(
-    "title STRING, edit_project STRING, pageview_project STRING, edit_count BIGINT, "
-    "total_edit_size BIGINT, unique_editors BIGINT, first_edit TIMESTAMP, last_edit TIMESTAMP, "
-    "edit_velocity DOUBLE, wikidata_id STRING, pageviews BIGINT, pageview_rank BIGINT, "
-    "trending_score DOUBLE, history_days INT, baseline_editors DOUBLE, is_emerging BOOLEAN, "
-    "z_editors DOUBLE, z_edits DOUBLE, anomaly_score DOUBLE, entity_key STRING, "
-    "language_count BIGINT, languages_editing STRING, first_language STRING, "
-    "language_lag_minutes DOUBLE"
+TRENDING = record(
+    title=TEXT, edit_project=TEXT, pageview_project=TEXT, edit_count=COUNT, total_edit_size=COUNT,
+    unique_editors=COUNT, first_edit=INSTANT, last_edit=INSTANT, edit_velocity=REAL, wikidata_id=TEXT,
+    pageviews=COUNT, pageview_rank=COUNT, trending_score=REAL, history_days=WHOLE, baseline_editors=REAL,
+    is_emerging=FLAG, z_editors=REAL, z_edits=REAL, anomaly_score=REAL, entity_key=TEXT, language_count=COUNT,
+    languages_editing=TEXT, first_language=TEXT, language_lag_minutes=REAL,
 )
-CROSS_LANGUAGE = _struct(
-    "wikidata_id STRING, language_count BIGINT, languages_editing STRING, first_language STRING, "
-    "first_edit TIMESTAMP, spread_minutes DOUBLE, titles STRING, total_edits BIGINT, "
-    "sum_editors BIGINT, total_pageviews BIGINT, emerging_languages INT, is_emerging BOOLEAN"
+CROSS_LANGUAGE = record(
+    wikidata_id=TEXT, language_count=COUNT, languages_editing=TEXT, first_language=TEXT, first_edit=INSTANT,
+    spread_minutes=REAL, titles=TEXT, total_edits=COUNT, sum_editors=COUNT, total_pageviews=COUNT,
+    emerging_languages=WHOLE, is_emerging=FLAG,
 )
-LEADLAG_HOURLY = _struct(
-    "project STRING, title STRING, event_edits BIGINT, total_views BIGINT, best_lag_hours INT, "
-    "best_corr DOUBLE, p_value DOUBLE, peak_lag_hours INT, edit_peak_utc TIMESTAMP, "
-    "view_peak_utc TIMESTAMP, view_surge_ratio DOUBLE, pattern STRING"
+LEADLAG_HOURLY = record(
+    project=TEXT, title=TEXT, event_edits=COUNT, total_views=COUNT, best_lag_hours=WHOLE, best_corr=REAL,
+    p_value=REAL, peak_lag_hours=WHOLE, edit_peak_utc=INSTANT, view_peak_utc=INSTANT, view_surge_ratio=REAL,
+    pattern=TEXT,
 )

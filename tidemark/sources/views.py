@@ -15,7 +15,7 @@ STAMP_PATTERN = r"pageviews-(\d{8}-\d{4})\d{2}"
 def hour_of_dump(file_name: Column) -> Column:
     """A dump is named after the end of its hour; the hour it describes starts one earlier."""
     stamp = F.regexp_extract(file_name, STAMP_PATTERN, 1)
-    return F.to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd-HHmm")) - F.expr("INTERVAL 1 HOUR")
+    return F.to_timestamp(F.nullif(stamp, F.lit("")), "yyyyMMdd-HHmm") - F.expr("INTERVAL 1 HOUR")
 
 
 def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -110,7 +110,7 @@ def read_daily_top(spark: SparkSession, folder: str, day: str) -> DataFrame:
         .select(
             "items",
             F.translate(name, "_", ".").alias("project"),
-            F.to_timestamp(F.lit(day), F.lit("yyyyMMdd")).alias("date_utc"),
+            F.to_timestamp(F.lit(day), "yyyyMMdd").alias("date_utc"),
         )
     )
     return explode_top(raw)
