@@ -389,7 +389,7 @@ BODIES = {
                count(*) AS articles FROM trd GROUP BY 1""",
     "missing_projects": """
         , tracked AS (SELECT unnest(['en','fr','de','es','ru']) || '.wikipedia.org' AS project)
-        SELECT project FROM tracked WHERE project NOT IN (SELECT project FROM ed WHERE edit_size > 300)""",
+        SELECT project FROM tracked WHERE project NOT IN (SELECT project FROM ed WHERE edit_size > 400)""",
     "request_batches": """
         SELECT project, CAST((place - 1) // 50 AS BIGINT) AS batch, string_agg(title, '|' ORDER BY title) AS titles
         FROM (SELECT *, row_number() OVER (PARTITION BY project ORDER BY title) AS place

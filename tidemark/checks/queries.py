@@ -28,12 +28,12 @@ QUERIES: dict[str, Query] = {}
 P, D, E = t.PARAMS, t.RUN_DAY, t.EVENT_DAY
 
 
-def query(build: Query) -> Query:
+def query(build: Callable[[t.Tables], DataFrame]) -> Query:
     """Register under the function's name; instants lose their zone on the way out."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        df = build(spark, folder)
+        df = build(t.Tables(spark, folder))
         instants = {c: F.col(c).cast("timestamp_ntz") for c, kind in df.dtypes if kind == "timestamp"}
         return df.withColumns(instants) if instants else df
 
@@ -49,39 +49,39 @@ def scratch(spark: SparkSession) -> str:
 # ---- inputs shared by several queries
 
 
-def _today(s: SparkSession, f: str) -> DataFrame:
-    return t.on_day(t.edits(s, f), D)
+def _today(d: t.Tables) -> DataFrame:
+    return t.on_day(d.edits, D)
 
 
-def _past(s: SparkSession, f: str) -> DataFrame:
-    return emergence.past_edits(t.edits(s, f), D, P)
+def _past(d: t.Tables) -> DataFrame:
+    return emergence.past_edits(d.edits, D, P)
 
 
-def _hourly_today(s: SparkSession, f: str) -> DataFrame:
-    return t.on_day(t.hourly(s, f), D, "hour_utc")
+def _hourly_today(d: t.Tables) -> DataFrame:
+    return t.on_day(d.hourly, D, "hour_utc")
 
 
-def _top_today(s: SparkSession, f: str) -> DataFrame:
-    return t.on_day(t.top(s, f), D, "date_utc")
+def _top_today(d: t.Tables) -> DataFrame:
+    return t.on_day(d.top, D, "date_utc")
 
 
-def _trending(s: SparkSession, f: str) -> DataFrame:
+def _trending(d: t.Tables) -> DataFrame:
     return trending_articles(
-        _today(s, f), _past(s, f), t.ids(s, f), _hourly_today(s, f), _top_today(s, f), params=P
+        _today(d), _past(d), d.ids, _hourly_today(d), _top_today(d), params=P
     )
 
 
-def _events(s: SparkSession, f: str) -> DataFrame:
-    return languages.cross_language_events(_trending(s, f))
+def _events(d: t.Tables) -> DataFrame:
+    return languages.cross_language_events(_trending(d))
 
 
-def _leadlag(s: SparkSession, f: str) -> DataFrame:
-    return leadlag.build_leadlag(t.edits(s, f), t.hourly(s, f), E, P)
+def _leadlag(d: t.Tables) -> DataFrame:
+    return leadlag.build_leadlag(d.edits, d.hourly, E, P)
 
 
-def _multilingual_by_day(s: SparkSession, f: str) -> DataFrame:
+def _multilingual_by_day(d: t.Tables) -> DataFrame:
     """Entities edited in at least two languages on the same day, every day."""
-    rows = t.published(s, f).filter(F.col("title") != "T9")
+    rows = d.published.filter(F.col("title") != "T9")
     return (
         rows.groupBy("day", F.expr("concat('Q', substring(title, 2))").alias("wikidata_id"))
         .agg(
@@ -96,48 +96,48 @@ def _multilingual_by_day(s: SparkSession, f: str) -> DataFrame:
 
 
 @query
-def change_events(s: SparkSession, f: str) -> DataFrame:
+def change_events(d: t.Tables) -> DataFrame:
     """Event-stream text to tracked edits."""
-    return edits.edits_from_change_events(edits.change_events_from_lines(t.capture_lines(s, f)))
+    return edits.edits_from_change_events(edits.change_events_from_lines(d.capture_lines))
 
 
 @query
-def messages_by_event_day(s: SparkSession, f: str) -> DataFrame:
+def messages_by_event_day(d: t.Tables) -> DataFrame:
     """Decode messages, skip invalid ones, file by event day."""
-    decoded = edits.decode_messages(t.messages(s, f)).filter(edits.is_valid_message())
+    decoded = edits.decode_messages(d.messages).filter(edits.is_valid_message())
     return edits.with_event_day(decoded).groupBy("day", "project").agg(F.count("*").alias("edits"))
 
 
 @query
-def stream_drain(s: SparkSession, f: str) -> DataFrame:
+def stream_drain(d: t.Tables) -> DataFrame:
     """The same messages through the streaming drain, run twice; the second run adds nothing."""
-    folder = scratch(s)
-    t.messages(s, f).write.text(f"{folder}/topic")
+    folder = scratch(d.spark)
+    d.messages.write.text(f"{folder}/topic")
     for _ in range(2):
-        stream = s.readStream.text(f"{folder}/topic")
+        stream = d.spark.readStream.text(f"{folder}/topic")
         drain(stream, f"{folder}/raw", f"{folder}/state").awaitTermination()
-    return edits_per_day(s, f"{folder}/raw")
+    return edits_per_day(d.spark, f"{folder}/raw")
 
 
 @query
-def edits_normalized(s: SparkSession, f: str) -> DataFrame:
-    return edits.normalize_edits(t.raw_edits(s, f))
+def edits_normalized(d: t.Tables) -> DataFrame:
+    return edits.normalize_edits(d.raw_edits)
 
 
 @query
-def edits_aggregated(s: SparkSession, f: str) -> DataFrame:
-    return aggregates.aggregate_edits(t.edits(s, f))
+def edits_aggregated(d: t.Tables) -> DataFrame:
+    return aggregates.aggregate_edits(d.edits)
 
 
 @query
-def lake_days(s: SparkSession, f: str) -> DataFrame:
+def lake_days(d: t.Tables) -> DataFrame:
     """Write all days, replace one of them by a rerun, read the counts back."""
-    lake = Lake(scratch(s))
-    dated = t.edits(s, f).withColumn("day", day_key(F.col("timestamp_utc")))
+    lake = Lake(scratch(d.spark))
+    dated = d.edits.withColumn("day", day_key(F.col("timestamp_utc")))
     lake.write_days(dated, "formatted", "Edits")
     lake.write_days(dated.filter(F.col("day") == f"{D:%Y%m%d}"), "formatted", "Edits")
     return (
-        lake.scan(s, "formatted", "Edits", t.edits(s, f).schema)
+        lake.scan(d.spark, "formatted", "Edits", d.edits.schema)
         .groupBy("day")
         .agg(F.count("*").alias("edits"), F.count_distinct("rev_id").alias("revisions"))
     )
@@ -147,21 +147,21 @@ def lake_days(s: SparkSession, f: str) -> DataFrame:
 
 
 @query
-def dump_parsed(s: SparkSession, f: str) -> DataFrame:
-    return views.parse_dump_lines(t.dump_lines(s, f))
+def dump_parsed(d: t.Tables) -> DataFrame:
+    return views.parse_dump_lines(d.dump_lines)
 
 
 @query
-def hourly_merged(s: SparkSession, f: str) -> DataFrame:
+def hourly_merged(d: t.Tables) -> DataFrame:
     """Candidates' hourly views and the totals of all titles. Articles edited on D follow."""
-    candidates = views.candidate_articles(_today(s, f))
-    return views.merge_hour(views.parse_dump_lines(t.dump_lines(s, f)), candidates)
+    candidates = views.candidate_articles(_today(d))
+    return views.merge_hour(views.parse_dump_lines(d.dump_lines), candidates)
 
 
 @query
-def hourly_normalized(s: SparkSession, f: str) -> DataFrame:
+def hourly_normalized(d: t.Tables) -> DataFrame:
     """Landed rows with text hours and underscored titles."""
-    raw = t.hourly(s, f).select(
+    raw = d.hourly.select(
         F.date_format("hour_utc", "yyyy-MM-dd HH:mm:ss").alias("hour_utc"),
         "project",
         F.concat_ws("_", F.lit("The"), "title").alias("title"),
@@ -171,81 +171,81 @@ def hourly_normalized(s: SparkSession, f: str) -> DataFrame:
 
 
 @query
-def daily_views(s: SparkSession, f: str) -> DataFrame:
-    return aggregates.daily_views(t.hourly(s, f))
+def daily_views(d: t.Tables) -> DataFrame:
+    return aggregates.daily_views(d.hourly)
 
 
 @query
-def top_exploded(s: SparkSession, f: str) -> DataFrame:
+def top_exploded(d: t.Tables) -> DataFrame:
     """Nested JSON lists back to rows."""
     article = F.struct(F.concat_ws("_", F.lit("The"), "article").alias("article"), "views", "rank")
     nested = (
-        t.top(s, f).groupBy("date_utc", "project")
+        d.top.groupBy("date_utc", "project")
         .agg(F.array(F.struct(F.collect_list(article).alias("articles"))).alias("items"))
     )
     return views.explode_top(nested)
 
 
 @query
-def top_ranks(s: SparkSession, f: str) -> DataFrame:
-    return aggregates.top_ranks(t.top(s, f))
+def top_ranks(d: t.Tables) -> DataFrame:
+    return aggregates.top_ranks(d.top)
 
 
 # ---- trending
 
 
 @query
-def joined_readership(s: SparkSession, f: str) -> DataFrame:
-    return joined_articles(_today(s, f), t.ids(s, f), _hourly_today(s, f), _top_today(s, f), P)
+def joined_readership(d: t.Tables) -> DataFrame:
+    return joined_articles(_today(d), d.ids, _hourly_today(d), _top_today(d), P)
 
 
 @query
-def trending_scores(s: SparkSession, f: str) -> DataFrame:
+def trending_scores(d: t.Tables) -> DataFrame:
     """The flagship of a whole period: every article of all days, scored."""
-    joined = joined_articles(t.edits(s, f), t.ids(s, f), t.hourly(s, f), t.top(s, f), P)
+    joined = joined_articles(d.edits, d.ids, d.hourly, d.top, P)
     return aggregates.with_trending_score(joined)
 
 
 @query
-def edit_to_view(s: SparkSession, f: str) -> DataFrame:
-    joined = joined_articles(_today(s, f), t.ids(s, f), _hourly_today(s, f), _top_today(s, f), P)
+def edit_to_view(d: t.Tables) -> DataFrame:
+    joined = joined_articles(_today(d), d.ids, _hourly_today(d), _top_today(d), P)
     return aggregates.by_ratio(aggregates.edit_to_view(joined))
 
 
 @query
-def observed_days(s: SparkSession, f: str) -> DataFrame:
-    return emergence.observed_days(_past(s, f))
+def observed_days(d: t.Tables) -> DataFrame:
+    return emergence.observed_days(_past(d))
 
 
 @query
-def history(s: SparkSession, f: str) -> DataFrame:
-    return emergence.daily_history(_past(s, f), _today(s, f))
+def history(d: t.Tables) -> DataFrame:
+    return emergence.daily_history(_past(d), _today(d))
 
 
 @query
-def emergence_scores(s: SparkSession, f: str) -> DataFrame:
-    today = aggregates.aggregate_edits(_today(s, f)).select("project", "title", "edit_count", "unique_editors")
-    past = _past(s, f)
+def emergence_scores(d: t.Tables) -> DataFrame:
+    today = aggregates.aggregate_edits(_today(d)).select("project", "title", "edit_count", "unique_editors")
+    past = _past(d)
     return emergence.flag_emerging(today, emergence.daily_history(past), emergence.history_days(past), P)
 
 
 @query
-def trending(s: SparkSession, f: str) -> DataFrame:
-    return _trending(s, f)
+def trending(d: t.Tables) -> DataFrame:
+    return _trending(d)
 
 
 @query
-def top_emerging(s: SparkSession, f: str) -> DataFrame:
-    return emergence.top_emerging(_trending(s, f))
+def top_emerging(d: t.Tables) -> DataFrame:
+    return emergence.top_emerging(_trending(d))
 
 
 # ---- languages
 
 
 @query
-def language_signature(s: SparkSession, f: str) -> DataFrame:
+def language_signature(d: t.Tables) -> DataFrame:
     """Over all days at once: who edits the same entity, in which order, how late."""
-    edited = aggregates.join_entities(aggregates.aggregate_edits(t.edits(s, f)), t.ids(s, f))
+    edited = aggregates.join_entities(aggregates.aggregate_edits(d.edits), d.ids)
     articles = edited.withColumnRenamed("project", "edit_project")
     return languages.add_language_signature(
         articles.select("edit_project", "title", "wikidata_id", "first_edit", "edit_count")
@@ -253,199 +253,199 @@ def language_signature(s: SparkSession, f: str) -> DataFrame:
 
 
 @query
-def cross_language_events(s: SparkSession, f: str) -> DataFrame:
-    return languages.by_reach(_events(s, f))
+def cross_language_events(d: t.Tables) -> DataFrame:
+    return languages.by_reach(_events(d))
 
 
 @query
-def cross_language_titles(s: SparkSession, f: str) -> DataFrame:
-    return languages.cross_language_titles(_trending(s, f))
+def cross_language_titles(d: t.Tables) -> DataFrame:
+    return languages.cross_language_titles(_trending(d))
 
 
 # ---- lead-lag
 
 
 @query
-def hourly_edits(s: SparkSession, f: str) -> DataFrame:
-    return leadlag.hourly_edits(t.edits(s, f), E, P)
+def hourly_edits(d: t.Tables) -> DataFrame:
+    return leadlag.hourly_edits(d.edits, E, P)
 
 
 @query
-def active_articles(s: SparkSession, f: str) -> DataFrame:
-    return leadlag.active_articles(leadlag.hourly_edits(t.edits(s, f), E, P), P)
+def active_articles(d: t.Tables) -> DataFrame:
+    return leadlag.active_articles(leadlag.hourly_edits(d.edits, E, P), P)
 
 
 @query
-def diurnal_factors(s: SparkSession, f: str) -> DataFrame:
-    factors = leadlag.diurnal_factors(t.hourly(s, f), E, P)
+def diurnal_factors(d: t.Tables) -> DataFrame:
+    factors = leadlag.diurnal_factors(d.hourly, E, P)
     return factors.select("project", F.explode("factors").alias("slot", "factor")).select(
         "project", "slot", F.round("factor", 8).alias("factor")
     )
 
 
 @query
-def views_adjusted(s: SparkSession, f: str) -> DataFrame:
-    by_hour = leadlag.hourly_views(t.hourly(s, f), E, P)
-    adjusted = leadlag.adjusted_views(by_hour, leadlag.diurnal_factors(t.hourly(s, f), E, P))
+def views_adjusted(d: t.Tables) -> DataFrame:
+    by_hour = leadlag.hourly_views(d.hourly, E, P)
+    adjusted = leadlag.adjusted_views(by_hour, leadlag.diurnal_factors(d.hourly, E, P))
     return adjusted.withColumn("views_adj", F.round("views_adj", 6))
 
 
 @query
-def lag_correlations(s: SparkSession, f: str) -> DataFrame:
-    series = leadlag.article_series(t.edits(s, f), t.hourly(s, f), E, P)
+def lag_correlations(d: t.Tables) -> DataFrame:
+    series = leadlag.article_series(d.edits, d.hourly, E, P)
     return leadlag.lag_correlations(series, P).withColumn("corr", F.round("corr", 6))
 
 
 @query
-def lead_lag(s: SparkSession, f: str) -> DataFrame:
-    return _leadlag(s, f).withColumn("p_value", F.round("p_value", 6))
+def lead_lag(d: t.Tables) -> DataFrame:
+    return _leadlag(d).withColumn("p_value", F.round("p_value", 6))
 
 
 @query
-def top_edit_led(s: SparkSession, f: str) -> DataFrame:
-    return leadlag.top_edit_led(_leadlag(s, f))
+def top_edit_led(d: t.Tables) -> DataFrame:
+    return leadlag.top_edit_led(_leadlag(d))
 
 
 # ---- reports and panels
 
 
 @query
-def pattern_counts(s: SparkSession, f: str) -> DataFrame:
-    return reports.pattern_counts(_leadlag(s, f))
+def pattern_counts(d: t.Tables) -> DataFrame:
+    return reports.pattern_counts(_leadlag(d))
 
 
 @query
-def pattern_share(s: SparkSession, f: str) -> DataFrame:
-    return reports.pattern_share(_leadlag(s, f))
+def pattern_share(d: t.Tables) -> DataFrame:
+    return reports.pattern_share(_leadlag(d))
 
 
 @query
-def pattern_profile(s: SparkSession, f: str) -> DataFrame:
-    return reports.pattern_profile(_leadlag(s, f))
+def pattern_profile(d: t.Tables) -> DataFrame:
+    return reports.pattern_profile(_leadlag(d))
 
 
 @query
-def panel_lag_histogram(s: SparkSession, f: str) -> DataFrame:
-    return reports.lag_histogram(_leadlag(s, f))
+def panel_lag_histogram(d: t.Tables) -> DataFrame:
+    return reports.lag_histogram(_leadlag(d))
 
 
 @query
-def panel_edit_led(s: SparkSession, f: str) -> DataFrame:
-    return reports.edit_led_count(_leadlag(s, f))
+def panel_edit_led(d: t.Tables) -> DataFrame:
+    return reports.edit_led_count(_leadlag(d))
 
 
 @query
-def panel_articles(s: SparkSession, f: str) -> DataFrame:
-    return reports.article_count(_trending(s, f))
+def panel_articles(d: t.Tables) -> DataFrame:
+    return reports.article_count(_trending(d))
 
 
 @query
-def panel_emerging(s: SparkSession, f: str) -> DataFrame:
-    return reports.emerging_count(_trending(s, f))
+def panel_emerging(d: t.Tables) -> DataFrame:
+    return reports.emerging_count(_trending(d))
 
 
 @query
-def panel_multilingual(s: SparkSession, f: str) -> DataFrame:
-    return reports.multilingual_count(_events(s, f))
+def panel_multilingual(d: t.Tables) -> DataFrame:
+    return reports.multilingual_count(_events(d))
 
 
 @query
-def panel_emerging_table(s: SparkSession, f: str) -> DataFrame:
-    return reports.emerging_table(_trending(s, f))
+def panel_emerging_table(d: t.Tables) -> DataFrame:
+    return reports.emerging_table(_trending(d))
 
 
 @query
-def panel_emerging_per_day(s: SparkSession, f: str) -> DataFrame:
-    return reports.emerging_per_day(t.published(s, f), t.FIRST_DAY, t.LAST_DAY)
+def panel_emerging_per_day(d: t.Tables) -> DataFrame:
+    return reports.emerging_per_day(d.published, t.FIRST_DAY, t.LAST_DAY)
 
 
 @query
-def panel_search(s: SparkSession, f: str) -> DataFrame:
-    return reports.multilingual_search(_events(s, f))
+def panel_search(d: t.Tables) -> DataFrame:
+    return reports.multilingual_search(_events(d))
 
 
 @query
-def panel_first_languages(s: SparkSession, f: str) -> DataFrame:
-    return reports.first_languages(_multilingual_by_day(s, f))
+def panel_first_languages(d: t.Tables) -> DataFrame:
+    return reports.first_languages(_multilingual_by_day(d))
 
 
 @query
-def rolling_articles(s: SparkSession, f: str) -> DataFrame:
-    return reports.article_count(reports.rolling(t.published(s, f), D, 14))
+def rolling_articles(d: t.Tables) -> DataFrame:
+    return reports.article_count(reports.rolling(d.published, D, 14))
 
 
 @query
-def headline_totals(s: SparkSession, f: str) -> DataFrame:
-    return reports.headline_totals(t.edits(s, f), t.published(s, f), _multilingual_by_day(s, f))
+def headline_totals(d: t.Tables) -> DataFrame:
+    return reports.headline_totals(d.edits, d.published, _multilingual_by_day(d))
 
 
 # ---- gates
 
 
 @query
-def quality_edits(s: SparkSession, f: str) -> DataFrame:
-    return quality.edit_rules(t.edits(s, f), D, P)
+def quality_edits(d: t.Tables) -> DataFrame:
+    return quality.edit_rules(d.edits, D, P)
 
 
 @query
-def quality_trending(s: SparkSession, f: str) -> DataFrame:
-    return quality.trending_rules(_trending(s, f), P)
+def quality_trending(d: t.Tables) -> DataFrame:
+    return quality.trending_rules(_trending(d), P)
 
 
 @query
-def quality_ids(s: SparkSession, f: str) -> DataFrame:
-    return quality.id_rules(t.ids(s, f), P)
+def quality_ids(d: t.Tables) -> DataFrame:
+    return quality.id_rules(d.ids, P)
 
 
 @query
-def view_match(s: SparkSession, f: str) -> DataFrame:
-    return quality.view_match(_trending(s, f))
+def view_match(d: t.Tables) -> DataFrame:
+    return quality.view_match(_trending(d))
 
 
 @query
-def missing_projects(s: SparkSession, f: str) -> DataFrame:
-    """Tracked languages in which no edit is larger than 300."""
-    return quality.missing_projects(t.edits(s, f).filter("edit_size > 300"), P)
+def missing_projects(d: t.Tables) -> DataFrame:
+    """Tracked languages in which no edit is larger than 400."""
+    return quality.missing_projects(d.edits.filter("edit_size > 400"), P)
 
 
 # ---- entities
 
 
 @query
-def request_batches(s: SparkSession, f: str) -> DataFrame:
-    batches = entities.request_batches(t.order_titles(s, f), P)
+def request_batches(d: t.Tables) -> DataFrame:
+    batches = entities.request_batches(d.order_titles, P)
     return batches.select("project", "batch", F.array_join("titles", "|").alias("titles"))
 
 
 @query
-def redirect_chains(s: SparkSession, f: str) -> DataFrame:
-    return entities.resolve_chains(t.part_renames(s, f))
+def redirect_chains(d: t.Tables) -> DataFrame:
+    return entities.resolve_chains(d.part_renames)
 
 
 @query
-def entity_ids(s: SparkSession, f: str) -> DataFrame:
-    return landed.ids_from_responses(t.responses(s, f))
+def entity_ids(d: t.Tables) -> DataFrame:
+    return landed.ids_from_responses(d.responses)
 
 
 @query
-def response_problems(s: SparkSession, f: str) -> DataFrame:
+def response_problems(d: t.Tables) -> DataFrame:
     """Every response given a status from its part's size: the unusable ones, counted."""
     size = F.col("titles")[0]
     status = (
         F.when(size.endswith("7"), 429).when(size.endswith("8"), 503).when(size.endswith("9"), 404).otherwise(200)
     )
-    return landed.response_problems(t.responses(s, f).withColumn("status", status))
+    return landed.response_problems(d.responses.withColumn("status", status))
 
 
 # ---- documents
 
 
 @query
-def documents_keyed(s: SparkSession, f: str) -> DataFrame:
+def documents_keyed(d: t.Tables) -> DataFrame:
     """Ids and a few values read back from the JSON of every published article and entity."""
     day = f"{D:%Y%m%d}"
-    both = documents.to_documents(_trending(s, f), "wikipedia-trending", day).unionByName(
-        documents.to_documents(_events(s, f), "wikipedia-crosslang", day)
+    both = documents.to_documents(_trending(d), "wikipedia-trending", day).unionByName(
+        documents.to_documents(_events(d), "wikipedia-crosslang", day)
     )
     value = lambda path: F.get_json_object("_source", f"$.{path}")
     return both.select(
@@ -459,11 +459,11 @@ def documents_keyed(s: SparkSession, f: str) -> DataFrame:
 
 
 @query
-def documents_upserted(s: SparkSession, f: str) -> DataFrame:
+def documents_upserted(d: t.Tables) -> DataFrame:
     """The day's documents over those of all days: an article's newer document replaces the older."""
     columns = ["edit_project", "title", "edit_count"]
-    every = aggregates.aggregate_edits(t.edits(s, f)).withColumnRenamed("project", "edit_project").select(columns)
-    today = aggregates.aggregate_edits(_today(s, f)).withColumnRenamed("project", "edit_project").select(columns)
+    every = aggregates.aggregate_edits(d.edits).withColumnRenamed("project", "edit_project").select(columns)
+    today = aggregates.aggregate_edits(_today(d)).withColumnRenamed("project", "edit_project").select(columns)
     merged = documents.upserted(
         documents.to_documents(every, "wikipedia-trending", "20240130"),
         documents.to_documents(today, "wikipedia-trending", "20240130"),

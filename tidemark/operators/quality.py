@@ -61,7 +61,8 @@ def edit_rules(edits: DataFrame, day: date, params: Params = DEFAULTS) -> DataFr
 
 def missing_projects(seen: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Tracked projects without a single row."""
-    expected = seen.sparkSession.createDataFrame([(p,) for p in params.edit_projects], "project STRING")
+    names = F.array(*[F.lit(p) for p in params.edit_projects])
+    expected = seen.sparkSession.range(1).select(F.explode(names).alias("project"))
     return expected.join(seen.select("project").distinct(), "project", "left_anti")
 
 
