@@ -203,7 +203,7 @@ COMMON |= {
     "ll": f"""
         SELECT a.project, a.title, a.event_edits, p.total_views, b.lag AS best_lag_hours,
                round_even(b.corr * 10000, 0) / 10000 AS best_corr,
-               round(least(1.0, b.p * 37), 6) AS p_value,
+               round(CASE WHEN b.p * 37 > 1 THEN 1.0 ELSE b.p * 37 END, 6) AS p_value,
                CAST(p.view_peak - p.edit_peak AS INTEGER) AS peak_lag_hours,
                CAST({E} AS TIMESTAMP) + to_hours(p.edit_peak) AS edit_peak_utc,
                CAST({E} AS TIMESTAMP) + to_hours(p.view_peak) AS view_peak_utc,

@@ -179,5 +179,5 @@ def student_tail(r: Column, n: Column) -> Column:
 
 
 def corrected_p_value(r: Column, n: Column, tests: int) -> Column:
-    """The tail times the number of lags tried (Bonferroni), at most 1."""
-    return F.least(F.lit(1.0), student_tail(r, n) * tests)
+    """The tail times the number of lags tried (Bonferroni), at most 1; null stays null."""
+    return bind(student_tail(r, n) * tests, lambda p: F.when(p > 1, F.lit(1.0)).otherwise(p))
