@@ -12,23 +12,29 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import align_project
 
 
-def live_hourly_edits(edits: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Edits and approximate editors per article and hour, emitted when the hour closes."""
-    return (
-        edits.withWatermark("timestamp_utc", delay)
-        .groupBy(
-            F.window("timestamp_utc", "1 hour"), align_project(F.col("project")).alias("project"), "title"
-        )
-        .agg(F.count("*").alias("edits"), F.approx_count_distinct("user").alias("editors"))
-        .select(F.col("window.start").alias("hour_utc"), "project", "title", "edits", "editors")
-    )
-
-
 def live_edits(filed: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Filed messages as live edits, copies within the delay suppressed by revision."""
+    """Filed messages as live edits; copies within the delay are suppressed by revision.
+
+    Sets the watermark on ``timestamp_utc`` for whatever follows.
+    """
     return (
         filed.withColumn("timestamp_utc", F.timestamp_seconds(F.floor("timestamp")))
         .withColumn("title", F.trim("title"))
         .withWatermark("timestamp_utc", delay)
         .dropDuplicatesWithinWatermark(["project", "rev_id"])
     )
+
+
+def live_hourly_edits(edits: DataFrame) -> DataFrame:
+    """Edits and approximate editors per article and hour, emitted when the hour closes.
+
+    ``edits`` carries a watermark on ``timestamp_utc``. Exact distinct counts are not
+    available on streams.
+    """
+    return (
+        edits.groupBy(
+            F.window("timestamp_utc", "1 hour"), align_project(F.col("project")).alias("project"), "title"
+        )
+        .agg(F.count("*").alias("edits"), F.approx_count_distinct("user").alias("editors"))
+        .select(F.col("window.start").alias("hour_utc"), "project", "title", "edits", "editors")
+    )
