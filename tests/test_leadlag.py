@@ -135,20 +135,20 @@ def numeric_tail(r, n):
 def test_student_tail(spark):
     grid = [(r, n) for n in (3, 4, 5, 24, 25, 36, 47, 48) for r in (-0.3, 0.0, 0.2, 0.3, 0.49, 0.5, 0.7, 0.9, 0.99)]
     df = spark.createDataFrame(grid, "r DOUBLE, n INT")
-    for row in df.select("r", "n", series.student_tail(F.col("r"), F.col("n")).alias("p")).collect():
+    for row in df.select("r", "n", F.expr(series.student_tail("r", "n")).alias("p")).collect():
         assert row["p"] == pytest.approx(numeric_tail(row["r"], row["n"]), rel=1e-9)
 
 
 def test_tail_limits(spark):
     df = spark.createDataFrame([(1.0, 48), (0.5, 2), (None, 48), (0.01, 48)], "r DOUBLE, n INT")
-    got = [r["p"] for r in df.select(series.corrected_p_value(F.col("r"), F.col("n"), 37).alias("p")).collect()]
+    got = [r["p"] for r in df.select(F.expr(series.corrected_p_value("r", "n", 37)).alias("p")).collect()]
     assert got == [0.0, None, None, 1.0]
 
 
 @pytest.mark.parametrize(("n", "r"), [(24, 0.584533), (36, 0.485240), (48, 0.423548)])
 def test_smallest_significant_correlation(spark, n, r):
     df = spark.createDataFrame([(r - 1e-5, n), (r + 1e-5, n)], "r DOUBLE, n INT")
-    below, above = [x["p"] for x in df.select(series.corrected_p_value(F.col("r"), F.col("n"), 37).alias("p")).collect()]
+    below, above = [x["p"] for x in df.select(F.expr(series.corrected_p_value("r", "n", 37)).alias("p")).collect()]
     assert below > 0.05 > above
 
 

@@ -1,16 +1,15 @@
 """Short arrays: dense hourly series, medians, correlation at a lag, significance.
 
-An article's series has a fixed length (48 hours, 28 days), so one row holds it and
-every step stays a JVM expression on that row.
+An article's series has a fixed length (48 hours, 28 days), so one row holds it and every
+step is a built-in higher-order function on that row. The functions compose SQL text, which
+Spark parses once; as nested Python lambdas the same expressions cost the driver thousands
+of calls per plan. Arguments are SQL expressions and, where used more than once, should be
+column or lambda names.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 # Terms summed past the closed form; (1 - 0.5^2)^140 is below the last bit of a double.
 TAIL_TERMS = 140
@@ -18,126 +17,94 @@ TAIL_TERMS = 140
 FLAT_SHARE = 1e-9
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times inside ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def number(value: float) -> str:
+    """A double literal; a plain 0.3 would be a decimal."""
+    return f"{float(value)!r}D"
+
+
+def bind(name: str, value: str, body: str) -> str:
+    """Evaluate ``value`` once as ``name`` and use it several times inside ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def half_even(value: str, digits: int) -> str:
+    """Round half to even on the scaled value, the rule of the array libraries."""
+    scale = number(10**digits)
+    return f"rint(({value}) * {scale}) / {scale}"
 
 
-def total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+def total(values: str) -> str:
+    return f"aggregate({values}, 0D, (acc, v) -> acc + v)"
 
 
-def dense(by_slot: Column, length: int) -> Column:
+def dense(by_slot: str, length: int) -> str:
     """Map slot -> value to an array of ``length`` doubles, absent slots being 0."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(length - 1)),
-        lambda slot: F.coalesce(F.try_element_at(by_slot, slot), F.lit(0.0)),
-    )
+    return f"transform(sequence(0, {length - 1}), slot -> coalesce(try_element_at({by_slot}, slot), 0D))"
 
 
-def zero_padded(values: Column, length: Column) -> Column:
+def zero_padded(values: str, length: str) -> str:
     """The observed counts plus a zero for every further slot up to ``length``."""
-    known = F.coalesce(values, F.array().cast("array<bigint>"))
-    zeros = F.array_repeat(F.lit(0).cast("bigint"), (length - F.size(known)).cast("int"))
-    return F.concat(known, zeros)
+    known = f"coalesce({values}, cast(array() AS array<bigint>))"
+    return f"concat({known}, array_repeat(0L, {length} - size({known})))"
 
 
-def median(values: Column) -> Column:
+def median(values: str) -> str:
     """Exact median, the mean of the middle two for an even size; null when empty."""
-
-    def middle(ordered: Column) -> Column:
-        low = F.try_element_at(ordered, F.ceil(F.size(ordered) / 2).cast("int"))
-        high = F.try_element_at(ordered, (F.floor(F.size(ordered) / 2) + 1).cast("int"))
-        return F.when(F.size(ordered) > 0, (low + high) / F.lit(2.0))
-
-    return bind(F.array_sort(values), middle)
+    low = "try_element_at(sorted, cast(ceil(size(sorted) / 2) AS int))"
+    high = "try_element_at(sorted, cast(size(sorted) div 2 + 1 AS int))"
+    return bind("sorted", f"array_sort({values})", f"CASE WHEN size(sorted) > 0 THEN ({low} + {high}) / 2D END")
 
 
-def first_peak(values: Column) -> Column:
+def first_peak(values: str) -> str:
     """Zero-based position of the first maximum."""
-    return (F.array_position(values, F.array_max(values)) - 1).cast("int")
+    return f"cast(array_position({values}, array_max({values})) - 1 AS int)"
 
 
-def correlations(
-    left: Column, right: Column, max_lead: int, max_lag: int, length: int, min_overlap: int
-) -> Column:
+def correlations(left: str, right: str, max_lead: int, max_lag: int, length: int, min_overlap: int) -> str:
     """Pearson correlation of left(t) with right(t + lag) for each lag of [-max_lead, max_lag].
 
     An array of (lag, n, corr). ``corr`` is null when fewer than ``min_overlap`` hours
     overlap or a side is constant there; constant is judged against its own level,
     since 48 x 0.1 has a standard deviation of 1e-17 rather than 0.
     """
-    overlaps = F.transform(
-        F.sequence(F.lit(-max_lead), F.lit(max_lag)),
-        lambda lag: F.struct(
-            lag.alias("lag"),
-            (F.lit(length) - F.abs(lag)).alias("n"),
-            F.slice(left, F.greatest(F.lit(1), F.lit(1) - lag), F.lit(length) - F.abs(lag)).alias("a"),
-            F.slice(right, F.greatest(F.lit(1), F.lit(1) + lag), F.lit(length) - F.abs(lag)).alias("b"),
-        ),
-    )
-    centred = F.transform(
-        overlaps,
-        lambda o: F.struct(
-            o["lag"].alias("lag"),
-            o["n"].alias("n"),
-            o["a"].alias("a"),
-            o["b"].alias("b"),
-            (total(o["a"]) / o["n"]).alias("ma"),
-            (total(o["b"]) / o["n"]).alias("mb"),
-        ),
-    )
-    spreads = F.transform(
-        centred,
-        lambda o: F.struct(
-            o["lag"].alias("lag"),
-            o["n"].alias("n"),
-            o["ma"].alias("ma"),
-            o["mb"].alias("mb"),
-            total(F.zip_with(o["a"], o["b"], lambda x, y: (x - o["ma"]) * (y - o["mb"]))).alias("xy"),
-            F.sqrt(total(F.transform(o["a"], lambda x: (x - o["ma"]) * (x - o["ma"])))).alias("sx"),
-            F.sqrt(total(F.transform(o["b"], lambda y: (y - o["mb"]) * (y - o["mb"])))).alias("sy"),
-        ),
-    )
-
-    def moves(spread: Column, mean: Column, n: Column) -> Column:
-        return spread > F.sqrt(n) * F.lit(FLAT_SHARE) * F.greatest(F.abs(mean), F.lit(1.0))
-
-    def ratio(o: Column) -> Column:
-        r = o["xy"] / (o["sx"] * o["sy"])
-        return F.when(
-            (o["n"] >= min_overlap) & moves(o["sx"], o["ma"], o["n"]) & moves(o["sy"], o["mb"], o["n"]),
-            F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)),
-        )
-
-    return F.transform(
-        spreads, lambda o: F.struct(o["lag"].alias("lag"), o["n"].alias("n"), ratio(o).alias("corr"))
-    )
-
-
-def strongest(lags: Column) -> Column:
+    overlaps = f"""transform(sequence({-max_lead}, {max_lag}), k -> named_struct(
+        'lag', k, 'n', {length} - abs(k),
+        'a', slice({left}, greatest(1, 1 - k), {length} - abs(k)),
+        'b', slice({right}, greatest(1, 1 + k), {length} - abs(k))))"""
+    centred = f"""transform({overlaps}, o -> named_struct(
+        'lag', o.lag, 'n', o.n, 'a', o.a, 'b', o.b,
+        'ma', {total("o.a")} / o.n, 'mb', {total("o.b")} / o.n))"""
+    spreads = f"""transform({centred}, o -> named_struct(
+        'lag', o.lag, 'n', o.n, 'ma', o.ma, 'mb', o.mb,
+        'xy', {total("zip_with(o.a, o.b, (x, y) -> (x - o.ma) * (y - o.mb))")},
+        'sx', sqrt(aggregate(o.a, 0D, (acc, x) -> acc + (x - o.ma) * (x - o.ma))),
+        'sy', sqrt(aggregate(o.b, 0D, (acc, y) -> acc + (y - o.mb) * (y - o.mb)))))"""
+
+    def moves(spread: str, mean: str) -> str:
+        return f"{spread} > sqrt(o.n) * {number(FLAT_SHARE)} * greatest(abs({mean}), 1D)"
+
+    return f"""transform({spreads}, o -> named_struct(
+        'lag', o.lag, 'n', o.n,
+        'corr', CASE WHEN o.n >= {min_overlap} AND {moves("o.sx", "o.ma")} AND {moves("o.sy", "o.mb")}
+                     THEN greatest(-1D, least(1D, o.xy / (o.sx * o.sy))) END))"""
+
+
+def strongest(lags: str) -> str:
     """The (lag, n, corr) with the highest correlation, the smallest lag on a tie.
 
     Compared to ten decimals: below that the winner would be summation noise. Null
     when no lag has a correlation.
     """
-    defined = F.filter(lags, lambda o: o["corr"].isNotNull())
-    ranked = F.transform(
-        defined,
-        lambda o: F.struct(
-            F.round(o["corr"], 10).alias("rank"), (-o["lag"]).alias("back"), o["n"].alias("n"), o["corr"].alias("corr")
-        ),
-    )
+    ranked = f"""transform(filter({lags}, o -> o.corr IS NOT NULL), o -> named_struct(
+        'rank', round(o.corr, 10), 'back', -o.lag, 'n', o.n, 'corr', o.corr))"""
     return bind(
-        F.array_max(ranked),
-        lambda best: F.when(
-            best.isNotNull(),
-            F.struct((-best["back"]).alias("lag"), best["n"].alias("n"), best["corr"].alias("corr")),
-        ),
+        "top",
+        f"array_max({ranked})",
+        "CASE WHEN top IS NOT NULL THEN named_struct('lag', -top.back, 'n', top.n, 'corr', top.corr) END",
     )
 
 
-def student_tail(r: Column, n: Column) -> Column:
+def student_tail(r: str, n: str) -> str:
     """P(correlation >= r by chance) for n points: one-sided Student tail, n - 2 degrees.
 
     With sin(theta) = r the classical finite sums for whole degrees of freedom
@@ -145,39 +112,29 @@ def student_tail(r: Column, n: Column) -> Column:
     correlation the rest of the same series is summed instead of subtracting from 1,
     so small tails keep their digits.
     """
-    dof = n - 2
-    odd = dof % 2
-    cut = F.floor(dof / 2).cast("int")
-    cos2 = F.lit(1.0) - r * r
-
-    def power_sum(first: Column, last: Column) -> Column:
-        walk = F.aggregate(
-            F.sequence(F.lit(1), last),
-            F.struct(F.lit(1.0).alias("term"), F.when(first <= 0, 1.0).otherwise(0.0).alias("sum")),
-            lambda acc, k: bind(
-                acc["term"] * cos2 * (2 * k - 1 + odd) / (2 * k + odd),
-                lambda term: F.struct(
-                    term.alias("term"), (acc["sum"] + F.when(k >= first, term).otherwise(0.0)).alias("sum")
-                ),
-            ),
-        )
-        return walk["sum"]
-
-    head = F.when(cut >= 2, power_sum(F.lit(0), cut - 1)).when(cut == 1, F.lit(1.0)).otherwise(F.lit(0.0))
-    rest = power_sum(cut, cut + TAIL_TERMS)
-    cosine = F.sqrt(cos2)
-    strong = F.when(odd == 0, r * rest / 2).otherwise(r * cosine * rest / math.pi)
-    weak = F.when(odd == 0, (1 - r * head) / 2).otherwise(
-        (1 - (F.asin(r) + r * cosine * head) * (2 / math.pi)) / 2
-    )
-    return (
-        F.when(r.isNull() | (n <= 2), F.lit(None).cast("double"))
-        .when(r >= 1, F.lit(0.0))
-        .when(r >= 0.5, strong)
-        .otherwise(weak)
+
+    def power_sum(first: str, last: str) -> str:
+        """Terms ``first`` to ``last`` of the series; its term 0 is 1."""
+        grown = "acc.term * t.cos2 * (2 * k - 1 + t.odd) / (2 * k + t.odd)"
+        step = f"named_struct('term', term, 'sum', acc.sum + IF(k >= {first}, term, 0D))"
+        return f"""aggregate(sequence(1, {last}),
+            named_struct('term', 1D, 'sum', IF({first} <= 0, 1D, 0D)),
+            (acc, k) -> {bind("term", grown, step)}).sum"""
+
+    head = f"CASE WHEN t.cut >= 2 THEN {power_sum('0', 't.cut - 1')} WHEN t.cut = 1 THEN 1D ELSE 0D END"
+    rest = power_sum("t.cut", f"t.cut + {TAIL_TERMS}")
+    strong = bind("s", rest, f"IF(t.odd = 0, {r} * s / 2D, {r} * sqrt(t.cos2) * s / {number(math.pi)})")
+    weak = bind(
+        "s",
+        head,
+        f"IF(t.odd = 0, (1D - {r} * s) / 2D, "
+        f"(1D - (asin({r}) + {r} * sqrt(t.cos2) * s) * {number(2 / math.pi)}) / 2D)",
     )
+    terms = f"named_struct('cos2', 1D - {r} * {r}, 'odd', ({n} - 2) % 2, 'cut', cast(({n} - 2) div 2 AS int))"
+    return f"""CASE WHEN {r} IS NULL OR {n} <= 2 THEN cast(NULL AS double) WHEN {r} >= 1D THEN 0D
+        ELSE {bind("t", terms, f"IF({r} >= 0.5D, {strong}, {weak})")} END"""
 
 
-def corrected_p_value(r: Column, n: Column, tests: int) -> Column:
+def corrected_p_value(r: str, n: str, tests: int) -> str:
     """The tail times the number of lags tried (Bonferroni), at most 1; null stays null."""
-    return bind(student_tail(r, n) * tests, lambda p: F.when(p > 1, F.lit(1.0)).otherwise(p))
+    return bind("p", f"({student_tail(r, n)}) * {tests}", "IF(p > 1D, 1D, p)")

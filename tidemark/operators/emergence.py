@@ -7,8 +7,8 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import between_days, day_key, half_even
-from tidemark.functions.series import bind, median, zero_padded
+from tidemark.functions import series
+from tidemark.functions.columns import between_days, day_key
 from tidemark.params import DEFAULTS, Params
 
 ARTICLE = ["project", "title"]
@@ -55,25 +55,13 @@ def article_history(history: DataFrame) -> DataFrame:
     )
 
 
-def robust_z(value: Column, past: Column, days: Column, params: Params = DEFAULTS) -> Column:
+def robust_z(value: str, past: str, days: str, params: Params = DEFAULTS) -> str:
     """(baseline, z): z = (x - median) / max(1.4826 MAD, 1) over all observed days, zeros included."""
-
-    def score(counts: Column) -> Column:
-        return bind(
-            median(counts),
-            lambda center: F.struct(
-                center.alias("baseline"),
-                (
-                    (value - center)
-                    / F.greatest(
-                        F.lit(params.mad_to_sigma) * median(F.transform(counts, lambda c: F.abs(c - center))),
-                        F.lit(params.scale_floor),
-                    )
-                ).alias("z"),
-            ),
-        )
-
-    return bind(zero_padded(past, days), score)
+    mad = series.median("transform(counts, c -> abs(c - center))")
+    scale = f"greatest({series.number(params.mad_to_sigma)} * {mad}, {series.number(params.scale_floor)})"
+    scored = f"named_struct('baseline', center, 'z', (cast({value} AS double) - center) / {scale})"
+    around = series.bind("center", series.median("counts"), scored)
+    return series.bind("counts", series.zero_padded(past, days), around)
 
 
 def flag_emerging(
@@ -82,30 +70,25 @@ def flag_emerging(
     """Add history_days, baseline_editors, is_emerging, z_editors, z_edits and anomaly_score.
 
     The threshold sees the exact z; only the stored value is rounded. With too little
-    history there is no baseline: all null and nobody emerges.
+    history there is no baseline: all null and nobody emerges. The scores leave one
+    expression through ``inline``, so later filters stay above and each is evaluated once.
     """
     observed = F.lit(days).cast("int") if isinstance(days, int) else days
 
-    def judged(editors: Column, edit_count: Column) -> Column:
-        emerging = (editors["z"] >= params.z_threshold) & (F.col("unique_editors") >= params.min_editors)
-        return F.struct(
-            editors["baseline"].alias("baseline_editors"),
-            F.coalesce(emerging, F.lit(False)).alias("is_emerging"),
-            half_even(editors["z"], 2).alias("z_editors"),
-            half_even(edit_count["z"], 2).alias("z_edits"),
-            half_even(editors["z"], 2).alias("anomaly_score"),
-        )
-
-    def score(metric: str) -> Column:
-        z = robust_z(F.col(metric).cast("double"), F.col(f"past_{metric}"), F.col("history_days"), params)
-        return F.when(F.col("history_days") >= params.min_history_days, z)
+    def score(metric: str) -> str:
+        z = robust_z(metric, f"past_{metric}", "history_days", params)
+        return f"CASE WHEN history_days >= {params.min_history_days} THEN {z} END"
 
-    # inline keeps later filters above the scores, so each score is evaluated once
-    scores = bind(score("unique_editors"), lambda e: bind(score("edit_count"), lambda c: judged(e, c)))
+    emerging = f"editors.z >= {series.number(params.z_threshold)} AND unique_editors >= {params.min_editors}"
+    row = f"""named_struct(
+        'baseline_editors', editors.baseline, 'is_emerging', coalesce({emerging}, false),
+        'z_editors', {series.half_even("editors.z", 2)}, 'z_edits', {series.half_even("edits.z", 2)},
+        'anomaly_score', {series.half_even("editors.z", 2)})"""
+    scores = series.bind("editors", score("unique_editors"), series.bind("edits", score("edit_count"), row))
     return (
         today.join(article_history(history), ARTICLE, "left")
         .withColumn("history_days", observed)
-        .select(*today.columns, "history_days", F.inline(F.array(scores)))
+        .select(*today.columns, "history_days", F.expr(f"inline(array({scores}))"))
     )
 
 

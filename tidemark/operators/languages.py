@@ -38,17 +38,22 @@ def entity_languages(articles: DataFrame) -> DataFrame:
     )
 
 
-def add_language_signature(articles: DataFrame) -> DataFrame:
+def keyed_by_entity(articles: DataFrame) -> DataFrame:
+    key = entity_key(F.col("wikidata_id"), F.col("edit_project"), F.col("title"))
+    return articles.withColumn("entity_key", key)
+
+
+def add_language_signature(articles: DataFrame, edited: DataFrame | None = None) -> DataFrame:
     """Add entity_key, language_count, languages_editing, first_language, language_lag_minutes.
 
     Aggregated and joined back rather than computed over a window: a window would put all
-    articles of one entity in one task, a join can be broadcast or split by AQE.
+    articles of one entity in one task, a join can be broadcast or split by AQE. ``edited``
+    may hold the same articles before costly columns were added; only ids and first edits
+    are read from it.
     """
-    keyed = articles.withColumn(
-        "entity_key", entity_key(F.col("wikidata_id"), F.col("edit_project"), F.col("title"))
-    )
+    arrivals = entity_languages(keyed_by_entity(articles if edited is None else edited))
     lag = minutes_between(F.col("entity_first_edit"), F.col("first_edit"))
-    return keyed.join(entity_languages(keyed), "entity_key", "left").select(
+    return keyed_by_entity(articles).join(arrivals, "entity_key", "left").select(
         *articles.columns,
         "entity_key",
         "language_count",

@@ -28,7 +28,7 @@ def joined_articles(
     return aggregates.join_readership(edited, aggregates.readership(hourly, top, params), params)
 
 
-def scored_articles(
+def trending_articles(
     edits: DataFrame,
     past: DataFrame,
     ids: DataFrame,
@@ -37,30 +37,19 @@ def scored_articles(
     days: Column | int | None = None,
     params: Params = DEFAULTS,
 ) -> DataFrame:
-    """``joined_articles`` with trending score and emergence.
+    """The whole trending table of a day, one row per article and language.
 
     Ids and history share the edits' key, so they are joined before the views, whose key
     is spelled differently: three joins cost one more shuffle of the articles, not three.
+    ``days`` defaults to the days found in ``past``.
     """
     edited = aggregates.join_entities(aggregates.aggregate_edits(edits), ids)
     observed = emergence.history_days(past) if days is None else days
     flagged = emergence.flag_emerging(edited, emergence.daily_history(past), observed, params)
     joined = aggregates.join_readership(flagged, aggregates.readership(hourly, top, params), params)
-    return aggregates.with_trending_score(joined)
-
-
-def trending_articles(
-    edits: DataFrame,
-    past: DataFrame,
-    ids: DataFrame,
-    hourly: DataFrame,
-    top: DataFrame,
-    days: Column | int | None = None,
-    params: Params = DEFAULTS,
-) -> DataFrame:
-    """The whole trending table of a day, one row per article and language."""
-    scored = scored_articles(edits, past, ids, hourly, top, days, params)
-    return languages.add_language_signature(scored).select(*schemas.TRENDING.fieldNames())
+    scored = aggregates.with_trending_score(joined)
+    signed = languages.add_language_signature(scored, edited.withColumnRenamed("project", "edit_project"))
+    return signed.select(*schemas.TRENDING.fieldNames())
 
 
 def by_score(trending: DataFrame) -> DataFrame:
