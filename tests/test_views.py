@@ -11,7 +11,7 @@ def test_dump_is_named_after_the_end_of_its_hour(spark):
     df = spark.createDataFrame(
         [("pageviews-20261002-120000.gz",), ("pageviews-20261101-000000.gz",), ("other.gz",)], "n STRING"
     )
-    got = [r[0] and r[0].isoformat() for r in df.select(views.hour_of_dump(df["n"])).collect()]
+    got = [r[0] and r[0].isoformat() for r in df.select(views.hour_of_stamp(views.stamp_of_dump(df["n"]))).collect()]
     assert got == ["2026-10-02T11:00:00", "2026-10-31T23:00:00", None]
 
 
@@ -25,7 +25,7 @@ def test_lines_of_dump_files(spark, tmp_path):
     assert rows(parsed, "project", "title", "views") == [
         ("en.wikipedia", "Albert_Einstein", 3), ("fr.wikipedia", "Paris", 12),
     ]
-    assert {r["hour_utc"].isoformat() for r in parsed.collect()} == {"2026-10-02T11:00:00"}
+    assert {r["stamp"] for r in parsed.collect()} == {"20261002-1200"}
 
 
 def parsed(spark, lines):

@@ -148,7 +148,8 @@ def lake_days(d: t.Tables) -> DataFrame:
 
 @query
 def dump_parsed(d: t.Tables) -> DataFrame:
-    return views.parse_dump_lines(d.dump_lines)
+    parsed = views.parse_dump_lines(d.dump_lines)
+    return parsed.select(views.hour_of_stamp(F.col("stamp")).alias("hour_utc"), "project", "title", "views")
 
 
 @query

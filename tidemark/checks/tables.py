@@ -54,14 +54,16 @@ class Tables:
         rows = self.table("events")
         key = F.get_json_object("props", "$.k").cast("int")
         language = F.element_at(F.array(*[F.lit(x) for x in LANGUAGES]), (F.col("user_id") % 5 + 1).cast("int"))
+        page = F.concat(language, F.lit(".wikipedia"))
+        title = F.concat(F.lit("T"), F.floor(key / 10).cast("string"))
         return rows.select(
             "event_id",
             F.col("ts").cast("timestamp").alias("ts"),
             F.col("user_id").cast("string").alias("user"),
             "event_type",
             F.col("value").cast("bigint").alias("amount"),
-            F.concat(language, F.lit(".wikipedia")).alias("project"),
-            F.concat(F.lit("T"), F.floor(key / 10).cast("string")).alias("title"),
+            # inline: names are built once per row, while filters on the other columns still reach the scan
+            F.inline(F.array(F.struct(page.alias("project"), title.alias("title")))),
         )
 
     @cached_property

@@ -9,13 +9,18 @@ from tidemark import schemas
 from tidemark.functions.columns import align_project, dump_title, readable_title
 from tidemark.params import DEFAULTS, Params
 
+# Where a dump's name carries its stamp, and the stamp's format.
 STAMP_PATTERN = r"pageviews-(\d{8}-\d{4})\d{2}"
+STAMP_FORMAT = "yyyyMMdd-HHmm"
 
 
-def hour_of_dump(file_name: Column) -> Column:
+def stamp_of_dump(file_name: Column) -> Column:
+    return F.nullif(F.regexp_extract(file_name, STAMP_PATTERN, 1), F.lit(""))
+
+
+def hour_of_stamp(stamp: Column) -> Column:
     """A dump is named after the end of its hour; the hour it describes starts one earlier."""
-    stamp = F.regexp_extract(file_name, STAMP_PATTERN, 1)
-    return F.to_timestamp(F.nullif(stamp, F.lit("")), "yyyyMMdd-HHmm") - F.expr("INTERVAL 1 HOUR")
+    return F.to_timestamp(stamp, STAMP_FORMAT) - F.expr("INTERVAL 1 HOUR")
 
 
 def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -23,28 +28,32 @@ def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
 
 
-def project_of_domain(domain: Column, params: Params = DEFAULTS) -> Column:
-    """Desktop ``fr`` and mobile ``fr.m`` are both ``fr.wikipedia``; null for any other site."""
-    codes = "|".join(p.split(".")[0] for p in params.projects)
-    code = F.regexp_extract(domain, rf"^({codes})(\.m)?$", 1)
-    return F.when(code != "", F.concat(code, F.lit(".wikipedia")))
-
-
 def parse_dump_lines(lines: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """``domain title count bytes`` to (hour_utc, project, title, views).
+    """``domain title count bytes`` to (stamp, project, title, views).
 
-    Lines with fewer than three fields, a count that is no whole number or another
-    site are left out. Titles keep the dump's spelling.
+    Desktop ``fr`` and mobile ``fr.m`` are both ``fr.wikipedia``. Lines of other sites,
+    with fewer than three fields or with a count that is no whole number are left out;
+    most of a dump goes by the first test, on the plain line. Titles keep the dump's
+    spelling. The fields leave through ``inline``, so a line is split once however the
+    columns are used later.
     """
+    codes = "|".join(p.split(".")[0] for p in params.projects)
     fields = F.split("value", " ")
+    parsed = F.struct(
+        F.try_element_at(fields, F.lit(1)).alias("domain"),
+        F.try_element_at(fields, F.lit(2)).alias("title"),
+        F.try_element_at(fields, F.lit(3)).try_cast("bigint").alias("views"),
+    )
     return (
-        lines.select(
-            hour_of_dump(F.col("file_name")).alias("hour_utc"),
-            project_of_domain(F.try_element_at(fields, F.lit(1)), params).alias("project"),
-            F.try_element_at(fields, F.lit(2)).alias("title"),
-            F.try_element_at(fields, F.lit(3)).try_cast("bigint").alias("views"),
+        lines.filter(F.col("value").rlike(rf"^({codes})(\.m)? "))
+        .select(stamp_of_dump(F.col("file_name")).alias("stamp"), F.inline(F.array(parsed)))
+        .filter(F.col("views").isNotNull())
+        .select(
+            "stamp",
+            F.concat(F.substring_index("domain", ".", 1), F.lit(".wikipedia")).alias("project"),
+            "title",
+            "views",
         )
-        .filter(F.col("project").isNotNull() & F.col("views").isNotNull())
     )
 
 
@@ -60,17 +69,18 @@ def merge_hour(views: DataFrame, candidates: DataFrame, params: Params = DEFAULT
 
     The total covers all titles. Other titles lose their name before the shuffle, so
     they travel as one row per task and hour rather than one per title; the join with
-    the candidates is broadcast only when Spark finds them small enough.
+    the candidates is broadcast only when Spark finds them small enough. Hours are read
+    off the stamps at the end, once per result row.
     """
     marked = views.join(candidates.withColumn("followed", F.lit(True)), ["project", "title"], "left")
     per_title = marked.groupBy(
-        "hour_utc", "project", F.when(F.col("followed"), F.col("title")).alias("title")
+        "stamp", "project", F.when(F.col("followed"), F.col("title")).alias("title")
     ).agg(F.sum("views").alias("views"))
     sets = per_title.groupingSets(
-        [["hour_utc", "project"], ["hour_utc", "project", "title"]], "hour_utc", "project", "title"
+        [["stamp", "project"], ["stamp", "project", "title"]], "stamp", "project", "title"
     ).agg(F.sum("views").alias("views"), F.grouping("title").alias("is_total"))
     return sets.filter((F.col("is_total") == 1) | F.col("title").isNotNull()).select(
-        "hour_utc",
+        hour_of_stamp(F.col("stamp")).alias("hour_utc"),
         "project",
         F.when(F.col("is_total") == 1, F.lit(params.total_title)).otherwise(F.col("title")).alias("title"),
         "views",
