@@ -182,7 +182,8 @@ def test_without_ids_articles_stand_alone(spark, lake, tmp_path):
     hourly = lake.days(spark, "formatted", "PageviewsHourly", ["20261007"], schemas.HOURLY_VIEWS).drop("day")
     top = lake.days(spark, "formatted", "Pageviews", ["20261007"], schemas.DAILY_TOP).drop("day")
     ids = Lake(str(tmp_path)).optional_day(spark, "formatted", "Wikidata", "20261007", schemas.ENTITY_IDS)
-    out = daily.trending_articles(edits, edits.limit(0).withColumn("day", edits.project), ids, hourly, top)
+    nothing = spark.createDataFrame([], schemas.EDIT_COUNTS)
+    out = daily.trending_articles(edits, nothing, 0, ids, hourly, top)
     assert set(rows(out, "language_count", "is_emerging", "history_days")) == {(1, False, 0)}
     assert out.count() == 17
 
@@ -192,3 +193,22 @@ def test_hourly_tsv_job(spark, tmp_path):
     (tmp_path / "h.tsv").write_text("2026-10-07 01:00:00\tfr.wikipedia\tTour_Eiffel\t3\n")
     ingest.format_hourly_tsv(spark, lake, str(tmp_path / "h.tsv"), D)
     assert rows(lake.days(spark, "formatted", "PageviewsHourly", ["20261007"], schemas.HOURLY_VIEWS), "title", "views") == [("Tour Eiffel", 3)]
+
+
+def test_kept_counts_equal_counting_again(spark, lake, tmp_path):
+    from tidemark.operators import emergence
+
+    kept, days = daily.past_counts(spark, lake, D)
+    past = emergence.past_edits(lake.scan(spark, "formatted", "Edits", schemas.EDITS), D)
+    columns = ["project", "title", "day", "edit_count", "unique_editors"]
+    assert days == 6 and "EditCounts" in kept.inputFiles()[0]
+    assert rows(kept, *columns) == rows(emergence.daily_history(past), *columns)
+
+    bare = Lake(str(tmp_path))
+    bare.write_days(lake.scan(spark, "formatted", "Edits", schemas.EDITS), "formatted", "Edits")
+    again, days = daily.past_counts(spark, bare, D)
+    assert days == 6 and rows(again, *columns) == rows(kept, *columns)
+
+    bare.write_days(kept.filter("day <= '20261004'"), "formatted", "EditCounts")
+    partly, days = daily.past_counts(spark, bare, D)
+    assert days == 6 and rows(partly, *columns) == rows(kept, *columns)

@@ -66,8 +66,10 @@ def _top_today(d: t.Tables) -> DataFrame:
 
 
 def _trending(d: t.Tables) -> DataFrame:
+    past = _past(d)
     return trending_articles(
-        _today(d), _past(d), d.ids, _hourly_today(d), _top_today(d), params=P
+        _today(d), emergence.daily_history(past), emergence.history_days(past), d.ids, _hourly_today(d),
+        _top_today(d), P,
     )
 
 

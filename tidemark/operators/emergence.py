@@ -15,12 +15,17 @@ ARTICLE = ["project", "title"]
 METRICS = ("edit_count", "unique_editors")
 
 
+def history_window(day: date, params: Params = DEFAULTS) -> tuple[date, date]:
+    """First and last day of [D - 28, D - 1]."""
+    return day - timedelta(days=params.history_days), day - timedelta(days=1)
+
+
 def past_edits(edits: DataFrame, day: date, params: Params = DEFAULTS) -> DataFrame:
-    """Edits of the history window [D - 28, D - 1] with their day; also prunes day folders."""
-    first, last = day - timedelta(days=params.history_days), day - timedelta(days=1)
-    past = edits.filter(between_days(F.col("timestamp_utc"), first, last))
+    """Edits of the history window with the ``day`` they happened; also prunes day folders."""
+    first, last = history_window(day, params)
     if "day" in edits.columns:
-        return past.filter(F.col("day").between(f"{first:%Y%m%d}", f"{last:%Y%m%d}"))
+        edits = edits.filter(F.col("day").between(f"{first:%Y%m%d}", f"{last:%Y%m%d}"))
+    past = edits.filter(between_days(F.col("timestamp_utc"), first, last))
     return past.withColumn("day", day_key(F.col("timestamp_utc")))
 
 

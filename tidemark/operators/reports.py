@@ -156,13 +156,16 @@ def pattern_profile(leadlag: DataFrame) -> DataFrame:
 
 def headline_totals(edits: DataFrame, trending: DataFrame, events: DataFrame) -> DataFrame:
     """Edits, article-days, emerging articles and multilingual subjects over the days given."""
-    parts = [
-        edits.agg(F.lit("edits").alias("metric"), F.count("*").alias("value")),
-        trending.agg(F.lit("article_days").alias("metric"), F.count("*").alias("value")),
-        trending.agg(F.lit("emerging").alias("metric"), F.count_if("is_emerging").alias("value")),
-        events.agg(F.lit("multilingual_subjects").alias("metric"), F.count("*").alias("value")),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    def metric(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("metric"), value.alias("value"))
+
+    def counted(rows: DataFrame, **metrics: Column) -> DataFrame:
+        """All metrics of one source from one pass over it."""
+        summary = rows.agg(*[value.alias(name) for name, value in metrics.items()])
+        return summary.select(F.inline(F.array(*[metric(name, F.col(name)) for name in metrics])))
+
+    return (
+        counted(edits, edits=F.count("*"))
+        .unionByName(counted(trending, article_days=F.count("*"), emerging=F.count_if("is_emerging")))
+        .unionByName(counted(events, multilingual_subjects=F.count("*")))
+    )

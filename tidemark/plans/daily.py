@@ -30,28 +30,45 @@ def joined_articles(
 
 def trending_articles(
     edits: DataFrame,
-    past: DataFrame,
+    history: DataFrame,
+    days: Column | int,
     ids: DataFrame,
     hourly: DataFrame,
     top: DataFrame,
-    days: Column | int | None = None,
     params: Params = DEFAULTS,
 ) -> DataFrame:
     """The whole trending table of a day, one row per article and language.
 
+    ``history`` holds daily counts of the past and ``days`` how many days were observed.
     Ids and history share the edits' key, so they are joined before the views, whose key
     is spelled differently: three joins cost one more shuffle of the articles, not three.
-    ``days`` defaults to the days found in ``past``.
     """
     edited = aggregates.join_entities(aggregates.aggregate_edits(edits), ids)
-    observed = emergence.history_days(past) if days is None else days
-    flagged = emergence.flag_emerging(edited, emergence.daily_history(past), observed, params)
+    flagged = emergence.flag_emerging(edited, history, days, params)
     joined = aggregates.join_readership(flagged, aggregates.readership(hourly, top, params), params)
     scored = aggregates.with_trending_score(joined)
     signed = languages.add_language_signature(scored, edited.withColumnRenamed("project", "edit_project"))
     return signed.select(*schemas.TRENDING.fieldNames())
 
 
+def past_counts(spark: SparkSession, lake: Lake, day: date, params: Params = DEFAULTS) -> tuple[DataFrame, int]:
+    """Daily counts of the history window and the number of observed days.
+
+    The counts of each day are kept next to its edits, so a run reads 28 small tables
+    instead of counting 28 days of edits again. Where a day lacks them (or was formatted
+    by an older run) everything is counted from the edits, with the same result.
+    """
+    first, last = (day_text(d) for d in emergence.history_window(day, params))
+    observed = lake.observed_days(spark, "formatted", "Edits", schemas.EDITS, first, last)
+    counts = lake.scan_if_present(spark, "formatted", "EditCounts", schemas.EDIT_COUNTS)
+    if counts is not None:
+        kept = counts.filter(F.col("day").isin(*observed)) if observed else counts.limit(0)
+        if sorted(r["day"] for r in kept.select("day").distinct().collect()) == observed:
+            return kept, len(observed)
+    past = emergence.past_edits(lake.scan(spark, "formatted", "Edits", schemas.EDITS), day, params)
+    return emergence.daily_history(past), len(observed)
+
+
 def by_score(trending: DataFrame) -> DataFrame:
     return trending.orderBy(F.desc("trending_score"), "edit_project", "title")
 
@@ -66,11 +83,10 @@ def combine_day(spark: SparkSession, lake: Lake, day: date, params: Params = DEF
     hourly = lake.days(spark, "formatted", "PageviewsHourly", [today], schemas.HOURLY_VIEWS).drop("day")
     top = lake.days(spark, "formatted", "Pageviews", [today], schemas.DAILY_TOP).drop("day")
     ids = lake.optional_day(spark, "formatted", "Wikidata", today, schemas.ENTITY_IDS)
-    past = emergence.past_edits(lake.scan(spark, "formatted", "Edits", schemas.EDITS), day, params)
-    days = emergence.history_days(past)
+    history, days = past_counts(spark, lake, day, params)
 
     trending = trending_articles(
-        edits, thinned(past, edits, FOLLOWED_LIMIT), ids, hourly, top, days, params
+        edits, thinned(history, edits, FOLLOWED_LIMIT), days, ids, hourly, top, params
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         quality.enforce(quality.trending_rules(trending, params), "TrendingArticles")

@@ -34,6 +34,9 @@ EDITS = record(
     edit_size=COUNT, length_old=COUNT, length_new=COUNT, comment=TEXT,
 )
 
+# Per article, in the folder of its day.
+EDIT_COUNTS = record(project=TEXT, title=TEXT, edit_count=COUNT, unique_editors=COUNT)
+
 HOURLY_TSV = record(hour_utc=TEXT, project=TEXT, title=TEXT, views=COUNT)
 HOURLY_VIEWS = record(hour_utc=INSTANT, project=TEXT, title=TEXT, views=COUNT)
 

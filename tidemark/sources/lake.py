@@ -29,6 +29,12 @@ class Lake:
         full = T.StructType(schema.fields + [T.StructField("day", T.StringType())])
         return spark.read.schema(full).parquet(self.path(layer, table))
 
+    def scan_if_present(
+        self, spark: SparkSession, layer: str, table: str, schema: T.StructType
+    ) -> DataFrame | None:
+        """``scan``, or None while the table has never been written."""
+        return self.scan(spark, layer, table, schema) if self._exists(spark, self.path(layer, table)) else None
+
     def days(
         self, spark: SparkSession, layer: str, table: str, days: list[str], schema: T.StructType
     ) -> DataFrame:
@@ -47,9 +53,14 @@ class Lake:
         return spark.createDataFrame([], schema)
 
     def has_day(self, spark: SparkSession, layer: str, table: str, day: str) -> bool:
-        """Whether the day's folder can be read; touches names only, no data."""
+        """Whether the day's folder exists."""
+        return self._exists(spark, self.path(layer, table, day))
+
+    @staticmethod
+    def _exists(spark: SparkSession, path: str) -> bool:
+        """Looks at names only, no data."""
         try:
-            spark.read.schema("probe STRING").parquet(self.path(layer, table, day))
+            spark.read.schema("probe STRING").parquet(path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return False

@@ -16,16 +16,22 @@ from tidemark.sources.lake import Lake, MissingInput
 TOPIC = "wikipedia-edits"
 
 
-def topic_messages(spark: SparkSession, servers: str, topic: str = TOPIC) -> DataFrame:
-    """The topic from its earliest offset; needs Spark's Kafka connector on the class path."""
-    return (
+def topic_messages(
+    spark: SparkSession, servers: str, topic: str = TOPIC, max_per_batch: int | None = None
+) -> DataFrame:
+    """The topic from its earliest offset; needs Spark's Kafka connector on the class path.
+
+    ``max_per_batch`` splits a long backlog into batches; all of it is read either way.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .load()
-        .select("value")
     )
+    if max_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
+    return reader.load().select("value")
 
 
 def file_messages(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
