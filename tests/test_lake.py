@@ -5,7 +5,7 @@ from conftest import at, rows
 
 from tidemark import schemas
 from tidemark.functions import columns
-from tidemark.operators.bounded import thinned
+from tidemark.operators.joins import thinned
 from tidemark.session import checkpointed, shared_folder
 from tidemark.sources.lake import Lake, MissingInput
 

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import aggregates, emergence, languages, leadlag
+from tidemark.operators import aggregates, emergence, entities, languages, leadlag
 from tidemark.sources import views
 
 ROWS = 90_000
@@ -98,8 +98,27 @@ def test_hot_title_in_a_dump(spark, no_broadcast):
         F.lit("pageviews-20261002-120000.gz").alias("file_name"),
     )
     followed = spark.createDataFrame([("en.wikipedia", "Hot"), ("fr.wikipedia", "T1")], "project STRING, title STRING")
-    out = views.merge_hour(views.parse_dump_lines(lines), followed)
-    assert sorted((r["project"], r["title"], r["views"]) for r in out.collect()) == [
-        ("en.wikipedia", "-", ROWS // 3), ("en.wikipedia", "Hot", ROWS // 3), ("fr.wikipedia", "-", 2 * ROWS // 3),
-        ("fr.wikipedia", "T1", 1),
-    ]
+    out = views.merge_hour(views.parse_dump_lines(lines), followed.distinct())
+    # the hot title compresses to little
+    small = {
+        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "1k",
+        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "0.1",
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "1k",
+    }
+    with settings(spark, **small):
+        assert sorted((r["project"], r["title"], r["views"]) for r in out.collect()) == [
+            ("en.wikipedia", "-", ROWS // 3), ("en.wikipedia", "Hot", ROWS // 3), ("fr.wikipedia", "-", 2 * ROWS // 3),
+            ("fr.wikipedia", "T1", 1),
+        ]
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_redirect_target(spark, no_broadcast):
+    """A third of all titles lead to one page; its id reaches them all, from many tasks."""
+    titles = spark.range(ROWS // 3, numPartitions=16).select(F.lit("en").alias("project"), F.sha2(F.col("id").cast("string"), 256).alias("title"), "id")
+    edges = titles.select("project", F.col("title").alias("from"), F.when(F.col("id") % 3 == 0, "Hub").otherwise(F.concat(F.lit("P"), F.col("id").cast("string"))).alias("to"))
+    pages = spark.createDataFrame([("en", "Hub", "Q1"), ("en", "P1", "Q2")], "project STRING, title STRING, wikidata_id STRING")
+    out = entities.resolve_ids(titles, edges, pages)
+    counts = out.groupBy("wikidata_id").agg(F.count("*"), F.max("title"))
+    assert sorted((tuple(r)[:2] for r in counts.collect()), key=repr) == [("Q1", ROWS // 9), ("Q2", 1), (None, 2 * ROWS // 9 - 1)]
+    assert "skew=true" in counts._jdf.queryExecution().executedPlan().toString()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import join_under_skew
 from tidemark.params import DEFAULTS, Params
 from tidemark.session import checkpointed
 
@@ -115,13 +116,9 @@ def resolve_chains(edges: DataFrame) -> DataFrame:
 def resolve_ids(titles: DataFrame, edges: DataFrame, pages: DataFrame) -> DataFrame:
     """The id of the page each title leads to; null for a missing page or one without id."""
     found = pages.groupBy("project", F.col("title").alias("final")).agg(F.max("wikidata_id").alias("wikidata_id"))
-    return (
-        titles.select(*TITLE)
-        .join(resolve_chains(edges), TITLE, "left")
-        .select(*TITLE, F.coalesce("final", "title").alias("final"))
-        .join(found, ["project", "final"], "left")
-        .select(*TITLE, "wikidata_id")
-    )
+    led = titles.select(*TITLE).join(resolve_chains(edges), TITLE, "left")
+    ends = led.select(*TITLE, F.coalesce("final", "title").alias("final"))
+    return join_under_skew(ends, found, ["project", "final"]).select(*TITLE, "wikidata_id")
 
 
 def distinct_ids(ids: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import half_even, language_of
+from tidemark.operators.joins import join_under_skew
 
 MICROS_PER_MINUTE = 60_000_000.0
 
@@ -47,13 +48,13 @@ def add_language_signature(articles: DataFrame, edited: DataFrame | None = None)
     """Add entity_key, language_count, languages_editing, first_language, language_lag_minutes.
 
     Aggregated and joined back rather than computed over a window: a window would put all
-    articles of one entity in one task, a join can be broadcast or split by AQE. ``edited``
+    articles of one entity in one task, this join is broadcast or split. ``edited``
     may hold the same articles before costly columns were added; only ids and first edits
     are read from it.
     """
     arrivals = entity_languages(keyed_by_entity(articles if edited is None else edited))
     lag = minutes_between(F.col("entity_first_edit"), F.col("first_edit"))
-    return keyed_by_entity(articles).join(arrivals, "entity_key", "left").select(
+    return join_under_skew(keyed_by_entity(articles), arrivals, ["entity_key"]).select(
         *articles.columns,
         "entity_key",
         "language_count",

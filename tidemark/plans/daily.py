@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.columns import day_text, event_day
 from tidemark.operators import aggregates, emergence, languages, leadlag, quality
-from tidemark.operators.bounded import thinned
+from tidemark.operators.joins import thinned
 from tidemark.params import DEFAULTS, Params
 from tidemark.sources import documents
 from tidemark.sources.lake import Lake

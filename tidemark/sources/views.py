@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.columns import align_project, dump_title, readable_title
+from tidemark.operators.joins import join_under_skew
 from tidemark.params import DEFAULTS, Params
 
 # Where a dump's name carries its stamp, and the stamp's format.
@@ -68,11 +69,10 @@ def merge_hour(views: DataFrame, candidates: DataFrame, params: Params = DEFAULT
     """Hourly views of candidate articles, desktop plus mobile, and each language's total.
 
     The total covers all titles. Other titles lose their name before the shuffle, so
-    they travel as one row per task and hour rather than one per title; the join with
-    the candidates is broadcast only when Spark finds them small enough. Hours are read
+    they travel as one row per task and hour rather than one per title. Hours are read
     off the stamps at the end, once per result row.
     """
-    marked = views.join(candidates.withColumn("followed", F.lit(True)), ["project", "title"], "left")
+    marked = join_under_skew(views, candidates.withColumn("followed", F.lit(True)), ["project", "title"])
     per_title = marked.groupBy(
         "stamp", "project", F.when(F.col("followed"), F.col("title")).alias("title")
     ).agg(F.sum("views").alias("views"))
