@@ -66,15 +66,15 @@ def _top_today(d: t.Tables) -> DataFrame:
 
 
 def _trending(d: t.Tables) -> DataFrame:
-    past = _past(d)
+    past = d.once(_past)
     return trending_articles(
-        _today(d), emergence.daily_history(past), emergence.history_days(past), d.ids, _hourly_today(d),
-        _top_today(d), P,
+        d.once(_today), emergence.daily_history(past), emergence.history_days(past), d.ids, d.once(_hourly_today),
+        d.once(_top_today), P,
     )
 
 
 def _events(d: t.Tables) -> DataFrame:
-    return languages.cross_language_events(_trending(d))
+    return languages.cross_language_events(d.once(_trending))
 
 
 def _leadlag(d: t.Tables) -> DataFrame:
@@ -157,7 +157,7 @@ def dump_parsed(d: t.Tables) -> DataFrame:
 @query
 def hourly_merged(d: t.Tables) -> DataFrame:
     """Candidates' hourly views and the totals of all titles. Articles edited on D follow."""
-    candidates = views.candidate_articles(_today(d))
+    candidates = views.candidate_articles(d.once(_today))
     return views.merge_hour(views.parse_dump_lines(d.dump_lines), candidates)
 
 
@@ -199,7 +199,7 @@ def top_ranks(d: t.Tables) -> DataFrame:
 
 @query
 def joined_readership(d: t.Tables) -> DataFrame:
-    return joined_articles(_today(d), d.ids, _hourly_today(d), _top_today(d), P)
+    return joined_articles(d.once(_today), d.ids, d.once(_hourly_today), d.once(_top_today), P)
 
 
 @query
@@ -211,35 +211,35 @@ def trending_scores(d: t.Tables) -> DataFrame:
 
 @query
 def edit_to_view(d: t.Tables) -> DataFrame:
-    joined = joined_articles(_today(d), d.ids, _hourly_today(d), _top_today(d), P)
+    joined = joined_articles(d.once(_today), d.ids, d.once(_hourly_today), d.once(_top_today), P)
     return aggregates.by_ratio(aggregates.edit_to_view(joined))
 
 
 @query
 def observed_days(d: t.Tables) -> DataFrame:
-    return emergence.observed_days(_past(d))
+    return emergence.observed_days(d.once(_past))
 
 
 @query
 def history(d: t.Tables) -> DataFrame:
-    return emergence.daily_history(_past(d), _today(d))
+    return emergence.daily_history(d.once(_past), d.once(_today))
 
 
 @query
 def emergence_scores(d: t.Tables) -> DataFrame:
-    today = aggregates.aggregate_edits(_today(d)).select("project", "title", "edit_count", "unique_editors")
-    past = _past(d)
+    today = aggregates.aggregate_edits(d.once(_today)).select("project", "title", "edit_count", "unique_editors")
+    past = d.once(_past)
     return emergence.flag_emerging(today, emergence.daily_history(past), emergence.history_days(past), P)
 
 
 @query
 def trending(d: t.Tables) -> DataFrame:
-    return _trending(d)
+    return d.once(_trending)
 
 
 @query
 def top_emerging(d: t.Tables) -> DataFrame:
-    return emergence.top_emerging(_trending(d))
+    return emergence.top_emerging(d.once(_trending))
 
 
 # ---- languages
@@ -257,12 +257,12 @@ def language_signature(d: t.Tables) -> DataFrame:
 
 @query
 def cross_language_events(d: t.Tables) -> DataFrame:
-    return languages.by_reach(_events(d))
+    return languages.by_reach(d.once(_events))
 
 
 @query
 def cross_language_titles(d: t.Tables) -> DataFrame:
-    return languages.cross_language_titles(_trending(d))
+    return languages.cross_language_titles(d.once(_trending))
 
 
 # ---- lead-lag
@@ -301,12 +301,12 @@ def lag_correlations(d: t.Tables) -> DataFrame:
 
 @query
 def lead_lag(d: t.Tables) -> DataFrame:
-    return _leadlag(d).withColumn("p_value", F.round("p_value", 6))
+    return d.once(_leadlag).withColumn("p_value", F.round("p_value", 6))
 
 
 @query
 def top_edit_led(d: t.Tables) -> DataFrame:
-    return leadlag.top_edit_led(_leadlag(d))
+    return leadlag.top_edit_led(d.once(_leadlag))
 
 
 # ---- reports and panels
@@ -314,47 +314,47 @@ def top_edit_led(d: t.Tables) -> DataFrame:
 
 @query
 def pattern_counts(d: t.Tables) -> DataFrame:
-    return reports.pattern_counts(_leadlag(d))
+    return reports.pattern_counts(d.once(_leadlag))
 
 
 @query
 def pattern_share(d: t.Tables) -> DataFrame:
-    return reports.pattern_share(_leadlag(d))
+    return reports.pattern_share(d.once(_leadlag))
 
 
 @query
 def pattern_profile(d: t.Tables) -> DataFrame:
-    return reports.pattern_profile(_leadlag(d))
+    return reports.pattern_profile(d.once(_leadlag))
 
 
 @query
 def panel_lag_histogram(d: t.Tables) -> DataFrame:
-    return reports.lag_histogram(_leadlag(d))
+    return reports.lag_histogram(d.once(_leadlag))
 
 
 @query
 def panel_edit_led(d: t.Tables) -> DataFrame:
-    return reports.edit_led_count(_leadlag(d))
+    return reports.edit_led_count(d.once(_leadlag))
 
 
 @query
 def panel_articles(d: t.Tables) -> DataFrame:
-    return reports.article_count(_trending(d))
+    return reports.article_count(d.once(_trending))
 
 
 @query
 def panel_emerging(d: t.Tables) -> DataFrame:
-    return reports.emerging_count(_trending(d))
+    return reports.emerging_count(d.once(_trending))
 
 
 @query
 def panel_multilingual(d: t.Tables) -> DataFrame:
-    return reports.multilingual_count(_events(d))
+    return reports.multilingual_count(d.once(_events))
 
 
 @query
 def panel_emerging_table(d: t.Tables) -> DataFrame:
-    return reports.emerging_table(_trending(d))
+    return reports.emerging_table(d.once(_trending))
 
 
 @query
@@ -364,12 +364,12 @@ def panel_emerging_per_day(d: t.Tables) -> DataFrame:
 
 @query
 def panel_search(d: t.Tables) -> DataFrame:
-    return reports.multilingual_search(_events(d))
+    return reports.multilingual_search(d.once(_events))
 
 
 @query
 def panel_first_languages(d: t.Tables) -> DataFrame:
-    return reports.first_languages(_multilingual_by_day(d))
+    return reports.first_languages(d.once(_multilingual_by_day))
 
 
 @query
@@ -379,7 +379,7 @@ def rolling_articles(d: t.Tables) -> DataFrame:
 
 @query
 def headline_totals(d: t.Tables) -> DataFrame:
-    return reports.headline_totals(d.edits, d.published, _multilingual_by_day(d))
+    return reports.headline_totals(d.edits, d.published, d.once(_multilingual_by_day))
 
 
 # ---- gates
@@ -392,7 +392,7 @@ def quality_edits(d: t.Tables) -> DataFrame:
 
 @query
 def quality_trending(d: t.Tables) -> DataFrame:
-    return quality.trending_rules(_trending(d), P)
+    return quality.trending_rules(d.once(_trending), P)
 
 
 @query
@@ -402,7 +402,7 @@ def quality_ids(d: t.Tables) -> DataFrame:
 
 @query
 def view_match(d: t.Tables) -> DataFrame:
-    return quality.view_match(_trending(d))
+    return quality.view_match(d.once(_trending))
 
 
 @query
@@ -447,8 +447,8 @@ def response_problems(d: t.Tables) -> DataFrame:
 def documents_keyed(d: t.Tables) -> DataFrame:
     """Ids and a few values read back from the JSON of every published article and entity."""
     day = f"{D:%Y%m%d}"
-    both = documents.to_documents(_trending(d), "wikipedia-trending", day).unionByName(
-        documents.to_documents(_events(d), "wikipedia-crosslang", day)
+    both = documents.to_documents(d.once(_trending), "wikipedia-trending", day).unionByName(
+        documents.to_documents(d.once(_events), "wikipedia-crosslang", day)
     )
     value = lambda path: F.get_json_object("_source", f"$.{path}")
     return both.select(
@@ -466,7 +466,7 @@ def documents_upserted(d: t.Tables) -> DataFrame:
     """The day's documents over those of all days: an article's newer document replaces the older."""
     columns = ["edit_project", "title", "edit_count"]
     every = aggregates.aggregate_edits(d.edits).withColumnRenamed("project", "edit_project").select(columns)
-    today = aggregates.aggregate_edits(_today(d)).withColumnRenamed("project", "edit_project").select(columns)
+    today = aggregates.aggregate_edits(d.once(_today)).withColumnRenamed("project", "edit_project").select(columns)
     merged = documents.upserted(
         documents.to_documents(every, "wikipedia-trending", "20240130"),
         documents.to_documents(today, "wikipedia-trending", "20240130"),

@@ -7,6 +7,7 @@ language's total traffic. All rows of a table are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from functools import cached_property
 
@@ -45,6 +46,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
+        self.built: dict[Callable, DataFrame] = {}
+
+    def once(self, build: Callable[[Tables], DataFrame]) -> DataFrame:
+        """What ``build`` makes of these tables, built on first use."""
+        if build not in self.built:
+            self.built[build] = build(self)
+        return self.built[build]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -87,10 +87,14 @@ class Lake:
         return target
 
     def write_days(self, df: DataFrame, layer: str, table: str) -> str:
-        """Replace exactly the days present in ``df`` (column ``day``) in one job."""
+        """Replace exactly the days present in ``df`` (column ``day``) in one job.
+
+        Rows are rebalanced by day first: few files per day, and a heavy day still many tasks.
+        """
         target = self.path(layer, table)
         (
-            df.write.mode("overwrite")
+            df.hint("rebalance", F.col("day"))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("day")
             .parquet(target)
