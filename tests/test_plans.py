@@ -160,8 +160,10 @@ def test_a_failed_gate_writes_nothing(spark, lake, tmp_path):
     with pytest.raises(DataQualityError, match="emerging_share"):
         daily.combine_day(spark, lake, D, Params(max_emerging_share=0.01))
     empty = Lake(str(tmp_path))
-    with pytest.raises(MissingInput):
+    with pytest.raises(MissingInput, match="Edits.*PageviewsHourly.*Pageviews/"):
         daily.combine_day(spark, empty, D)
+    with pytest.raises(MissingInput, match="20261006.*20261007"):
+        daily.leadlag_day(spark, empty, D)
     with pytest.raises(MissingInput):
         ingest.format_hourly_views(spark, empty, str(tmp_path), D)
     with pytest.raises(MissingInput):

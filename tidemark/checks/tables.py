@@ -158,7 +158,8 @@ class Tables:
 
     @cached_property
     def dump_lines(self) -> DataFrame:
-        """Dump text: views on the desktop or mobile site, purchases with a bad count, signups elsewhere, errors cut short."""
+        """Dump text: views and clicks on the desktop or mobile site, purchases with a bad count,
+        signups on another site, errors cut short."""
         code = F.substring_index("project", ".", 1)
         site = F.when(F.col("event_id") % 2 == 0, code).otherwise(F.concat(code, F.lit(".m")))
         line = (

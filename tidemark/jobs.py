@@ -1,6 +1,8 @@
 """One job of one day from the command line, for spark-submit and any orchestrator.
 
-    spark-submit -m tidemark.jobs combine --lake s3a://lake --start 2026-10-07T00:00:00+00:00
+    spark-submit --py-files tidemark.zip tidemark/jobs.py combine --lake s3a://lake --start 2026-10-07
+
+or ``python -m tidemark.jobs`` where the package is installed.
 
 The run's day is the UTC day its data interval starts on. Order and retries belong to the
 orchestrator; every job can be run again.

@@ -79,6 +79,7 @@ def combine_day(spark: SparkSession, lake: Lake, day: date, params: Params = DEF
     The trending frame is computed once and kept; gate and tables all read it.
     """
     today = day_text(day)
+    lake.require(spark, [("formatted", table, today) for table in ("Edits", "PageviewsHourly", "Pageviews")])
     edits = lake.days(spark, "formatted", "Edits", [today], schemas.EDITS).drop("day")
     hourly = lake.days(spark, "formatted", "PageviewsHourly", [today], schemas.HOURLY_VIEWS).drop("day")
     top = lake.days(spark, "formatted", "Pageviews", [today], schemas.DAILY_TOP).drop("day")
@@ -110,6 +111,7 @@ def leadlag_day(spark: SparkSession, lake: Lake, run: date, params: Params = DEF
     """Hourly lead-lag of the day before the run, whose readers the run's day completes."""
     event = event_day(run)
     days = [day_text(event), day_text(run)]
+    lake.require(spark, [("formatted", table, d) for table in ("Edits", "PageviewsHourly") for d in days])
     edits = lake.days(spark, "formatted", "Edits", days, schemas.EDITS).drop("day")
     hourly = lake.days(spark, "formatted", "PageviewsHourly", days, schemas.HOURLY_VIEWS).drop("day")
     editing = leadlag.edit_series(leadlag.hourly_edits(edits, event, params), params).persist(

@@ -39,10 +39,14 @@ class Lake:
         self, spark: SparkSession, layer: str, table: str, days: list[str], schema: T.StructType
     ) -> DataFrame:
         """Required days of a table; names every missing one."""
-        missing = [self.path(layer, table, d) for d in days if not self.has_day(spark, layer, table, d)]
+        self.require(spark, [(layer, table, d) for d in days])
+        return self.scan(spark, layer, table, schema).filter(F.col("day").isin(*days))
+
+    def require(self, spark: SparkSession, needed: list[tuple[str, str, str]]) -> None:
+        """Fail unless every (layer, table, day) is there; all missing ones are named at once."""
+        missing = [self.path(*day) for day in needed if not self.has_day(spark, *day)]
         if missing:
             raise MissingInput(f"missing inputs: {missing}")
-        return self.scan(spark, layer, table, schema).filter(F.col("day").isin(*days))
 
     def optional_day(
         self, spark: SparkSession, layer: str, table: str, day: str, schema: T.StructType
