@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
+from tidemark.checks.oracle import ORACLE
+from tidemark.checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables absent")
@@ -19,10 +21,10 @@ def con():
     return compare.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     problem, _, _ = compare.compare(
-        spark, con, name, entry_points.queries()[name], entry_points.oracle_sql()[name], FOLDER
+        spark, con, name, QUERIES[name], ORACLE[name], FOLDER
     )
     assert problem is None, problem
 
@@ -45,3 +47,7 @@ def test_day_filters_reach_the_scan(spark):
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() > 0 and "trending_score" in df.columns
+
+
+def test_core_queries_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
