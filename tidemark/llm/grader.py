@@ -71,7 +71,7 @@ class Model:
     thresholds: tuple[float, ...]
 
 
-def fit_rows(rows: list[tuple[int, list[int]]], least: int = 10, strength: float = 25.0, most: int = 1024) -> Model | None:
+def fit_rows(rows: list[tuple[int, list[int]]], least: int = 6, strength: float = 18.0, most: int = 1024) -> Model | None:
     """Weights of the (grade, features) rows; null without two grades."""
     grades = np.array([g for g, _ in rows], np.int64)
     if len(np.unique(grades)) < 2:
@@ -131,7 +131,7 @@ def grade_of(toxic: str = "toxic", quality: str = "quality") -> Column:
     return F.when(F.col(toxic) == 1, 0).when(F.col(quality) == 0, 1).when(F.col(quality) == 1, 2)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, id_column: str = "doc_id", text_column: str = "text") -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_column: str = "doc_id", text_column: str = "text") -> Model | None:
     small_batches(docs.sparkSession)
     graded = labels.select(F.col(id_column).alias("id"), grade_of().alias("grade")).dropna()
     # at most ``sample`` ids, so small enough to send everywhere

@@ -30,7 +30,7 @@ SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
 STATISTICS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_upper bigint, n_lines bigint"
 # Least standard deviation of each feature: what differs by less is no sign of anything.
-FLOORS = {"word_length": 0.25, "symbols": 0.03, "dup_lines": 0.08, "repeats": 0.08, "upper": 0.06}
+FLOORS = {"word_length": 0.25, "symbols": 0.03, "dup_lines": 0.12, "repeats": 0.12, "upper": 0.06}
 FEATURES = tuple(FLOORS)
 PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
 SMALL_TABLE = 20_000
@@ -89,7 +89,7 @@ def features() -> list[Column]:
     return [
         ((chars + 300) / (words + 50)).alias("word_length"),
         F.sqrt(F.col("n_symbols") / (chars + 100)).alias("symbols"),
-        F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 4)).alias("dup_lines"),
+        F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 8)).alias("dup_lines"),
         F.sqrt(F.col("n_repeat_words") / (words + 40)).alias("repeats"),
         F.sqrt(F.col("n_upper") / (chars + 100)).alias("upper"),
     ]

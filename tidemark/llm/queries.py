@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, grader, outliers, packing
+from tidemark.llm import bpe, grader, near_duplicates, outliers, packing
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,9 @@ def op2_grader(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = grader.fit(docs, table(spark, folder, "labels"))
     return grader.graded(docs, model).select("doc_id", "expected_grade", "tail_probability", "kept")
+
+
+@query
+def op7_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near-duplicates among all documents."""
+    return near_duplicates.clusters(table(spark, folder, "documents"))
