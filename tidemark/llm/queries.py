@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, grader, near_duplicates, outliers, packing
+from tidemark.llm import bpe, grader, near_duplicates, outliers, packing, personal_data
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,18 @@ def op2_grader(spark: SparkSession, folder: str) -> DataFrame:
 def op7_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of near-duplicates among all documents."""
     return near_duplicates.clusters(table(spark, folder, "documents"))
+
+
+@query
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = personal_data.with_spans(docs, personal_data.fit(docs))
+    counts = [
+        F.size(F.array_remove(F.transform("base", lambda x: x["kind"] != kind), True)).cast("bigint").alias(f"n_{kind}")
+        for kind in personal_data.FORMATS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(personal_data.listed("base"), 256).alias("base_sha256"),
+        personal_data.listed("spans").alias("spans"),
+    )
