@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, grader, near_duplicates, outliers, packing, personal_data
-from tidemark.llm.common import table
+from tidemark.llm import bpe, fingerprints, grader, licenses, near_duplicates, outliers, packing, personal_data
+from tidemark.llm.common import landed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,3 +86,28 @@ def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *counts, F.sha2(personal_data.listed("base"), 256).alias("base_sha256"),
         personal_data.listed("spans").alias("spans"),
     )
+
+
+@query
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = licenses.scanned(docs, licenses.rarity(docs))
+    labels = list(licenses.PHRASES)
+    places = F.concat(*[F.col(f"base.{label}") for label in labels])
+    return found.withColumn("places", places).select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+        F.array_min("places").cast("bigint").alias("first_word"), F.array_max("places").cast("bigint").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+@query
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    prints = landed(fingerprints.compared(table(spark, folder, "documents")), "fingerprints")
+    text = lambda c: F.lpad(F.hex(c), 16, "0")
+    return fingerprints.neighbours(prints).select(
+        "doc_id", "n_chars", "edited_sha256", text("fingerprint").alias("fingerprint"),
+        text("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next", "n_near",
+    )
