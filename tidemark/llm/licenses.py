@@ -44,10 +44,10 @@ TEMPLATES = {
         ("redistribution and use in source and binary forms", "bsd license"),
     ),
     "cc-by-nc": (
-        "licensed under a creative commons attribution noncommercial license cc by nc 4 0",
+        "licensed under cc by nc 4 0",
         ("cc by nc", "commons attribution noncommercial", "commons attribution non commercial"),
     ),
-    "cc-by-sa": ("licensed under a creative commons attribution sharealike license cc by sa 4 0", ("cc by sa", "attribution sharealike")),
+    "cc-by-sa": ("licensed under cc by sa 4 0", ("cc by sa", "attribution sharealike")),
     "cc0": ("creative commons zero public domain dedication cc0 1 0", ("cc0", "public domain dedication")),
     "gpl-3.0": ("this work is licensed under the gnu general public license version 3", ("general public license version 3",)),
     "isc": ("permission to use copy modify and or distribute this software for any purpose with or without fee", ("isc license", "with or without fee")),

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, grader, licenses, near_duplicates, outliers, packing, personal_data
+from tidemark.llm import (
+    bpe, fingerprints, grader, licenses, near_duplicates, outliers, packing, personal_data, suffix_tree,
+)
 from tidemark.llm.common import landed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +113,9 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", text("fingerprint").alias("fingerprint"),
         text("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next", "n_near",
     )
+
+
+@query
+def op9_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probability of every document, by unigrams and by the suffix tree."""
+    return suffix_tree.scored(table(spark, folder, "documents").select("doc_id", "text"))
