@@ -171,3 +171,8 @@ def graded(docs: DataFrame, model: Model | None, least: float = 0.5, text_column
 
     scored = docs.drop("expected_grade", "tail_probability", "kept", "_g").withColumn("_g", F.arrow_udf(run, schema)(whole_text(text_column)))
     return scored.select("*", "_g.*", (F.col("_g.tail_probability") >= least).alias("kept")).drop("_g")
+
+
+def accepted(docs: DataFrame, model: Model | None, **params) -> DataFrame:
+    """The same columns of the rows that are kept."""
+    return graded(docs.select(F.struct("*").alias("row"), "text"), model, **params).filter("kept").select("row.*")

@@ -208,3 +208,9 @@ def judged(
     return far.select(
         "*", base_failed().alias("base_failed"), (~base_failed() & (F.col("distance") <= limit)).alias("kept")
     ).drop("key", "centre", "precision", *FEATURES)
+
+
+def accepted(docs: DataFrame, **params) -> DataFrame:
+    """The same columns of the rows that are kept."""
+    row = docs.select(F.struct("*").alias("row"), "text", "lang", "source")
+    return judged(row, **params).filter("kept").select("row.*")

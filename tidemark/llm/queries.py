@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, fingerprints, grader, licenses, near_duplicates, outliers, packing, personal_data, suffix_tree,
+    bpe, fingerprints, grader, licenses, near_duplicates, outliers, packing, personal_data, site_tree, suffix_tree,
 )
 from tidemark.llm.common import landed, table
 
@@ -119,3 +119,11 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op9_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Log probability of every document, by unigrams and by the suffix tree."""
     return suffix_tree.scored(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_site_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = site_tree.extracted(pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
