@@ -7,13 +7,15 @@ much they differ, most precisely where they differ little. Candidates whose sket
 too far apart are dropped; the others are compared on their full sets.
 
 Equal sets are one class from the start, and only its representative goes on. Within a
-band's bucket the smallest and the largest member are compared with all others; once links
-have joined most of a bucket into one component, only pairs of *different* components are
-left to compare, and all of them are. A group of copies so costs in proportion to its size,
-and no candidate pair that could join two components is left out.
+band's bucket the smallest and the largest member are compared with all others, then the
+one with the most links; once links have joined most of a bucket into one component, only
+pairs of *different* components are left to compare, and all of them are, by sketch and
+size within the bucket and by their sets where these allow it. A group of copies so costs
+in proportion to its size, and no candidate pair that could join two components is left out.
 
 With 32 bands of 4 samples a pair at the threshold of 0.75 meets in some band but for 5 in
-a million; sketches are dropped below an estimate of 0.5, five standard errors away.
+a million; sketches are dropped below an estimate of 0.55, more than four and a half standard
+errors away.
 
 Cases: a text without words has an empty set and is linked with nothing; fewer words than
 a shingle make one shingle of all; rows with the same id are one document, the first of
@@ -39,7 +41,7 @@ BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 1024
 PERCENT = 75
-LEAST_ESTIMATE = 0.5
+LEAST_ESTIMATE = 0.55
 
 _random = np.random.default_rng(7)
 _FACTORS = (_random.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1))
@@ -135,14 +137,24 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar enough: by their sketches first, then by their sets."""
-    left = reps.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"))
-    right = reps.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"))
-    near = pairs.join(left, "a").join(right, "b").filter(estimate(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_ESTIMATE)
+    left = reps.select(F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("sketch_a"))
+    right = reps.select(F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("sketch_b"))
+    near = pairs.join(left, "a").join(right, "b").filter(
+        (100 * F.least("size_a", "size_b") >= PERCENT * F.greatest("size_a", "size_b"))
+        & (estimate(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_ESTIMATE)
+    )
     near = near.select("a", "b")
     full = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     return landed(full.select("a", "b", "set_a", "set_b").mapInArrow(_confirmed, "a bigint, b bigint"), "links")
 
 
+def _undecided(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, rep, label of the buckets whose members are in different components."""
+    placed = shared.select("rep", "key").join(labels.toDF("rep", "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    ends = placed.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first < last")
+    return join_under_skew(placed, ends, ["key"]).filter("first is not null").select("key", "rep", "label")
+
+
 def components(links: DataFrame) -> DataFrame:
     """id, label (the smallest id reachable) of every id in a link.
 
@@ -178,7 +190,7 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     classes = landed(named.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     reps = landed(
         named.withColumnRenamed("id", "rep").join(classes, ["digest", "rep"], "left_semi").dropDuplicates(["rep", "digest"])
-        .select("rep", "sketch", "bands"), "representatives",
+        .select("rep", F.col("n_shingles").alias("size"), "sketch", "bands"), "representatives",
     )
     # buckets of at least two
     members = reps.select("rep", F.explode("bands").alias("key"))
@@ -193,15 +205,25 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     ).filter("a < b").distinct()
     links = _links(star, reps, sets)
     labels = components(links)
-    placed = shared.select("rep", "key", "low", "high").join(labels.toDF("rep", "label"), "rep", "left").withColumn(
-        "label", F.coalesce("label", "rep")
+    # then, in what is still mixed, the member with the most links with all of it
+    ends_of = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
+    mixed = _undecided(shared, labels).join(ends_of, "rep", "left")
+    most = mixed.groupBy("key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)), -F.col("rep"), "label")).alias("most"))
+    hub = join_under_skew(mixed, most.select("key", (-F.col("most")[1]).alias("hub"), F.col("most.label").alias("of")), ["key"])
+    hubs = hub.filter("label != of").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    links = landed(links.unionByName(_links(hubs, reps, sets)), "links")
+    labels = components(links)
+    # then all pairs of different components that their sketches and sizes allow
+    open_rows = landed(_undecided(shared, labels).join(reps.select("rep", "size", "sketch").dropDuplicates(["rep"]), "rep"), "open")
+    left = open_rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("rep", "label", "size", "sketch")])
+    right = open_rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "label", "size", "sketch")])
+    possible = (
+        (F.col("rep_a") < F.col("rep_b")) & (F.col("label_a") != F.col("label_b"))
+        & (100 * F.least("size_a", "size_b") >= PERCENT * F.greatest("size_a", "size_b"))
+        & (estimate(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_ESTIMATE)
     )
-    mixed = placed.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first < last")
-    open_rows = landed(join_under_skew(placed, mixed, ["key"]).filter("first is not null"), "open").drop("first", "last")
-    left = open_rows.select("key", F.col("rep").alias("a"), F.col("label").alias("label_a"), "low", "high")
-    right = open_rows.select("key", F.col("rep").alias("b"), F.col("label").alias("label_b"))
-    apart = left.join(right, "key").filter("a < b and label_a != label_b and a != low and b != high").select("a", "b").distinct()
-    more = _links(apart, reps, sets)
+    apart = left.join(right, (left["key"] == right["key"]) & possible).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    more = _links(apart.distinct(), reps, sets)
     if more.limit(1).count():
         labels = components(links.unionByName(more))
     found = classes.join(labels.toDF("rep", "label"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component"))
