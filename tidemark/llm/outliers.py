@@ -176,15 +176,12 @@ def fit(docs: DataFrame, lang: str, source: str, core: float, steps: int, least:
         near = looked_up(far.select("key", *FEATURES, "d2"), radius, "key").filter("d2 <= radius")
         found = _estimate(near, inflate)
     # a small group takes the estimate of its language, or of all
-    counts = medians.select("key", F.col("n").alias("rows"))
-    known = found.join(counts.filter(F.col("rows") >= least), "key", "left_semi")
-    named = rows.select("group", "of").distinct().withColumn("whole", whole)
-    all_rows = found.filter("key = 'all'")
-    for column, frame in (("group", known), ("of", known), ("whole", all_rows)):
-        estimate = F.struct("centre", "precision").alias(f"by_{column}")
-        named = named.join(frame.select(F.col("key").alias(column), estimate), column, "left")
-    best = F.coalesce("by_group", "by_of", "by_whole")
-    return landed(named.select(F.col("group").alias("key"), best["centre"].alias("centre"), best["precision"].alias("precision")), "outliers")
+    counts = medians.filter((F.col("n") >= least) | (F.col("key") == "all")).select("key")
+    known = found.join(counts, "key", "left_semi").select("key", F.struct("centre", "precision").alias("estimate"))
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), c.alias("key")) for i, c in enumerate((F.col("group"), F.col("of"), whole))])
+    named = rows.select("group", "of").distinct().select("group", F.inline(levels)).join(known, "key")
+    best = named.groupBy("group").agg(F.min_by("estimate", "level").alias("best"))
+    return landed(best.select(F.col("group").alias("key"), "best.*"), "outliers")
 
 
 def _chi_cdf(p: float, x: float) -> float:
