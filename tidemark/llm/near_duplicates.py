@@ -208,8 +208,8 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     # then, in what is still mixed, the member with the most links with all of it
     ends_of = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
     mixed = _undecided(shared, labels).join(ends_of, "rep", "left")
-    most = mixed.groupBy("key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)), -F.col("rep"), "label")).alias("most"))
-    hub = join_under_skew(mixed, most.select("key", (-F.col("most")[1]).alias("hub"), F.col("most.label").alias("of")), ["key"])
+    most = mixed.groupBy("key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("rep")).alias("low"), "label")).alias("most"))
+    hub = join_under_skew(mixed, most.select("key", (-F.col("most.low")).alias("hub"), F.col("most.label").alias("of")), ["key"])
     hubs = hub.filter("label != of").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     links = landed(links.unionByName(_links(hubs, reps, sets)), "links")
     labels = components(links)
