@@ -221,3 +221,21 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
         return pa.array([coder.decode(ids or ()) for ids in lists.to_pylist()], pa.binary())
 
     return F.arrow_udf(bytes_of, "binary")(ids)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, text_column: str = "text") -> DataFrame:
+    """All columns, ``ids`` and ``decoded``, the bytes they stand for; each text goes to Python once."""
+    small_batches(docs.sparkSession)
+
+    def both(texts: pa.Array) -> pa.Array:
+        coder = codec(path, pattern)
+        packed = [coder.encode(text) for text in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, packed)], dtype=np.int64) // np.dtype(coder.dtype).itemsize
+        flat = np.frombuffer(b"".join(packed), coder.dtype).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        back = [coder.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]
+        return pa.StructArray.from_arrays([ids, pa.array(back, pa.binary())], names=["ids", "decoded"])
+
+    schema = "struct<ids:array<int>,decoded:binary>"
+    rows = docs.drop("ids", "decoded").select(F.struct("*").alias("row"), F.arrow_udf(both, schema)(whole_text(text_column)).alias("both"))
+    return rows.select("row.*", "both.*")

@@ -28,9 +28,7 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document, and the bytes they decode to, as digests."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, path, pattern).select("doc_id", "ids")
-    whole = coded.withColumn("decoded", bpe.decoded(F.col("ids"), path, pattern))
-    return whole.select(
+    return bpe.round_trip(docs, path, pattern).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
