@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import Recent, landed, small_batches, whole_text
 
 REMEMBERED = 500_000
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # all but the apostrophe, which starts endings like 's
 
 
 class WordIds:
@@ -43,17 +44,23 @@ class WordIds:
         self.words: dict[bytes, bytes] = Recent(REMEMBERED)
 
     def of(self, texts: list[str], closing: int) -> list[bytes]:
-        """The vocabulary drops white space and no token crosses it, so words can be encoded one by one."""
+        """The vocabulary drops white space and no token crosses it, nor the place where signs follow a
+        letter or digit, so words and the signs after them can be encoded one by one."""
         end = np.uint32(closing).tobytes()
         split = [text.encode().lower().split() for text in texts]
-        missing = list(set().union(*split) - self.words.keys())
-        new = {}
-        for at in range(0, len(missing), 20_000):
-            part = missing[at:at + 20_000]
-            for word, coded in zip(part, self.tokenizer.encode_batch_fast(
-                [w.decode() for w in part], add_special_tokens=False
-            )):
-                new[word] = np.array(coded.ids, np.uint32).tobytes()
+        missing = set().union(*split) - self.words.keys()
+        bare = {word: word.rstrip(SIGNS) for word in missing}
+        parts = {core for core in bare.values() if core} | {word[len(core):] for word, core in bare.items() if len(core) < len(word)}
+        new: dict[bytes, bytes] = {}
+        wanted = list(parts - self.words.keys())
+        for at in range(0, len(wanted), 20_000):
+            part = wanted[at:at + 20_000]
+            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            new.update((word, np.array(c.ids, np.uint32).tobytes()) for word, c in zip(part, coded))
+        known = lambda word: new[word] if word in new else self.words[word]
+        for word, core in bare.items():
+            if word not in new:
+                new[word] = (known(core) if core else b"") + known(word[len(core):])
         if len(self.words) + len(new) > self.words.size:
             keep = {w: ids for s in split for w in s if (ids := self.words.get(w)) is not None}
             self.words.clear()
