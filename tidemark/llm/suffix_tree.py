@@ -40,6 +40,7 @@ from tidemark.llm.common import landed, small_batches, whole_text
 FREQUENT = 150_000
 ALPHABET = 8_000
 PAIRED = 300
+SUMMED = 6_000_000
 WIDTH = ALPHABET + 1  # symbol ALPHABET stands for all further tokens
 
 
@@ -175,16 +176,25 @@ def grow(
     session = training.sparkSession
     sent = session.sparkContext.broadcast(words)
 
+    def summed(parts: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of a task's texts, summed over millions of places at a time."""
+        parts: list[np.ndarray] = []
         for batch in batches:
             own, ranks, starts = _symbols(batch.column("text").to_pylist(), sent.value)
             if not own:
                 continue
             symbols = sent.value.symbols(ranks)
             one, pair = contexts(symbols, starts)
-            both = np.concatenate([one * WIDTH + symbols, (pair * WIDTH + symbols)[pair >= 0]])
-            keys, n = np.unique(both, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
+            parts += [one * WIDTH + symbols, (pair * WIDTH + symbols)[pair >= 0]]
+            if sum(map(len, parts)) > SUMMED:
+                yield summed(parts)
+                parts = []
+        if parts:
+            yield summed(parts)
 
     seen = training.select("text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
     pairs = landed(seen.select(F.expr(f"key div {WIDTH}").alias("context"), (F.col("key") % WIDTH).alias("next"), "n"), "contexts")
