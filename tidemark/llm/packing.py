@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import Recent, landed, small_batches, whole_text
 
-REMEMBERED = 500_000
+REMEMBERED = 1_200_000
 SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # all but the apostrophe, which starts endings like 's
 
 
@@ -49,7 +49,7 @@ class WordIds:
         end = np.uint32(closing).tobytes()
         split = [text.encode().lower().split() for text in texts]
         missing = set().union(*split) - self.words.keys()
-        bare = {word: word.rstrip(SIGNS) for word in missing}
+        bare = {word: _bare(word) for word in missing}
         parts = {core for core in bare.values() if core} | {word[len(core):] for word, core in bare.items() if len(core) < len(word)}
         new: dict[bytes, bytes] = {}
         wanted = list(parts - self.words.keys())
@@ -69,6 +69,14 @@ class WordIds:
         return [b"".join(map(self.words.__getitem__, words)) + end for words in split]
 
 
+def _bare(word: bytes) -> bytes:
+    """The word without the signs after it; itself where what stands before them is no letter or digit."""
+    core = word.rstrip(SIGNS)
+    if len(core) < len(word) and core and not (core[-1:].isalnum() or core[-4:].decode(errors="ignore")[-1:].isalpha()):
+        return word
+    return core
+
+
 @lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
