@@ -3,7 +3,8 @@
 A text's tokens are its words and an end; the ``ALPHABET`` most frequent tokens are symbols
 of their own, all others share one. Contexts are the one or two symbols before, and one of
 them becomes a state of the tree if its next-symbol distribution departs from that of the
-shorter context: its count times the divergence must reach ``gain``. A state keeps the next
+shorter context: its count times the divergence, over next symbols seen at least ``seldom``
+times after it, must reach ``gain``. A state keeps the next
 symbols that differ from the shorter state; the others share what is left in the
 proportions of the shorter state, so every distribution sums to one. A token is scored from
 the longest state that is a suffix of what came before. Within the shared symbol a token
@@ -40,7 +41,7 @@ from tidemark.llm.common import landed, small_batches, whole_text
 FREQUENT = 150_000
 ALPHABET = 8_000
 PAIRED = 300
-SUMMED = 6_000_000
+SUMMED = 12_000_000
 WIDTH = ALPHABET + 1  # symbol ALPHABET stands for all further tokens
 
 
@@ -170,12 +171,14 @@ def planted(rows: list[tuple[int, int, int, int]], root: np.ndarray, weight: flo
 
 
 def grow(
-    training: DataFrame, words: Words, least: int = 20, gain: float = 20.0, part: float = 3.0, entries: int = 400_000,
+    training: DataFrame, words: Words, least: int = 20, seldom: int = 3, gain: float = 20.0, part: float = 3.0, entries: int = 400_000,
     weight: float = 4.0,
 ) -> Tree:
     session = training.sparkSession
     sent = session.sparkContext.broadcast(words)
 
+    step = WIDTH + 1  # a further "next symbol" counts the context itself
+
     def summed(parts: list[np.ndarray]) -> pa.RecordBatch:
         keys, n = np.unique(np.concatenate(parts), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
@@ -189,7 +192,8 @@ def grow(
                 continue
             symbols = sent.value.symbols(ranks)
             one, pair = contexts(symbols, starts)
-            parts += [one * WIDTH + symbols, (pair * WIDTH + symbols)[pair >= 0]]
+            known = pair >= 0
+            parts += [one * step + symbols, (pair * step + symbols)[known], one * step + WIDTH, (pair * step + WIDTH)[known]]
             if sum(map(len, parts)) > SUMMED:
                 yield summed(parts)
                 parts = []
@@ -197,12 +201,13 @@ def grow(
             yield summed(parts)
 
     seen = training.select("text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    pairs = landed(seen.select(F.expr(f"key div {WIDTH}").alias("context"), (F.col("key") % WIDTH).alias("next"), "n"), "contexts")
-    totals = pairs.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") >= least)
+    rows = seen.select(F.expr(f"key div {step}").alias("context"), (F.col("key") % step).alias("next"), "n")
+    pairs = landed(rows.filter((F.col("n") >= seldom) | (F.col("next") == WIDTH)), "contexts")
+    totals = pairs.filter((F.col("next") == WIDTH) & (F.col("n") >= least)).select("context", F.col("n").alias("total"))
     # the shorter context's distribution: of the last symbol alone, or of none
     root = words.root()
     root_table = session.createDataFrame([(i, float(10.0**x)) for i, x in enumerate(root)], "next bigint, p0 double")
-    counted = pairs.join(totals, "context").join(F.broadcast(root_table), "next")
+    counted = pairs.join(totals, "context").join(F.broadcast(root_table), "next")  # a row per symbol
     shorter = counted.filter(F.col("context") < ALPHABET + 2).select(
         F.col("context").alias("last"), "next", ((F.col("n") + weight * F.col("p0")) / (F.col("total") + weight)).alias("p1")
     )
