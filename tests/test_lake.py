@@ -5,7 +5,7 @@ from conftest import at, rows
 
 from tidemark import schemas
 from tidemark.functions import columns
-from tidemark.operators.joins import thinned
+from tidemark.operators.joins import followed
 from tidemark.session import checkpointed, shared_folder
 from tidemark.sources.lake import Lake, MissingInput
 
@@ -89,12 +89,10 @@ def test_day_bounds_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_thinning_only_within_the_limit(spark):
+def test_only_followed_articles_stay(spark):
     big = spark.createDataFrame([("p", f"T{i}", i) for i in range(100)], "project STRING, title STRING, n INT")
     few = spark.createDataFrame([("p", "T1"), ("p", "T2"), ("p", "T2")], "project STRING, title STRING")
-    assert rows(thinned(big, few, 2), "n") == [(1,), (2,)]
-    assert thinned(big, few, 1) is big
-
+    assert rows(followed(big, few), "n") == [(1,), (2,)]
 
 def test_lineage_is_cut_on_shared_storage(spark):
     df = checkpointed(spark.range(10).selectExpr("id * 2 AS x"))

@@ -2,10 +2,11 @@
 
 import gzip
 import json
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from conftest import at, rows
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators.quality import DataQualityError
@@ -197,20 +198,24 @@ def test_hourly_tsv_job(spark, tmp_path):
     assert rows(lake.days(spark, "formatted", "PageviewsHourly", ["20261007"], schemas.HOURLY_VIEWS), "title", "views") == [("Tour Eiffel", 3)]
 
 
-def test_kept_counts_equal_counting_again(spark, lake, tmp_path):
-    from tidemark.operators import emergence
+def test_history_counts_edits_on_observed_days_where_they_are_dated(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    first = D - timedelta(days=3)
 
-    kept, days = daily.past_counts(spark, lake, D)
-    past = emergence.past_edits(lake.scan(spark, "formatted", "Edits", schemas.EDITS), D)
-    columns = ["project", "title", "day", "edit_count", "unique_editors"]
-    assert days == 6 and "EditCounts" in kept.inputFiles()[0]
-    assert rows(kept, *columns) == rows(emergence.daily_history(past), *columns)
+    def edit(at, title, user="u"):
+        return {"timestamp_utc": at, "project": "fr.wikipedia.org", "title": title, "user": user}
 
-    bare = Lake(str(tmp_path))
-    bare.write_days(lake.scan(spark, "formatted", "Edits", schemas.EDITS), "formatted", "Edits")
-    again, days = daily.past_counts(spark, bare, D)
-    assert days == 6 and rows(again, *columns) == rows(kept, *columns)
+    def stamp(days, hour=12):
+        day = first + timedelta(days=days)
+        return datetime(day.year, day.month, day.day, hour, tzinfo=timezone.utc)
 
-    bare.write_days(kept.filter("day <= '20261004'"), "formatted", "EditCounts")
-    partly, days = daily.past_counts(spark, bare, D)
-    assert days == 6 and rows(partly, *columns) == rows(kept, *columns)
+    # the first and the third day are observed; each folder holds one edit of the day after
+    for day, title in ((0, "A"), (2, "B")):
+        found = [edit(stamp(day), title), edit(stamp(day, 13), title, "v"), edit(stamp(day + 1, 0), f"late {title}")]
+        df = spark.createDataFrame(found, "timestamp_utc timestamp, project string, title string, user string")
+        lacking = [f for f in schemas.EDITS.fields if f.name not in df.columns]
+        df = df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lacking])
+        lake.write_day(df, "formatted", "Edits", f"{first + timedelta(days=day):%Y%m%d}")
+    counts, days = daily.past_counts(spark, lake, D)
+    assert days == 2
+    assert rows(counts, "title", "edit_count", "unique_editors") == [("A", 2, 2), ("B", 2, 2)]

@@ -8,16 +8,9 @@ from pyspark.sql import functions as F
 ARTICLE = ["project", "title"]
 
 
-def thinned(rows: DataFrame, articles: DataFrame, limit: int) -> DataFrame:
-    """Keep only rows of the given articles, before any shuffle, when the article list is short.
-
-    The list is counted first and broadcast only within ``limit``. A longer list leaves
-    the rows as they are: this is a saving, and callers join exactly later on.
-    """
-    keys = articles.select(*ARTICLE).distinct()
-    if keys.limit(limit + 1).count() > limit:
-        return rows
-    return rows.join(F.broadcast(keys), ARTICLE, "left_semi")
+def followed(rows: DataFrame, articles: DataFrame) -> DataFrame:
+    """Only the rows of the given articles; Spark picks the join by the sizes it sees."""
+    return rows.join(articles.select(*ARTICLE).distinct(), ARTICLE, "left_semi")
 
 
 def join_under_skew(rows: DataFrame, looked_up: DataFrame, on: list[str]) -> DataFrame:

@@ -11,14 +11,11 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.columns import day_text, event_day
 from tidemark.operators import aggregates, emergence, languages, leadlag, quality
-from tidemark.operators.joins import thinned
+from tidemark.operators.joins import followed
 from tidemark.params import DEFAULTS, Params
 from tidemark.sources import documents
 from tidemark.sources.lake import Lake
 
-# A thousand executors hold this many short keys without noticing.
-FOLLOWED_LIMIT = 100_000
-
 
 def joined_articles(
     edits: DataFrame, ids: DataFrame, hourly: DataFrame, top: DataFrame, params: Params = DEFAULTS
@@ -54,19 +51,14 @@ def trending_articles(
 def past_counts(spark: SparkSession, lake: Lake, day: date, params: Params = DEFAULTS) -> tuple[DataFrame, int]:
     """Daily counts of the history window and the number of observed days.
 
-    The counts of each day are kept next to its edits, so a run reads 28 small tables
-    instead of counting 28 days of edits again. Where a day lacks them (or was formatted
-    by an older run) everything is counted from the edits, with the same result.
+    A day is observed if its folder has data, and edits count on the day they are dated, whichever
+    folder of the window they lie in. Edits dated on a day nobody observed are left out, so an
+    article never has more counts than there are days.
     """
     first, last = (day_text(d) for d in emergence.history_window(day, params))
     observed = lake.observed_days(spark, "formatted", "Edits", schemas.EDITS, first, last)
-    counts = lake.scan_if_present(spark, "formatted", "EditCounts", schemas.EDIT_COUNTS)
-    if counts is not None:
-        kept = counts.filter(F.col("day").isin(*observed)) if observed else counts.limit(0)
-        if sorted(r["day"] for r in kept.select("day").distinct().collect()) == observed:
-            return kept, len(observed)
     past = emergence.past_edits(lake.scan(spark, "formatted", "Edits", schemas.EDITS), day, params)
-    return emergence.daily_history(past), len(observed)
+    return emergence.daily_history(past.filter(F.col("day").isin(*observed))), len(observed)
 
 
 def by_score(trending: DataFrame) -> DataFrame:
@@ -87,7 +79,7 @@ def combine_day(spark: SparkSession, lake: Lake, day: date, params: Params = DEF
     history, days = past_counts(spark, lake, day, params)
 
     trending = trending_articles(
-        edits, thinned(history, edits, FOLLOWED_LIMIT), days, ids, hourly, top, params
+        edits, followed(history, edits), days, ids, hourly, top, params
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         quality.enforce(quality.trending_rules(trending, params), "TrendingArticles")
@@ -118,8 +110,7 @@ def leadlag_day(spark: SparkSession, lake: Lake, run: date, params: Params = DEF
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        followed = thinned(hourly, editing, FOLLOWED_LIMIT)
-        reading = leadlag.view_series(leadlag.hourly_views(followed, event, params))
+        reading = leadlag.view_series(leadlag.hourly_views(followed(hourly, editing), event, params))
         factors = leadlag.diurnal_factors(hourly, event, params)
         series = leadlag.paired_series(editing, reading, factors, params)
         result = leadlag.lead_lag_metrics(series, event, params)

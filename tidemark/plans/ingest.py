@@ -9,10 +9,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.columns import between_days, day_text, readable_title
+from tidemark.functions.columns import day_text, readable_title
 from tidemark.operators import quality
-from tidemark.operators.emergence import daily_history
-from tidemark.operators.entities import distinct_ids, request_batches
+from tidemark.operators.entities import request_batches
 from tidemark.params import DEFAULTS, Params
 from tidemark.sources import edits, entities, views
 from tidemark.sources.lake import Lake, MissingInput
@@ -20,17 +19,11 @@ from tidemark.streaming.drain import require_day
 
 
 def format_edits(spark: SparkSession, lake: Lake, day: date, params: Params = DEFAULTS) -> str:
-    """Landed messages of a day to the clean edits table, with the day's counts beside it.
-
-    The counts are written first: a run that stops in between leaves no edits without
-    the counts that belong to them.
-    """
+    """Landed messages of a day to the clean edits table."""
     raw = edits.read_raw_edits(spark, require_day(spark, lake, day_text(day)))
     clean = edits.normalize_edits(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         quality.enforce(quality.edit_rules(clean, day, params), "Edits")
-        dated = clean.filter(between_days(F.col("timestamp_utc"), day, day)).withColumn("day", F.lit(day_text(day)))
-        lake.write_day(daily_history(dated), "formatted", "EditCounts", day_text(day))
         return lake.write_day(clean, "formatted", "Edits", day_text(day))
     finally:
         clean.unpersist()
@@ -84,11 +77,13 @@ def plan_entity_requests(spark: SparkSession, lake: Lake, day: date, params: Par
 def format_entities(
     spark: SparkSession, lake: Lake, responses: str, day: date, params: Params = DEFAULTS
 ) -> str:
-    """Landed lookup responses to the id of each title."""
+    """Landed lookup responses to the id of each title; a title asked for but not answered fails the day."""
     landed = entities.read_responses(spark, responses).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         entities.require_usable(landed)
-        ids = distinct_ids(entities.ids_from_responses(landed)).persist(StorageLevel.MEMORY_AND_DISK)
+        asked = lake.optional_day(spark, "raw", "WikidataRequests", day_text(day), schemas.ENTITY_REQUESTS)
+        entities.require_answered(asked, landed)
+        ids = entities.ids_from_responses(landed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             quality.enforce(quality.id_rules(ids, params), "Wikidata")
             return lake.write_day(ids, "formatted", "Wikidata", day_text(day))

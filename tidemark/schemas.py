@@ -36,6 +36,7 @@ EDITS = record(
 
 # Per article, in the folder of its day.
 EDIT_COUNTS = record(project=TEXT, title=TEXT, edit_count=COUNT, unique_editors=COUNT)
+ENTITY_REQUESTS = record(project=TEXT, titles=listed(TEXT))
 
 HOURLY_TSV = record(hour_utc=TEXT, project=TEXT, title=TEXT, views=COUNT)
 HOURLY_VIEWS = record(hour_utc=INSTANT, project=TEXT, title=TEXT, views=COUNT)

@@ -46,12 +46,28 @@ def response_problems(responses: DataFrame) -> DataFrame:
 
 
 def require_usable(responses: DataFrame) -> None:
-    """Fail when a response is in error; the summary shown has one row per project and kind."""
-    rows = response_problems(responses).orderBy(F.desc("responses")).limit(20).collect()
+    """Fail when a response is in error; the summary has one row per project and kind of problem, and names all."""
+    rows = response_problems(responses).orderBy(F.desc("responses"), "project", "problem").collect()
     if rows:
         raise FailedResponses("; ".join(f"{r['project']}: {r['problem']} x{r['responses']}" for r in rows))
 
 
+def unanswered_titles(requests: DataFrame, responses: DataFrame) -> DataFrame:
+    """project, title: what was asked for and is in no landed response."""
+    asked = requests.select("project", F.explode("titles").alias("title")).distinct()
+    return asked.join(requested_titles(responses), ["project", "title"], "left_anti")
+
+
+def require_answered(requests: DataFrame, responses: DataFrame) -> None:
+    """Fail when a requested title has no answer; names how many per project, and the first of them."""
+    lacking = unanswered_titles(requests, responses).groupBy("project").agg(
+        F.count("*").alias("titles"), F.min("title").alias("first")
+    )
+    rows = lacking.orderBy("project").collect()
+    if rows:
+        raise FailedResponses("; ".join(f"{r['project']}: {r['titles']} unanswered, first {r['first']}" for r in rows))
+
+
 def requested_titles(responses: DataFrame) -> DataFrame:
     return responses.select("project", F.explode("titles").alias("title")).distinct()
 
