@@ -45,6 +45,12 @@ def texts():
                 copy[pick.randrange(120)] = word()
             base = copy if group % 2 else base  # chains and stars
             docs.append(" ".join(copy))
+    base = [word() for _ in range(120)]
+    for most in [3] * 15 + [40] * 30:  # copies around one text, some too far from it to be linked, with words of their own
+        copy = list(base)
+        for _ in range(pick.randrange(most)):
+            copy[pick.randrange(120)] = f"own{pick.randrange(60)}"
+        docs += [" ".join(copy), " ".join([*copy[:110], "end", *copy[110:]])]
     docs += ["", None, "one two", "One  two", "one two", docs[0], docs[0].upper()]
     return list(enumerate(docs))
 

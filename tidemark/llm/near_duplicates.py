@@ -9,9 +9,11 @@ too far apart are dropped; the others are compared on their full sets.
 Equal sets are one class from the start, and only its representative goes on. Within a
 band's bucket the smallest and the largest member are compared with all others, then the
 one with the most links; once links have joined most of a bucket into one component, only
-pairs of *different* components are left to compare, and all of them are, by sketch and
-size within the bucket and by their sets where these allow it. A group of copies so costs
-in proportion to its size, and no candidate pair that could join two components is left out.
+pairs of *different* components are left to compare. Of these, a set goes whose shingles
+are too often its own to be 0.75 like any other; all other pairs are compared by shared
+shingles, size and sketch within the bucket, and by their sets where these allow it. A group
+of copies so costs in proportion to its size, and no candidate pair that could join two
+components is left out.
 
 With 32 bands of 4 samples a pair at the threshold of 0.75 meets in some band but for 5 in
 a million; sketches are dropped below an estimate of 0.55, more than four and a half standard
@@ -155,6 +157,36 @@ def _undecided(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return join_under_skew(placed, ends, ["key"]).filter("first is not null").select("key", "rep", "label")
 
 
+def _mixed_buckets(rows: DataFrame) -> DataFrame:
+    """The rows of the buckets whose members are in different components, with the least size in the bucket."""
+    ends = rows.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.min("size").alias("least_size"))
+    return join_under_skew(rows, ends.filter("first < last").drop("last"), ["key"]).filter("first is not null").drop("first")
+
+
+def _sharing(open_rows: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """The open rows that can still be similar enough to another: key, rep, label, size, common, sketch, bands.
+
+    ``common`` counts a set's shingles that another open set has too: no two sets share
+    more. Where that is too little even for the smallest set of the bucket, the row goes:
+    so do the members that differ from a group's centre each in its own way.
+    """
+    as_list = F.arrow_udf(lambda sets: pa.array([np.frombuffer(x, np.int64) for x in sets.to_pylist()], pa.list_(pa.int64())), "array<bigint>")
+    still = open_rows.select(F.col("rep").alias("id")).distinct()
+    held = sets.join(still, "id", "left_semi")
+    # an id that came with different texts has several sets; all its shingles count as common
+    single = held.groupBy("id").agg(F.count("*").alias("times")).filter("times = 1").select(F.col("id").alias("rep"))
+    one = held.select("id", F.explode(as_list("hashes")).alias("shingle")).groupBy("shingle").agg(
+        F.count("*").alias("holders"), F.min("id").alias("rep")
+    )
+    private = one.filter("holders = 1").groupBy("rep").agg(F.count("*").alias("private")).join(single, "rep", "left_semi")
+    known = reps.dropDuplicates(["rep"]).join(private, "rep", "left")
+    known = known.select("rep", "size", (F.col("size") - F.coalesce("private", F.lit(0))).alias("common"), "sketch", "bands")
+    rows = _mixed_buckets(open_rows.join(known, "rep"))
+    least_union = F.col("size") + F.greatest("least_size", "common") - F.col("common")
+    rows = rows.filter(100 * F.col("common") >= PERCENT * least_union).drop("least_size")
+    return _mixed_buckets(rows).drop("least_size")
+
+
 def components(links: DataFrame) -> DataFrame:
     """id, label (the smallest id reachable) of every id in a link.
 
@@ -213,14 +245,17 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     hubs = hub.filter("label != of").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     links = landed(links.unionByName(_links(hubs, reps, sets)), "links")
     labels = components(links)
-    # then all pairs of different components that their sketches and sizes allow
-    open_rows = landed(_undecided(shared, labels).join(reps.select("rep", "size", "sketch").dropDuplicates(["rep"]), "rep"), "open")
-    left = open_rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("rep", "label", "size", "sketch")])
-    right = open_rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "label", "size", "sketch")])
+    # then the pairs of different components that shared shingles, sizes and sketches allow, each in its first common band
+    open_rows = landed(_sharing(_undecided(shared, labels), reps, sets), "open")
+    columns = ("rep", "label", "size", "common", "sketch", "bands")
+    left = open_rows.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = open_rows.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
+    most_common = F.least("common_a", "common_b")
     possible = (
         (F.col("rep_a") < F.col("rep_b")) & (F.col("label_a") != F.col("label_b"))
-        & (100 * F.least("size_a", "size_b") >= PERCENT * F.greatest("size_a", "size_b"))
+        & (100 * most_common >= PERCENT * (F.col("size_a") + F.col("size_b") - most_common))
         & (estimate(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_ESTIMATE)
+        & (left["key"] == F.array_min(F.array_intersect("bands_a", "bands_b")))
     )
     apart = left.join(right, (left["key"] == right["key"]) & possible).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     more = _links(apart.distinct(), reps, sets)
