@@ -10,8 +10,9 @@ Equal sets are one class from the start, and only its representative goes on. Wi
 band's bucket the smallest and the largest member are compared with all others, then the
 one with the most links; once links have joined most of a bucket into one component, only
 pairs of *different* components are left to compare. Of these, a set goes whose shingles
-are too often its own to be 0.75 like any other; all other pairs are compared by shared
-shingles, size and sketch within the bucket, and by their sets where these allow it. A group
+are too often its own to be 0.75 like any other, and a pair without a common shingle among
+their rarest ones (as many as sets this similar cannot miss); all other pairs are compared
+by size and sketch within the bucket, and by their sets where these allow it. A group
 of copies so costs in proportion to its size, and no candidate pair that could join two
 components is left out.
 
@@ -163,28 +164,47 @@ def _mixed_buckets(rows: DataFrame) -> DataFrame:
     return join_under_skew(rows, ends.filter("first < last").drop("last"), ["key"]).filter("first is not null").drop("first")
 
 
+def _needed(size_a: Column, size_b: Column) -> Column:
+    """How many shingles two sets of these sizes must share."""
+    return F.floor((PERCENT * (size_a + size_b) + 99 + PERCENT) / (100 + PERCENT)).cast("int")
+
+
+def _rarest(ordered: Column, size: Column, other_size: Column) -> Column:
+    """The rarest shingles of a set: one that shares enough with it has one of these among its own rarest."""
+    return F.slice(ordered, F.lit(1), F.greatest(F.lit(1), (size - _needed(size, other_size) + 1).cast("int")))
+
+
 def _sharing(open_rows: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
-    """The open rows that can still be similar enough to another: key, rep, label, size, common, sketch, bands.
+    """The open rows that can still be similar enough to another: key, rep, label, size, common, rarest, sketch, bands.
 
     ``common`` counts a set's shingles that another open set has too: no two sets share
     more. Where that is too little even for the smallest set of the bucket, the row goes:
-    so do the members that differ from a group's centre each in its own way.
+    so do the members that differ from a group's centre each in its own way. ``rarest``
+    are the set's shingles that the fewest open sets have, in that order, as short hashes.
     """
     as_list = F.arrow_udf(lambda sets: pa.array([np.frombuffer(x, np.int64) for x in sets.to_pylist()], pa.list_(pa.int64())), "array<bigint>")
     still = open_rows.select(F.col("rep").alias("id")).distinct()
-    held = sets.join(still, "id", "left_semi")
-    # an id that came with different texts has several sets; all its shingles count as common
-    single = held.groupBy("id").agg(F.count("*").alias("times")).filter("times = 1").select(F.col("id").alias("rep"))
-    one = held.select("id", F.explode(as_list("hashes")).alias("shingle")).groupBy("shingle").agg(
-        F.count("*").alias("holders"), F.min("id").alias("rep")
+    single = landed(sets.join(still, "id", "left_semi").select("id", F.explode(as_list("hashes")).alias("shingle")), "open-shingles")
+    holders = single.groupBy("shingle").agg(F.count("*").alias("holders"))
+    of_set = join_under_skew(single, holders, ["shingle"]).groupBy(F.col("id").alias("rep")).agg(
+        F.count("*").alias("found"), F.count_if(F.col("holders") > 1).alias("common"),
+        F.sort_array(F.collect_list(F.struct("holders", "shingle"))).alias("ordered"),
+    )
+    known = reps.dropDuplicates(["rep"]).join(of_set, "rep")
+    # an id that came with different texts has several sets: nothing is ruled out by its shingles
+    one_set = F.col("found") == F.col("size")
+    least = F.ceil(PERCENT * F.col("size") / 100)
+    known = known.select(
+        "rep", "size", F.when(one_set, F.col("common")).otherwise(F.col("size")).alias("common"), "sketch", "bands",
+        F.when(one_set, F.transform(
+            _rarest(F.col("ordered"), F.col("size"), least), lambda x: F.pmod(x["shingle"], F.lit(2147483647)).cast("int")
+        )).alias("rarest"),
     )
-    private = one.filter("holders = 1").groupBy("rep").agg(F.count("*").alias("private")).join(single, "rep", "left_semi")
-    known = reps.dropDuplicates(["rep"]).join(private, "rep", "left")
-    known = known.select("rep", "size", (F.col("size") - F.coalesce("private", F.lit(0))).alias("common"), "sketch", "bands")
     rows = _mixed_buckets(open_rows.join(known, "rep"))
     least_union = F.col("size") + F.greatest("least_size", "common") - F.col("common")
-    rows = rows.filter(100 * F.col("common") >= PERCENT * least_union).drop("least_size")
-    return _mixed_buckets(rows).drop("least_size")
+    rows = _mixed_buckets(rows.filter(100 * F.col("common") >= PERCENT * least_union).drop("least_size"))
+    least = F.greatest(F.col("least_size"), F.ceil(PERCENT * F.col("size") / 100))
+    return rows.withColumn("rarest", _rarest(F.col("rarest"), F.col("size"), least)).drop("least_size")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -247,7 +267,7 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     labels = components(links)
     # then the pairs of different components that shared shingles, sizes and sketches allow, each in its first common band
     open_rows = landed(_sharing(_undecided(shared, labels), reps, sets), "open")
-    columns = ("rep", "label", "size", "common", "sketch", "bands")
+    columns = ("rep", "label", "size", "common", "rarest", "sketch", "bands")
     left = open_rows.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
     right = open_rows.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
     most_common = F.least("common_a", "common_b")
@@ -256,6 +276,9 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         & (100 * most_common >= PERCENT * (F.col("size_a") + F.col("size_b") - most_common))
         & (estimate(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_ESTIMATE)
         & (left["key"] == F.array_min(F.array_intersect("bands_a", "bands_b")))
+        & F.coalesce(F.arrays_overlap(
+            _rarest(F.col("rarest_a"), F.col("size_a"), F.col("size_b")), _rarest(F.col("rarest_b"), F.col("size_b"), F.col("size_a"))
+        ), F.lit(True))
     )
     apart = left.join(right, (left["key"] == right["key"]) & possible).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     more = _links(apart.distinct(), reps, sets)
