@@ -110,7 +110,7 @@ def _descend(x: np.ndarray, grades: np.ndarray, rounds: int = 400, rate: float =
     sigma = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for t in range(1, rounds + 1):
         cuts = np.cumsum(np.concatenate([[theta[width]], np.exp(theta[width + 1:])]))
-        score = x @ theta[:width]
+        score = (x @ theta[:width].astype(np.float32)).astype(float)  # the same type, or x is copied each round
         edge = np.concatenate([np.full((n, 1), 0.0), sigma(cuts - score[:, None]), np.full((n, 1), 1.0)], 1)
         rows = np.arange(n)
         low, high = edge[rows, grades], edge[rows, grades + 1]
@@ -121,7 +121,7 @@ def _descend(x: np.ndarray, grades: np.ndarray, rounds: int = 400, rate: float =
             (slope_low[grades == k + 1]).sum() - (slope_high[grades == k]).sum() for k in range(GRADES - 1)
         ])
         tail = np.cumsum(by_cut[::-1])[::-1]
-        gradient = np.concatenate([x.T @ by_score + ridge * theta[:width], [tail[0]], tail[1:] * np.exp(theta[width + 1:])]) / n
+        gradient = np.concatenate([x.T @ by_score.astype(np.float32) + ridge * theta[:width], [tail[0]], tail[1:] * np.exp(theta[width + 1:])]) / n
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         theta = theta - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return theta[:width], np.cumsum(np.concatenate([[theta[width]], np.exp(theta[width + 1:])]))
