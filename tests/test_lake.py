@@ -61,6 +61,18 @@ def test_missing_inputs_are_all_named(spark, tmp_path):
     assert lake.optional_day(spark, "formatted", "Ids", "20261001", IDS).count() == 1
 
 
+def test_a_failing_rerun_keeps_the_old_day(spark, tmp_path):
+    lake, broken = Lake(str(tmp_path)), "IF(id = 3, raise_error('lost'), CAST(id AS STRING)) AS a"
+    lake.write_day(spark.range(5).selectExpr("CAST(id AS STRING) AS a"), "formatted", "Kept", "20261001")
+    lake.write_day(spark.range(2).selectExpr("CAST(id AS STRING) AS a"), "formatted", "Kept", "20261002")
+    with pytest.raises(Exception, match="lost"):
+        lake.write_day(spark.range(0, 8, 1, 4).selectExpr(broken), "formatted", "Kept", "20261001")
+    read = lambda: spark.read.parquet(lake.path("formatted", "Kept")).groupBy("day").count()
+    assert sorted(r["count"] for r in read().collect()) == [2, 5]
+    lake.write_day(spark.range(0).selectExpr("CAST(id AS STRING) AS a"), "formatted", "Kept", "20261001")
+    assert rows(read(), "count") == [(2,)] and lake.has_day(spark, "formatted", "Kept", "20261001")
+
+
 def test_run_days():
     start = datetime(2026, 10, 1, 13, 45, tzinfo=timezone.utc)
     assert columns.run_day(start) == date(2026, 10, 1) and columns.run_day(date(2026, 10, 1)) == date(2026, 10, 1)

@@ -191,6 +191,27 @@ def test_without_ids_articles_stand_alone(spark, lake, tmp_path):
     assert out.count() == 17
 
 
+@pytest.mark.parametrize("change, named", [("drop", "no file: 2026-10-07 05:00"), ("rename", "unreadable name: hour-5.gz")])
+def test_incomplete_dumps_fail_by_name(spark, lake, tmp_path, change, named):
+    folder = tmp_path / "dumps"
+    dump_hours(folder, D)
+    hour = folder / "pageviews-20261007-060000.gz"
+    hour.rename(folder / "hour-5.gz") if change == "rename" else hour.unlink()
+    with pytest.raises(MissingInput, match=named):
+        ingest.format_hourly_views(spark, lake, str(folder), D)
+
+
+def test_hours_of_other_days_are_left_out(spark, lake, tmp_path):
+    folder = tmp_path / "dumps"
+    dump_hours(folder, D)
+    with gzip.open(folder / "pageviews-20260901-050000.gz", "wt") as out:
+        out.write("fr Séisme 77777 0")
+    ingest.format_hourly_views(spark, lake, str(folder), D)
+    hourly = lake.days(spark, "formatted", "PageviewsHourly", ["20261007"], schemas.HOURLY_VIEWS)
+    assert hourly.filter("hour_utc IS NULL OR to_date(hour_utc) <> DATE'2026-10-07'").count() == 0
+    assert hourly.select("hour_utc").distinct().count() == 24
+
+
 def test_hourly_tsv_job(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     (tmp_path / "h.tsv").write_text("2026-10-07 01:00:00\tfr.wikipedia\tTour_Eiffel\t3\n")

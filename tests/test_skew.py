@@ -55,7 +55,7 @@ def edits(spark):
 
 
 def test_hot_article(spark, edits, no_broadcast):
-    hot = aggregates.aggregate_edits(edits).filter("title = 'Hot'").first()
+    hot = aggregates.edit_volumes(edits).filter("title = 'Hot'").first()
     assert (hot["edit_count"], hot["unique_editors"]) == (ROWS // 3, 5003)
     history = emergence.daily_history(edits.withColumn("day", F.lit("20261001"))).filter("title = 'Hot'").first()
     assert (history["edit_count"], history["unique_editors"]) == (ROWS // 3, 5003)
@@ -63,7 +63,7 @@ def test_hot_article(spark, edits, no_broadcast):
 
 def test_hot_article_meets_its_editors_in_many_tasks(edits):
     """The distinct count first combines by article and editor, then by article."""
-    plan = aggregates.aggregate_edits(edits)._jdf.queryExecution().executedPlan().toString()
+    plan = aggregates.edit_volumes(edits)._jdf.queryExecution().executedPlan().toString()
     shuffles = [line for line in plan.splitlines() if "hashpartitioning" in line]
     assert "user" in shuffles[-1] and "partial_" in plan
 

@@ -23,10 +23,9 @@ class Topic:
         self.batch += 1
         (self.root / "topic" / f"{self.batch:03d}.txt").write_text("\n".join(messages))
 
-    def drain(self):
-        messages = stream.file_messages(self.spark, str(self.root / "topic"))
+    def drain(self, files_per_trigger=None):
+        messages = stream.file_messages(self.spark, str(self.root / "topic"), files_per_trigger)
         query = stream.drain(messages, str(self.root / "raw"), str(self.root / "state"))
-        query.awaitTermination()
         return stream.drain_counts(query)
 
     def days(self):
@@ -49,6 +48,26 @@ def test_drain_routes_counts_and_reruns(topic, spark):
     assert topic.days()["20261002"] == 3
 
 
+def test_counts_cover_more_batches_than_are_remembered(topic, spark):
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "8")
+    try:
+        for i in range(20):
+            topic.send(message("2026-10-01 10:00", rev_id=i), *["junk"] * (i % 2))
+        assert topic.drain(files_per_trigger=1) == {"received": 30, "skipped": 10}
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
+def test_unseen_batches_fail(topic, spark):
+    class Gap:
+        recentProgress = [type("P", (), {"batchId": n, "observedMetrics": {}}) for n in (1, 4)]
+        awaitTermination = staticmethod(lambda seconds: True)
+
+    with pytest.raises(RuntimeError, match="2 batches"):
+        stream.drain_counts(Gap())
+
+
 def test_late_edits_are_kept(topic):
     topic.send(message("2026-10-05 00:00"))
     topic.drain()

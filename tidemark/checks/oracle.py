@@ -268,14 +268,28 @@ BODIES = {
     "dump_parsed": """
         SELECT date_trunc('hour', ts) AS hour_utc, page AS project, title, amount AS views
         FROM ev WHERE event_type IN ('view', 'click')""",
-    "hourly_merged": """
+    "hourly_merged": f"""
         SELECT date_trunc('hour', ts) AS hour_utc, page AS project, title, CAST(sum(amount) AS BIGINT) AS views
         FROM ev WHERE event_type IN ('view', 'click')
-          AND (page || '.org', title) IN (SELECT (project, title) FROM ed_today)
+          AND (page || '.org', title) IN (
+              SELECT (project, title) FROM ed
+              WHERE CAST(timestamp_utc AS DATE) BETWEEN {D} - INTERVAL 1 DAY AND {D})
         GROUP BY ALL
         UNION ALL
         SELECT date_trunc('hour', ts), page, '-', CAST(sum(amount) AS BIGINT)
         FROM ev WHERE event_type IN ('view', 'click') GROUP BY 1, 2""",
+    "dump_hours_missing": f"""
+        SELECT CASE WHEN n = 0 THEN 'no file' ELSE 'several files' END AS problem,
+               strftime(h, '%Y-%m-%d %H:%M') AS name
+        FROM (SELECT h, count(page) AS n
+              FROM (SELECT {D} + INTERVAL (i) HOUR AS h FROM range(24) r(i)) AS every_hour
+              LEFT JOIN (SELECT DISTINCT page, date_trunc('hour', ts) AS h FROM ev
+                         WHERE event_type = 'click' AND page <> 'ru.wikipedia') AS files USING (h)
+              GROUP BY h) AS per_hour
+        WHERE n <> 1
+        UNION ALL
+        SELECT DISTINCT 'unreadable name', 'lost-' || strftime(ts, '%H') FROM ev
+        WHERE event_type = 'click' AND page = 'ru.wikipedia'""",
     "hourly_normalized": "SELECT hour_utc, project, 'The ' || title AS title, views FROM vw",
     "daily_views": """
         SELECT project, title, CAST(sum(views) AS BIGINT) AS views FROM vw WHERE title <> '-' GROUP BY 1, 2""",

@@ -7,12 +7,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.checks import tables as t
-from tidemark.functions.columns import day_key
+from tidemark.functions.columns import between_days, day_key
 from tidemark.operators import (
     aggregates, emergence, entities, languages, leadlag, quality, reports,
 )
@@ -128,7 +129,7 @@ def edits_normalized(d: t.Tables) -> DataFrame:
 
 @query
 def edits_aggregated(d: t.Tables) -> DataFrame:
-    return aggregates.aggregate_edits(d.edits)
+    return aggregates.edit_volumes(d.edits)
 
 
 @query
@@ -156,11 +157,24 @@ def dump_parsed(d: t.Tables) -> DataFrame:
 
 @query
 def hourly_merged(d: t.Tables) -> DataFrame:
-    """Candidates' hourly views and the totals of all titles. Articles edited on D follow."""
-    candidates = views.candidate_articles(d.once(_today))
+    """Candidates' hourly views and the totals of all titles. Articles edited on D-1 or D follow."""
+    candidates = views.candidate_articles(d.edits.filter(between_days(F.col("timestamp_utc"), D - timedelta(days=1), D)))
     return views.merge_hour(views.parse_dump_lines(d.dump_lines), candidates)
 
 
+@query
+def dump_hours_missing(d: t.Tables) -> DataFrame:
+    """Hours of D without a dump or with several, and unreadable names.
+
+    Each pair of a language and an hour with a click is a file here; the Russian ones have lost their name.
+    """
+    named = F.date_format(F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR"), "'pageviews-'yyyyMMdd-HHmmss")
+    lost = F.date_format("ts", "'lost-'HH")
+    name = F.when(F.col("project") == "ru.wikipedia", lost).otherwise(F.concat(named, F.lit(".gz")))
+    files = d.events.filter(F.col("event_type") == "click").select(name.alias("file_name"), "project")
+    return views.dump_problems(files.distinct(), D)
+
+
 @query
 def hourly_normalized(d: t.Tables) -> DataFrame:
     """Landed rows with text hours and underscored titles."""
@@ -175,7 +189,8 @@ def hourly_normalized(d: t.Tables) -> DataFrame:
 
 @query
 def daily_views(d: t.Tables) -> DataFrame:
-    return aggregates.daily_views(d.hourly)
+    """Views per article, totals left out: the side of ``readership`` that comes from hours."""
+    return aggregates.readership(d.hourly, d.top.filter(F.lit(False))).select("project", "title", "views")
 
 
 @query
@@ -191,7 +206,8 @@ def top_exploded(d: t.Tables) -> DataFrame:
 
 @query
 def top_ranks(d: t.Tables) -> DataFrame:
-    return aggregates.top_ranks(d.top)
+    """Best rank per article: the side of ``readership`` that comes from the lists."""
+    return aggregates.readership(d.hourly.filter(F.lit(False)), d.top).select("project", "title", "rank")
 
 
 # ---- trending
@@ -227,7 +243,7 @@ def history(d: t.Tables) -> DataFrame:
 
 @query
 def emergence_scores(d: t.Tables) -> DataFrame:
-    today = aggregates.aggregate_edits(d.once(_today)).select("project", "title", "edit_count", "unique_editors")
+    today = aggregates.edit_volumes(d.once(_today)).select("project", "title", "edit_count", "unique_editors")
     past = d.once(_past)
     return emergence.flag_emerging(today, emergence.daily_history(past), emergence.history_days(past), P)
 
@@ -248,7 +264,7 @@ def top_emerging(d: t.Tables) -> DataFrame:
 @query
 def language_signature(d: t.Tables) -> DataFrame:
     """Over all days at once: who edits the same entity, in which order, how late."""
-    edited = aggregates.join_entities(aggregates.aggregate_edits(d.edits), d.ids)
+    edited = aggregates.join_entities(aggregates.edit_volumes(d.edits), d.ids)
     articles = edited.withColumnRenamed("project", "edit_project")
     return languages.add_language_signature(
         articles.select("edit_project", "title", "wikidata_id", "first_edit", "edit_count")
@@ -465,8 +481,8 @@ def documents_keyed(d: t.Tables) -> DataFrame:
 def documents_upserted(d: t.Tables) -> DataFrame:
     """The day's documents over those of all days: an article's newer document replaces the older."""
     columns = ["edit_project", "title", "edit_count"]
-    every = aggregates.aggregate_edits(d.edits).withColumnRenamed("project", "edit_project").select(columns)
-    today = aggregates.aggregate_edits(d.once(_today)).withColumnRenamed("project", "edit_project").select(columns)
+    every = aggregates.edit_volumes(d.edits).withColumnRenamed("project", "edit_project").select(columns)
+    today = aggregates.edit_volumes(d.once(_today)).withColumnRenamed("project", "edit_project").select(columns)
     merged = documents.upserted(
         documents.to_documents(every, "wikipedia-trending", "20240130"),
         documents.to_documents(today, "wikipedia-trending", "20240130"),

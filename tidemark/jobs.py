@@ -35,7 +35,6 @@ def drain_topic(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> No
     else:
         messages = drain.file_messages(spark, args.input)
     query = drain.drain(messages, lake.path("raw", "Edits"), lake.path("state", "edits-drain"))
-    query.awaitTermination()
     print(drain.drain_counts(query))
     drain.require_day(spark, lake, day_text(args.day))
 

@@ -21,7 +21,7 @@ def joined_articles(
     edits: DataFrame, ids: DataFrame, hourly: DataFrame, top: DataFrame, params: Params = DEFAULTS
 ) -> DataFrame:
     """A day's edited articles with ids, views and rank."""
-    edited = aggregates.join_entities(aggregates.aggregate_edits(edits), ids)
+    edited = aggregates.join_entities(aggregates.edit_volumes(edits), ids)
     return aggregates.join_readership(edited, aggregates.readership(hourly, top, params), params)
 
 
@@ -40,7 +40,7 @@ def trending_articles(
     Ids and history share the edits' key, so they are joined before the views, whose key
     is spelled differently: three joins cost one more shuffle of the articles, not three.
     """
-    edited = aggregates.join_entities(aggregates.aggregate_edits(edits), ids)
+    edited = aggregates.join_entities(aggregates.edit_volumes(edits), ids)
     flagged = emergence.flag_emerging(edited, history, days, params)
     joined = aggregates.join_readership(flagged, aggregates.readership(hourly, top, params), params)
     scored = aggregates.with_trending_score(joined)

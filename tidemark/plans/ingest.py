@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.columns import day_text, readable_title
+from tidemark.functions.columns import between_days, day_text, readable_title
 from tidemark.operators import quality
 from tidemark.operators.entities import request_batches
 from tidemark.params import DEFAULTS, Params
@@ -35,7 +35,8 @@ def format_hourly_views(
     """A day's dump files to hourly views of recently edited articles plus language totals.
 
     Articles edited on the day or the day before are followed. One of the two days may be
-    missing; without any there is nothing to follow.
+    missing; without any there is nothing to follow. All 24 hours must be there, once each;
+    hours of other days are left out.
     """
     wanted = [day_text(day - timedelta(days=1)), day_text(day)]
     present = [d for d in wanted if lake.has_day(spark, "formatted", "Edits", d)]
@@ -43,7 +44,12 @@ def format_hourly_views(
         raise MissingInput(f"no edited article to follow on {wanted}")
     edited = lake.days(spark, "formatted", "Edits", present, schemas.EDITS)
     candidates = views.candidate_articles(edited)
-    parsed = views.parse_dump_lines(views.read_dump_lines(spark, dumps), params)
+    problems = views.dump_problems(views.dump_files(spark, dumps), day).orderBy("problem", "name").collect()
+    if problems:
+        raise MissingInput("dumps: " + ", ".join(f"{p['problem']}: {p['name']}" for p in problems))
+    lines = views.read_dump_lines(spark, dumps)
+    hour = views.hour_of_stamp(views.stamp_of_dump(F.col("file_name")))
+    parsed = views.parse_dump_lines(lines.filter(between_days(hour, day, day)), params)
     hourly = views.merge_hour(parsed, candidates, params)
     table = hourly.select("hour_utc", "project", readable_title(F.col("title")).alias("title"), "views")
     return lake.write_day(table, "formatted", "PageviewsHourly", day_text(day))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,9 +85,24 @@ class Lake:
         return sorted(r["day"] for r in rows)
 
     def write_day(self, df: DataFrame, layer: str, table: str, day: str) -> str:
-        """Replace one day. A rerun leaves the same content; an empty result replaces too."""
-        target = self.path(layer, table, day)
-        df.drop("day").write.mode("overwrite").parquet(target)
+        """Replace one day. A rerun leaves the same content; an empty result replaces too.
+
+        The day's old files go when the new ones are complete, so a run that fails in its
+        tasks leaves the old rows readable. Rows are counted as they are written: without
+        any, no day was replaced yet and an empty one is put in its place.
+        """
+        target, written = self.path(layer, table, day), Observation()
+        rows = df.drop("day")
+        (
+            rows.observe(written, F.count("*").alias("rows"))
+            .withColumn("day", F.lit(day))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day")
+            .parquet(self.path(layer, table))
+        )
+        if not written.get.get("rows"):
+            df.sparkSession.createDataFrame([], rows.schema).write.mode("overwrite").parquet(target)
         return target
 
     def write_days(self, df: DataFrame, layer: str, table: str) -> str:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.columns import align_project, dump_title, readable_title
-from tidemark.operators.joins import join_under_skew
+from tidemark.functions.columns import align_project, day_text, dump_title, readable_title
 from tidemark.params import DEFAULTS, Params
 
 # Where a dump's name carries its stamp, and the stamp's format.
@@ -24,6 +25,26 @@ def hour_of_stamp(stamp: Column) -> Column:
     return F.to_timestamp(stamp, STAMP_FORMAT) - F.expr("INTERVAL 1 HOUR")
 
 
+def dump_files(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the dump files in a folder; no content is read."""
+    return spark.read.format("binaryFile").load(path).select(F.substring_index("path", "/", -1).alias("file_name"))
+
+
+def dump_problems(files: DataFrame, day: date) -> DataFrame:
+    """problem, name: hours of the day without a file or with several, and names that tell no hour."""
+    found = files.select("file_name", hour_of_stamp(stamp_of_dump(F.col("file_name"))).alias("hour_utc"))
+    hours = files.sparkSession.range(24).select(
+        (F.to_timestamp(F.lit(day_text(day)), "yyyyMMdd") + F.make_interval(hours=F.col("id").cast("int"))).alias("hour_utc")
+    )
+    stamp = F.date_format("hour_utc", "yyyy-MM-dd HH:mm").alias("name")
+    per_hour = hours.join(found, "hour_utc", "left").groupBy("hour_utc").agg(F.count("file_name").alias("files"))
+    return (
+        per_hour.filter("files = 0").select(F.lit("no file").alias("problem"), stamp)
+        .unionByName(per_hour.filter("files > 1").select(F.lit("several files").alias("problem"), stamp))
+        .unionByName(found.filter("hour_utc IS NULL").select(F.lit("unreadable name").alias("problem"), F.col("file_name").alias("name")))
+    )
+
+
 def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:
     """Dump files as lines with their file name. Gzip does not split: one task per file."""
     return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
@@ -68,23 +89,17 @@ def candidate_articles(edits: DataFrame) -> DataFrame:
 def merge_hour(views: DataFrame, candidates: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Hourly views of candidate articles, desktop plus mobile, and each language's total.
 
-    The total covers all titles. Other titles lose their name before the shuffle, so
-    they travel as one row per task and hour rather than one per title. Hours are read
-    off the stamps at the end, once per result row.
+    The total covers all titles; it is combined in each task to one row per language and
+    hour. Titles are summed before they meet the candidates; where these are few enough
+    to be broadcast, Catalyst moves the semi-join below the sum, onto the lines. Hours are
+    read off the stamps at the end, once per result row.
     """
-    marked = join_under_skew(views, candidates.withColumn("followed", F.lit(True)), ["project", "title"])
-    per_title = marked.groupBy(
-        "stamp", "project", F.when(F.col("followed"), F.col("title")).alias("title")
-    ).agg(F.sum("views").alias("views"))
-    sets = per_title.groupingSets(
-        [["stamp", "project"], ["stamp", "project", "title"]], "stamp", "project", "title"
-    ).agg(F.sum("views").alias("views"), F.grouping("title").alias("is_total"))
-    return sets.filter((F.col("is_total") == 1) | F.col("title").isNotNull()).select(
-        hour_of_stamp(F.col("stamp")).alias("hour_utc"),
-        "project",
-        F.when(F.col("is_total") == 1, F.lit(params.total_title)).otherwise(F.col("title")).alias("title"),
-        "views",
-    )
+    columns = ["stamp", "project", "title", "views"]
+    totals = views.groupBy("stamp", "project").agg(F.sum("views").alias("views"))
+    per_title = views.groupBy("stamp", "project", "title").agg(F.sum("views").alias("views"))
+    followed = per_title.join(candidates, ["project", "title"], "left_semi")
+    both = followed.select(columns).unionByName(totals.withColumn("title", F.lit(params.total_title)).select(columns))
+    return both.select(hour_of_stamp(F.col("stamp")).alias("hour_utc"), "project", "title", "views")
 
 
 def normalize_hourly(raw: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from tidemark.sources.edits import decode_messages, is_valid_message, with_event
 from tidemark.sources.lake import Lake, MissingInput
 
 TOPIC = "wikipedia-edits"
+POLL_SECONDS = 0.5
 
 
 def topic_messages(
@@ -67,14 +68,22 @@ def drain(messages: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
 
 
 def drain_counts(query: StreamingQuery) -> dict[str, int]:
-    """Messages received and skipped over the run's batches."""
-    totals = {"received": 0, "skipped": 0}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get("messages")
-        if row is not None:
-            totals["received"] += row["received"]
-            totals["skipped"] += row["skipped"]
-    return totals
+    """Wait for the run to end; messages received and skipped over all its batches.
+
+    Spark keeps the last batches' progress only, so it is taken while the run goes on: call
+    this right after the start. Should batches have gone by unseen, it fails rather than
+    report too few.
+    """
+    seen: dict[int, tuple[int, int]] = {}
+    done = False
+    while not done:
+        done = query.awaitTermination(POLL_SECONDS)
+        for progress in query.recentProgress:
+            row = progress.observedMetrics.get("messages")
+            seen[progress.batchId] = (row["received"], row["skipped"]) if row is not None else (0, 0)
+    if seen and max(seen) - min(seen) + 1 != len(seen):
+        raise RuntimeError(f"progress of {max(seen) - min(seen) + 1 - len(seen)} batches was not seen")
+    return {"received": sum(r for r, _ in seen.values()), "skipped": sum(s for _, s in seen.values())}
 
 
 def edits_per_day(spark: SparkSession, target: str) -> DataFrame:
