@@ -99,18 +99,14 @@ def test_hot_title_in_a_dump(spark, no_broadcast):
     )
     followed = spark.createDataFrame([("en.wikipedia", "Hot"), ("fr.wikipedia", "T1")], "project STRING, title STRING")
     out = views.merge_hour(views.parse_dump_lines(lines), followed.distinct())
-    # the hot title compresses to little
-    small = {
-        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "1k",
-        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "0.1",
-        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "1k",
-    }
-    with settings(spark, **small):
-        assert sorted((r["project"], r["title"], r["views"]) for r in out.collect()) == [
-            ("en.wikipedia", "-", ROWS // 3), ("en.wikipedia", "Hot", ROWS // 3), ("fr.wikipedia", "-", 2 * ROWS // 3),
-            ("fr.wikipedia", "T1", 1),
-        ]
-    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["project"], r["title"], r["views"]) for r in out.collect()) == [
+        ("en.wikipedia", "-", ROWS // 3), ("en.wikipedia", "Hot", ROWS // 3), ("fr.wikipedia", "-", 2 * ROWS // 3),
+        ("fr.wikipedia", "T1", 1),
+    ]
+    # the hot title is summed in each task before it travels, so there is nothing left to split
+    lines = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[1].splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(below) == 4 and all("HashAggregate" in line for line in below)
 
 
 def test_hot_redirect_target(spark, no_broadcast):
