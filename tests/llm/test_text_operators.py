@@ -181,3 +181,19 @@ def test_site_tree(spark):
     assert found[0] == "T & X\n\none two three\n\nfour" and found[1] == found[2] == ""
     assert all(found[10 + k] == f"Story {k} of today" for k in range(8)) and found[30] == found[10]
     assert site_tree.extracted(pages.limit(0)).count() == 0
+
+
+def test_site_tree_judges_inside_and_outside_articles(spark):
+    told = lambda k: (
+        f"<body><article><p>Story {k}</p><div class=box>Tell a friend</div></article><div class=top>Our town</div></body>"
+    )
+    teased = lambda k: f"<body><article><p>Read more</p></article><div class=story>Long story {k}</div></body>"
+    copied = lambda k: f"<body><div class=ad>buy {k}</div><article><p>One text for all</p></article></body>"
+    mostly = lambda k: f"<body><div class=now>It is {k}</div><article><p>{'Rare text' if k == 7 else 'Usual text'}</p></article></body>"
+    hosts = [told, teased, copied, mostly]
+    rows = [(100 * h + k, f"https://h{h}/", page(k)) for h, page in enumerate(hosts) for k in range(20)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r["page_id"]: r["text"] for r in site_tree.extracted(pages).collect()}
+    assert all(found[k] == f"Story {k}" and found[100 + k] == f"Long story {k}" for k in range(20))
+    assert all(found[200 + k] == "One text for all" for k in range(20))  # pages that differ in adverts only are one page
+    assert found[300] == "It is 0" and found[307] == "It is 7\n\nRare text"

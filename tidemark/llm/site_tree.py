@@ -5,13 +5,15 @@ their classes, and it holds how often each content stood there and how often eac
 child elements. Both give an entropy, relative to the largest possible one: near 0 for
 what all pages repeat (templates), near 1 for what differs from page to page. A node's
 importance is the larger of the two, weighed with what its markup says: navigation,
-headers, footers, asides, forms, adverts, notices and comments have none, the inside of an
-article or main element has all, and in a page with such an element nothing else has any.
-Branches of low importance are removed from each page, and the rest is its text.
+headers, footers, asides, forms, adverts, notices and comments have none. All else is judged
+alike, inside an article or main element and outside of it. Branches of low importance are
+removed from each page, and the rest is its text; inside an article only the contents that a
+tenth of the node's pages share are, so what stands on few pages is kept there.
 
-Equal pages of a host count once, and a node on fewer than ``LEAST_PAGES`` pages is judged by
-its markup alone. The counts are ordinary aggregates; what goes back to the pages is, per
-host, the list of unimportant paths, one entry per style and not per page.
+Pages of a host that are equal in all that is judged count once, and a node on fewer than
+``LEAST_PAGES`` pages is judged by its markup alone. The counts are ordinary aggregates; what
+goes back to the pages is, per host, the list of unimportant paths, one entry per style and
+not per page, and at most ten contents of each path inside an article.
 
 Text: character references are decoded, white space inside a block becomes one space,
 blocks follow in page order with an empty line between. A line break is white space.
@@ -37,6 +39,7 @@ from tidemark.llm.outliers import looked_up
 
 LEAST_PAGES = 5
 LEAST_IMPORTANCE = 0.3
+LEAST_REPEATED = 0.1
 
 # Fixed values of HTML: elements by how they are laid out.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -143,53 +146,72 @@ def _digest(text: str) -> int:
     return zlib.crc32(text.encode()) << 32 | zlib.adler32(text.encode())
 
 
+def _contents(found: list[Block]) -> dict[tuple[str, bool], int]:
+    """Hash of what stands at each path, over the blocks that are judged; with whether the path is in an article."""
+    texts: dict[tuple[str, bool], list[str]] = {}
+    for block in found:
+        if not block.bare:
+            texts.setdefault((block.path, block.inside), []).append(block.text)
+    return {node: _digest("\n".join(own)) >> 1 for node, own in texts.items()}
+
+
 def _nodes(pages: pa.Array) -> pa.Array:
     """Per page and path: hashes of its content and of its child elements."""
     rows = []
     for page in pages.to_pylist():
         found, children = blocks(page)
-        texts: dict[str, list[str]] = {}
-        for block in found:
-            if not block.inside and not block.bare:
-                texts.setdefault(block.path, []).append(block.text)
         rows.append([
-            {"path": path, "content": _digest("\n".join(texts[path])) >> 1, "style": _digest(" ".join(children.get(path, ()))) >> 1}
-            for path in texts
+            {"path": path, "inside": inside, "content": content, "style": _digest(" ".join(children.get(path, ()))) >> 1}
+            for (path, inside), content in _contents(found).items()
         ])
-    return pa.array(rows, pa.list_(pa.struct([("path", pa.string()), ("content", pa.int64()), ("style", pa.int64())])))
+    kinds = [("path", pa.string()), ("inside", pa.bool_()), ("content", pa.int64()), ("style", pa.int64())]
+    return pa.array(rows, pa.list_(pa.struct(kinds)))
 
 
 def main_text(page: str, unimportant: set[str]) -> str:
+    """``unimportant``: paths, or paths with one content of theirs where they are inside an article."""
     found, _ = blocks(page)
-    own = [b for b in found if not b.bare]
-    inside = [b for b in own if b.inside]
-    return "\n\n".join(b.text for b in inside or own if b.inside or b.path not in unimportant)
+    contents = _contents(found)
+    low = {
+        path for (path, inside), content in contents.items()
+        if (f"{path}\n{content}" if inside else path) in unimportant
+    }
+    return "\n\n".join(b.text for b in found if not b.bare and b.path not in low)
 
 
-def importance(pages: DataFrame) -> DataFrame:
-    """host, path, importance of every node that is judged by its content; ``pages`` has host and html."""
+def nodes(pages: DataFrame) -> DataFrame:
+    """host, page, path, inside, content, style of every judged node; ``pages`` has host and html."""
     small_batches(pages.sparkSession)
-    node = F.arrow_udf(_nodes, "array<struct<path:string,content:bigint,style:bigint>>")
-    rows = pages.select("host", F.xxhash64("html").alias("page"), node("html").alias("nodes"))
-    each = rows.select("host", "page", F.inline("nodes")).distinct()
+    node = F.arrow_udf(_nodes, "array<struct<path:string,inside:boolean,content:bigint,style:bigint>>")
+    rows = pages.select("host", node("html").alias("nodes"))
+    each = rows.select("host", F.xxhash64("nodes").alias("page"), F.inline("nodes")).distinct()
+    return landed(each, "nodes")
+
 
+def unimportant(each: DataFrame) -> DataFrame:
+    """host, entry: what is removed from the pages of a host, as ``main_text`` reads it."""
     def entropy(value: str) -> DataFrame:
         """From the sums of n and n log n over the values of a node."""
-        counts = each.groupBy("host", "path", value).agg(F.count("*").alias("n"))
-        sums = counts.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
-        return sums.select("host", "path", "m", F.when(F.col("m") > 1, 1 - F.col("s") / F.col("m") / F.log("m")).otherwise(1.0).alias(f"by_{value}"))
+        counts = each.groupBy("host", "path", "inside", value).agg(F.count("*").alias("n"))
+        sums = counts.groupBy("host", "path", "inside").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
+        by = F.when(F.col("m") > 1, 1 - F.col("s") / F.col("m") / F.log("m")).otherwise(1.0)
+        return sums.select("host", "path", "inside", "m", by.alias(f"by_{value}"))
 
-    each = landed(each, "nodes")
-    both = entropy("content").join(entropy("style").drop("m"), ["host", "path"])
-    return both.select("host", "path", "m", F.greatest("by_content", "by_style").alias("importance"))
+    node = ["host", "path", "inside"]
+    both = entropy("content").join(entropy("style").drop("m"), node)
+    low = both.filter((F.col("m") >= LEAST_PAGES) & (F.greatest("by_content", "by_style") < LEAST_IMPORTANCE))
+    # before the join, so that a large host brings few rows to it
+    repeated = each.filter("inside").groupBy(*node, "content").agg(F.count("*").alias("n")).filter("n > 1")
+    often = repeated.join(low.select(*node, "m"), node).filter(F.col("n") >= F.col("m") * LEAST_REPEATED)
+    entry = F.concat("path", F.lit("\n"), F.col("content").cast("string"))
+    return low.filter("not inside").select("host", F.col("path").alias("entry")).union(often.select("host", entry.alias("entry")))
 
 
 def extracted(pages: DataFrame, url_column: str = "url", html_column: str = "html", result: str = "text") -> DataFrame:
     """All columns, and the page's main text."""
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_column), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)), F.lit(""))
-    nodes = importance(pages.select(host.alias("host"), whole_text(html_column).alias("html")))
-    low = nodes.filter((F.col("m") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
-    listed = landed(low.groupBy("host").agg(F.collect_list("path").alias("unimportant")), "unimportant")
+    low = unimportant(nodes(pages.select(host.alias("host"), whole_text(html_column).alias("html"))))
+    listed = landed(low.groupBy("host").agg(F.collect_list("entry").alias("unimportant")), "unimportant")
 
     def run(pages: pa.Array, lists: pa.Array) -> pa.Array:
         both = zip(pages.to_pylist(), lists.to_pylist())
