@@ -197,3 +197,15 @@ def test_site_tree_judges_inside_and_outside_articles(spark):
     assert all(found[k] == f"Story {k}" and found[100 + k] == f"Long story {k}" for k in range(20))
     assert all(found[200 + k] == "One text for all" for k in range(20))  # pages that differ in adverts only are one page
     assert found[300] == "It is 0" and found[307] == "It is 7\n\nRare text"
+
+
+def test_suffix_tree_learns_rare_words_and_long_contexts(spark):
+    # words far down in frequency, whose next one is settled by three tokens and not by two
+    filler = [(i, " ".join(f"w{(i * 97 + j) % 9000}" for j in range(900))) for i in range(60)]
+    told = [(1000 + i, f"rare{i % 2} odd even {'left' if i % 2 else 'right'}") for i in range(200)]
+    docs = spark.createDataFrame(filler + told + [(5000, "rare1 odd even left"), (5001, "rare0 odd even left")], "doc_id bigint, text string")
+    score = lambda **depth: {r["doc_id"]: r["score"] for r in suffix_tree.scored(docs, **depth).collect()}
+    deep, flat = score(), score(depth=2)
+    assert deep[5000] > deep[5001] + 1 and abs(flat[5000] - flat[5001]) < 0.5
+    joined = score(cached=5)
+    assert all(math.isclose(joined[k], deep[k], rel_tol=1e-9) for k in deep)

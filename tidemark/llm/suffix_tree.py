@@ -1,47 +1,57 @@
 """Language-model scoring by a probabilistic suffix tree.
 
-A text's tokens are its words and an end; the ``ALPHABET`` most frequent tokens are symbols
-of their own, all others share one. Contexts are the one or two symbols before, and one of
-them becomes a state of the tree if its next-symbol distribution departs from that of the
-shorter context: its count times the divergence, over next symbols seen at least ``seldom``
-times after it, must reach ``gain``. A state keeps the next
-symbols that differ from the shorter state; the others share what is left in the
+A text's tokens are its words and an end, each a symbol of its own. Contexts are the one to
+``DEPTH`` tokens before, and one of them becomes a state of the tree if its next-token
+distribution departs from that of the next shorter context: its count times the divergence,
+over next tokens seen at least ``seldom`` times after it, must reach ``gain``. A state keeps
+the next tokens that differ from the shorter state; the others share what is left in the
 proportions of the shorter state, so every distribution sums to one. A token is scored from
-the longest state that is a suffix of what came before. Within the shared symbol a token
-has its share of the counts, and tokens never seen in training together have the share
-that tokens seen once have (Good and Turing); like in the unigram base they count as one.
+the longest state that is a suffix of what came before. Without context a token has its
+share of the counts, and tokens never seen in training together have the share that tokens
+seen once have (Good and Turing); like in the unigram base they count as one.
 
-All counts are made by Spark over all training texts and grow with them; two-symbol
-contexts are counted where both symbols are among the first ``PAIRED``. Only the tree goes
-to the driver and the tasks: at most ``PAIRED ** 2 + ALPHABET`` states and ``entries``
-kept next symbols, those of the highest gain, which is the model's size and not a limit on
-what is counted. Counts of the ``FREQUENT`` most frequent tokens go along; a text's other
-tokens are looked up by a join.
+Everything counted and the tree are Spark tables that grow with the training texts: nothing
+is ranked away. A run of tokens is counted where the run without its last token is seen
+``least`` times and the run without its first one ``seldom`` times; others cannot pass the
+test, so no state is lost. These two are looked up in bitmaps of fixed size, whose false hits
+cost work and change no count.
+
+The logarithm of a token's probability is a sum: that of the token alone, for every suffix
+that is a state its share left to the shorter one, and for every kept next token what it
+differs by. So a text's score is a sum over the keys of the tree that occur in it. The
+``CACHED`` keys and ``FREQUENT`` tokens that occur most go to the tasks, all others are
+looked up by a join.
+
+Tokens and runs of tokens are known by 64 bits of hash; two alike would share their counts.
 
 Cases: null text is the empty one, so its only token is the end; null ids count as
 training; without training texts every token is an unseen one; repeated rows are scored
-each and count each; equal counts at the edge of a limit are decided by the token or
-context itself; further columns are ignored.
+each and count each; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import landed, small_batches, whole_text
+from tidemark.llm.common import Recent, landed, small_batches, whole_text
 
+DEPTH = 3
 FREQUENT = 150_000
+CACHED = 400_000
+SUMMED = 3_000_000
+BITS = 26
+# of the tree in memory
 ALPHABET = 8_000
 PAIRED = 300
-SUMMED = 12_000_000
 WIDTH = ALPHABET + 1  # symbol ALPHABET stands for all further tokens
 
 
@@ -50,82 +60,130 @@ def tokens(text: str) -> list[bytes]:
     return [*text.encode().lower().split(), b""]
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of tokens; partial ones, so that a task keeps few."""
-    def flush() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["token", "n"]
+class Hashes(Recent):
+    def __missing__(self, token: bytes) -> int:
+        return self.keep(token, int.from_bytes(hashlib.blake2b(token, digest_size=8).digest(), "little", signed=True))
+
+
+HASHES = Hashes(300_000)
+END = np.int64(HASHES[b""])
+
+
+def coded(texts: pa.Array) -> pa.Array:
+    own = [[HASHES[t] for t in tokens(text)] for text in texts.to_pylist()]
+    return pa.array(own, pa.list_(pa.int64()))
+
+
+def _mixed(a: np.ndarray) -> np.ndarray:
+    a = (a ^ (a >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    a = (a ^ (a >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return a ^ (a >> np.uint64(33))
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    return lists.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def runs(flat: np.ndarray, sizes: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For contexts of 1 to ``depth`` tokens: the text of each place, its context, context and token, these without the first."""
+    starts = np.cumsum(sizes) - sizes
+    every = np.insert(flat, starts, END).astype(np.int64).view(np.uint64)  # the end stands before a text
+    text = np.repeat(np.arange(len(sizes)), sizes + 1)
+    place = np.arange(len(every)) - np.repeat(starts + np.arange(len(sizes)), sizes + 1)
+    run = every
+    for k in range(1, depth + 1):
+        longer = np.zeros_like(run)
+        longer[1:] = _mixed(run[:-1] * np.uint64(0x9E3779B97F4A7C15) + _mixed(every[1:]) + np.uint64(k))
+        at = np.flatnonzero(place >= k)
+        yield text[at], run[at - 1].view(np.int64), longer[at].view(np.int64), run[at].view(np.int64)
+        run = longer
+
+
+def state_key(context: np.ndarray) -> np.ndarray:
+    """The key of a context as a state, other than that of the same run as a kept token."""
+    return _mixed(context.view(np.uint64) + np.uint64(0x5851F42D4C957F2D)).view(np.int64)
+
+
+class Bitmap:
+    """Of the hashes in a table: true for all of them and for few others."""
+
+    def __init__(self, keys: DataFrame, column: str) -> None:
+        place = F.shiftrightunsigned(F.col(column), 64 - BITS)
+        cells = keys.select(place.alias("p")).select(
+            F.shiftright("p", 6).alias("cell"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bit")
         )
+        found = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
+        self.cells = np.zeros(1 << (BITS - 6), np.int64)
+        self.cells[found["cell"].to_numpy()] = found["bits"].to_numpy()
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        p = (keys.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
+        return (self.cells[p >> 6] >> (p & 63)) & 1 == 1
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
+    """Counts by the first column; the others are functions of it."""
+    columns = [np.concatenate(c) for c in zip(*parts)]
+    _, first, n = np.unique(columns[0], return_index=True, return_counts=True)
+    return pa.RecordBatch.from_arrays([*(pa.array(c[first]) for c in columns), pa.array(n.astype(np.int64))], names=[*names, "n"])
 
-    seen: Counter[bytes] = Counter()
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            seen.update(tokens(text))
-        if len(seen) > 400_000:
-            yield flush()
-            seen = Counter()
-    yield flush()
+
+def _gathered(parts: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Partial counts of a task, summed over millions of places at a time."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for part in parts:
+        held.append(part)
+        if sum(len(x[0]) for x in held) > SUMMED:
+            yield _summed(held, names)
+            held = []
+    if held:
+        yield _summed(held, names)
 
 
 def counts(training: DataFrame) -> DataFrame:
-    """token, c: over the texts in ``text``."""
-    partial = training.select("text").mapInArrow(_counted, "token binary, n bigint")
+    """token, c: over the hashes in ``tokens``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _gathered(((_flat(b.column(0))[0],) for b in batches if len(b)), ["token"])
+
+    partial = training.select("tokens").mapInArrow(run, "token bigint, n bigint")
     return landed(partial.groupBy("token").agg(F.sum("n").alias("c")), "tokens")
 
 
 @dataclass
 class Words:
-    """The most frequent tokens by rank, their counts, and the sums over all tokens."""
+    """The most frequent tokens in order, their counts, and the sums over all tokens."""
 
-    ranks: dict[bytes, int]
+    keys: np.ndarray
     counts: np.ndarray
     total: int
     distinct: int
     once: int
 
-    def symbols(self, ranks: np.ndarray) -> np.ndarray:
-        return np.where((ranks < 0) | (ranks >= ALPHABET), ALPHABET, ranks)
-
-    @property
-    def rest(self) -> int:
-        """Count of all tokens outside the alphabet."""
-        return self.total - int(self.counts[:ALPHABET].sum())
-
     @property
     def unseen(self) -> float:
-        """Share of the common symbol for tokens never seen."""
-        return min(max(self.once, 0.5) / (self.rest + 1), 0.999)
-
-    def root(self) -> np.ndarray:
-        """Logarithm (base 10) of each symbol's probability without context."""
-        own = self.counts[:ALPHABET].astype(float)
-        return np.log10(np.concatenate([own, np.full(ALPHABET - len(own), 1e-9), [self.rest + 1.0]]) / (self.total + 1.0))
+        """Probability of tokens never seen."""
+        return min(max(self.once, 0.5) / (self.total + 1), 0.999)
 
-
-def contexts(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One- and two-symbol context of each place; the end stands before a text; -1 where there is none."""
-    one = np.empty_like(symbols)
-    one[1:] = symbols[:-1]
-    one[starts] = ALPHABET + 1
-    two = np.empty_like(symbols)
-    two[1:] = one[:-1]
-    two[starts] = -1
-    pair = np.where((two >= 0) & (two < PAIRED) & (one < PAIRED), ALPHABET + 2 + two * PAIRED + one, -1)
-    return one, pair
+    @property
+    def each(self) -> float:
+        """Probability of a token without context, per count of it."""
+        return (1 - self.unseen) / max(self.total, 1)
 
 
-def _symbols(texts: list[str], words: Words) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """Tokens of each text; ranks of all (-1: not among the frequent) and the place where each text starts."""
-    own = [tokens(text) for text in texts]
-    sizes = np.array([len(x) for x in own], np.int64)
-    get = words.ranks.get
-    ranks = np.fromiter((get(t, -1) for x in own for t in x), np.int64, int(sizes.sum()))
-    return own, ranks, np.cumsum(sizes) - sizes
+def found_at(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each wanted one among the ordered keys, or -1."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
 
 
 @dataclass
 class Tree:
-    """Kept (context, next) keys in order with their log probability; log share left to the shorter state."""
+    """The sums of ``grow`` for one and two symbols in memory, to compare with.
+
+    Kept (context, next) keys in order with their log probability; log share left to the shorter state.
+    """
 
     keys: np.ndarray
     values: np.ndarray
@@ -133,13 +191,6 @@ class Tree:
     state: np.ndarray
     root: np.ndarray
 
-    def scores(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        one, pair = contexts(symbols, starts)
-        found = self._extended(one, symbols, self.root[symbols])
-        known = pair >= 0
-        found[known] = self._extended(pair[known], symbols[known], found[known])
-        return found
-
     def _extended(self, context: np.ndarray, following: np.ndarray, shorter: np.ndarray) -> np.ndarray:
         """Log probability in the context's state, or that of the shorter one where it is none."""
         out = shorter + self.left[context]
@@ -171,53 +222,55 @@ def planted(rows: list[tuple[int, int, int, int]], root: np.ndarray, weight: flo
 
 
 def grow(
-    training: DataFrame, words: Words, least: int = 20, seldom: int = 3, gain: float = 20.0, part: float = 3.0, entries: int = 400_000,
-    weight: float = 4.0,
-) -> Tree:
+    training: DataFrame, counted: DataFrame, words: Words, least: int = 20, seldom: int = 3, gain: float = 20.0, part: float = 3.0,
+    weight: float = 4.0, depth: int = DEPTH,
+) -> DataFrame:
+    """key, value, n: what each state leaves to the shorter one, and what each kept next token differs by."""
     session = training.sparkSession
-    sent = session.sparkContext.broadcast(words)
-
-    step = WIDTH + 1  # a further "next symbol" counts the context itself
-
-    def summed(parts: list[np.ndarray]) -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts of a task's texts, summed over millions of places at a time."""
-        parts: list[np.ndarray] = []
-        for batch in batches:
-            own, ranks, starts = _symbols(batch.column("text").to_pylist(), sent.value)
-            if not own:
-                continue
-            symbols = sent.value.symbols(ranks)
-            one, pair = contexts(symbols, starts)
-            known = pair >= 0
-            parts += [one * step + symbols, (pair * step + symbols)[known], one * step + WIDTH, (pair * step + WIDTH)[known]]
-            if sum(map(len, parts)) > SUMMED:
-                yield summed(parts)
-                parts = []
-        if parts:
-            yield summed(parts)
-
-    seen = training.select("text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    rows = seen.select(F.expr(f"key div {step}").alias("context"), (F.col("key") % step).alias("next"), "n")
-    pairs = landed(rows.filter((F.col("n") >= seldom) | (F.col("next") == WIDTH)), "contexts")
-    totals = pairs.filter((F.col("next") == WIDTH) & (F.col("n") >= least)).select("context", F.col("n").alias("total"))
-    # the shorter context's distribution: of the last symbol alone, or of none
-    root = words.root()
-    root_table = session.createDataFrame([(i, float(10.0**x)) for i, x in enumerate(root)], "next bigint, p0 double")
-    counted = pairs.join(totals, "context").join(F.broadcast(root_table), "next")  # a row per symbol
-    shorter = counted.filter(F.col("context") < ALPHABET + 2).select(
-        F.col("context").alias("last"), "next", ((F.col("n") + weight * F.col("p0")) / (F.col("total") + weight)).alias("p1")
-    )
-    last = F.when(F.col("context") >= ALPHABET + 2, (F.col("context") - ALPHABET - 2) % PAIRED)
-    tested = counted.withColumn("last", last).join(shorter, ["last", "next"], "left")
-    departs = tested.withColumn("part", F.col("n") * F.log(F.col("n") / F.col("total") / F.coalesce("p1", "p0")))
-    states = departs.groupBy("context").agg(F.sum("part").alias("gain")).filter(F.col("gain") >= gain).select("context")
-    kept = departs.filter(F.abs("part") >= part).join(states, "context", "left_semi")
-    rows = kept.orderBy(F.desc(F.abs("part")), "context", "next").limit(entries).select("context", "next", "n", "total").toArrow()
-    return planted(list(zip(*(rows.column(i).to_pylist() for i in range(4)))), root, weight)
+    shorter = counted.select(F.col("token").alias("run"), F.col("c").alias("n"), (F.col("c") * F.lit(words.each)).alias("p"))
+    model = []
+    for k in range(1, depth + 1):
+        sent = session.sparkContext.broadcast((Bitmap(shorter.filter(F.col("n") >= least), "run"), Bitmap(shorter.filter(F.col("n") >= seldom), "run")))
+
+        def run(batches: Iterator[pa.RecordBatch], k: int = k, sent=sent) -> Iterator[pa.RecordBatch]:
+            def parts() -> Iterator[tuple[np.ndarray, ...]]:
+                before, last = sent.value
+                for batch in batches:
+                    if len(batch):
+                        *_, (_, context, own, short) = runs(*_flat(batch.column(0)), k)
+                        may = before.has(context) & last.has(short)
+                        yield own[may], context[may], short[may]
+
+            return _gathered(parts(), ["run", "context", "short"])
+
+        seen = training.select("tokens").mapInArrow(run, "run bigint, context bigint, short bigint, n bigint")
+        summed = seen.groupBy("run").agg(F.sum("n").alias("n"), F.first("context").alias("context"), F.first("short").alias("short"))
+        often = landed(summed.filter(F.col("n") >= seldom), "runs")
+        totals = shorter.filter(F.col("n") >= least).select(F.col("run").alias("context"), F.col("n").alias("total"))
+        p = shorter.select(F.col("run").alias("short"), F.col("p").alias("p_short"))
+        each = landed(
+            often.join(totals, "context").join(p, "short")
+            .withColumn("part", F.col("n") * F.log(F.col("n") / F.col("total") / F.col("p_short")))
+            .withColumn("p_own", (F.col("n") + weight * F.col("p_short")) / (F.col("total") + weight)), "tested",
+        )
+        keeps = F.abs("part") >= part
+        states = each.groupBy("context").agg(
+            F.sum("part").alias("gain"), F.first("total").alias("total"), F.count_if(keeps).alias("kept"),
+            (F.greatest(1 - F.coalesce(F.sum(F.when(keeps, F.col("p_own"))), F.lit(0.0)), F.lit(1e-12))
+             / F.greatest(1 - F.coalesce(F.sum(F.when(keeps, F.col("p_short"))), F.lit(0.0)), F.lit(1e-12))).alias("left"),
+        ).filter((F.col("gain") >= gain) & (F.col("kept") > 0))
+        states = landed(states.select("context", "total", "left"), "states")
+        told = each.join(states.select("context", "left"), "context", "left").withColumn("kept", keeps & F.col("left").isNotNull())
+        own = F.when(F.col("kept"), F.col("p_own")).otherwise(F.col("p_short") * F.coalesce("left", F.lit(1.0)))
+        differs = F.when(F.col("kept"), F.log10(F.col("p_own") / F.col("p_short") / F.col("left")))
+        shorter = landed(told.select("run", "n", own.alias("p"), differs.alias("differs")), "shorter")
+        key = F.arrow_udf(lambda c: pa.array(state_key(c.to_numpy(zero_copy_only=False).astype(np.int64))), "bigint")
+        model.append(states.select(key("context").alias("key"), F.log10("left").alias("value"), F.col("total").alias("n")))
+        model.append(shorter.filter("differs is not null").select(F.col("run").alias("key"), F.col("differs").alias("value"), "n"))
+    every = model[0]
+    for more in model[1:]:
+        every = every.union(more)
+    return landed(every, "tree")
 
 
 def held_out(id_column: str) -> Column:
@@ -229,61 +282,82 @@ def learned(counted: DataFrame) -> Words:
         F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum((F.col("c") == 1).cast("bigint")), F.lit(0))
     ).first()
     top = counted.orderBy(F.desc("c"), "token").limit(FREQUENT).toArrow()
-    return Words({t: i for i, t in enumerate(top["token"].to_pylist())}, top["c"].to_numpy().astype(np.int64), int(n), int(v), int(once))
+    keys, own = top["token"].to_numpy().astype(np.int64), top["c"].to_numpy().astype(np.int64)
+    order = np.argsort(keys)
+    return Words(keys[order], own[order], int(n), int(v), int(once))
 
 
-def scored(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def scored(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", cached: int = CACHED, depth: int = DEPTH
+) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score; one row per row of ``docs``."""
     session = docs.sparkSession
     small_batches(session)
-    rows = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text"), held_out(id_column).alias("held_out"))
+    rows = landed(docs.select(
+        F.col(id_column).alias("id"), held_out(id_column).alias("held_out"), F.monotonically_increasing_id().alias("row"),
+        F.arrow_udf(coded, "array<bigint>")(whole_text(text_column)).alias("tokens"),
+    ), "coded")
     training = rows.filter(~F.col("held_out"))
     counted = counts(training)
     words = learned(counted)
-    sent = session.sparkContext.broadcast((words, grow(training, words)))
-    kinds = {"n_tokens": "bigint", "known": "bigint", "logs": "double", "score": "double", "rare": "array<binary>"}
-
-    def run(texts: pa.Array) -> pa.Array:
-        words, tree = sent.value
-        own, ranks, starts = _symbols(texts.to_pylist(), words)
-        if not own:
-            return pa.array([], pa.struct([(k, t) for k, t in zip(kinds, types)]))
-        known = ranks >= 0
-        logs = np.zeros(len(ranks))
-        logs[known] = np.log10(words.counts[ranks[known]] + 1.0)
-        found = tree.scores(words.symbols(ranks), starts)
-        # a token within the common symbol; what is not among the frequent ones follows by a join
-        inner = ranks >= ALPHABET
-        found[inner] += np.log10(words.counts[ranks[inner]] * (1 - words.unseen) / max(words.rest, 1))
-        sizes = [len(x) for x in own]
-        ends = np.cumsum(sizes)
-        places = np.flatnonzero(~known)
-        cut = np.searchsorted(places, np.concatenate([[0], ends]))
-        flat = [t for x in own for t in x] if len(places) else []
-        rare = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array([flat[i] for i in places], pa.binary()))
+    tree = grow(training, counted, words, depth=depth)
+    top = tree.orderBy(F.desc("n"), "key").limit(cached).toArrow()
+    keys = top["key"].to_numpy().astype(np.int64)
+    order = np.argsort(keys)
+    sent = session.sparkContext.broadcast((words, keys[order], top["value"].to_numpy().astype(float)[order], Bitmap(tree, "key")))
+    kinds = {
+        "n_tokens": pa.int64(), "known": pa.int64(), "logs": pa.float64(), "score": pa.float64(),
+        "rare": pa.list_(pa.int64()), "further": pa.list_(pa.int64()),
+    }
+    schema = "struct<n_tokens:bigint,known:bigint,logs:double,score:double,rare:array<bigint>,further:array<bigint>>"
+
+    def listed(values: np.ndarray, text: np.ndarray, n: int) -> pa.Array:
+        order = np.argsort(text, kind="stable")
+        cut = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n))])
+        return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(values[order], pa.int64()))
+
+    def run(lists: pa.Array) -> pa.Array:
+        words, keys, values, bitmap = sent.value
+        n = len(lists)
+        if not n:
+            return pa.array([], pa.struct(list(kinds.items())))
+        flat, sizes = _flat(lists)
+        text = np.repeat(np.arange(n), sizes)
+        at = found_at(words.keys, flat)
+        known = at >= 0
+        own = words.counts[at[known]]
+        by_text = lambda t, x: np.bincount(t, x, n)
+        score = by_text(text[known], np.log10(own * words.each))
+        further, texts = [], []
+        for places, context, whole, _ in runs(flat, sizes, depth):
+            for key in (state_key(context), whole):
+                may = bitmap.has(key)
+                key, where = key[may], places[may]
+                at = found_at(keys, key)
+                cached = at >= 0
+                score += by_text(where[cached], values[at[cached]])
+                further.append(key[~cached])
+                texts.append(where[~cached])
         columns = [
-            pa.array(sizes, pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-            pa.array(np.add.reduceat(logs, starts)), pa.array(np.add.reduceat(found, starts)), rare,
+            pa.array(sizes), pa.array(np.bincount(text[known], minlength=n)), pa.array(by_text(text[known], np.log10(own + 1.0))),
+            pa.array(score), listed(flat[~known], text[~known], n), listed(np.concatenate(further), np.concatenate(texts), n),
         ]
         return pa.StructArray.from_arrays(columns, names=list(kinds))
 
-    types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()))
-    schema = "struct<" + ",".join(f"{k}:{t}" for k, t in kinds.items()) + ">"
-    first = landed(
-        rows.select("id", "held_out", F.monotonically_increasing_id().alias("row"), F.arrow_udf(run, schema)("text").alias("s"))
-        .select("id", "held_out", "row", "s.*"), "scores",
-    )
+    first = landed(rows.select("id", "held_out", "row", F.arrow_udf(run, schema)("tokens").alias("s")).select("id", "held_out", "row", "s.*"), "scores")
+    deep = first.select("row", F.explode("further").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
+    deep = deep.join(tree, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("deeper"))
     rare = first.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count("*").alias("times"))
     found = rare.join(counted, "token").groupBy("row").agg(
         F.sum("times").alias("more"),
         F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more_logs"),
-        F.sum(F.col("times") * F.log10(F.col("c") * F.lit((1 - words.unseen) / max(words.rest, 1)))).alias("inner"),
+        F.sum(F.col("times") * F.log10(F.col("c") * F.lit(words.each))).alias("inner"),
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     unseen = F.col("n_tokens") - F.col("known") - zero("more")
-    return first.drop("rare").join(found, "row", "left").select(
+    return first.drop("rare", "further").join(found, "row", "left").join(deep, "row", "left").select(
         F.col("id").alias(id_column), "held_out", "n_tokens", (F.col("known") + zero("more")).alias("n_known"),
         F.lit(words.total).cast("bigint").alias("train_tokens"),
         (F.col("logs") + zero("more_logs") - F.col("n_tokens") * F.lit(math.log10(words.total + words.distinct + 1))).alias("base_score"),
-        (F.col("score") + zero("inner") + unseen * F.lit(math.log10(words.unseen))).alias("score"),
+        (F.col("score") + zero("deeper") + zero("inner") + unseen * F.lit(math.log10(words.unseen))).alias("score"),
     )
