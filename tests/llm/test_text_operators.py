@@ -209,3 +209,16 @@ def test_suffix_tree_learns_rare_words_and_long_contexts(spark):
     assert deep[5000] > deep[5001] + 1 and abs(flat[5000] - flat[5001]) < 0.5
     joined = score(cached=5)
     assert all(math.isclose(joined[k], deep[k], rel_tol=1e-9) for k in deep)
+
+
+def test_a_collection_of_licenses_keeps_every_label(spark):
+    text = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files. "
+        "Redistribution and use in source and binary forms, with or without modification, are permitted. "
+        "GNU General Public License version 3. GNU Lesser General Public License. Apache License, Version 2.0. CC BY-SA 4.0. CC BY-NC 4.0."
+    )
+    # every licence word of the others is more frequent than those of the first two
+    usual = "GNU General Public License version 3, Lesser, Apache 2.0, CC BY-SA BY-NC 4.0"
+    docs = spark.createDataFrame([(text,)] + [(usual,)] * 20, "text string")
+    found = by_text(licenses.scanned(docs, licenses.rarity(docs)), "labels")[text][0]
+    assert {"mit-text", "bsd", "gpl-3.0", "lgpl", "apache-2.0", "cc-by-sa", "cc-by-nc"} <= set(found)

@@ -1,8 +1,8 @@
 """License scans by a positional index of rare licence words.
 
 The index lists, for each licence word, the templates and the place in each template where
-it stands. Of a text's licence words the rarest in the corpus are looked up; every posting
-votes for the template and the place in the text where that template would then begin.
+it stands. Of each key phrase the rarest word in the corpus is looked up; where a text has one,
+every posting of its template votes for the place in the text where it would then begin.
 Templates reached that way are scored by the share of their indexed words that stand at
 the same relative place, and count only where a mandatory key phrase is present, word by
 word. Key phrases of the fixed labels are templates of their own and always looked up, so
@@ -61,7 +61,6 @@ TEMPLATES = {
 }
 # capitals are letters here too: only licence words are put in lower case
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-LOOKED_UP = 8
 LEAST_SHARE = 0.4
 
 
@@ -145,11 +144,8 @@ def scanned(docs: DataFrame, weights: dict[str, float], text_column: str = "text
     """All columns, n_words, base (places of each fixed label's phrase), base_labels, labels and score."""
     rows = _worded(docs, text_column)
     ranked = sorted(weights, key=lambda w: (-weights[w], w))
-    order = F.create_map(*[F.lit(x) for pair in ((w, i) for i, w in enumerate(ranked)) for x in pair])
-    own = F.array_distinct(F.transform("hits", lambda h: h["word"]))
-    # the text's rarest licence words, by their rank in the corpus
-    keys = F.slice(F.array_sort(F.transform(own, lambda w: order[w])), 1, LOOKED_UP)
-    rows = rows.withColumn("keys", F.when(F.size("hits") > 0, keys).otherwise(F.array().cast("array<int>")))
+    rank = {word: i for i, word in enumerate(ranked)}
+    rows = rows.withColumn("keys", F.array_distinct(F.transform("hits", lambda h: h["word"])))
     some = F.size("hits") > 0
     none = F.array().cast("array<int>")
     base = {label: F.when(some, _begins(phrase.split())).otherwise(none) for label, phrase in PHRASES.items()}
@@ -157,8 +153,9 @@ def scanned(docs: DataFrame, weights: dict[str, float], text_column: str = "text
     scores = []
     for label, (text, phrases) in TEMPLATES.items():
         words = text.split()
-        postings = [i for i, w in enumerate(ranked) if w in words]
-        reached = some & F.exists("keys", lambda k: k.isin(postings))
+        # a phrase that is present has its rarest word present, so no template is missed
+        rarest = {min(phrase.split(), key=rank.__getitem__) for phrase in phrases}
+        reached = some & reduce(lambda a, b: a | b, [F.array_contains("keys", word) for word in sorted(rarest)])
         whole = reduce(lambda a, b: a | b, [F.size(_begins(p.split())) > 0 for p in phrases])
         share = _votes(words) / float(len(words))
         best = F.when(reached, F.when(whole, share))
