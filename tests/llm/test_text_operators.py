@@ -222,3 +222,16 @@ def test_a_collection_of_licenses_keeps_every_label(spark):
     docs = spark.createDataFrame([(text,)] + [(usual,)] * 20, "text string")
     found = by_text(licenses.scanned(docs, licenses.rarity(docs)), "labels")[text][0]
     assert {"mit-text", "bsd", "gpl-3.0", "lgpl", "apache-2.0", "cc-by-sa", "cc-by-nc"} <= set(found)
+
+
+def test_names_of_elements_do_not_drop_article_text(spark):
+    page = (
+        "<body><div id=comments>first!</div><article><section id='related-work'>Others did</section><h2 id=search>Search</h2>"
+        "<div id=social-impact>People</div><p class=response-reply>She said</p><p>With <math><mi>x</mi><mo>=</mo><mn>2</mn></math> so"
+        "<object data=a.svg>A <b>chart</b></object><canvas>drawn</canvas></p><div class='comment-list'>hey</div><div class=ad-slot>buy</div></article></body>"
+    )
+    story = lambda k: f"<body><article><p>Story {k}</p><div class=notice>Storm {k}</div><div class=related>More</div></article></body>"
+    rows = [(0, "http://one/", page)] + [(10 + k, "http://many/", story(k)) for k in range(12)]
+    found = {r["page_id"]: r["text"] for r in site_tree.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert found[0] == "Others did\n\nSearch\n\nPeople\n\nShe said\n\nWith x=2 soA chartdrawn"
+    assert all(found[10 + k] == f"Story {k}\n\nStorm {k}" for k in range(12))

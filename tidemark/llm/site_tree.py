@@ -5,7 +5,10 @@ their classes, and it holds how often each content stood there and how often eac
 child elements. Both give an entropy, relative to the largest possible one: near 0 for
 what all pages repeat (templates), near 1 for what differs from page to page. A node's
 importance is the larger of the two, weighed with what its markup says: navigation,
-headers, footers, asides, forms, adverts, notices and comments have none. All else is judged
+headers, footers, asides, forms, adverts and comments have none, whose content may differ
+from page to page. Names that articles use too (notice, related, search), and ids in an
+article, only lower it. Names are whole tokens of class and role, and outside articles of
+an id. All else is judged
 alike, inside an article or main element and outside of it. Branches of low importance are
 removed from each page, and the rest is its text; inside an article only the contents that a
 tenth of the node's pages share are, so what stands on few pages is kept there.
@@ -40,21 +43,37 @@ from tidemark.llm.outliers import looked_up
 LEAST_PAGES = 5
 LEAST_IMPORTANCE = 0.3
 LEAST_REPEATED = 0.1
+LOWERED = 0.5
 
 # Fixed values of HTML: elements by how they are laid out.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg iframe object textarea title math canvas audio video select".split())
+RAW = frozenset("script style noscript template svg iframe textarea title audio video select annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span "
-    "strike strong sub sup time tt u var".split()
+    "strike strong sub sup time tt u var object canvas "
+    # formulas
+    "math semantics maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 BARE = frozenset("nav footer aside form button menu dialog head".split())
 MAIN = frozenset(("article", "main"))
+# Names of menus, adverts, forms and comments, whose content may differ from page to page.
 ROLES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
-    "breadcrumb breadcrumbs sidebar footer cookie cookies consent notice notices notification popup modal overlay newsletter "
-    "subscribe subscription share sharing social related recommended comment comments disqus replies reply respond widget "
-    "toolbar pagination pager login signin signup search complementary contentinfo".split()
+    "ad ads advert adverts advertisement advertising sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar "
+    "footer cookie cookies consent newsletter subscribe share sharing comment comments disqus replies respond toolbar pagination "
+    "pager login signin signup".split()
+)
+ROLES_BY_ROLE = frozenset("navigation menu menubar toolbar search banner complementary contentinfo form dialog".split())
+# Names that may be of articles too: they lower importance.
+DOUBTFUL = frozenset(
+    "sponsor promotion banner notice notices notification popup modal overlay subscription social related recommended reply "
+    "search widget".split()
+)
+# Words that with a name make another name of the same: ad-slot, comment-list.
+AROUND = frozenset(
+    "area bar block box button buttons container inner item items left link links list main outer right section site slot top "
+    "bottom unit wrap wrapper".split()
 )
 HEADER_ROLES = frozenset(("header", "masthead", "banner"))
 CLOSED_BY = {
@@ -62,26 +81,39 @@ CLOSED_BY = {
     "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"),
 }
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""", re.S)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
 @lru_cache(maxsize=4096)
-def _marks(tag: str, attributes: str) -> tuple[str, frozenset[str]]:
-    """The element's name in paths, and the words of its class, id and role."""
-    words = {w for m in NAMES.finditer(attributes) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()) if w}
-    return ".".join([tag, *sorted(words)]), frozenset(words)
+def _marks(tag: str, attributes: str) -> tuple[str, frozenset[str], bool, bool, bool]:
+    """The element's name in paths, its class, id and role tokens, and whether these name what no text has, by an id only, or doubtfully."""
+    named: dict[str, list[str]] = {"class": [], "id": [], "role": []}
+    for m in NAMES.finditer(attributes):
+        named[m[1].lower()] += (m[2] or m[3] or m[4] or "").lower().split()
+    every = [token for tokens in named.values() for token in tokens]
+    words = {w for token in every for w in re.split(r"[^a-z]+", token) if w}
+
+    def one_of(tokens: list[str], names: frozenset[str]) -> bool:
+        """Whether a whole token is a name, alone or with words around it."""
+        parts = [{w for w in re.split(r"[-_]+", token) if w} for token in tokens]
+        return any(p & names and p <= names | AROUND for p in parts)
+
+    bare = one_of(named["class"], ROLES) or bool(ROLES_BY_ROLE & set(named["role"]))
+    by_id = tag not in HEADINGS and one_of(named["id"], ROLES)
+    return ".".join([tag, *sorted(words)]), frozenset(every), bare, by_id, one_of(named["class"], DOUBTFUL)
 
 
 class Block:
-    __slots__ = ("path", "text", "inside", "bare")
+    __slots__ = ("path", "text", "inside", "bare", "doubtful")
 
-    def __init__(self, path: str, text: str, inside: bool, bare: bool) -> None:
-        self.path, self.text, self.inside, self.bare = path, text, inside, bare
+    def __init__(self, path: str, text: str, inside: bool, bare: bool, doubtful: bool) -> None:
+        self.path, self.text, self.inside, self.bare, self.doubtful = path, text, inside, bare, doubtful
 
 
 def blocks(page: str) -> tuple[list[Block], dict[str, list[str]]]:
     """Text blocks in page order, and the child elements of each path."""
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, in an article, without importance
+    # tag, path, in an article, without importance, of lower importance
+    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
     found: list[Block] = []
     children: dict[str, list[str]] = {}
     pieces: list[str] = []
@@ -91,8 +123,7 @@ def blocks(page: str) -> tuple[list[Block], dict[str, list[str]]]:
             text = " ".join(references.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                _, path, inside, bare = stack[-1]
-                found.append(Block(path, text, inside, bare))
+                found.append(Block(text=text, **dict(zip(("path", "inside", "bare", "doubtful"), stack[-1][1:]))))
 
     def close(tags: tuple[str, ...]) -> None:
         if stack[-1][0] in tags:
@@ -133,11 +164,12 @@ def blocks(page: str) -> tuple[list[Block], dict[str, list[str]]]:
         close(("p",))
         for _ in range(3):
             close(CLOSED_BY.get(tag, ()))
-        name, words = _marks(tag, match[3])
-        _, path, inside, bare = stack[-1]
-        plain = tag in BARE or bool(words & ROLES) or (not inside and (tag == "header" or bool(words & HEADER_ROLES)))
+        name, words, named, by_id, lower = _marks(tag, match[3])
+        _, path, inside, bare, doubtful = stack[-1]
+        plain = tag in BARE or named or (not inside and (by_id or tag == "header" or bool(words & HEADER_ROLES)))
         children.setdefault(path, []).append(name)
-        stack.append((tag, f"{path}>{name}", inside or tag in MAIN or "main" in words, bare or plain))
+        # an id in an article may as well be the target of a link to a chapter
+        stack.append((tag, f"{path}>{name}", inside or tag in MAIN or "main" in words, bare or plain, doubtful or lower or by_id))
     flush()
     return found, children
 
@@ -146,12 +178,12 @@ def _digest(text: str) -> int:
     return zlib.crc32(text.encode()) << 32 | zlib.adler32(text.encode())
 
 
-def _contents(found: list[Block]) -> dict[tuple[str, bool], int]:
-    """Hash of what stands at each path, over the blocks that are judged; with whether the path is in an article."""
-    texts: dict[tuple[str, bool], list[str]] = {}
+def _contents(found: list[Block]) -> dict[tuple[str, bool, bool], int]:
+    """Hash of what stands at each path, over the blocks that are judged; with whether it is in an article, and doubtful."""
+    texts: dict[tuple[str, bool, bool], list[str]] = {}
     for block in found:
         if not block.bare:
-            texts.setdefault((block.path, block.inside), []).append(block.text)
+            texts.setdefault((block.path, block.inside, block.doubtful), []).append(block.text)
     return {node: _digest("\n".join(own)) >> 1 for node, own in texts.items()}
 
 
@@ -161,10 +193,10 @@ def _nodes(pages: pa.Array) -> pa.Array:
     for page in pages.to_pylist():
         found, children = blocks(page)
         rows.append([
-            {"path": path, "inside": inside, "content": content, "style": _digest(" ".join(children.get(path, ()))) >> 1}
-            for (path, inside), content in _contents(found).items()
+            {"path": path, "inside": inside, "doubtful": doubtful, "content": content, "style": _digest(" ".join(children.get(path, ()))) >> 1}
+            for (path, inside, doubtful), content in _contents(found).items()
         ])
-    kinds = [("path", pa.string()), ("inside", pa.bool_()), ("content", pa.int64()), ("style", pa.int64())]
+    kinds = [("path", pa.string()), ("inside", pa.bool_()), ("doubtful", pa.bool_()), ("content", pa.int64()), ("style", pa.int64())]
     return pa.array(rows, pa.list_(pa.struct(kinds)))
 
 
@@ -173,16 +205,16 @@ def main_text(page: str, unimportant: set[str]) -> str:
     found, _ = blocks(page)
     contents = _contents(found)
     low = {
-        path for (path, inside), content in contents.items()
+        path for (path, inside, _), content in contents.items()
         if (f"{path}\n{content}" if inside else path) in unimportant
     }
     return "\n\n".join(b.text for b in found if not b.bare and b.path not in low)
 
 
 def nodes(pages: DataFrame) -> DataFrame:
-    """host, page, path, inside, content, style of every judged node; ``pages`` has host and html."""
+    """host, page, path, inside, doubtful, content, style of every judged node; ``pages`` has host and html."""
     small_batches(pages.sparkSession)
-    node = F.arrow_udf(_nodes, "array<struct<path:string,inside:boolean,content:bigint,style:bigint>>")
+    node = F.arrow_udf(_nodes, "array<struct<path:string,inside:boolean,doubtful:boolean,content:bigint,style:bigint>>")
     rows = pages.select("host", node("html").alias("nodes"))
     each = rows.select("host", F.xxhash64("nodes").alias("page"), F.inline("nodes")).distinct()
     return landed(each, "nodes")
@@ -190,16 +222,18 @@ def nodes(pages: DataFrame) -> DataFrame:
 
 def unimportant(each: DataFrame) -> DataFrame:
     """host, entry: what is removed from the pages of a host, as ``main_text`` reads it."""
+    node = ["host", "path", "inside", "doubtful"]
+
     def entropy(value: str) -> DataFrame:
         """From the sums of n and n log n over the values of a node."""
-        counts = each.groupBy("host", "path", "inside", value).agg(F.count("*").alias("n"))
-        sums = counts.groupBy("host", "path", "inside").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
+        counts = each.groupBy(*node, value).agg(F.count("*").alias("n"))
+        sums = counts.groupBy(*node).agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
         by = F.when(F.col("m") > 1, 1 - F.col("s") / F.col("m") / F.log("m")).otherwise(1.0)
-        return sums.select("host", "path", "inside", "m", by.alias(f"by_{value}"))
+        return sums.select(*node, "m", by.alias(f"by_{value}"))
 
-    node = ["host", "path", "inside"]
     both = entropy("content").join(entropy("style").drop("m"), node)
-    low = both.filter((F.col("m") >= LEAST_PAGES) & (F.greatest("by_content", "by_style") < LEAST_IMPORTANCE))
+    importance = F.greatest("by_content", "by_style") * F.when(F.col("doubtful"), LOWERED).otherwise(1.0)
+    low = both.filter((F.col("m") >= LEAST_PAGES) & (importance < LEAST_IMPORTANCE))
     # before the join, so that a large host brings few rows to it
     repeated = each.filter("inside").groupBy(*node, "content").agg(F.count("*").alias("n")).filter("n > 1")
     often = repeated.join(low.select(*node, "m"), node).filter(F.col("n") >= F.col("m") * LEAST_REPEATED)
