@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, grader, licenses, outliers, packing, personal_data, site_tree, suffix_tree
 
@@ -235,3 +236,9 @@ def test_names_of_elements_do_not_drop_article_text(spark):
     found = {r["page_id"]: r["text"] for r in site_tree.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert found[0] == "Others did\n\nSearch\n\nPeople\n\nShe said\n\nWith x=2 soA chartdrawn"
     assert all(found[10 + k] == f"Story {k}\n\nStorm {k}" for k in range(12))
+
+
+def test_spelled_mail_is_found_in_any_case(spark):
+    texts = [f"JOHN [{sign}] EXAMPLE [DOT] COM" for sign in ("AT", "At", "aT", "at")]
+    found = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("found", personal_data.candidates(F.col("text")))
+    assert all("spelled_mail" in {x["kind"] for x in r["found"]} for r in found.collect())

@@ -56,8 +56,8 @@ CELLS = math.prod(FEATURES.values())
 NAMING = r"(?i)(?:token|secret|key|password|mail|phone|tel|fax|call|card|visa|iban|ssn|ip|address)\W{0,4}$"
 
 
-def _matches(text: Column, pattern: str, sign: str | None) -> Column:
-    """Matches as array of (start, end, match); positions in code points, end exclusive."""
+def _matches(text: Column, pattern: str, *signs: str | None) -> Column:
+    """Matches as array of (start, end, match); positions in code points, end exclusive. A text without any of the signs has none."""
     pattern_column = F.lit(pattern)
     found = F.regexp_extract_all(text, pattern_column, F.lit(0))
 
@@ -83,7 +83,8 @@ def _matches(text: Column, pattern: str, sign: str | None) -> Column:
     held = F.transform(F.array(found), lambda m: F.when(F.size(m) == 0, none).otherwise(
         placed(F.struct(m.alias("found"), F.split(text, pattern, -1).alias("parts")))
     ))[0]
-    return F.when(F.contains(text, F.lit(sign)), held).otherwise(none) if sign else held
+    known = [F.contains(text, F.lit(sign)) for sign in signs if sign]
+    return F.when(reduce(lambda a, b: a | b, known), held).otherwise(none) if known else held
 
 
 def _digits(match: Column) -> Column:
@@ -162,10 +163,10 @@ def with_base_spans(docs: DataFrame, text_column: str = "text") -> DataFrame:
 def candidates(text: Column) -> Column:
     """Array of candidates of all generators: start, rank, end, kind, confirmed and the features."""
     every = {k: p for k, (p, _) in FORMATS.items() if k not in ("email", "phone")} | PROPOSED
-    signs = {"ip": ".", "spelled_mail": "at", "local_phone": None}
+    signs = {"ip": ["."], "spelled_mail": ["at", "AT", "At", "aT"]}
 
     def of(kind: str) -> Column:
-        return F.transform(_matches(text, every[kind], signs.get(kind)), lambda x: F.struct(
+        return F.transform(_matches(text, every[kind], *signs.get(kind, [])), lambda x: F.struct(
             x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), x["end"].alias("end"), F.lit(kind).alias("kind"),
             _confirmed(kind, x["match"]).alias("confirmed"),
             *[value.alias(f"f_{name}") for name, value in _features(kind, text, x).items()],
