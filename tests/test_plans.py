@@ -240,3 +240,13 @@ def test_history_counts_edits_on_observed_days_where_they_are_dated(spark, tmp_p
     counts, days = daily.past_counts(spark, lake, D)
     assert days == 2
     assert rows(counts, "title", "edit_count", "unique_editors") == [("A", 2, 2), ("B", 2, 2)]
+
+
+def test_answers_without_the_days_requests_fail(spark, tmp_path):
+    answer = {
+        "project": "fr.wikipedia.org", "status": 200, "titles": ["Paris"],
+        "body": {"query": {"pages": [{"title": "Paris", "pageprops": {"wikibase_item": "Q90"}}]}},
+    }
+    (tmp_path / "answers.ndjson").write_text(json.dumps(answer))
+    with pytest.raises(FileNotFoundError, match="WikidataRequests"):
+        ingest.format_entities(spark, Lake(str(tmp_path / "lake")), str(tmp_path / "answers.ndjson"), D, PARAMS)

@@ -87,7 +87,7 @@ def format_entities(
     landed = entities.read_responses(spark, responses).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         entities.require_usable(landed)
-        asked = lake.optional_day(spark, "raw", "WikidataRequests", day_text(day), schemas.ENTITY_REQUESTS)
+        asked = lake.days(spark, "raw", "WikidataRequests", [day_text(day)], schemas.ENTITY_REQUESTS).drop("day")
         entities.require_answered(asked, landed)
         ids = entities.ids_from_responses(landed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
