@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe, fingerprints, grader, licenses, near_duplicates, outliers, packing, personal_data, site_tree, suffix_tree,
+    whitening,
 )
 from tidemark.llm.common import landed, table
 
@@ -125,3 +126,10 @@ def op4_site_tree(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     found = site_tree.extracted(pages)
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op12_spectrum_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding on the four leading components of the distinct embeddings, whitened."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return whitening.whitened(rows, "vec_id", "embedding", whitening.fit(rows, "embedding"))
