@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, fingerprints, grader, licenses, near_duplicates, outliers, packing, personal_data, site_tree, suffix_tree,
-    whitening,
+    bpe, conversation_trie, fingerprints, grader, licenses, near_duplicates, outliers, packing, personal_data, site_tree,
+    suffix_tree, whitening,
 )
 from tidemark.llm.common import landed, table
 
@@ -133,3 +133,61 @@ def op12_spectrum_slices(spark: SparkSession, folder: str) -> DataFrame:
     """Every embedding on the four leading components of the distinct embeddings, whitened."""
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return whitening.whitened(rows, "vec_id", "embedding", whitening.fit(rows, "embedding"))
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    rows = table(spark, folder, "conversations")
+    turns = conversation_trie.ordered_turns(rows, "conv_id", "turn", "role", "text")
+    trie = conversation_trie.collapse(*conversation_trie.rebuilt_turns(turns))
+    key = conversation_trie.KEY
+    return trie.nodes.join(conversation_trie.ends_digests(trie.ends), key, "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
+# crc32 bit by bit: each byte enters with the first of its eight steps
+ORACLE["op11_conversation_trie"] = """
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+        FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (SELECT DISTINCT conv_id FROM turns),
+    leads AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS base,
+               xor(list_reduce(
+                   list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+                       range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+                       lambda i: [CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+                   lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), CAST(4294967295 AS BIGINT)) % 9 AS lead
+        FROM ids),
+    rebuilt AS (
+        SELECT l.conv_id, 0 AS own, t.pos, t.role, t.text
+        FROM leads l JOIN turns t ON t.conv_id = l.base AND t.pos < l.lead
+        UNION ALL
+        SELECT l.conv_id, 1, t.pos, t.role, t.text FROM leads l JOIN turns t USING (conv_id) WHERE t.pos >= l.lead),
+    sequences AS (
+        SELECT i.conv_id, coalesce(list({'role': r.role, 'text': r.text} ORDER BY own, pos) FILTER (r.role IS NOT NULL), []) AS s
+        FROM ids i LEFT JOIN rebuilt r USING (conv_id) GROUP BY i.conv_id),
+    prefixes AS (
+        SELECT conv_id, s[1:d] AS key, d AS depth, d = len(s) AS ended
+        FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM sequences)),
+    nodes AS (
+        SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '') AS ends
+        FROM prefixes GROUP BY key, depth),
+    inner_nodes AS (
+        SELECT key[1:depth - 1] AS key, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+    weighed AS (
+        SELECT n.*, coalesce(i.n_children, 0) AS n_children,
+               CASE WHEN n.depth > 0 THEN (n.n_convs - 1) * strlen(n.key[n.depth].text) ELSE 0 END AS saved
+        FROM nodes n LEFT JOIN inner_nodes i ON i.key = n.key AND i.depth = n.depth),
+    subtrees AS (
+        SELECT key[1:a] AS key, a AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM weighed) GROUP BY 1, 2)
+    SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, CAST(w.n_children AS BIGINT) AS n_children,
+           CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(w.ends) AS ends_sha256
+    FROM weighed w JOIN subtrees s ON s.key = w.key AND s.depth = w.depth
+    LEFT JOIN nodes p ON p.depth = w.depth - 1 AND p.key = w.key[1:w.depth - 1]"""
