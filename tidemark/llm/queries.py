@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, conversation_trie, fingerprints, grader, licenses, near_duplicates, outliers, packing, personal_data, site_tree,
-    suffix_tree, whitening,
+    bpe, conversation_trie, fingerprints, grader, licenses, near_duplicates, ngram_join, outliers, packing, personal_data,
+    site_tree, suffix_tree, whitening,
 )
 from tidemark.llm.common import landed, table
 
@@ -191,3 +191,9 @@ ORACLE["op11_conversation_trie"] = """
            CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(w.ends) AS ends_sha256
     FROM weighed w JOIN subtrees s ON s.key = w.key AND s.depth = w.depth
     LEFT JOIN nodes p ON p.depth = w.depth - 1 AND p.key = w.key[1:w.depth - 1]"""
+
+
+@query
+def op13_vertical_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose n-gram sets are at least 0.8 similar."""
+    return ngram_join.similar(table(spark, folder, "documents"))
