@@ -12,6 +12,7 @@ from tidemark.session import shared_folder
 # Arrow batches to Python stay small whatever the length of a text.
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 2000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -31,9 +32,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def landed(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back: work done before is never done again, on any executor."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    # once written, what the write has shuffled is of no use
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Recent(dict):

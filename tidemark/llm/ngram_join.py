@@ -57,17 +57,12 @@ def _digest(found: np.ndarray) -> bytes | None:
 
 
 def _signed(texts: pa.Array) -> pa.Array:
+    """size, digest and the n-grams of the first fragment of every text."""
     sets = [shingles(t) for t in texts.to_pylist()]
+    first = [_as_list(s[: np.searchsorted(s, np.uint64(1 << (64 - FRAGMENT_BITS)))]) for s in sets]
     return pa.StructArray.from_arrays(
-        [pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary())], names=["size", "digest"]
-    )
-
-
-def _first_fragment(texts: pa.Array) -> pa.Array:
-    sets = [shingles(t) for t in texts.to_pylist()]
-    kept = [_as_list(s[: np.searchsorted(s, np.uint64(1 << (64 - FRAGMENT_BITS)))]) for s in sets]
-    return pa.StructArray.from_arrays(
-        [pa.array([_digest(s) for s in sets], pa.binary()), pa.array(kept, pa.list_(pa.int64()))], names=["digest", "grams"]
+        [pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()), pa.array(first, pa.list_(pa.int64()))],
+        names=["size", "digest", "grams"],
     )
 
 
@@ -93,14 +88,12 @@ def _sizes_fit(size_a: Column, size_b: Column) -> Column:
     return 100 * F.least(size_a, size_b) >= PERCENT * F.greatest(size_a, size_b)
 
 
-def _texts_of(rows: DataFrame, classes: DataFrame, grams) -> DataFrame:
-    """number, size, grams of the classes given, from the text of one row each."""
-    find = F.arrow_udf(grams, "struct<digest:binary,grams:array<bigint>>")
-    kept = classes.select("number", "size", "copies", F.col("first_id").alias("id"), F.col("digest").alias("wanted"))
-    found = rows.join(kept, "id").select("number", "size", "copies", "wanted", find("text").alias("s"))
-    found = found.filter(F.col("s.digest") == F.col("wanted")).select("number", "size", "copies", F.col("s.grams").alias("grams"))
-    repeated = found.filter("copies > 1").dropDuplicates(["number"])
-    return found.filter("copies = 1").unionByName(repeated).drop("copies")
+def _whole_sets(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """number, size, grams of the classes given, from the text of a row with their first id (rows may repeat)."""
+    find = F.arrow_udf(_all_fragments, "struct<digest:binary,grams:array<bigint>>")
+    kept = classes.select("number", "size", F.col("first_id").alias("id"), F.col("digest").alias("wanted"))
+    found = rows.join(kept, "id").select("number", "size", "wanted", find("text").alias("s"))
+    return found.filter(F.col("s.digest") == F.col("wanted")).select("number", "size", F.col("s.grams").alias("grams"))
 
 
 def held_by_others(sets: DataFrame) -> DataFrame:
@@ -114,85 +107,94 @@ def held_by_others(sets: DataFrame) -> DataFrame:
 
 def _open_sets(sets: DataFrame, name: str) -> DataFrame:
     """number, label, size, ordered: sets that may join another label, with their shared n-grams, rarest first."""
-    ordered = held_by_others(sets).groupBy("number").agg(F.sort_array(F.collect_list(F.struct("holders", "gram"))).alias("ordered"))
+    # a set whose row is repeated is still one set
+    ordered = held_by_others(sets).groupBy("number").agg(F.sort_array(F.collect_set(F.struct("holders", "gram"))).alias("ordered"))
     enough = F.size("ordered") >= _least_overlap(F.col("size"))
-    return landed(ordered.join(sets.select("number", "label", "size"), "number").filter(enough), name)
+    return landed(ordered.join(sets.select("number", "label", "size").distinct(), "number").filter(enough), name)
 
 
 def _buckets(open_sets: DataFrame) -> DataFrame:
-    """key, number, label, size, place: the rarest n-grams of each set, where several labels meet.
+    """key, number, label, size, place, alone: the rarest n-grams of each set, where several labels meet.
 
-    ``place`` is the n-gram's place in the set's whole order, unshared n-grams first.
+    ``place`` is the n-gram's place in the set's whole order, unshared n-grams first;
+    ``alone`` is how many in twenty of the set's n-grams no other set holds.
     """
     unshared = F.col("size") - F.size("ordered")
     reach = (F.col("size") - _least_overlap(F.col("size")) + 1 - unshared).cast("int")
     rarest = F.slice("ordered", F.lit(1), F.greatest(reach, F.lit(0)))
     members = open_sets.select("number", "label", "size", unshared.alias("unshared"), F.posexplode(rarest).alias("at", "entry"))
     members = members.select(
-        F.col("entry.gram").alias("key"), "number", "label", "size", (F.col("unshared") + F.col("at")).cast("bigint").alias("place")
+        F.col("entry.gram").alias("key"), "number", "label", "size", (F.col("unshared") + F.col("at")).cast("bigint").alias("place"),
+        F.floor(20 * F.col("unshared") / F.col("size")).alias("alone"),
     )
     ends = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("size").alias("least_size"))
     met = join_under_skew(members, ends.filter("low < high"), ["key"]).filter("low is not null")
     # the smallest partner in the bucket already asks for so much after this place
     least = F.greatest(F.col("least_size"), _least_overlap(F.col("size")))
-    return met.filter(F.col("size") - F.col("place") >= _needed(F.col("size"), least)).select("key", "number", "label", "size", "place")
+    enough = F.col("size") - F.col("place") >= _needed(F.col("size"), least)
+    return met.filter(enough).select("key", "number", "label", "size", "place", "alone")
 
 
 def _one_partner_each(buckets: DataFrame, turn: int) -> DataFrame:
-    """a, b: every member with one member of another label that its n-grams lead to."""
-    hubs = buckets.groupBy("key").agg(
-        F.min_by(F.struct("number", "label", "size"), F.xxhash64("number", F.lit(turn))).alias("hub")
-    )
+    """a, b: every member with one member of another label that its n-grams lead to.
+
+    Members with few n-grams of their own are asked first: in a group of near copies they
+    are close to most others.
+    """
+    by_turn = lambda c: F.struct(c["alone"].alias("alone"), F.xxhash64(c["number"], F.lit(turn)).alias("by_turn"))
+    own = F.struct("number", "label", "size", "alone")
+    hubs = buckets.groupBy("key").agg(F.min_by(own, by_turn(own)).alias("hub"))
     met = join_under_skew(buckets, hubs, ["key"]).filter(
         (F.col("label") != F.col("hub.label")) & _sizes_fit(F.col("size"), F.col("hub.size"))
     )
-    chosen = met.groupBy("number").agg(F.min_by("hub.number", F.xxhash64("hub.number", F.lit(turn))).alias("hub"))
+    chosen = met.groupBy("number").agg(F.min_by("hub.number", by_turn(F.col("hub"))).alias("hub"))
     return chosen.select(F.least("number", "hub").alias("a"), F.greatest("number", "hub").alias("b")).distinct()
 
 
 def _all_partners(buckets: DataFrame) -> DataFrame:
-    """a, b: all pairs of different labels that sizes and places allow.
+    """a, b: all pairs of different labels that sizes and places allow, each in its first common bucket.
 
     In each bucket the label with the most members needs no pairs of its own: only the
     others are joined with all.
     """
+    of_set = buckets.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("place", "key")))["key"].alias("keys"))
     counts = buckets.groupBy("key", "label").agg(F.count("*").alias("members"))
     main = counts.groupBy("key").agg(F.max_by("label", F.struct("members", "label")).alias("main"))
-    placed = join_under_skew(buckets, main, ["key"])
-    left = placed.filter("label != main").select("key", *[F.col(c).alias(f"{c}_a") for c in ("number", "label", "size", "place")])
-    right = placed.select(
-        "key", (F.col("label") == F.col("main")).alias("in_main"), *[F.col(c).alias(f"{c}_b") for c in ("number", "label", "size", "place")]
-    )
+    placed = join_under_skew(buckets.join(of_set, "number"), main, ["key"])
+    columns = ("number", "label", "size", "place", "keys")
+    left = placed.filter("label != main").select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = placed.select("key", (F.col("label") == F.col("main")).alias("in_main"), *[F.col(c).alias(f"{c}_b") for c in columns])
     after = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
     fits = (
         (F.col("label_a") != F.col("label_b"))
         & (F.col("in_main") | (F.col("number_a") < F.col("number_b")))
         & _sizes_fit(F.col("size_a"), F.col("size_b"))
         & (after >= _needed(F.col("size_a"), F.col("size_b")))
+        # both lists are in the global order
+        & (left["key"] == F.array_intersect("keys_a", "keys_b")[0])
     )
     met = left.join(right, (left["key"] == right["key"]) & fits)
-    return met.select(F.least("number_a", "number_b").alias("a"), F.greatest("number_a", "number_b").alias("b")).distinct()
+    return met.select(F.least("number_a", "number_b").alias("a"), F.greatest("number_a", "number_b").alias("b"))
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar enough: overlaps counted by fragment, and summed.
+    """The pairs (a, b) that are similar enough: overlaps counted fragment by fragment, and summed.
 
     ``sets`` holds number, size and ``ordered``, the n-grams that any other set holds.
     """
     grams = F.transform("ordered", lambda x: x["gram"])
 
     def part(k: int) -> Column:
-        return F.struct(F.lit(k).alias("fragment"), F.filter(grams, lambda g: _fragment(g) == k).alias("grams"))
-
-    parts = F.array(*[part(k) for k in range(FRAGMENTS)])
-    segments = sets.select("number", "size", F.inline(parts)).filter(F.size("grams") > 0)
-    left = segments.select(F.col("number").alias("a"), F.col("size").alias("size_a"), "fragment", F.col("grams").alias("grams_a"))
-    right = segments.select(F.col("number").alias("b"), F.col("size").alias("size_b"), "fragment", F.col("grams").alias("grams_b"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
-        "a", "b", "size_a", "size_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("common")
-    )
-    summed = partial.groupBy("a", "b").agg(F.sum("common").alias("common"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
-    return summed.filter(100 * F.col("common") >= PERCENT * (F.col("size_a") + F.col("size_b") - F.col("common"))).select("a", "b")
+        return F.filter(grams, lambda g: _fragment(g) == k)
+
+    def side(name: str) -> DataFrame:
+        return sets.select(
+            F.col("number").alias(name), F.col("size").alias(f"size_{name}"), *[part(k).alias(f"{name}{k}") for k in range(FRAGMENTS)]
+        )
+
+    common = sum((F.size(F.array_intersect(f"a{k}", f"b{k}")) for k in range(FRAGMENTS)), F.lit(0))
+    met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", common.alias("common"))
+    return met.filter(100 * F.col("common") >= PERCENT * (F.col("size_a") + F.col("size_b") - F.col("common"))).select("a", "b")
 
 
 def _labelled(sets: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -205,28 +207,26 @@ def _labelled(sets: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def joined(sets: DataFrame) -> DataFrame | None:
     """id, label (the smallest number reachable) of all linked sets; None without any. From number, size, grams."""
-    open_sets = _open_sets(_labelled(sets, None), "open-sets")
-    whole, links, labels, turn = open_sets, None, None, 0
+    whole = _open_sets(_labelled(sets, None), "open-sets")
+    buckets, links, labels, turn = landed(_buckets(whole), "buckets"), None, None, 0
     while True:
-        buckets = landed(_buckets(open_sets), "buckets")
         pairs = landed(_one_partner_each(buckets, turn), "pairs")
-        asked, found = pairs.count(), 0
-        if asked:
-            new = landed(linked(pairs, whole), "links")
-            found = new.count()
-        if found:
-            links = new if links is None else links.unionByName(new)
+        asked = pairs.count()
+        found = landed(linked(pairs, whole), "links")
+        joined_now = found.count() if asked else 0
+        if joined_now:
+            links = found if links is None else links.unionByName(found)
             labels = components(links)
-        if found <= LEAST_JOINED * asked:
-            last = landed(linked(_all_partners(_relabelled(buckets, labels)), whole), "links")
-            if not last.isEmpty():
-                labels = components(last if links is None else links.unionByName(last))
+            buckets = landed(_mixed(_relabelled(buckets, labels)), "buckets")
+        if joined_now <= LEAST_JOINED * asked:
             break
-        # only sets whose n-grams still lead to another label go on
-        mixed = _buckets_mixed(_relabelled(buckets, labels)).select("number").distinct()
-        left = whole.join(mixed, "number", "left_semi").select("number", "size", F.transform("ordered", lambda x: x["gram"]).alias("grams"))
-        open_sets = _open_sets(_labelled(left, labels), "open-sets")
         turn += 1
+    # sets whose n-grams still lead to another label, counted anew, and all their pairs
+    left = whole.join(buckets.select("number").distinct(), "number", "left_semi")
+    left = left.select("number", "size", F.transform("ordered", lambda x: x["gram"]).alias("grams"))
+    last = landed(linked(landed(_all_partners(landed(_buckets(_open_sets(_labelled(left, labels), "open-sets")), "buckets")), "pairs"), whole), "links")
+    if not last.isEmpty():
+        labels = components(last if links is None else links.unionByName(last))
     return labels
 
 
@@ -234,7 +234,7 @@ def _relabelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     return buckets if labels is None else _labelled(buckets, labels)
 
 
-def _buckets_mixed(buckets: DataFrame) -> DataFrame:
+def _mixed(buckets: DataFrame) -> DataFrame:
     ends = buckets.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     return join_under_skew(buckets, ends, ["key"]).filter("low is not null").drop("low", "high")
 
@@ -243,17 +243,18 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """id, n_shingles, component_id (the smallest id reachable by links): one row per row of ``docs``."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), whole_text(text_column).alias("text"))
-    signed = landed(rows.select("id", F.arrow_udf(_signed, "struct<size:bigint,digest:binary>")("text").alias("s")).select("id", "s.*"), "signed")
-    copies = signed.filter("digest is not null and id is not null").groupBy("digest", "size", "id").agg(F.count("*").alias("copies"))
-    classes = copies.groupBy("digest", "size").agg(F.min("id").alias("first_id"), F.min_by("copies", "id").alias("copies"))
+    sign = F.arrow_udf(_signed, "struct<size:bigint,digest:binary,grams:array<bigint>>")
+    signed = landed(rows.select("id", sign("text").alias("s")).select("id", "s.*"), "signed")
+    classes = signed.filter("digest is not null and id is not null").groupBy("digest", "size").agg(F.min("id").alias("first_id"))
     classes = landed(classes.withColumn("number", F.monotonically_increasing_id()), "classes")
     # by the first fragment alone most sets turn out to lack too many shared n-grams
-    first = landed(_texts_of(rows, classes, _first_fragment), "first-fragment")
+    named = classes.select("number", "digest", F.col("first_id").alias("id"))
+    first = landed(signed.join(named, ["digest", "id"]).select("number", "size", "grams"), "first-fragment")
     shared = held_by_others(_labelled(first, None)).groupBy("number").agg(F.count("*").alias("shared"))
     lacking = F.size("grams") - F.coalesce("shared", F.lit(0))
     going_on = first.join(shared, "number", "left").filter(lacking <= F.col("size") - _least_overlap(F.col("size"))).select("number")
     going_on = landed(classes.join(going_on, "number", "left_semi"), "going-on")
-    sets = landed(_texts_of(rows, going_on, _all_fragments), "sets")
+    sets = landed(_whole_sets(rows, going_on), "sets")
     labels = joined(sets)
     named = classes.select("digest", "number", "first_id")
     if labels is None:
@@ -264,6 +265,6 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         )
         least = of_label.groupBy("label").agg(F.min("first_id").alias("component"))
         found = join_under_skew(of_label.select("digest", "label"), least, ["label"]).select("digest", "component")
-    out = join_under_skew(signed, found, ["digest"])
+    out = join_under_skew(signed.select("id", "size", "digest"), found, ["digest"])
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_column), F.col("size").alias("n_shingles"), component.alias("component_id"))
