@@ -12,8 +12,8 @@ COMMON = {
         SELECT event_id, ts, CAST(user_id AS VARCHAR) AS usr, event_type,
                CAST(trunc(value) AS BIGINT) AS amount,
                ['en','fr','de','es','ru'][user_id % 5 + 1] || '.wikipedia' AS page,
-               'T' || (CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) // 10) AS title
-        FROM events""",
+               'T' || CASE WHEN k < 30 THEN k // 10 ELSE 3 + (event_id * 7 + k) % 4000 END AS title
+        FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events)""",
     "ed": """
         SELECT ts AS timestamp_utc, page || '.org' AS project, event_id AS rev_id, title, usr,
                amount AS edit_size
@@ -35,22 +35,12 @@ COMMON = {
         SELECT DISTINCT project, title,
                CASE WHEN title <> 'T9' THEN 'Q' || substring(title, 2) END AS wikidata_id
         FROM ed""",
-    "pub": """
-        SELECT CAST(timestamp_utc AS DATE) AS day, project AS edit_project, title, count(*) AS edit_count,
-               count(DISTINCT usr) AS unique_editors, min(timestamp_utc) AS first_edit,
-               count(DISTINCT usr) >= 3 AS is_emerging
-        FROM ed GROUP BY 1, 2, 3""",
-    "multi": """
-        SELECT day, 'Q' || substring(title, 2) AS wikidata_id,
-               count(DISTINCT edit_project) AS language_count,
-               arg_min(edit_project, (first_edit, edit_project)) AS first_language
-        FROM pub WHERE title <> 'T9' GROUP BY 1, 2 HAVING count(DISTINCT edit_project) >= 2""",
 }
 
 
-def aggregated(source: str) -> str:
+def aggregated(source: str, by: str = "") -> str:
     return f"""
-        SELECT project, title, count(*) AS edit_count,
+        SELECT {by} project, title, count(*) AS edit_count,
                CAST(sum(abs(edit_size)) AS BIGINT) AS total_edit_size,
                count(DISTINCT usr) AS unique_editors,
                min(timestamp_utc) AS first_edit, max(timestamp_utc) AS last_edit,
@@ -58,7 +48,18 @@ def aggregated(source: str) -> str:
                     THEN round(count(*) / (epoch_us(max(timestamp_utc)) // 1000000
                                            - epoch_us(min(timestamp_utc)) // 1000000) * 60, 4)
                     ELSE CAST(count(*) AS DOUBLE) END AS edit_velocity
-        FROM {source} GROUP BY project, title"""
+        FROM {source} GROUP BY {by} project, title"""
+
+
+def z_score_days(metric: str) -> str:
+    """Baseline and exact z of a metric for each article on each day, over the observed days of its window."""
+    return f"""
+        SELECT g.day, g.project, g.title, median(g.n) AS baseline,
+               (any_value(g.today) - median(g.n)) / greatest(1.4826 * mad(g.n), 1.0) AS z
+        FROM (SELECT a.day, a.project, a.title, a.{metric} AS today, CAST(coalesce(h.{metric}, 0) AS DOUBLE) AS n
+              FROM agg_days a JOIN obs_days o ON o.day >= a.day - 28 AND o.day < a.day
+              LEFT JOIN agg_days h ON h.project = a.project AND h.title = a.title AND h.day = o.day) g
+        GROUP BY 1, 2, 3"""
 
 
 def joined(edits: str, views: str, top: str) -> str:
@@ -122,25 +123,24 @@ COMMON |= {
 }
 
 
-def signature(source: str) -> str:
-    """Languages per entity, joined back to its articles."""
+def signature(source: str, by: str = "") -> str:
+    """Languages per entity (and day), joined back to its articles."""
     return f"""
         SELECT s.*, l.language_count, l.languages_editing, l.first_language,
                round_even((epoch_us(s.first_edit) - epoch_us(l.entity_first)) / 60000000.0 * 10, 0) / 10
                    AS language_lag_minutes
         FROM {source} s JOIN (
-            SELECT entity_key, count(*) AS language_count,
+            SELECT {by} entity_key, count(*) AS language_count,
                    string_agg(edit_project, ',' ORDER BY first_edit, edit_project) AS languages_editing,
                    arg_min(edit_project, (first_edit, edit_project)) AS first_language,
                    min(first_edit) AS entity_first
-            FROM (SELECT entity_key, edit_project, min(first_edit) AS first_edit FROM {source} GROUP BY ALL)
-            GROUP BY 1) l USING (entity_key)"""
+            FROM (SELECT {by} entity_key, edit_project, min(first_edit) AS first_edit FROM {source} GROUP BY ALL)
+            GROUP BY {by} entity_key) l USING ({by} entity_key)"""
 
 
-COMMON |= {
-    "trd": signature("scored"),
-    "clv": """
-        SELECT wikidata_id, any_value(language_count) AS language_count,
+def events(source: str, by: str = "") -> str:
+    return f"""
+        SELECT {by} wikidata_id, any_value(language_count) AS language_count,
                any_value(languages_editing) AS languages_editing, any_value(first_language) AS first_language,
                min(first_edit) AS first_edit, max(language_lag_minutes) AS spread_minutes,
                string_agg(split_part(edit_project, '.', 1) || ':' || title, ' | '
@@ -150,7 +150,41 @@ COMMON |= {
                CAST(sum(pageviews) AS BIGINT) AS total_pageviews,
                CAST(sum(CASE WHEN is_emerging THEN 1 ELSE 0 END) AS INTEGER) AS emerging_languages,
                bool_or(is_emerging) AS is_emerging
-        FROM trd WHERE wikidata_id IS NOT NULL AND language_count >= 2 GROUP BY 1""",
+        FROM {source} WHERE wikidata_id IS NOT NULL AND language_count >= 2 GROUP BY {by} wikidata_id"""
+
+
+COMMON |= {
+    "trd": signature("scored"),
+    # the same for every day at once
+    "edd": "SELECT *, CAST(timestamp_utc AS DATE) AS day FROM ed",
+    "agg_days": aggregated("edd", "day,"),
+    "obs_days": "SELECT DISTINCT day FROM edd",
+    "known_days": "SELECT a.day, count(o.day) AS n FROM obs_days a LEFT JOIN obs_days o ON o.day >= a.day - 28 AND o.day < a.day GROUP BY 1",
+    "emg_days": f"""
+        SELECT a.*, CAST(k.n AS INTEGER) AS history_days, CASE WHEN k.n >= 3 THEN e.baseline END AS baseline_editors,
+               coalesce(k.n >= 3 AND e.z >= 2.0 AND a.unique_editors >= 3, FALSE) AS is_emerging,
+               CASE WHEN k.n >= 3 THEN round_even(e.z * 100, 0) / 100 END AS z_editors,
+               CASE WHEN k.n >= 3 THEN round_even(c.z * 100, 0) / 100 END AS z_edits,
+               CASE WHEN k.n >= 3 THEN round_even(e.z * 100, 0) / 100 END AS anomaly_score
+        FROM agg_days a JOIN known_days k USING (day)
+        LEFT JOIN ({z_score_days("unique_editors")}) e USING (day, project, title)
+        LEFT JOIN ({z_score_days("edit_count")}) c USING (day, project, title)""",
+    "scored_days": """
+        SELECT a.* EXCLUDE (project), a.project AS edit_project, replace(a.project, '.org', '') AS pageview_project,
+               i.wikidata_id, coalesce(v.views, 0) AS pageviews, coalesce(r.rank, 9999) AS pageview_rank,
+               round(a.edit_count * a.unique_editors / ln(coalesce(v.views, 0) + 2), 4) AS trending_score,
+               coalesce(i.wikidata_id, a.project || '|' || a.title) AS entity_key
+        FROM emg_days a
+        LEFT JOIN ids i ON i.project = a.project AND i.title = a.title
+        LEFT JOIN (SELECT CAST(hour_utc AS DATE) AS day, project, title, CAST(sum(views) AS BIGINT) AS views
+                   FROM vw WHERE title <> '-' GROUP BY ALL) v
+               ON v.day = a.day AND v.project || '.org' = a.project AND v.title = a.title
+        LEFT JOIN (SELECT CAST(date_utc AS DATE) AS day, project, article, CAST(min(rank) AS BIGINT) AS rank FROM tp GROUP BY ALL) r
+               ON r.day = a.day AND r.project || '.org' = a.project AND r.article = a.title
+        WHERE a.day BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'""",
+    "trd_days": signature("scored_days", "day,"),
+    "clv": events("trd"),
+    "clv_days": events("trd_days", "day, "),
     # lead-lag: hours of the window, one row per article and hour, one per article and lag
     "eh": f"""
         SELECT replace(project, '.org', '') AS project, title,
@@ -355,26 +389,28 @@ BODIES = {
                    editors, baseline, z, views, languages
             FROM cells JOIN leaders USING (title))
         SELECT * FROM placed WHERE place <= 5""",
+    "trending_days": f"SELECT day, {TRENDING_COLUMNS} FROM trd_days",
+    "events_days": "SELECT * FROM clv_days",
     "panel_emerging_per_day": """
         , days AS (SELECT CAST(range AS DATE) AS day FROM range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)),
-        langs AS (SELECT edit_project FROM pub WHERE is_emerging GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5)
+        langs AS (SELECT edit_project FROM trd_days WHERE is_emerging GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5)
         SELECT d.day, l.edit_project, count(p.title) AS emerging
         FROM days d CROSS JOIN langs l
-        LEFT JOIN pub p ON p.day = d.day AND p.edit_project = l.edit_project AND p.is_emerging
+        LEFT JOIN trd_days p ON p.day = d.day AND p.edit_project = l.edit_project AND p.is_emerging
         GROUP BY 1, 2""",
     "panel_search": """
         SELECT titles, language_count, first_language, spread_minutes, sum_editors, total_pageviews,
                emerging_languages
         FROM clv""",
     "panel_first_languages": """
-        SELECT first_language, count(*) AS subjects FROM multi GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
+        SELECT first_language, count(*) AS subjects FROM clv_days GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
     "rolling_articles": f"""
-        SELECT count(*) AS articles FROM pub WHERE day BETWEEN {D} - 14 AND {D}""",
+        SELECT count(*) AS articles FROM trd_days WHERE day BETWEEN {D} - 14 AND {D}""",
     "headline_totals": """
         SELECT 'edits' AS metric, count(*) AS value FROM ed
-        UNION ALL SELECT 'article_days', count(*) FROM pub
-        UNION ALL SELECT 'emerging', count(*) FROM pub WHERE is_emerging
-        UNION ALL SELECT 'multilingual_subjects', count(*) FROM multi""",
+        UNION ALL SELECT 'article_days', count(*) FROM trd_days
+        UNION ALL SELECT 'emerging', count(*) FROM trd_days WHERE is_emerging
+        UNION ALL SELECT 'multilingual_subjects', count(*) FROM clv_days""",
     "quality_edits": f"""
         SELECT 'daily_edits' AS rule, CAST(count(*) AS DOUBLE) AS value, CAST(1000 AS DOUBLE) AS threshold,
                count(*) >= 1000 AS ok FROM ed

@@ -18,6 +18,7 @@ from tidemark.operators import (
     aggregates, emergence, entities, languages, leadlag, quality, reports,
 )
 from tidemark.plans.daily import joined_articles, trending_articles
+from tidemark.plans.period import events_period, trending_period
 from tidemark.session import shared_folder
 from tidemark.sources import documents, edits, views
 from tidemark.sources import entities as landed
@@ -82,17 +83,12 @@ def _leadlag(d: t.Tables) -> DataFrame:
     return leadlag.build_leadlag(d.edits, d.hourly, E, P)
 
 
-def _multilingual_by_day(d: t.Tables) -> DataFrame:
-    """Entities edited in at least two languages on the same day, every day."""
-    rows = d.published.filter(F.col("title") != "T9")
-    return (
-        rows.groupBy("day", F.expr("concat('Q', substring(title, 2))").alias("wikidata_id"))
-        .agg(
-            F.count_distinct("edit_project").alias("language_count"),
-            F.min_by("edit_project", F.struct("first_edit", "edit_project")).alias("first_language"),
-        )
-        .filter("language_count >= 2")
-    )
+def _period(d: t.Tables) -> DataFrame:
+    return trending_period(d.edits, d.ids, d.hourly, d.top, t.FIRST_DAY, t.LAST_DAY, P)
+
+
+def _period_events(d: t.Tables) -> DataFrame:
+    return events_period(d.once(_period))
 
 
 # ---- edits
@@ -373,9 +369,20 @@ def panel_emerging_table(d: t.Tables) -> DataFrame:
     return reports.emerging_table(d.once(_trending))
 
 
+@query
+def trending_days(d: t.Tables) -> DataFrame:
+    """The whole trending table of every day."""
+    return d.once(_period)
+
+
+@query
+def events_days(d: t.Tables) -> DataFrame:
+    return d.once(_period_events)
+
+
 @query
 def panel_emerging_per_day(d: t.Tables) -> DataFrame:
-    return reports.emerging_per_day(d.published, t.FIRST_DAY, t.LAST_DAY)
+    return reports.emerging_per_day(d.once(_period), t.FIRST_DAY, t.LAST_DAY)
 
 
 @query
@@ -385,17 +392,17 @@ def panel_search(d: t.Tables) -> DataFrame:
 
 @query
 def panel_first_languages(d: t.Tables) -> DataFrame:
-    return reports.first_languages(d.once(_multilingual_by_day))
+    return reports.first_languages(d.once(_period_events))
 
 
 @query
 def rolling_articles(d: t.Tables) -> DataFrame:
-    return reports.article_count(reports.rolling(d.published, D, 14))
+    return reports.article_count(reports.rolling(d.once(_period), D, 14))
 
 
 @query
 def headline_totals(d: t.Tables) -> DataFrame:
-    return reports.headline_totals(d.edits, d.published, d.once(_multilingual_by_day))
+    return reports.headline_totals(d.edits, d.once(_period), d.once(_period_events))
 
 
 # ---- gates

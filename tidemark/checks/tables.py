@@ -1,6 +1,7 @@
 """The test tables seen as edits, views, top lists, entity ids and their raw forms.
 
-``events`` gives the languages (user_id), articles (the key in ``props``), edits (click,
+``events`` gives the languages (user_id), articles (three hot ones per language by the key in
+``props``, thousands of others by event), edits (click,
 purchase and error rows) and views (view rows); view and signup rows make up a
 language's total traffic. All rows of a table are used.
 """
@@ -63,7 +64,8 @@ class Tables:
         key = F.get_json_object("props", "$.k").cast("int")
         language = F.element_at(F.array(*[F.lit(x) for x in LANGUAGES]), (F.col("user_id") % 5 + 1).cast("int"))
         page = F.concat(language, F.lit(".wikipedia"))
-        title = F.concat(F.lit("T"), F.floor(key / 10).cast("string"))
+        spread = 3 + (F.col("event_id") * 7 + key) % 4000
+        title = F.concat(F.lit("T"), F.when(key < 30, F.floor(key / 10)).otherwise(spread).cast("string"))
         return rows.select(
             "event_id",
             F.col("ts").cast("timestamp").alias("ts"),
@@ -201,20 +203,6 @@ class Tables:
             )
         )
 
-    @cached_property
-    def published(self) -> DataFrame:
-        """Trending-like rows of every day: an article emerges with at least three editors."""
-        return (
-            self.edits
-            .groupBy(F.to_date("timestamp_utc").alias("day"), F.col("project").alias("edit_project"), "title")
-            .agg(
-                F.count("*").alias("edit_count"),
-                F.count_distinct("user").alias("unique_editors"),
-                F.min("timestamp_utc").alias("first_edit"),
-            )
-            .withColumn("is_emerging", F.col("unique_editors") >= PARAMS.min_editors)
-        )
-
     @cached_property
     def order_titles(self) -> DataFrame:
         """One title per order, spread over the languages by customer."""

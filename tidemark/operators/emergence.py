@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import series
@@ -69,16 +69,13 @@ def robust_z(value: str, past: str, days: str, params: Params = DEFAULTS) -> str
     return series.bind("counts", series.zero_padded(past, days), around)
 
 
-def flag_emerging(
-    today: DataFrame, history: DataFrame, days: Column | int, params: Params = DEFAULTS
-) -> DataFrame:
-    """Add history_days, baseline_editors, is_emerging, z_editors, z_edits and anomaly_score.
+def _with_scores(rows: DataFrame, passed: list[str], params: Params) -> DataFrame:
+    """Scores of rows that hold their past counts (``past_*``) and ``history_days``.
 
     The threshold sees the exact z; only the stored value is rounded. With too little
     history there is no baseline: all null and nobody emerges. The scores leave one
     expression through ``inline``, so later filters stay above and each is evaluated once.
     """
-    observed = F.lit(days).cast("int") if isinstance(days, int) else days
 
     def score(metric: str) -> str:
         z = robust_z(metric, f"past_{metric}", "history_days", params)
@@ -90,11 +87,41 @@ def flag_emerging(
         'z_editors', {series.half_even("editors.z", 2)}, 'z_edits', {series.half_even("edits.z", 2)},
         'anomaly_score', {series.half_even("editors.z", 2)})"""
     scores = series.bind("editors", score("unique_editors"), series.bind("edits", score("edit_count"), row))
-    return (
-        today.join(article_history(history), ARTICLE, "left")
-        .withColumn("history_days", observed)
-        .select(*today.columns, "history_days", F.expr(f"inline(array({scores}))"))
-    )
+    return rows.select(*passed, "history_days", F.expr(f"inline(array({scores}))"))
+
+
+def flag_emerging(
+    today: DataFrame, history: DataFrame, days: Column | int, params: Params = DEFAULTS
+) -> DataFrame:
+    """Add history_days, baseline_editors, is_emerging, z_editors, z_edits and anomaly_score."""
+    observed = F.lit(days).cast("int") if isinstance(days, int) else days
+    known = today.join(article_history(history), ARTICLE, "left").withColumn("history_days", observed)
+    return _with_scores(known, today.columns, params)
+
+
+def days_before(volumes: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """day, history_days: how many observed days lie in the window before each day.
+
+    Each observed day counts for the days after it, as many as a window is long; there are
+    as many rows as days, whatever was observed on them.
+    """
+    after = F.sequence(F.date_add("day", 1), F.date_add("day", params.history_days))
+    reached = volumes.select("day").distinct().select(F.explode(after).alias("day"))
+    return reached.groupBy("day").agg(F.count("*").cast("int").alias("history_days"))
+
+
+def flag_period(volumes: DataFrame, first: date, last: date, params: Params = DEFAULTS) -> DataFrame:
+    """``flag_emerging`` for every day (a date) of a period, from one aggregate.
+
+    ``volumes`` holds one row per day and article, from the first day's window on. A day's
+    counts serve the scores of all days whose window it lies in: a range of days per
+    article, which has at most one row per day, instead of one history per target day.
+    """
+    window = Window.partitionBy(*ARTICLE).orderBy(F.unix_date("day")).rangeBetween(-params.history_days, -1)
+    known = volumes.withColumns({f"past_{m}": F.collect_list(m).over(window) for m in METRICS})
+    scored = known.filter(F.col("day").between(F.lit(first), F.lit(last)))
+    with_days = scored.join(days_before(volumes, params), "day", "left").fillna(0, ["history_days"])
+    return _with_scores(with_days, volumes.columns, params)
 
 
 def top_emerging(trending: DataFrame, limit: int = 10) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,17 +22,18 @@ def minutes_between(start: Column, end: Column) -> Column:
     return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(MICROS_PER_MINUTE)
 
 
-def entity_languages(articles: DataFrame) -> DataFrame:
+def entity_languages(articles: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per entity: languages in order of first edit.
 
     Articles are first reduced to one row per entity and language, so the list collected
     per entity is as long as the list of languages, however many articles it has.
     """
-    per_language = articles.groupBy("entity_key", "edit_project").agg(F.min("first_edit").alias("first_edit"))
-    arrivals = per_language.groupBy("entity_key").agg(
+    per_language = articles.groupBy(*by, "entity_key", "edit_project").agg(F.min("first_edit").alias("first_edit"))
+    arrivals = per_language.groupBy(*by, "entity_key").agg(
         F.array_sort(F.collect_list(F.struct("first_edit", "edit_project"))).alias("arrivals")
     )
     return arrivals.select(
+        *by,
         "entity_key",
         F.size("arrivals").cast("bigint").alias("language_count"),
         F.array_join(F.col("arrivals.edit_project"), ",").alias("languages_editing"),
@@ -44,17 +47,19 @@ def keyed_by_entity(articles: DataFrame) -> DataFrame:
     return articles.withColumn("entity_key", key)
 
 
-def add_language_signature(articles: DataFrame, edited: DataFrame | None = None) -> DataFrame:
+def add_language_signature(
+    articles: DataFrame, edited: DataFrame | None = None, by: Sequence[str] = ()
+) -> DataFrame:
     """Add entity_key, language_count, languages_editing, first_language, language_lag_minutes.
 
     Aggregated and joined back rather than computed over a window: a window would put all
     articles of one entity in one task, this join is broadcast or split. ``edited``
     may hold the same articles before costly columns were added; only ids and first edits
-    are read from it.
+    are read from it. With ``by`` an entity is looked at apart for each value, such as each day.
     """
-    arrivals = entity_languages(keyed_by_entity(articles if edited is None else edited))
+    arrivals = entity_languages(keyed_by_entity(articles if edited is None else edited), by)
     lag = minutes_between(F.col("entity_first_edit"), F.col("first_edit"))
-    return join_under_skew(keyed_by_entity(articles), arrivals, ["entity_key"]).select(
+    return join_under_skew(keyed_by_entity(articles), arrivals, [*by, "entity_key"]).select(
         *articles.columns,
         "entity_key",
         "language_count",
@@ -80,8 +85,8 @@ def cross_language_titles(trending: DataFrame) -> DataFrame:
     )
 
 
-def cross_language_events(trending: DataFrame) -> DataFrame:
-    """One row per entity edited in at least two languages the same day.
+def cross_language_events(trending: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per entity edited in at least two languages the same day, per value of ``by`` if given.
 
     Titles are ordered by first edit. They are sorted and joined per minute of first
     edit, then the minutes are joined in order: an entity with very many articles is
@@ -91,7 +96,7 @@ def cross_language_events(trending: DataFrame) -> DataFrame:
     label = F.concat(language_of(F.col("edit_project")), F.lit(":"), F.col("title"))
     pieces = (
         multilingual(trending)
-        .groupBy("wikidata_id", minute.alias("minute"))
+        .groupBy(*by, "wikidata_id", minute.alias("minute"))
         .agg(
             F.max("language_count").alias("language_count"),
             F.max("languages_editing").alias("languages_editing"),
@@ -110,7 +115,7 @@ def cross_language_events(trending: DataFrame) -> DataFrame:
         .drop("articles")
     )
     in_order = F.array_sort(F.collect_list(F.struct("minute", "titles")))
-    return pieces.groupBy("wikidata_id").agg(
+    return pieces.groupBy(*by, "wikidata_id").agg(
         F.max("language_count").alias("language_count"),
         F.max("languages_editing").alias("languages_editing"),
         F.max("first_language").alias("first_language"),
