@@ -2,6 +2,7 @@ from datetime import date, datetime, timezone
 
 import pytest
 from conftest import at, rows
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import columns
@@ -111,3 +112,41 @@ def test_lineage_is_cut_on_shared_storage(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == (configured or spark.sparkContext.getCheckpointDir())
     assert "Scan ExistingRDD" in plan(df) and df.count() == 10
+
+
+def test_tables_are_published_together_or_not_at_all(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    dated = lambda *titles: frame(spark, *titles).withColumn("day", F.lit("20261001"))
+    read = lambda table: rows(lake.published(spark, "usage", table, IDS), "day", "title")
+    lake.publish("usage", {"A": dated("a"), "B": dated("b"), "C": dated("c")}, ["20261001"])
+    broken = dated("x").withColumn("title", F.expr("raise_error('lost')").cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        lake.publish("usage", {"A": dated("new a"), "B": dated("new b"), "C": broken}, ["20261001"])
+    assert [read(t) for t in "ABC"] == [[("20261001", t)] for t in "abc"]
+    lake.publish("usage", {"A": dated("newest"), "B": dated()}, ["20261001"])
+    assert (read("A"), read("B"), read("C")) == ([("20261001", "newest")], [], [("20261001", "c")])
+    assert lake.published_day(spark, "usage", "B", "20261001", IDS).count() == 0
+    with pytest.raises(MissingInput, match="20261002"):
+        lake.published_day(spark, "usage", "A", "20261002", IDS)
+
+
+def test_sweep_leaves_the_live_and_the_unfinished(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    days = spark.createDataFrame([("fr", f"T{d}", None, f"2026100{d}") for d in (1, 2)], "project STRING, title STRING, wikidata_id STRING, day STRING")
+    first = lake.publish("usage", {"A": days}, ["20261001", "20261002"])
+    lake.publish("usage", {"A": days.filter("day = '20261002'")}, ["20261002"])
+    days.withColumn("run", F.lit("9" * 20)).write.mode("append").partitionBy("run", "day").parquet(lake.path("usage", "A"))
+    assert lake.sweep(spark, "usage", "A") == [f"{lake.path('usage', 'A')}/run={first}/day=20261002"]
+    assert rows(lake.published(spark, "usage", "A", IDS), "title") == [("T1",), ("T2",)]
+    assert (tmp_path / "usage" / "A" / f"run={'9' * 20}").exists() and lake.sweep(spark, "usage", "A") == []
+    assert lake.sweep(spark, "usage", "Nothing") == []
+
+
+def test_only_live_folders_are_read(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    for title in "ab":
+        lake.publish("usage", {"A": frame(spark, title).withColumn("day", F.lit("20261001"))}, ["20261001"])
+    read = lake.published(spark, "usage", "A", IDS)
+    assert rows(read, "title") == [("b",)]
+    scan = plan(read)
+    assert "concat_ws(/, run" in scan[scan.index("PartitionFilters"):].split("\n")[0]

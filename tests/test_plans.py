@@ -3,15 +3,18 @@
 import gzip
 import json
 from datetime import date, datetime, timedelta, timezone
+from random import Random
 
 import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.operators import emergence
 from tidemark.operators.quality import DataQualityError
 from tidemark.params import PROJECTS, Params
-from tidemark.plans import daily, ingest
+from tidemark.plans import daily, history, ingest
+from tidemark.sources import documents
 from tidemark.sources.lake import Lake, MissingInput
 from tidemark.streaming import drain as stream
 
@@ -96,7 +99,8 @@ def lake(spark, tmp_path_factory):
 
 
 def usage(spark, lake, table, day=D):
-    return spark.read.parquet(lake.path("usage", table, f"{day:%Y%m%d}"))
+    schema = {t.table: t.schema for t in documents.TABLES.values()}[table]
+    return lake.published_day(spark, "usage", table, f"{day:%Y%m%d}", schema)
 
 
 def test_formatted_edits_hold_no_copies(spark, lake):
@@ -250,3 +254,62 @@ def test_answers_without_the_days_requests_fail(spark, tmp_path):
     (tmp_path / "answers.ndjson").write_text(json.dumps(answer))
     with pytest.raises(FileNotFoundError, match="WikidataRequests"):
         ingest.format_entities(spark, Lake(str(tmp_path / "lake")), str(tmp_path / "answers.ndjson"), D, PARAMS)
+
+
+def test_a_failed_combine_leaves_all_three_tables(spark, lake, monkeypatch):
+    names = ("TrendingArticles", "EditLeadLag", "CrossLanguageEvents")
+    before = [rows(usage(spark, lake, name)) for name in names]
+    whole = daily.usage_tables
+
+    def third_fails(trending, events):
+        tables = whole(trending.withColumn("pageviews", F.lit(0).cast("bigint")), events)
+        return tables | {"CrossLanguageEvents": events.withColumn("titles", F.expr("raise_error('lost')").cast("string"))}
+
+    monkeypatch.setattr(daily, "usage_tables", third_fails)
+    with pytest.raises(Exception, match="lost"):
+        daily.combine_day(spark, lake, D, PARAMS)
+    assert [rows(usage(spark, lake, name)) for name in names] == before
+
+
+def test_a_range_publishes_what_its_days_do_alone(spark, lake, tmp_path_factory):
+    names = ("TrendingArticles", "EditLeadLag", "CrossLanguageEvents")
+    before = [rows(usage(spark, lake, name)) for name in names]
+    daily.combine_period(spark, lake, D, D, PARAMS)
+    assert [rows(usage(spark, lake, name)) for name in names] == before
+    with pytest.raises(MissingInput, match="20261008"):
+        daily.combine_period(spark, lake, D, D + timedelta(days=1), PARAMS)
+
+
+def test_counts_kept_equal_counts_made_anew(spark, tmp_path):
+    """Misfiled edits, shared editors, reruns in any order: the window's counts stay those of its folders."""
+    lake, random = Lake(str(tmp_path)), Random(4)
+    first = D - timedelta(days=6)
+    schema = "timestamp_utc timestamp, project string, title string, user string"
+    lacking = [f for f in schemas.EDITS.fields if f.name not in ("timestamp_utc", "project", "title", "user")]
+
+    def write(n):
+        found = []
+        for _ in range(40):
+            day = first + timedelta(days=n + random.choice([0, 0, 0, 0, -1, 1, 3, -40]))
+            stamp = datetime(day.year, day.month, day.day, random.randrange(24), tzinfo=timezone.utc)
+            found.append((stamp, "fr.wikipedia.org", f"T{random.randrange(3)}", random.choice(["a", "b", "c", "d", None])))
+        df = spark.createDataFrame(found, schema).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lacking])
+        lake.write_day(df, "formatted", "Edits", f"{first + timedelta(days=n):%Y%m%d}")
+        history.update_counts(spark, lake, [f"{first + timedelta(days=n):%Y%m%d}"])
+
+    for n in (0, 2, 1, 4, 5, 1, 6, 4):
+        write(n)
+    for day, window in ((D, 4), (D, 2), (D - timedelta(days=2), 28)):
+        params = Params(history_days=window)
+        counts, days = history.past_counts(spark, lake, day, params)
+        edits = lake.scan(spark, "formatted", "Edits", schemas.EDITS)
+        start, end = (f"{d:%Y%m%d}" for d in emergence.history_window(day, params))
+        observed = lake.observed_days(spark, "formatted", "Edits", schemas.EDITS, start, end)
+        anew = emergence.daily_history(emergence.past_edits(edits, day, params).filter(F.col("day").isin(observed)))
+        columns = ("title", "day", "edit_count", "unique_editors")
+        assert days == len(observed) and rows(counts, *columns) == rows(anew, *columns)
+
+
+def test_a_run_reads_counts_and_no_edits_of_the_past(spark, lake):
+    counts, days = history.past_counts(spark, lake, D, PARAMS)
+    assert days == 6 and not [f for f in counts.inputFiles() if "/formatted/Edits/" in f]

@@ -287,6 +287,26 @@ BODIES = {
         SELECT strftime(timestamp_utc, '%Y%m%d') AS day, project, count(*) AS edits FROM ed GROUP BY 1, 2""",
     "stream_drain": """
         SELECT strftime(timestamp_utc, '%Y%m%d') AS day, count(*) AS edits FROM ed GROUP BY 1""",
+    "drain_skipped": """
+        SELECT count(*) AS received, count(*) FILTER (event_type IN ('signup', 'view')) AS skipped FROM ev""",
+    "raw_committed": """
+        SELECT project, count(*) AS edits, count(DISTINCT rev_id) AS revisions FROM ed_today GROUP BY 1""",
+    "history_counts": f"""
+        , filed AS (
+            SELECT *, CAST(timestamp_utc AS DATE) AS dated,
+                   CAST(timestamp_utc AS DATE) + CASE WHEN rev_id % 20 = 0 THEN 1 ELSE 0 END AS folder
+            FROM ed),
+        within AS (
+            SELECT * FROM filed WHERE folder <> DATE '2024-01-15' AND folder BETWEEN {D} - 28 AND {D} - 1),
+        folders AS (SELECT DISTINCT folder FROM within)
+        SELECT project, title, strftime(dated, '%Y%m%d') AS day, count(*) AS edit_count,
+               count(DISTINCT usr) AS unique_editors, CAST((SELECT count(*) FROM folders) AS INTEGER) AS history_days
+        FROM within WHERE dated IN (SELECT folder FROM folders) GROUP BY 1, 2, 3""",
+    "published_tables": f"""
+        SELECT 'TrendingArticles' AS table_name, strftime(day, '%Y%m%d') AS day, count(*) AS rows
+        FROM trd_days WHERE day <> {D} OR language_count = 1 GROUP BY 2
+        UNION ALL
+        SELECT 'CrossLanguageEvents', strftime(day, '%Y%m%d'), count(*) FROM clv_days GROUP BY 2""",
     "edits_normalized": """
         SELECT DISTINCT to_timestamp(epoch_us(ts) // 1000000) AT TIME ZONE 'UTC' AS timestamp_utc,
                page || '.org' AS project, CASE WHEN event_type <> 'error' THEN event_id END AS rev_id,

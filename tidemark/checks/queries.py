@@ -17,13 +17,15 @@ from tidemark.functions.columns import between_days, day_key
 from tidemark.operators import (
     aggregates, emergence, entities, languages, leadlag, quality, reports,
 )
+from tidemark import schemas
 from tidemark.plans.daily import joined_articles, trending_articles
+from tidemark.plans.history import past_counts, update_counts
 from tidemark.plans.period import events_period, trending_period
 from tidemark.session import shared_folder
 from tidemark.sources import documents, edits, views
 from tidemark.sources import entities as landed
 from tidemark.sources.lake import Lake
-from tidemark.streaming.drain import drain, edits_per_day
+from tidemark.streaming.drain import drain, edits_per_day, file_messages, message_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +50,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
+def landed_once(d: t.Tables, rows: DataFrame) -> DataFrame:
+    """The rows written to a new folder and read back, where several writes start from them."""
+    path = scratch(d.spark)
+    rows.write.parquet(path)
+    return d.spark.read.schema(rows.schema).parquet(path)
+
+
 # ---- inputs shared by several queries
 
 
@@ -118,6 +127,27 @@ def stream_drain(d: t.Tables) -> DataFrame:
     return edits_per_day(d.spark, f"{folder}/raw")
 
 
+@query
+def drain_skipped(d: t.Tables) -> DataFrame:
+    """Messages received and skipped, from what a drain in several batches has landed."""
+    folder = scratch(d.spark)
+    d.messages.repartition(12).write.text(f"{folder}/topic")
+    drain(file_messages(d.spark, f"{folder}/topic", 2), f"{folder}/raw", f"{folder}/state").awaitTermination()
+    return message_counts(d.spark, f"{folder}/raw")
+
+
+@query
+def raw_committed(d: t.Tables) -> DataFrame:
+    """The run day as the drain's log has it, beside rows that something else left in the day's folder."""
+    folder = scratch(d.spark)
+    d.messages.write.text(f"{folder}/topic")
+    drain(file_messages(d.spark, f"{folder}/topic"), f"{folder}/raw", f"{folder}/state").awaitTermination()
+    stray = d.edits.select(F.unix_seconds("timestamp_utc").alias("timestamp"), "project", "title")
+    stray.write.mode("append").json(f"{folder}/raw/day={D:%Y%m%d}")
+    raw = edits.read_raw_edits(d.spark, f"{folder}/raw", f"{D:%Y%m%d}")
+    return raw.groupBy("project").agg(F.count("*").alias("edits"), F.count_distinct("rev_id").alias("revisions"))
+
+
 @query
 def edits_normalized(d: t.Tables) -> DataFrame:
     return edits.normalize_edits(d.raw_edits)
@@ -142,6 +172,47 @@ def lake_days(d: t.Tables) -> DataFrame:
     )
 
 
+@query
+def history_counts(d: t.Tables) -> DataFrame:
+    """The history window from the counts kept beside the edits.
+
+    Every twentieth edit lies in the next day's folder, one day has no folder, and one folder is counted again.
+    """
+    lake = Lake(scratch(d.spark))
+    instant = F.col("timestamp_utc")
+    filed = F.when(F.col("rev_id") % 20 == 0, instant + F.expr("INTERVAL 1 DAY")).otherwise(instant)
+    lacking = [f for f in schemas.EDITS.fields if f.name not in d.edits.columns]
+    rows = d.edits.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lacking])
+    rows = rows.withColumn("day", day_key(filed)).filter(F.col("day") != "20240115")
+    lake.write_days(rows, "formatted", "Edits")
+    folders = lake.observed_days(d.spark, "formatted", "Edits", schemas.EDITS, "20240101", "20240131")
+    update_counts(d.spark, lake, folders)
+    update_counts(d.spark, lake, ["20240116"])
+    counts, days = past_counts(d.spark, lake, D, P)
+    return counts.withColumn("history_days", F.lit(days))
+
+
+@query
+def published_tables(d: t.Tables) -> DataFrame:
+    """Rows per table and day after all days were published, one of them again, and a run that never finished."""
+    lake = Lake(scratch(d.spark))
+    text = F.date_format("day", "yyyyMMdd")
+    period = landed_once(d, d.once(_period).withColumn("day", text))
+    tables = {"TrendingArticles": period, "CrossLanguageEvents": d.once(_period_events).withColumn("day", text)}
+    days = [f"{t.FIRST_DAY + timedelta(days=n):%Y%m%d}" for n in range((t.LAST_DAY - t.FIRST_DAY).days + 1)]
+    lake.publish("usage", tables, days)
+    today = f"{D:%Y%m%d}"
+    lake.publish("usage", {"TrendingArticles": period.filter(F.col("day") == today).filter("language_count = 1")}, [today])
+    unfinished = period.withColumn("run", F.lit("99999999999999999999-lost"))
+    unfinished.write.mode("append").partitionBy("run", "day").parquet(lake.path("usage", "TrendingArticles"))
+    kinds = {"TrendingArticles": schemas.TRENDING, "CrossLanguageEvents": schemas.CROSS_LANGUAGE}
+    read = [
+        lake.published(d.spark, "usage", name, kind).groupBy("day").agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(name))
+        for name, kind in kinds.items()
+    ]
+    return read[0].unionByName(read[1])
+
+
 # ---- views
 
 

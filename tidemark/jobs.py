@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 from tidemark.functions.columns import day_text, run_day
 from tidemark.plans import daily, ingest
 from tidemark.session import build_session
+from tidemark.sources import documents
 from tidemark.sources.lake import Lake
 from tidemark.streaming import drain
 
@@ -34,11 +35,11 @@ def drain_topic(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> No
         messages = drain.topic_messages(spark, args.servers, args.topic, args.max_per_batch)
     else:
         messages = drain.file_messages(spark, args.input)
-    query = drain.drain(messages, lake.path("raw", "Edits"), lake.path("state", "edits-drain"))
-    print(drain.drain_counts(query))
+    print(drain.drained(spark, messages, lake.path("raw", "Edits"), lake.path("state", "edits-drain")))
     drain.require_day(spark, lake, day_text(args.day))
 
 
+PUBLISHED = [spec.table for spec in documents.TABLES.values()]
 JOBS = {
     "drain-edits": drain_topic,
     "format-edits": lambda s, lake, a: ingest.format_edits(s, lake, a.day),
@@ -48,6 +49,8 @@ JOBS = {
     "plan-entity-requests": lambda s, lake, a: ingest.plan_entity_requests(s, lake, a.day),
     "format-entities": lambda s, lake, a: ingest.format_entities(s, lake, a.input, a.day),
     "combine": lambda s, lake, a: daily.combine_day(s, lake, a.day),
+    "combine-days": lambda s, lake, a: daily.combine_period(s, lake, a.day, a.last),
+    "sweep": lambda s, lake, a: [f for table in PUBLISHED for f in lake.sweep(s, "usage", table)],
     "leadlag": lambda s, lake, a: daily.leadlag_day(s, lake, a.day),
     "publish": lambda s, lake, a: daily.publish_day(s, lake, a.day),
     "publish-leadlag": lambda s, lake, a: daily.publish_leadlag(s, lake, a.day),
@@ -60,6 +63,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--lake", required=True, help="root folder of the lake")
     parser.add_argument("--start", required=True, type=interval_start, help="start of the data interval")
+    parser.add_argument("--end", type=interval_start, help="last day of combine-days; the start's day without it")
     parser.add_argument("--input", help="landed files: dumps, top lists, responses or messages")
     parser.add_argument("--servers", help="brokers of the topic; landed message files are read without")
     parser.add_argument("--topic", default=drain.TOPIC)
@@ -70,6 +74,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     if args.job == "drain-edits" and not (args.servers or args.input):
         parser.error("drain-edits needs --servers or --input")
     args.day = run_day(args.start)
+    args.last = run_day(args.end) if args.end else args.day
     return args
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from tidemark.functions.columns import day_text, event_day
 from tidemark.operators import aggregates, emergence, languages, leadlag, quality
 from tidemark.operators.joins import followed
 from tidemark.params import DEFAULTS, Params
+from tidemark.plans.history import past_counts
+from tidemark.plans.period import events_period, trending_period
 from tidemark.sources import documents
 from tidemark.sources.lake import Lake
 
@@ -48,25 +50,8 @@ def trending_articles(
     return signed.select(*schemas.TRENDING.fieldNames())
 
 
-def past_counts(spark: SparkSession, lake: Lake, day: date, params: Params = DEFAULTS) -> tuple[DataFrame, int]:
-    """Daily counts of the history window and the number of observed days.
-
-    A day is observed if its folder has data, and edits count on the day they are dated, whichever
-    folder of the window they lie in. Edits dated on a day nobody observed are left out, so an
-    article never has more counts than there are days.
-    """
-    first, last = (day_text(d) for d in emergence.history_window(day, params))
-    observed = lake.observed_days(spark, "formatted", "Edits", schemas.EDITS, first, last)
-    past = emergence.past_edits(lake.scan(spark, "formatted", "Edits", schemas.EDITS), day, params)
-    return emergence.daily_history(past.filter(F.col("day").isin(*observed))), len(observed)
-
-
-def by_score(trending: DataFrame) -> DataFrame:
-    return trending.orderBy(F.desc("trending_score"), "edit_project", "title")
-
-
 def combine_day(spark: SparkSession, lake: Lake, day: date, params: Params = DEFAULTS) -> dict[str, str]:
-    """Write the day's three usage tables once the gate has passed.
+    """Publish the day's three usage tables together once the gate has passed.
 
     The trending frame is computed once and kept; gate and tables all read it.
     """
@@ -83,22 +68,60 @@ def combine_day(spark: SparkSession, lake: Lake, day: date, params: Params = DEF
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         quality.enforce(quality.trending_rules(trending, params), "TrendingArticles")
-        ratios = aggregates.edit_to_view(trending).select(
-            "title", "edit_project", "pageview_project", "edit_count", "total_edit_size", "unique_editors",
-            "first_edit", "last_edit", "edit_velocity", "wikidata_id", "pageviews", "pageview_rank",
-            "edit_to_view_ratio",
-        )
-        return {
-            "EditLeadLag": lake.write_day(aggregates.by_ratio(ratios), "usage", "EditLeadLag", today),
-            "TrendingArticles": lake.write_day(by_score(trending), "usage", "TrendingArticles", today),
-            "CrossLanguageEvents": lake.write_day(
-                languages.by_reach(languages.cross_language_events(trending)), "usage", "CrossLanguageEvents", today
-            ),
-        }
+        tables = usage_tables(trending, languages.cross_language_events(trending))
+        lake.publish("usage", {name: df.withColumn("day", F.lit(today)) for name, df in tables.items()}, [today])
+        return {name: lake.path("usage", name) for name in tables}
+    finally:
+        trending.unpersist()
+
+
+def usage_tables(trending: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
+    """The three published tables of a trending frame, each file with its strongest rows first."""
+    ratios = aggregates.edit_to_view(trending)
+    passed = [c for c in trending.columns if c == "day"]
+    return {
+        "EditLeadLag": ratios.select(*passed, *schemas.EDIT_TO_VIEW.fieldNames()).sortWithinPartitions(
+            F.desc("edit_to_view_ratio"), "edit_project", "title"
+        ),
+        "TrendingArticles": trending.sortWithinPartitions(F.desc("trending_score"), "edit_project", "title"),
+        "CrossLanguageEvents": events.sortWithinPartitions(F.desc("language_count"), F.desc("sum_editors"), "wikidata_id"),
+    }
+
+
+def combine_period(spark: SparkSession, lake: Lake, first: date, last: date, params: Params = DEFAULTS) -> dict[str, str]:
+    """The usage tables of all days of a range, computed in one pass and published together.
+
+    Each day needs its three inputs and passes its own gate; nothing is published otherwise.
+    Edits count on the day they are dated, as long as a folder of the range or its history
+    holds them.
+    """
+    days = [day_text(first + timedelta(days=n)) for n in range((last - first).days + 1)]
+    lake.require(spark, [("formatted", table, d) for d in days for table in ("Edits", "PageviewsHourly", "Pageviews")])
+    past, _ = emergence.history_window(first, params)
+    edits = lake.scan(spark, "formatted", "Edits", schemas.EDITS).filter(F.col("day").between(day_text(past), days[-1]))
+    of_days = lambda table, schema: lake.days(spark, "formatted", table, days, schema).drop("day")
+    ids = lake.scan_if_present(spark, "formatted", "Wikidata", schemas.ENTITY_IDS)
+    known = spark.createDataFrame([], schemas.ENTITY_IDS) if ids is None else newest_ids(ids.filter(F.col("day") <= days[-1]))
+    trending = trending_period(
+        edits.drop("day"), known, of_days("PageviewsHourly", schemas.HOURLY_VIEWS),
+        of_days("Pageviews", schemas.DAILY_TOP), first, last, params,
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for n, day in enumerate(days):
+            of_day = trending.filter(F.col("day") == F.lit(first + timedelta(days=n)))
+            quality.enforce(quality.trending_rules(of_day, params), f"TrendingArticles of {day}")
+        tables = usage_tables(trending, events_period(trending))
+        lake.publish("usage", {name: df.withColumn("day", F.date_format("day", "yyyyMMdd")) for name, df in tables.items()}, days)
+        return {name: lake.path("usage", name) for name in tables}
     finally:
         trending.unpersist()
 
 
+def newest_ids(ids: DataFrame) -> DataFrame:
+    """One id per article, from the last day that had the article."""
+    return ids.groupBy("project", "title").agg(F.max_by("wikidata_id", "day").alias("wikidata_id"))
+
+
 def leadlag_day(spark: SparkSession, lake: Lake, run: date, params: Params = DEFAULTS) -> str:
     """Hourly lead-lag of the day before the run, whose readers the run's day completes."""
     event = event_day(run)
@@ -114,7 +137,9 @@ def leadlag_day(spark: SparkSession, lake: Lake, run: date, params: Params = DEF
         factors = leadlag.diurnal_factors(hourly, event, params)
         series = leadlag.paired_series(editing, reading, factors, params)
         result = leadlag.lead_lag_metrics(series, event, params)
-        return lake.write_day(result, "usage", "EditLeadLagHourly", day_text(event))
+        rows = result.select(*schemas.LEADLAG_HOURLY.fieldNames(), F.lit(day_text(event)).alias("day"))
+        lake.publish("usage", {"EditLeadLagHourly": rows}, [day_text(event)])
+        return lake.path("usage", "EditLeadLagHourly")
     finally:
         editing.unpersist()
 

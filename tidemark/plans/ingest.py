@@ -13,18 +13,21 @@ from tidemark.functions.columns import between_days, day_text, readable_title
 from tidemark.operators import quality
 from tidemark.operators.entities import request_batches
 from tidemark.params import DEFAULTS, Params
+from tidemark.plans.history import update_counts
 from tidemark.sources import edits, entities, views
 from tidemark.sources.lake import Lake, MissingInput
 from tidemark.streaming.drain import require_day
 
 
 def format_edits(spark: SparkSession, lake: Lake, day: date, params: Params = DEFAULTS) -> str:
-    """Landed messages of a day to the clean edits table."""
-    raw = edits.read_raw_edits(spark, require_day(spark, lake, day_text(day)))
+    """Landed messages of a day to the clean edits table, and its counts."""
+    raw = require_day(spark, lake, day_text(day))
     clean = edits.normalize_edits(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         quality.enforce(quality.edit_rules(clean, day, params), "Edits")
-        return lake.write_day(clean, "formatted", "Edits", day_text(day))
+        target = lake.write_day(clean, "formatted", "Edits", day_text(day))
+        update_counts(spark, lake, [day_text(day)])
+        return target
     finally:
         clean.unpersist()
 

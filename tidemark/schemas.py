@@ -36,6 +36,9 @@ EDITS = record(
 
 # Per article, in the folder of its day.
 EDIT_COUNTS = record(project=TEXT, title=TEXT, edit_count=COUNT, unique_editors=COUNT)
+# Per article and editor: edits dated on another day than their folder's, and who else edited the same that day.
+MISFILED_EDITORS = record(dated=TEXT, project=TEXT, title=TEXT, user=TEXT, edit_count=COUNT)
+SHARED_EDITORS = record(project=TEXT, title=TEXT, user=TEXT, edit_count=COUNT)
 ENTITY_REQUESTS = record(project=TEXT, titles=listed(TEXT))
 
 HOURLY_TSV = record(hour_utc=TEXT, project=TEXT, title=TEXT, views=COUNT)
@@ -69,6 +72,11 @@ TRENDING = record(
     is_emerging=FLAG, z_editors=REAL, z_edits=REAL, anomaly_score=REAL, entity_key=TEXT, language_count=COUNT,
     languages_editing=TEXT, first_language=TEXT, language_lag_minutes=REAL,
 )
+EDIT_TO_VIEW = record(
+    title=TEXT, edit_project=TEXT, pageview_project=TEXT, edit_count=COUNT, total_edit_size=COUNT,
+    unique_editors=COUNT, first_edit=INSTANT, last_edit=INSTANT, edit_velocity=REAL, wikidata_id=TEXT,
+    pageviews=COUNT, pageview_rank=COUNT, edit_to_view_ratio=REAL,
+)
 CROSS_LANGUAGE = record(
     wikidata_id=TEXT, language_count=COUNT, languages_editing=TEXT, first_language=TEXT, first_edit=INSTANT,
     spread_minutes=REAL, titles=TEXT, total_edits=COUNT, sum_editors=COUNT, total_pageviews=COUNT,

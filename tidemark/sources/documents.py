@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark import schemas
 from tidemark.sources.lake import Lake
 
 DOCUMENT_COLUMNS = ("_index", "_id", "_source")
@@ -18,15 +20,16 @@ class DocumentTable:
     """Which published table feeds an index, and whether its day is the event day."""
 
     table: str
+    schema: T.StructType
     event_day: bool = False
 
 
 # Index names and the tables behind them.
 TABLES = {
-    "wikipedia-trending": DocumentTable("TrendingArticles"),
-    "wikipedia-leadlag": DocumentTable("EditLeadLag"),
-    "wikipedia-crosslang": DocumentTable("CrossLanguageEvents"),
-    "wikipedia-leadlag-hourly": DocumentTable("EditLeadLagHourly", event_day=True),
+    "wikipedia-trending": DocumentTable("TrendingArticles", schemas.TRENDING),
+    "wikipedia-leadlag": DocumentTable("EditLeadLag", schemas.EDIT_TO_VIEW),
+    "wikipedia-crosslang": DocumentTable("CrossLanguageEvents", schemas.CROSS_LANGUAGE),
+    "wikipedia-leadlag-hourly": DocumentTable("EditLeadLagHourly", schemas.LEADLAG_HOURLY, event_day=True),
 }
 
 
@@ -100,6 +103,5 @@ def send(documents: DataFrame, writer: Callable[[Iterator[Row]], int]) -> int:
 
 def publish_table(spark: SparkSession, lake: Lake, index: str, day: str) -> str:
     """Write one day of a published table as documents; the day's folder is replaced."""
-    table = TABLES[index].table
-    rows = spark.read.parquet(lake.path("usage", table, day))
+    rows = lake.published_day(spark, "usage", TABLES[index].table, day, TABLES[index].schema)
     return lake.write_day(to_documents(rows, index, day), "documents", index, day)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.columns import day_key
@@ -78,9 +79,14 @@ def with_event_day(edits: DataFrame) -> DataFrame:
     return edits.withColumn("day", day_key(F.timestamp_seconds(F.col("timestamp"))))
 
 
-def read_raw_edits(spark: SparkSession, path: str) -> DataFrame:
-    """One day of landed messages, one JSON object per line; a missing path fails."""
-    return spark.read.schema(schemas.EDIT_MESSAGE).json(path)
+def read_raw_edits(spark: SparkSession, root: str, day: str) -> DataFrame:
+    """One day of landed messages from the drain's root folder; a missing root fails.
+
+    The root has the sink's log, and only files that a finished batch has logged are read:
+    what a failed attempt or anyone else left in the day's folder is not.
+    """
+    full = T.StructType(schemas.EDIT_MESSAGE.fields + [T.StructField("day", T.StringType())])
+    return spark.read.schema(full).json(root).filter(F.col("day") == day).drop("day")
 
 
 def deduplicated(edits: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -9,6 +11,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MANIFEST = "run STRING, days ARRAY<STRING>, tables ARRAY<STRING>"
+
 
 class MissingInput(FileNotFoundError):
     """A required day of a required table is absent."""
@@ -88,21 +92,30 @@ class Lake:
         """Replace one day. A rerun leaves the same content; an empty result replaces too.
 
         The day's old files go when the new ones are complete, so a run that fails in its
-        tasks leaves the old rows readable. Rows are counted as they are written: without
-        any, no day was replaced yet and an empty one is put in its place.
+        tasks leaves the old rows readable.
+        """
+        self.replace_days(df.drop("day").withColumn("day", F.lit(day)), layer, table, [day])
+        return self.path(layer, table, day)
+
+    def replace_days(self, df: DataFrame, layer: str, table: str, days: list[str]) -> str:
+        """Replace the days listed by the rows of ``df`` (column ``day``) in one job.
+
+        Rows are counted as they are written: a listed day without any was not replaced yet,
+        and an empty one is put in its place.
         """
-        target, written = self.path(layer, table, day), Observation()
-        rows = df.drop("day")
+        target, written = self.path(layer, table), Observation()
         (
-            rows.observe(written, F.count("*").alias("rows"))
-            .withColumn("day", F.lit(day))
+            df.observe(written, *[F.count_if(F.col("day") == d).alias(f"day_{d}") for d in days])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("day")
-            .parquet(self.path(layer, table))
+            .parquet(target)
         )
-        if not written.get.get("rows"):
-            df.sparkSession.createDataFrame([], rows.schema).write.mode("overwrite").parquet(target)
+        counts = written.get
+        for day in days:
+            if not counts.get(f"day_{day}"):
+                empty = df.sparkSession.createDataFrame([], df.drop("day").schema)
+                empty.write.mode("overwrite").parquet(self.path(layer, table, day))
         return target
 
     def write_days(self, df: DataFrame, layer: str, table: str) -> str:
@@ -119,3 +132,62 @@ class Lake:
             .parquet(target)
         )
         return target
+
+    # ---- tables published together
+
+    def _manifest(self, layer: str) -> str:
+        return f"{self.root}/{layer}/_published"
+
+    def publish(self, layer: str, tables: dict[str, DataFrame], days: list[str]) -> str:
+        """Replace the days of several tables at once, or of none of them.
+
+        The rows (column ``day``) go to folders of a new run, which nobody reads yet. The
+        manifest then gets one more file, whose rename makes all tables' days the new ones
+        together. A run that fails before it leaves every table as it was.
+        """
+        run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        for name, df in tables.items():
+            df.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run", "day").parquet(self.path(layer, name))
+        spark = next(iter(tables.values())).sparkSession
+        entry = spark.createDataFrame([(run, days, sorted(tables))], MANIFEST).coalesce(1)
+        entry.write.mode("append").json(self._manifest(layer))
+        return run
+
+    def published_runs(self, spark: SparkSession, layer: str, table: str) -> dict[str, str]:
+        """The run that holds each published day of a table: one short entry per day."""
+        if not self._exists(spark, self._manifest(layer)):
+            return {}
+        entries = spark.read.schema(MANIFEST).json(self._manifest(layer)).filter(F.array_contains("tables", table))
+        latest = entries.select("run", F.explode("days").alias("day")).groupBy("day").agg(F.max("run").alias("run"))
+        return {r["day"]: r["run"] for r in latest.collect()}
+
+    def published(self, spark: SparkSession, layer: str, table: str, schema: T.StructType) -> DataFrame:
+        """Every published day of a table with its ``day``; only the folders of the live runs are read."""
+        full = T.StructType(schema.fields + [T.StructField("run", T.StringType()), T.StructField("day", T.StringType())])
+        live = [f"{run}/{day}" for day, run in self.published_runs(spark, layer, table).items()]
+        if not live or not self._exists(spark, self.path(layer, table)):
+            return spark.createDataFrame([], full).drop("run")
+        rows = spark.read.schema(full).parquet(self.path(layer, table))
+        return rows.filter(F.concat_ws("/", "run", "day").isin(live)).drop("run")
+
+    def published_day(self, spark: SparkSession, layer: str, table: str, day: str, schema: T.StructType) -> DataFrame:
+        """One published day; a day nobody published is a missing input, an empty one is not."""
+        if day not in self.published_runs(spark, layer, table):
+            raise MissingInput(f"not published: {self.path(layer, table)} of {day}")
+        return self.published(spark, layer, table, schema).filter(F.col("day") == day).drop("day")
+
+    def sweep(self, spark: SparkSession, layer: str, table: str) -> list[str]:
+        """Delete the folders that a later published run has replaced, failed runs' included.
+
+        A run that is still writing is younger than what is published, and stays.
+        """
+        if not self._exists(spark, self.path(layer, table)):
+            return []
+        live = self.published_runs(spark, layer, table)
+        kept = spark.read.schema("run STRING, day STRING").parquet(self.path(layer, table)).select("run", "day").distinct().collect()
+        old = [f"{self.path(layer, table)}/run={r['run']}/day={r['day']}" for r in kept if r["run"] < live.get(r["day"], "")]
+        paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in old:
+            path = paths(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return old

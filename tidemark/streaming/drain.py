@@ -6,15 +6,18 @@ the checkpoint make a rerun add only what is new.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.edits import decode_messages, is_valid_message, with_event_day
+from tidemark import schemas
+from tidemark.functions.columns import day_key
+from tidemark.sources.edits import decode_messages, is_valid_message, read_raw_edits, with_event_day
 from tidemark.sources.lake import Lake, MissingInput
 
 TOPIC = "wikipedia-edits"
-POLL_SECONDS = 0.5
+INVALID = "invalid"
 
 
 def topic_messages(
@@ -43,20 +46,27 @@ def file_messages(spark: SparkSession, folder: str, files_per_trigger: int | Non
     return reader.text(folder)
 
 
+def filed_messages(messages: DataFrame) -> DataFrame:
+    """Every message with the day it is filed under; invalid ones, with their text, under ``INVALID``."""
+    text = F.col("value").cast("string")
+    decoded = messages.select(F.from_json(text, schemas.EDIT_MESSAGE).alias("edit"), text.alias("text")).select("edit.*", "text")
+    day = F.when(is_valid_message(), day_key(F.timestamp_seconds("timestamp"))).otherwise(INVALID)
+    return decoded.withColumns({"text": F.when(~is_valid_message(), F.col("text")), "day": day})
+
+
 def filed_edits(messages: DataFrame) -> DataFrame:
-    """Valid records with their event day. Counts of valid and skipped messages are observed."""
-    decoded = decode_messages(messages).observe(
-        "messages",
-        F.count("*").alias("received"),
-        F.count_if(~is_valid_message()).alias("skipped"),
-    )
-    return with_event_day(decoded.filter(is_valid_message()))
+    """Valid records with their event day."""
+    return with_event_day(decode_messages(messages).filter(is_valid_message()))
 
 
 def drain(messages: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append all messages present at launch under ``target/day=.../`` and stop."""
+    """Append all messages present at launch under ``target/day=.../`` and stop.
+
+    Skipped messages are kept under a day of their own, by the same exactly-once sink: so
+    they are counted from what has landed, however many batches a run had.
+    """
     return (
-        filed_edits(messages)
+        filed_messages(messages)
         .writeStream.format("json")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
@@ -67,35 +77,38 @@ def drain(messages: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def drain_counts(query: StreamingQuery) -> dict[str, int]:
-    """Wait for the run to end; messages received and skipped over all its batches.
+def message_counts(spark: SparkSession, target: str) -> DataFrame:
+    """received, skipped: all messages landed so far, from folder names and row counts."""
+    landed = spark.read.schema("day STRING").json(target)
+    return landed.agg(F.count("*").alias("received"), F.count_if(F.col("day") == INVALID).alias("skipped"))
 
-    Spark keeps the last batches' progress only, so it is taken while the run goes on: call
-    this right after the start. Should batches have gone by unseen, it fails rather than
-    report too few.
-    """
-    seen: dict[int, tuple[int, int]] = {}
-    done = False
-    while not done:
-        done = query.awaitTermination(POLL_SECONDS)
-        for progress in query.recentProgress:
-            row = progress.observedMetrics.get("messages")
-            seen[progress.batchId] = (row["received"], row["skipped"]) if row is not None else (0, 0)
-    if seen and max(seen) - min(seen) + 1 != len(seen):
-        raise RuntimeError(f"progress of {max(seen) - min(seen) + 1 - len(seen)} batches was not seen")
-    return {"received": sum(r for r, _ in seen.values()), "skipped": sum(s for _, s in seen.values())}
+
+def drained(spark: SparkSession, messages: DataFrame, target: str, checkpoint: str) -> dict[str, int]:
+    """Drain to the end; messages received and skipped by this run."""
+
+    def counted() -> dict[str, int]:
+        try:
+            return message_counts(spark, target).first().asDict()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {"received": 0, "skipped": 0}
+
+    before = counted()
+    drain(messages, target, checkpoint).awaitTermination()
+    return {name: count - before[name] for name, count in counted().items()}
 
 
 def edits_per_day(spark: SparkSession, target: str) -> DataFrame:
     """Landed edits per event day, from the folder names and row counts alone."""
-    return (
-        spark.read.schema("day STRING").json(target)
-        .groupBy("day").agg(F.count("*").alias("edits"))
-    )
+    landed = spark.read.schema("day STRING").json(target)
+    return landed.filter(F.col("day") != INVALID).groupBy("day").agg(F.count("*").alias("edits"))
 
 
-def require_day(spark: SparkSession, lake: Lake, day: str) -> str:
-    """Fail when nothing happened on the day: the producer was probably down."""
-    if not lake.has_day(spark, "raw", "Edits", day):
-        raise MissingInput(f"no edits for {day}: is the producer running?")
-    return lake.path("raw", "Edits", day)
+def require_day(spark: SparkSession, lake: Lake, day: str) -> DataFrame:
+    """The day's landed messages; fails when nothing happened on the day: the producer was probably down."""
+    if lake.has_day(spark, "raw", "Edits", day):
+        raw = read_raw_edits(spark, lake.path("raw", "Edits"), day)
+        if not raw.isEmpty():
+            return raw
+    raise MissingInput(f"no edits for {day}: is the producer running?")
