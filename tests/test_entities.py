@@ -1,4 +1,6 @@
+import glob
 import json
+import os
 import random
 
 import numpy as np
@@ -6,8 +8,10 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.operators import entities
+from tidemark.session import WorkTables
 from tidemark.sources import entities as landed
 
 EN = "en.wikipedia.org"
@@ -143,3 +147,26 @@ def test_bad_responses_are_named(spark, tmp_path):
     with pytest.raises(landed.FailedResponses, match="http 429"):
         landed.require_usable(read)
     landed.require_usable(read.limit(0))
+
+
+def test_settled_rows_leave_and_working_tables_go(spark):
+    renames = {f"c{i}": f"c{i + 1}" for i in range(40)} | {f"d{i}": "c39" for i in range(60)} | {"x": "y", "y": "x", "z": "x"}
+    work = WorkTables(spark, "chains-test")
+    df = spark.createDataFrame([(EN, a, b) for a, b in renames.items()], EDGE)
+    got = {r["title"]: r["final"] for r in entities.resolve_chains(df, work).collect()}
+    assert got == {a: "c40" for a in renames if a not in "xyz"} | {"x": "x", "y": "y", "z": "x"}
+    # the edges, then ever fewer rows until only the three that move forever are left
+    followed = work.rows[1:work.rows.index(3) + 1]
+    assert work.rows[0] == len(renames) and followed == sorted(followed, reverse=True) and len(set(followed)) == len(followed)
+    left = sorted(os.path.relpath(f, work.root) for f in glob.glob(f"{work.root}/**/settled=*", recursive=True))
+    assert left and not [f for f in left if f.endswith("false")]
+    assert not [f for f in os.listdir(work.root) if f in ("steps", "leading-in", "loops-0")]
+
+
+def test_removed_tables_are_gone(spark):
+    work = WorkTables(spark, "one")
+    frame = spark.range(3).select(F.lit("p").alias("project"), F.lit("n").alias("node"), F.lit("t").alias("to"))
+    assert work.write(frame, "a", many=F.count_if(F.col("node") == "n")) == {"rows": 3, "many": 3}
+    assert work.read("a", entities.POINTER).count() == 3
+    work.remove("a")
+    assert work.read("a", entities.POINTER).count() == 0

@@ -129,3 +129,12 @@ def test_velocity(spark):
     assert rows(out, "title", "edit_count", "total_edit_size", "unique_editors", "edit_velocity") == [
         ("A", 3, 12, 1, 0.5), ("B", 1, 1, 1, 1.0),
     ]
+
+
+def test_a_dump_is_read_once(spark, tmp_path):
+    with gzip.open(tmp_path / "pageviews-20261002-120000.gz", "wt") as out:
+        out.write("fr A 1 0\nfr.m A 2 0\nfr B 4 0\nfr - 8 0")
+    candidates = spark.createDataFrame([("fr.wikipedia", "A"), ("fr.wikipedia", "A"), ("fr.wikipedia", "-")], "project STRING, title STRING")
+    out = views.merge_hour(views.parse_dump_lines(views.read_dump_lines(spark, str(tmp_path))), candidates)
+    assert rows(out, "title", "views") == [("-", 15), ("A", 3)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("text") == 1

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.joins import join_under_skew
 from tidemark.params import DEFAULTS, Params
-from tidemark.session import checkpointed
+from tidemark.session import WorkTables, checkpointed
 
 TITLE = ["project", "title"]
+POINTER = T.StructType([T.StructField(c, T.StringType()) for c in ("project", "node", "to")])
 ROW_BITS = 33  # monotonically_increasing_id keeps the partition above the lower 33 bits
 
 
@@ -58,59 +60,86 @@ def renames(normalized: DataFrame, redirects: DataFrame) -> DataFrame:
     )
 
 
-def _doubled(steps: DataFrame) -> DataFrame:
-    """Follow every pointer twice as far: (node, to) and (to, on) give (node, on)."""
-    ahead = steps.select("project", F.col("node").alias("to"), F.col("to").alias("on"))
-    return steps.join(ahead, ["project", "to"], "left").select(
-        "project", "node", F.coalesce("on", "to").alias("to"), F.col("on").isNotNull().alias("moving")
-    )
-
-
-def _settled(steps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Double until nothing more settles: (pointers at their end, pointers without end or None).
+def _settle(work: WorkTables, name: str, steps: DataFrame) -> tuple[list[DataFrame], str | None]:
+    """Follow every pointer (project, node, to) to its end: settled nodes, and the table of those that never settle.
 
-    The moving set only shrinks. Once a round leaves its size unchanged, its members move
-    forever: they are on a loop or lead into one. That takes as many rounds as the
-    logarithm of the longest chain.
+    Each round a moving pointer takes over where the node it points at has got to, so it
+    gets twice as far. One that reaches an end, or a node that has settled, is settled and
+    is not read as moving again: it is written once, and only the moving rest is written
+    anew. Every round settles some as long as any can; once none does, the rest move
+    forever, on a loop or into one. That takes as many rounds as the logarithm of the
+    longest chain.
     """
-    before = -1
+    settled: list[DataFrame] = []
+    moving, before, turn = steps, -1, 0
     while True:
-        doubled = checkpointed(_doubled(steps))
-        moving = doubled.filter("moving").count()
-        if moving in (0, before):
-            done = doubled.filter(~F.col("moving")).drop("moving")
-            return done, doubled.filter("moving").drop("moving") if moving else None
-        steps, before = doubled.drop("moving"), moving
+        reached = moving.select("project", F.col("node").alias("to"), F.col("to").alias("on"), F.lit(False).alias("ended"))
+        for part in settled:
+            reached = reached.unionByName(
+                part.select("project", F.col("node").alias("to"), F.col("to").alias("on"), F.lit(True).alias("ended"))
+            )
+        followed = join_under_skew(moving, reached, ["project", "to"]).select(
+            "project", "node", F.coalesce("on", "to").alias("to"), (F.col("on").isNull() | F.col("ended")).alias("settled")
+        )
+        part = f"{name}-{turn}"
+        left = work.write(followed, part, by="settled", moving=F.count_if(~F.col("settled")))["moving"]
+        if turn:
+            work.remove(f"{name}-{turn - 1}/settled=false")
+        settled.append(work.read(f"{part}/settled=true", POINTER))
+        if left in (0, before):
+            return settled, f"{part}/settled=false" if left else None
+        moving, before, turn = work.read(f"{part}/settled=false", POINTER), left, turn + 1
+
 
+def _loop_nodes(work: WorkTables, endless: DataFrame) -> DataFrame:
+    """Nodes on a loop: where endless pointers land once the landing places stop getting fewer.
 
-def _loop_nodes(endless: DataFrame) -> DataFrame:
-    """Nodes on a loop: where endless pointers land once landing places stop getting fewer."""
-    steps, before = endless, -1
+    Only pointers between landing places go on, each round twice as far.
+    """
+    steps, before, turn = endless, -1, 0
     while True:
-        landed = checkpointed(steps.select("project", F.col("to").alias("node")).distinct())
-        count = landed.count()
+        places = steps.select("project", F.col("to").alias("node")).distinct()
+        ahead = steps.select("project", F.col("node").alias("to"), F.col("to").alias("on"))
+        kept = steps.join(places, ["project", "node"], "left_semi")
+        doubled = join_under_skew(kept, ahead, ["project", "to"]).select("project", "node", F.col("on").alias("to"))
+        count = work.write(doubled, f"loops-{turn}")["rows"]
+        if turn:
+            work.remove(f"loops-{turn - 1}")
+        steps = work.read(f"loops-{turn}", POINTER)
         if count == before:
-            return landed
-        before = count
-        steps = checkpointed(_doubled(steps).drop("moving"))
+            return steps.select("project", "node")
+        before, turn = count, turn + 1
+
 
+def _united(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
-def resolve_chains(edges: DataFrame) -> DataFrame:
+
+def resolve_chains(edges: DataFrame, work: WorkTables | None = None) -> DataFrame:
     """(project, from, to) with one ``to`` per ``from``: the end of every chain as (project, title, final).
 
     A walk into a loop stops at the first title it meets again, the loop's entry. So the
-    edges leaving loop titles are taken away and the same doubling then ends there.
+    edges leaving loop titles are taken away and the same doubling then ends there. Of the
+    tables written on the way, only those that hold the result stay.
     """
-    steps = checkpointed(edges.select("project", F.col("from").alias("node"), "to"))
-    ends, endless = _settled(steps)
+    work = work or WorkTables(edges.sparkSession, "chains")
+    work.write(edges.select("project", F.col("from").alias("node"), "to"), "steps")
+    steps = work.read("steps", POINTER)
+    ends, endless = _settle(work, "ends", steps)
     if endless is not None:
-        on_loop = _loop_nodes(endless)
-        leading_in = steps.join(endless, ["project", "node"], "left_semi").join(
-            on_loop, ["project", "node"], "left_anti"
-        )
-        at_entry, _ = _settled(checkpointed(leading_in))
-        ends = ends.unionByName(at_entry).unionByName(on_loop.select("project", "node", F.col("node").alias("to")))
-    return ends.select("project", F.col("node").alias("title"), F.col("to").alias("final"))
+        moving = work.read(endless, POINTER)
+        on_loop = _loop_nodes(work, moving)
+        leading_in = steps.join(moving, ["project", "node"], "left_semi").join(on_loop, ["project", "node"], "left_anti")
+        work.write(leading_in, "leading-in")
+        work.remove(endless)
+        at_entry, _ = _settle(work, "entries", work.read("leading-in", POINTER))
+        ends += [*at_entry, on_loop.select("project", "node", F.col("node").alias("to"))]
+        work.remove("leading-in")
+    work.remove("steps")
+    return _united(ends).select("project", F.col("node").alias("title"), F.col("to").alias("final"))
 
 
 def resolve_ids(titles: DataFrame, edges: DataFrame, pages: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import delete_folder
+
 MANIFEST = "run STRING, days ARRAY<STRING>, tables ARRAY<STRING>"
 
 
@@ -186,8 +188,6 @@ class Lake:
         live = self.published_runs(spark, layer, table)
         kept = spark.read.schema("run STRING, day STRING").parquet(self.path(layer, table)).select("run", "day").distinct().collect()
         old = [f"{self.path(layer, table)}/run={r['run']}/day={r['day']}" for r in kept if r["run"] < live.get(r["day"], "")]
-        paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         for folder in old:
-            path = paths(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(spark, folder)
         return old

@@ -89,17 +89,20 @@ def candidate_articles(edits: DataFrame) -> DataFrame:
 def merge_hour(views: DataFrame, candidates: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Hourly views of candidate articles, desktop plus mobile, and each language's total.
 
-    The total covers all titles; it is combined in each task to one row per language and
-    hour. Titles are summed before they meet the candidates; where these are few enough
-    to be broadcast, Catalyst moves the semi-join below the sum, onto the lines. Hours are
-    read off the stamps at the end, once per result row.
+    The dump is read once. Titles are summed in each task before anything travels, followed
+    ones are marked, and each sum then counts for its language's total and, where marked, for
+    its title; totals are combined in each task again. Hours are read off the stamps at the
+    end, once per result row.
     """
-    columns = ["stamp", "project", "title", "views"]
-    totals = views.groupBy("stamp", "project").agg(F.sum("views").alias("views"))
     per_title = views.groupBy("stamp", "project", "title").agg(F.sum("views").alias("views"))
-    followed = per_title.join(candidates, ["project", "title"], "left_semi")
-    both = followed.select(columns).unionByName(totals.withColumn("title", F.lit(params.total_title)).select(columns))
-    return both.select(hour_of_stamp(F.col("stamp")).alias("hour_utc"), "project", "title", "views")
+    followed = candidates.select("project", "title").distinct().withColumn("followed", F.col("title") != params.total_title)
+    marked = per_title.join(followed, ["project", "title"], "left")
+    whole = F.struct(F.lit(params.total_title).alias("title"))
+    rows = F.when(F.col("followed"), F.array(whole, F.struct("title"))).otherwise(F.array(whole))
+    counted = marked.select("stamp", "project", "views", F.inline(rows)).groupBy("stamp", "project", "title").agg(
+        F.sum("views").alias("views")
+    )
+    return counted.select(hour_of_stamp(F.col("stamp")).alias("hour_utc"), "project", "title", "views")
 
 
 def normalize_hourly(raw: DataFrame) -> DataFrame:
