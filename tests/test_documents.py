@@ -2,9 +2,10 @@ import hashlib
 import json
 
 import pytest
-from conftest import at
+from conftest import at, rows
 
 from tidemark.sources import documents
+from tidemark.sources.lake import Lake
 
 
 def sha(text):
@@ -52,14 +53,35 @@ def test_upsert_replaces_by_id(spark):
     assert got == {("i", "1"): "new", ("i", "2"): "old", ("j", "1"): "old", ("i", "3"): "new"}
 
 
-def test_rejected_documents_fail_the_job(spark):
-    def accept_all(rows):
-        return 0 * len(list(rows))
+def test_refused_documents_are_a_table(spark):
+    def refuse_b(batch, attempt):
+        if attempt == 0:
+            raise documents.Busy("later")
+        return [(key, "is b") for _, key, _ in batch if key.startswith("b")]
 
-    def refuse_b(rows):
-        return sum(r["_id"] == "b" for r in rows)
+    df = spark.createDataFrame([("i", f"{x}{n}", "{}") for x in "abc" for n in range(40)], "_index STRING, _id STRING, _source STRING")
+    out = documents.delivered(df, refuse_b, batch_size=7, wait=0.01)
+    assert rows(out) == sorted((("i", f"b{n}", "is b") for n in range(40)), key=repr)
+    assert rows(documents.delivered(df.limit(0), refuse_b, wait=0.01)) == []
 
-    df = spark.createDataFrame([("i", x, "{}") for x in "abcd"], "_index STRING, _id STRING, _source STRING").repartition(2)
-    assert documents.send(df, accept_all) == 4
-    with pytest.raises(documents.RejectedDocuments, match="1 document"):
-        documents.send(df, refuse_b)
+
+def test_a_target_that_stays_busy_fails(spark):
+    def never(batch, attempt):
+        raise documents.Busy("never")
+
+    df = spark.createDataFrame([("i", "a", "{}")], "_index STRING, _id STRING, _source STRING")
+    with pytest.raises(Exception, match="never"):
+        documents.delivered(df, never, attempts=2, wait=0.01).collect()
+
+
+def test_sending_a_day_twice_replaces_it(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    df = spark.createDataFrame([("i", f"k{n}", json.dumps({"n": n})) for n in range(30)], "_index STRING, _id STRING, _source STRING")
+    lake.write_day(df, "documents", "i", "20261001")
+    for _ in range(2):
+        assert documents.send_day(spark, lake, "i", "20261001", documents.FolderWriter(str(tmp_path / "out"))) == 30
+    lines = [x for f in sorted((tmp_path / "out").iterdir()) for x in f.read_text().splitlines()]
+    assert sorted(json.loads(x)["index"]["_id"] for x in lines[::2]) == sorted(f"k{n}" for n in range(30))
+    with pytest.raises(documents.RejectedDocuments, match="30 documents rejected: no"):
+        documents.send_day(spark, lake, "i", "20261001", lambda batch, attempt: [(key, "no") for _, key, _ in batch])
+    assert lake.days(spark, "documents", "i-rejects", ["20261001"], documents.REJECTS).count() == 30

@@ -289,6 +289,11 @@ BODIES = {
         SELECT strftime(timestamp_utc, '%Y%m%d') AS day, count(*) AS edits FROM ed GROUP BY 1""",
     "drain_skipped": """
         SELECT count(*) AS received, count(*) FILTER (event_type IN ('signup', 'view')) AS skipped FROM ev""",
+    "live_hours": """
+        SELECT date_trunc('hour', timestamp_utc) AS hour_utc, replace(project, '.org', '') AS project, title, count(*) AS edits
+        FROM ed
+        WHERE date_trunc('hour', timestamp_utc) + INTERVAL 3 HOUR <= (SELECT date_trunc('second', max(timestamp_utc)) FROM ed)
+        GROUP BY ALL""",
     "raw_committed": """
         SELECT project, count(*) AS edits, count(DISTINCT rev_id) AS revisions FROM ed_today GROUP BY 1""",
     "history_counts": f"""
@@ -344,6 +349,9 @@ BODIES = {
         UNION ALL
         SELECT DISTINCT 'unreadable name', 'lost-' || strftime(ts, '%H') FROM ev
         WHERE event_type = 'click' AND page = 'ru.wikipedia'""",
+    "hourly_tsv": """
+        SELECT hour_utc, project, '"The" ' || title || CASE WHEN views % 2 = 0 THEN '"' ELSE '' END AS title, views
+        FROM vw""",
     "hourly_normalized": "SELECT hour_utc, project, 'The ' || title AS title, views FROM vw",
     "daily_views": """
         SELECT project, title, CAST(sum(views) AS BIGINT) AS views FROM vw WHERE title <> '-' GROUP BY 1, 2""",
@@ -370,6 +378,10 @@ BODIES = {
             FROM ({aggregated("ed")}) a LEFT JOIN ids i USING (project, title))
         {signature("keyed")}""",
     "cross_language_events": "SELECT * FROM clv",
+    "ordered_titles": """
+        SELECT wikidata_id, first_edit, edit_project, title, split_part(edit_project, '.', 1) || ':' || title AS language_title,
+               row_number() OVER (PARTITION BY wikidata_id ORDER BY first_edit, edit_project, title) - 1 AS position
+        FROM trd_days WHERE wikidata_id IS NOT NULL AND language_count >= 2""",
     "cross_language_titles": """
         SELECT wikidata_id, first_edit, edit_project, title,
                split_part(edit_project, '.', 1) || ':' || title AS language_title
@@ -496,6 +508,10 @@ BODIES = {
         SELECT 'wikipedia-crosslang', sha1('20240130|wikidata|' || wikidata_id), '20240130', wikidata_id,
                language_count, CAST(is_emerging AS VARCHAR)
         FROM clv""",
+    "documents_rejected": """
+        SELECT 'wikipedia-trending' AS _index, sha1('20240130|' || edit_project || '|' || title) AS _id,
+               'one language' AS reason
+        FROM trd WHERE language_count < 2""",
     "documents_upserted": f"""
         SELECT sha1('20240130|' || a.project || '|' || a.title) AS _id,
                coalesce(t.edit_count, a.edit_count) AS edit_count

@@ -5,12 +5,14 @@ Instants come back without a zone (UTC), the way the test tables store them.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.checks import tables as t
 from tidemark.functions.columns import between_days, day_key
@@ -25,10 +27,12 @@ from tidemark.session import shared_folder
 from tidemark.sources import documents, edits, views
 from tidemark.sources import entities as landed
 from tidemark.sources.lake import Lake
+from tidemark.streaming.live import land_live_hours
 from tidemark.streaming.drain import drain, edits_per_day, file_messages, message_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+DOCUMENT = T.StructType([T.StructField(c, T.StringType()) for c in documents.DOCUMENT_COLUMNS])
 P, D, E = t.PARAMS, t.RUN_DAY, t.EVENT_DAY
 
 
@@ -136,6 +140,20 @@ def drain_skipped(d: t.Tables) -> DataFrame:
     return message_counts(d.spark, f"{folder}/raw")
 
 
+@query
+def live_hours(d: t.Tables) -> DataFrame:
+    """Hours closed by the live counts, in two runs: the first half of the days sent twice, then the others."""
+    folder = scratch(d.spark)
+    when = F.get_json_object("value", "$.timestamp").cast("bigint")
+    early = when < F.unix_seconds(F.lit(f"{E:%Y-%m-%d} 00:00:00").cast("timestamp"))
+    first = d.messages.filter(F.coalesce(early, F.lit(True)))
+    for part in (first.unionByName(first), d.messages.filter(~early)):
+        part.write.mode("append").text(f"{folder}/topic")
+        messages = file_messages(d.spark, f"{folder}/topic")
+        land_live_hours(messages, f"{folder}/hours", f"{folder}/state").awaitTermination()
+    return d.spark.read.parquet(f"{folder}/hours").select("hour_utc", "project", "title", "edits")
+
+
 @query
 def raw_committed(d: t.Tables) -> DataFrame:
     """The run day as the drain's log has it, beside rows that something else left in the day's folder."""
@@ -242,6 +260,16 @@ def dump_hours_missing(d: t.Tables) -> DataFrame:
     return views.dump_problems(files.distinct(), D)
 
 
+@query
+def hourly_tsv(d: t.Tables) -> DataFrame:
+    """Rows landed as tab-separated text, titles with quotes, in several files, read back."""
+    folder = scratch(d.spark)
+    title = F.concat(F.lit('"The"_'), "title", F.when(F.col("views") % 2 == 0, F.lit('"')).otherwise(F.lit("")))
+    line = F.concat_ws("\t", F.date_format("hour_utc", "yyyy-MM-dd HH:mm:ss"), "project", title, F.col("views").cast("string"))
+    d.hourly.select(line.alias("value")).repartition(5).write.text(folder)
+    return views.normalize_hourly(views.read_hourly_tsv(d.spark, folder))
+
+
 @query
 def hourly_normalized(d: t.Tables) -> DataFrame:
     """Landed rows with text hours and underscored titles."""
@@ -343,6 +371,12 @@ def cross_language_events(d: t.Tables) -> DataFrame:
     return languages.by_reach(d.once(_events))
 
 
+@query
+def ordered_titles(d: t.Tables) -> DataFrame:
+    """Every day's articles of multilingual entities, numbered within their entity over all days."""
+    return languages.ordered_titles(d.once(_period))
+
+
 @query
 def cross_language_titles(d: t.Tables) -> DataFrame:
     return languages.cross_language_titles(d.once(_trending))
@@ -555,6 +589,23 @@ def documents_keyed(d: t.Tables) -> DataFrame:
     )
 
 
+def _multilingual_only(batch: list[documents.Document], attempt: int) -> list[tuple[str, str]]:
+    """A target that is busy at first, and takes only what is edited in several languages."""
+    if attempt == 0 and batch[0][1] < "8":
+        raise documents.Busy("busy")
+    return [(key, "one language") for _, key, source in batch if json.loads(source)["language_count"] < 2]
+
+
+@query
+def documents_rejected(d: t.Tables) -> DataFrame:
+    """What a target refuses of the day's documents, as the table kept of it."""
+    lake, day = Lake(scratch(d.spark)), f"{D:%Y%m%d}"
+    lake.write_day(documents.to_documents(d.once(_trending), "wikipedia-trending", day), "documents", "wikipedia-trending", day)
+    sent = lake.days(d.spark, "documents", "wikipedia-trending", [day], DOCUMENT).drop("day")
+    lake.write_day(documents.delivered(sent, _multilingual_only, wait=0.01), "documents", "rejects", day)
+    return lake.days(d.spark, "documents", "rejects", [day], documents.REJECTS).drop("day")
+
+
 @query
 def documents_upserted(d: t.Tables) -> DataFrame:
     """The day's documents over those of all days: an article's newer document replaces the older."""

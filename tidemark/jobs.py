@@ -13,14 +13,14 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.columns import day_text, run_day
 from tidemark.plans import daily, ingest
 from tidemark.session import build_session
 from tidemark.sources import documents
 from tidemark.sources.lake import Lake
-from tidemark.streaming import drain
+from tidemark.streaming import drain, live
 
 
 def interval_start(text: str) -> datetime:
@@ -29,16 +29,35 @@ def interval_start(text: str) -> datetime:
     return moment.astimezone(timezone.utc) if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
 
 
+def input_messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """The topic's messages, or landed message files."""
+    if args.servers:
+        return drain.topic_messages(spark, args.servers, args.topic, args.max_per_batch)
+    return drain.file_messages(spark, args.input)
+
+
 def drain_topic(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
     """Empty the topic (or landed message files) into the lake, then require the run's day."""
-    if args.servers:
-        messages = drain.topic_messages(spark, args.servers, args.topic, args.max_per_batch)
-    else:
-        messages = drain.file_messages(spark, args.input)
-    print(drain.drained(spark, messages, lake.path("raw", "Edits"), lake.path("state", "edits-drain")))
+    print(drain.drained(spark, input_messages(spark, args), lake.path("raw", "Edits"), lake.path("state", "edits-drain")))
     drain.require_day(spark, lake, day_text(args.day))
 
 
+def live_hours(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> str:
+    """Hourly counts of the hours closed so far, from the same messages."""
+    target = lake.path("live", "HourlyEdits")
+    live.land_live_hours(input_messages(spark, args), target, lake.path("state", "live-hours")).awaitTermination()
+    return target
+
+
+def send(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> dict[str, int]:
+    """The run day's documents to files of a mounted folder, one sub-folder per index."""
+    daily_indexes = [index for index, spec in documents.TABLES.items() if not spec.event_day]
+    return {
+        index: documents.send_day(spark, lake, index, day_text(args.day), documents.FolderWriter(f"{args.target}/{index}"))
+        for index in daily_indexes
+    }
+
+
 PUBLISHED = [spec.table for spec in documents.TABLES.values()]
 JOBS = {
     "drain-edits": drain_topic,
@@ -53,8 +72,11 @@ JOBS = {
     "sweep": lambda s, lake, a: [f for table in PUBLISHED for f in lake.sweep(s, "usage", table)],
     "leadlag": lambda s, lake, a: daily.leadlag_day(s, lake, a.day),
     "publish": lambda s, lake, a: daily.publish_day(s, lake, a.day),
+    "send": send,
+    "live-hours": live_hours,
     "publish-leadlag": lambda s, lake, a: daily.publish_leadlag(s, lake, a.day),
 }
+NEED_MESSAGES = {"drain-edits", "live-hours"}
 NEED_INPUT = {"format-hourly-views", "format-hourly-tsv", "format-daily-top", "format-entities"}
 
 
@@ -65,14 +87,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--start", required=True, type=interval_start, help="start of the data interval")
     parser.add_argument("--end", type=interval_start, help="last day of combine-days; the start's day without it")
     parser.add_argument("--input", help="landed files: dumps, top lists, responses or messages")
+    parser.add_argument("--target", help="mounted folder that send writes to")
     parser.add_argument("--servers", help="brokers of the topic; landed message files are read without")
     parser.add_argument("--topic", default=drain.TOPIC)
     parser.add_argument("--max-per-batch", type=int, help="messages per batch while draining")
     args = parser.parse_args(argv)
     if args.job in NEED_INPUT and not args.input:
         parser.error(f"{args.job} needs --input")
-    if args.job == "drain-edits" and not (args.servers or args.input):
-        parser.error("drain-edits needs --servers or --input")
+    if args.job in NEED_MESSAGES and not (args.servers or args.input):
+        parser.error(f"{args.job} needs --servers or --input")
+    if args.job == "send" and not args.target:
+        parser.error("send needs --target")
     args.day = run_day(args.start)
     args.last = run_day(args.end) if args.end else args.day
     return args

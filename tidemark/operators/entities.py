@@ -2,43 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.joins import join_under_skew
+from tidemark.operators.joins import join_under_skew, numbered
 from tidemark.params import DEFAULTS, Params
-from tidemark.session import WorkTables, checkpointed
+from tidemark.session import WorkTables
 
 TITLE = ["project", "title"]
 POINTER = T.StructType([T.StructField(c, T.StringType()) for c in ("project", "node", "to")])
-ROW_BITS = 33  # monotonically_increasing_id keeps the partition above the lower 33 bits
 
 
 def numbered_titles(articles: DataFrame) -> DataFrame:
-    """Distinct titles with their zero-based position in title order within the project.
-
-    A window would sort a whole project in one task. Here the titles are range-sorted over
-    all tasks and each row's position is its place in its partition plus the sizes of the
-    project's earlier partitions. The sorted rows are checkpointed, so both uses see the
-    same partitions even if an executor is lost; the sizes are one row per project and
-    partition, few enough to broadcast when Spark measures them.
-    """
-    ordered = checkpointed(
-        articles.filter(F.col("title").isNotNull())
-        .select(*TITLE)
-        .distinct()
-        .orderBy(*TITLE)
-        .withColumn("place", F.monotonically_increasing_id())
-    ).withColumn("part", F.shiftright("place", ROW_BITS))
-    sizes = ordered.groupBy("project", "part").agg(F.count("*").alias("rows"), F.min("place").alias("first_place"))
-    earlier = Window.partitionBy("project").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "project", "part", "first_place", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset")
-    )
-    return ordered.join(offsets, ["project", "part"]).select(
-        *TITLE, (F.col("offset") + F.col("place") - F.col("first_place")).alias("position")
-    )
+    """Distinct titles with their zero-based position in title order within the project."""
+    return numbered(articles.filter(F.col("title").isNotNull()).select(*TITLE).distinct(), "project", ["title"])
 
 
 def request_batches(articles: DataFrame, params: Params = DEFAULTS) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import half_even, language_of
-from tidemark.operators.joins import join_under_skew
+from tidemark.operators.joins import join_under_skew, numbered
 
 MICROS_PER_MINUTE = 60_000_000.0
 
@@ -85,6 +85,15 @@ def cross_language_titles(trending: DataFrame) -> DataFrame:
     )
 
 
+def ordered_titles(trending: DataFrame) -> DataFrame:
+    """``cross_language_titles`` with each article's ``position`` in its entity, from 0 by first edit.
+
+    The order of ``titles`` without its one cell: an entity with very many articles is
+    numbered in many tasks, and its rows stay rows.
+    """
+    return numbered(cross_language_titles(trending), "wikidata_id", ["first_edit", "edit_project", "title"])
+
+
 def cross_language_events(trending: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per entity edited in at least two languages the same day, per value of ``by`` if given.
 

@@ -51,7 +51,7 @@ def trending_articles(
 
 
 def combine_day(spark: SparkSession, lake: Lake, day: date, params: Params = DEFAULTS) -> dict[str, str]:
-    """Publish the day's three usage tables together once the gate has passed.
+    """Publish the day's usage tables together once the gate has passed.
 
     The trending frame is computed once and kept; gate and tables all read it.
     """
@@ -69,6 +69,7 @@ def combine_day(spark: SparkSession, lake: Lake, day: date, params: Params = DEF
     try:
         quality.enforce(quality.trending_rules(trending, params), "TrendingArticles")
         tables = usage_tables(trending, languages.cross_language_events(trending))
+        tables["CrossLanguageTitles"] = languages.ordered_titles(trending)
         lake.publish("usage", {name: df.withColumn("day", F.lit(today)) for name, df in tables.items()}, [today])
         return {name: lake.path("usage", name) for name in tables}
     finally:

@@ -82,6 +82,9 @@ CROSS_LANGUAGE = record(
     spread_minutes=REAL, titles=TEXT, total_edits=COUNT, sum_editors=COUNT, total_pageviews=COUNT,
     emerging_languages=WHOLE, is_emerging=FLAG,
 )
+CROSS_LANGUAGE_TITLES = record(
+    wikidata_id=TEXT, first_edit=INSTANT, edit_project=TEXT, title=TEXT, language_title=TEXT, position=COUNT,
+)
 LEADLAG_HOURLY = record(
     project=TEXT, title=TEXT, event_edits=COUNT, total_views=COUNT, best_lag_hours=WHOLE, best_corr=REAL,
     p_value=REAL, peak_lag_hours=WHOLE, edit_peak_utc=INSTANT, view_peak_utc=INSTANT, view_surge_ratio=REAL,

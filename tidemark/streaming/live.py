@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import align_project
+from tidemark.streaming.drain import filed_edits
 
 
 def live_edits(filed: DataFrame, delay: str = "2 hours") -> DataFrame:
@@ -38,3 +40,16 @@ def live_hourly_edits(edits: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("edits"), F.approx_count_distinct("user").alias("editors"))
         .select(F.col("window.start").alias("hour_utc"), "project", "title", "edits", "editors")
     )
+
+
+def land_live_hours(messages: DataFrame, target: str, checkpoint: str, delay: str = "2 hours") -> StreamingQuery:
+    """Append the hours that have closed by the messages present now, and stop; the next run goes on from there."""
+    hours = live_hourly_edits(live_edits(filed_edits(messages), delay))
+    return (
+        hours.writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
