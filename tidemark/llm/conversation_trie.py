@@ -30,8 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import landed, small_batches
-from tidemark.operators.entities import ROW_BITS
-from tidemark.operators.joins import join_under_skew
+from tidemark.operators.joins import ROW_BITS, join_under_skew
 
 KEY = ["depth", "k1", "k2"]
 GROUP, MOST_LEAD = 5, 8  # a group's first conversation lends the others up to so many turns
