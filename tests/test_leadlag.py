@@ -25,7 +25,7 @@ def flat(base, **spikes):
 
 def metrics(spark, day, edits, views):
     df = spark.createDataFrame([("p", "A", 9, 9, edits.tolist(), views.tolist())], SERIES)
-    return leadlag.lead_lag_metrics(df, day).first()
+    return leadlag.measured_pairs(df, day).first()
 
 
 def test_edits_lead(spark, day):
@@ -87,7 +87,7 @@ def test_whole_pipeline(spark, day):
     edits += [("fr.wikipedia.org", "Late", hour(30))] * 9
     views = [(hour(h), "fr.wikipedia", "Paris", 500 if h == 13 else 20) for h in range(HOURS) if h != 30]
     views += [(hour(60), "fr.wikipedia", "Paris", 9999), (hour(3), "fr.wikipedia", "Unedited", 5)]
-    out = leadlag.build_leadlag(spark.createDataFrame(edits, EDITS), spark.createDataFrame(views, VIEWS), day)
+    out = leadlag.day_patterns(spark.createDataFrame(edits, EDITS), spark.createDataFrame(views, VIEWS), day)
     assert rows(out, "project", "title", "best_lag_hours", "pattern", "event_edits", "total_views") == [
         ("fr.wikipedia", "Paris", 3, "edit_led", 5, 500 + 46 * 20)
     ]
@@ -108,10 +108,10 @@ def test_day_and_night_are_removed(spark, day):
     edits = [("fr.wikipedia.org", "Paris", hour(h)) for h in range(4, 9) for _ in range(3)]
     views = [(hour(h), "fr.wikipedia", "-", 1000 * cycle(h)) for h in range(HOURS)]
     views += [(hour(h), "fr.wikipedia", "Paris", cycle(h)) for h in range(HOURS)]
-    out = leadlag.build_leadlag(spark.createDataFrame(edits, EDITS), spark.createDataFrame(views, VIEWS), day)
+    out = leadlag.day_patterns(spark.createDataFrame(edits, EDITS), spark.createDataFrame(views, VIEWS), day)
     assert out.first()["pattern"] == "decorrelated"
     raw = spark.createDataFrame([v for v in views if v[2] != "-"], VIEWS)
-    assert leadlag.build_leadlag(spark.createDataFrame(edits, EDITS), raw, day).first()["pattern"] != "decorrelated"
+    assert leadlag.day_patterns(spark.createDataFrame(edits, EDITS), raw, day).first()["pattern"] != "decorrelated"
 
 
 def test_a_silent_hour_of_a_language_counts_as_usual(spark, day):
@@ -171,7 +171,7 @@ hours = st.lists(st.integers(0, 9), min_size=HOURS, max_size=HOURS)
 @given(st.lists(st.tuples(hours, hours), min_size=1, max_size=10))
 def test_cross_correlation_equals_brute_force(spark, day, pairs):
     data = [("p", f"T{i}", 1, 1, [float(x) for x in e], [float(x) for x in v]) for i, (e, v) in enumerate(pairs)]
-    out = leadlag.lead_lag_metrics(spark.createDataFrame(data, SERIES), day)
+    out = leadlag.measured_pairs(spark.createDataFrame(data, SERIES), day)
     for r in out.collect():
         e, v = (np.array(x, dtype=float) for x in pairs[int(r["title"][1:])])
         best = brute_force(e, v)
@@ -185,7 +185,7 @@ def test_cross_correlation_equals_brute_force(spark, day, pairs):
 
 def test_reordered_thresholds(spark, day):
     df = spark.createDataFrame([("p", "A", 9, 9, flat(1, h10=10).tolist(), flat(20, h13=500).tolist())], SERIES)
-    strict = leadlag.lead_lag_metrics(df, day, Params(min_corr=1.1)).first()
+    strict = leadlag.measured_pairs(df, day, Params(min_corr=1.1)).first()
     assert strict["pattern"] == "decorrelated" and strict["best_lag_hours"] == 3
 
 

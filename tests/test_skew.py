@@ -75,7 +75,7 @@ def test_hot_article_in_lead_lag(spark, edits, no_broadcast):
         "title",
         F.col("edit_size").alias("views"),
     )
-    hot = leadlag.build_leadlag(edits, seen, date(2026, 10, 1)).filter("title = 'Hot'").first()
+    hot = leadlag.day_patterns(edits, seen, date(2026, 10, 1)).filter("title = 'Hot'").first()
     assert (hot["event_edits"], hot["total_views"], hot["best_lag_hours"]) == (ROWS // 3, ROWS // 3, 0)
 
 

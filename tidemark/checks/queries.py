@@ -93,7 +93,7 @@ def _events(d: t.Tables) -> DataFrame:
 
 
 def _leadlag(d: t.Tables) -> DataFrame:
-    return leadlag.build_leadlag(d.edits, d.hourly, E, P)
+    return leadlag.day_patterns(d.edits, d.hourly, E, P)
 
 
 def _period(d: t.Tables) -> DataFrame:
@@ -285,7 +285,7 @@ def hourly_normalized(d: t.Tables) -> DataFrame:
 @query
 def daily_views(d: t.Tables) -> DataFrame:
     """Views per article, totals left out: the side of ``readership`` that comes from hours."""
-    return aggregates.readership(d.hourly, d.top.filter(F.lit(False))).select("project", "title", "views")
+    return aggregates.readership(d.hourly, d.top).filter("views IS NOT NULL").select("project", "title", "views")
 
 
 @query
@@ -302,7 +302,7 @@ def top_exploded(d: t.Tables) -> DataFrame:
 @query
 def top_ranks(d: t.Tables) -> DataFrame:
     """Best rank per article: the side of ``readership`` that comes from the lists."""
-    return aggregates.readership(d.hourly.filter(F.lit(False)), d.top).select("project", "title", "rank")
+    return aggregates.readership(d.hourly, d.top).filter("rank IS NOT NULL").select("project", "title", "rank")
 
 
 # ---- trending
@@ -575,8 +575,9 @@ def response_problems(d: t.Tables) -> DataFrame:
 def documents_keyed(d: t.Tables) -> DataFrame:
     """Ids and a few values read back from the JSON of every published article and entity."""
     day = f"{D:%Y%m%d}"
-    both = documents.to_documents(d.once(_trending), "wikipedia-trending", day).unionByName(
-        documents.to_documents(d.once(_events), "wikipedia-crosslang", day)
+    published = landed_once(d, d.once(_trending))
+    both = documents.to_documents(published, "wikipedia-trending", day).unionByName(
+        documents.to_documents(languages.cross_language_events(published), "wikipedia-crosslang", day)
     )
     value = lambda path: F.get_json_object("_source", f"$.{path}")
     return both.select(

@@ -45,8 +45,6 @@ def emerging_table(trending: DataFrame, titles: int = 50, languages: int = 5) ->
     inner ranking then sees only their languages.
     """
     emerging = trending.filter("is_emerging")
-    best = emerging.groupBy("title").agg(F.max("z_editors").alias("title_z"))
-    leaders = best.orderBy(F.desc("title_z"), "title").limit(titles)
     cells = emerging.groupBy("title", "edit_project").agg(
         F.max("unique_editors").alias("editors"),
         F.max("baseline_editors").alias("baseline"),
@@ -54,6 +52,8 @@ def emerging_table(trending: DataFrame, titles: int = 50, languages: int = 5) ->
         F.max("pageviews").alias("views"),
         F.max("language_count").alias("languages"),
     )
+    best = cells.groupBy("title").agg(F.max("z").alias("title_z"))
+    leaders = best.orderBy(F.desc("title_z"), "title").limit(titles)
     order = Window.partitionBy("title").orderBy(F.desc("z"), "edit_project")
     return (
         cells.join(F.broadcast(leaders), "title")

@@ -137,7 +137,7 @@ def leadlag_day(spark: SparkSession, lake: Lake, run: date, params: Params = DEF
         reading = leadlag.view_series(leadlag.hourly_views(followed(hourly, editing), event, params))
         factors = leadlag.diurnal_factors(hourly, event, params)
         series = leadlag.paired_series(editing, reading, factors, params)
-        result = leadlag.lead_lag_metrics(series, event, params)
+        result = leadlag.measured_pairs(series, event, params)
         rows = result.select(*schemas.LEADLAG_HOURLY.fieldNames(), F.lit(day_text(event)).alias("day"))
         lake.publish("usage", {"EditLeadLagHourly": rows}, [day_text(event)])
         return lake.path("usage", "EditLeadLagHourly")
