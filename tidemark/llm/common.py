@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_folder
+from tidemark.session import delete_folder, shared_folder
 
 # Arrow batches to Python stay small whatever the length of a text.
 BATCH_BYTES = 16 << 20
@@ -44,6 +44,13 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(*frames: DataFrame) -> None:
+    """Delete what ``landed`` wrote; only for frames that nothing is read from any more."""
+    for df in frames:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            delete_folder(df.sparkSession, folder)
+
+
 class Recent(dict):
     """A dictionary of bounded size for a worker's repeated words; it starts afresh when full."""
 

@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Recent, landed, small_batches, whole_text
+from tidemark.llm.common import Recent, landed, released, small_batches, whole_text
 
 DEPTH = 3
 FREQUENT = 150_000
@@ -253,6 +253,9 @@ def grow(
             .withColumn("part", F.col("n") * F.log(F.col("n") / F.col("total") / F.col("p_short")))
             .withColumn("p_own", (F.col("n") + weight * F.col("p_short")) / (F.col("total") + weight)), "tested",
         )
+        released(often)
+        if model:
+            released(shorter)
         keeps = F.abs("part") >= part
         states = each.groupBy("context").agg(
             F.sum("part").alias("gain"), F.first("total").alias("total"), F.count_if(keeps).alias("kept"),
@@ -264,13 +267,16 @@ def grow(
         own = F.when(F.col("kept"), F.col("p_own")).otherwise(F.col("p_short") * F.coalesce("left", F.lit(1.0)))
         differs = F.when(F.col("kept"), F.log10(F.col("p_own") / F.col("p_short") / F.col("left")))
         shorter = landed(told.select("run", "n", own.alias("p"), differs.alias("differs")), "shorter")
+        released(each)
         key = F.arrow_udf(lambda c: pa.array(state_key(c.to_numpy(zero_copy_only=False).astype(np.int64))), "bigint")
         model.append(states.select(key("context").alias("key"), F.log10("left").alias("value"), F.col("total").alias("n")))
-        model.append(shorter.filter("differs is not null").select(F.col("run").alias("key"), F.col("differs").alias("value"), "n"))
+        model.append(landed(shorter.filter("differs is not null").select(F.col("run").alias("key"), F.col("differs").alias("value"), "n"), "kept"))
     every = model[0]
     for more in model[1:]:
         every = every.union(more)
-    return landed(every, "tree")
+    tree = landed(every, "tree")
+    released(*model, *([shorter] if model else []))
+    return tree
 
 
 def held_out(id_column: str) -> Column:
@@ -345,6 +351,7 @@ def scored(
         return pa.StructArray.from_arrays(columns, names=list(kinds))
 
     first = landed(rows.select("id", "held_out", "row", F.arrow_udf(run, schema)("tokens").alias("s")).select("id", "held_out", "row", "s.*"), "scores")
+    released(rows)
     deep = first.select("row", F.explode("further").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     deep = deep.join(tree, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("deeper"))
     rare = first.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count("*").alias("times"))
