@@ -47,7 +47,8 @@ from tidemark.llm.common import Recent, landed, released, small_batches, whole_t
 DEPTH = 3
 FREQUENT = 150_000
 CACHED = 400_000
-SUMMED = 3_000_000
+SUMMED = 1_000_000
+HANDED_ON = 100_000
 BITS = 26
 # of the tree in memory
 ALPHABET = 8_000
@@ -129,15 +130,21 @@ def _summed(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordB
 
 
 def _gathered(parts: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Partial counts of a task, summed over millions of places at a time."""
+    """Partial counts of a task, summed over a million places at a time and handed on in small batches."""
     held: list[tuple[np.ndarray, ...]] = []
+
+    def batches() -> Iterator[pa.RecordBatch]:
+        summed = _summed(held, names)
+        held.clear()
+        for at in range(0, summed.num_rows, HANDED_ON):
+            yield summed.slice(at, HANDED_ON)
+
     for part in parts:
         held.append(part)
         if sum(len(x[0]) for x in held) > SUMMED:
-            yield _summed(held, names)
-            held = []
+            yield from batches()
     if held:
-        yield _summed(held, names)
+        yield from batches()
 
 
 def counts(training: DataFrame) -> DataFrame:
