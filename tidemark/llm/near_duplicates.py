@@ -6,15 +6,17 @@ samples share cancels out, and the number of ones in the XOR of two sketches est
 much they differ, most precisely where they differ little. Candidates whose sketches are
 too far apart are dropped; the others are compared on their full sets.
 
-Equal sets are one class from the start, and only its representative goes on. Within a
-band's bucket the smallest and the largest member are compared with all others, then the
-one with the most links; once links have joined most of a bucket into one component, only
-pairs of *different* components are left to compare. Of these, a set goes whose shingles
-are too often its own to be 0.75 like any other, and a pair without a common shingle among
-their rarest ones (as many as sets this similar cannot miss); all other pairs are compared
-by size and sketch within the bucket, and by their sets where these allow it. A group
-of copies so costs in proportion to its size, and no candidate pair that could join two
-components is left out.
+Equal sets are one class from the start, and only its representative goes on. Buckets are
+then taken in rounds: each set is compared with one other, the smallest id over all its
+buckets first, then, in buckets whose members are still in different components, the
+member with the most links. Once links have joined most of a bucket into one component,
+only pairs of *different* components are left to compare. Of these, a set goes whose
+shingles are too often its own to be 0.75 like any other, and a pair without a common
+shingle among their rarest ones (as many as sets this similar cannot miss); all other
+pairs are compared by size and sketch within the bucket, and by their sets where these
+allow it. A round so costs one pair a set, however large a group of copies is, components
+are only ever made of a round's new links between earlier components, and no candidate
+pair that could join two components is left out.
 
 With 32 bands of 4 samples a pair at the threshold of 0.75 meets in some band but for 5 in
 a million; sketches are dropped below an estimate of 0.55, more than four and a half standard
@@ -230,6 +232,20 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def united(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels of ``components`` after more links: components of components, so only new links are followed."""
+    if not links.limit(1).count():
+        return labels
+    of = lambda end: labels.select(F.col("id").alias(end), F.col("label").alias(f"of_{end}"))
+    named = join_under_skew(join_under_skew(links.select("a", "b"), of("a"), ["a"]), of("b"), ["b"])
+    between = named.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).filter("a != b").distinct()
+    merged = components(landed(between, "between"))
+    # ids that had a label before, and those that a new link is the first of
+    known = labels.unionByName(merged.select("id", F.col("id").alias("label")).join(labels, "id", "left_anti"))
+    lower = merged.select(F.col("id").alias("label"), F.col("label").alias("lower"))
+    return landed(join_under_skew(known, lower, ["label"]).select("id", F.coalesce("lower", "label").alias("label")), "labels")
+
+
 def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id, n_shingles, component_id (the smallest id reachable by links), kept; one row per row of ``docs``."""
     small_batches(docs.sparkSession)
@@ -251,20 +267,17 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     involved = shared.select(F.col("rep").alias("id")).distinct()
     as_set = F.arrow_udf(lambda texts: pa.array([shingles(t).tobytes() for t in texts.to_pylist()], pa.binary()), "binary")
     sets = landed(rows.join(involved, "id", "left_semi").dropDuplicates(["id", "text"]).select("id", as_set("text").alias("hashes")), "sets")
-    # first each bucket's ends with all of it, then what is still apart
-    star = shared.select(F.least("rep", "low").alias("a"), F.greatest("rep", "low").alias("b")).unionByName(
-        shared.select(F.least("rep", "high").alias("a"), F.greatest("rep", "high").alias("b"))
-    ).filter("a < b").distinct()
+    # first each member with the smallest one of all its buckets
+    star = shared.groupBy(F.col("rep").alias("b")).agg(F.min("low").alias("a")).filter("a < b").select("a", "b")
     links = _links(star, reps, sets)
     labels = components(links)
-    # then, in what is still mixed, the member with the most links with all of it
+    # then, in what is still mixed, each with the one that has the most links in any of its buckets
     ends_of = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
-    mixed = _undecided(shared, labels).join(ends_of, "rep", "left")
-    most = mixed.groupBy("key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("rep")).alias("low"), "label")).alias("most"))
-    hub = join_under_skew(mixed, most.select("key", (-F.col("most.low")).alias("hub"), F.col("most.label").alias("of")), ["key"])
-    hubs = hub.filter("label != of").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    links = landed(links.unionByName(_links(hubs, reps, sets)), "links")
-    labels = components(links)
+    mixed = landed(join_under_skew(_undecided(shared, labels), ends_of, ["rep"]).fillna(0, ["links"]), "mixed")
+    most = mixed.groupBy("key").agg(F.max(F.struct("links", (-F.col("rep")).alias("low"), "label")).alias("most"))
+    other = join_under_skew(mixed, most, ["key"]).filter("label != most.label")
+    hubs = other.groupBy("rep").agg((-F.max("most")["low"]).alias("hub"))
+    labels = united(labels, _links(hubs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct(), reps, sets))
     # then the pairs of different components that shared shingles, sizes and sketches allow, each in its first common band
     open_rows = landed(_sharing(_undecided(shared, labels), reps, sets), "open")
     columns = ("rep", "label", "size", "common", "rarest", "sketch", "bands")
@@ -281,9 +294,7 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         ), F.lit(True))
     )
     apart = left.join(right, (left["key"] == right["key"]) & possible).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-    more = _links(apart.distinct(), reps, sets)
-    if more.limit(1).count():
-        labels = components(links.unionByName(more))
+    labels = united(labels, _links(apart.distinct(), reps, sets))
     found = classes.join(labels.toDF("rep", "label"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component"))
     out = join_under_skew(signed.select("id", "n_shingles", "digest"), found, ["digest"])
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
