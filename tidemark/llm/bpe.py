@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Recent, small_batches, whole_text
 
-REMEMBERED = 600_000
 
 
 class Vocabulary:
@@ -46,7 +45,7 @@ class Vocabulary:
         # longest first: in running text the long token is the likelier one
         self.lengths = [tuple(sorted(lengths.get(b, ()), reverse=True)) for b in range(256)]
         self.longest = max(map(len, ranks), default=1)
-        self.apart: dict[int, bool] = Recent(2_000_000)
+        self.apart: dict[int, bool] = Recent("bpe")
 
     def merged(self, data: bytes) -> list[bytes]:
         """Merge by lowest rank, leftmost first; for the few bytes of two tokens."""
@@ -138,8 +137,8 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.kind = "H" if max(ranks.values(), default=0) < 1 << 16 else "I"
         self.dtype = np.uint16 if self.kind == "H" else np.uint32
-        self.matches: dict[str, bytes] = Recent(REMEMBERED)
-        self.words: dict[str, bytes] = Recent(REMEMBERED)
+        self.matches: dict[str, bytes] = Recent("bpe")
+        self.words: dict[str, bytes] = Recent("bpe")
 
     def _match(self, text: str) -> bytes:
         known = self.matches.get(text)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from sys import getsizeof
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.session import delete_folder, shared_folder
 
 # Arrow batches to Python stay small whatever the length of a text.
-BATCH_BYTES = 16 << 20
-BATCH_ROWS = 2000
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 1000
+REMEMBERED_BYTES = 96 << 20
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -51,15 +53,39 @@ def released(*frames: DataFrame) -> None:
             delete_folder(df.sparkSession, folder)
 
 
+def _held(key, value) -> int:
+    """Bytes of both objects and their place in a table."""
+    return getsizeof(key) + getsizeof(value) + 100
+
+
 class Recent(dict):
-    """A dictionary of bounded size for a worker's repeated words; it starts afresh when full."""
+    """A worker's repeated words, bounded by bytes; what is ``keep``-t beyond them starts it afresh.
+
+    One process serves many operators in turn, so the memories of an ``owner`` give way
+    as soon as another one keeps something.
+    """
 
-    def __init__(self, size: int) -> None:
+    _all: list[Recent] = []
+
+    def __init__(self, owner: str, share: float = 1.0) -> None:
         super().__init__()
-        self.size = size
+        self.owner, self.most, self.held = owner, int(share * REMEMBERED_BYTES), 0
+        Recent._all.append(self)
 
     def keep(self, key, value):
-        if len(self) >= self.size:
+        if self.held == 0:
+            for other in Recent._all:
+                if other.owner != self.owner:
+                    other.clear()
+        if not self.has_room({key: value}):
             self.clear()
+        self.held += _held(key, value)
         self[key] = value
         return value
+
+    def has_room(self, new: dict) -> bool:
+        return self.held + sum(map(_held, new.keys(), new.values())) <= self.most
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0

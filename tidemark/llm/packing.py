@@ -15,6 +15,7 @@ length is cut into as many pieces as it needs; further columns are ignored.
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import Any
@@ -28,7 +29,6 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import Recent, landed, small_batches, whole_text
 
-REMEMBERED = 1_200_000
 SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # all but the apostrophe, which starts endings like 's
 
 
@@ -41,7 +41,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[bytes, bytes] = Recent(REMEMBERED)
+        self.words: dict[bytes, bytes] = Recent("packing", 1.5)
 
     def of(self, texts: list[str], closing: int) -> list[bytes]:
         """The vocabulary drops white space and no token crosses it, nor the place where signs follow a
@@ -61,19 +61,23 @@ class WordIds:
         for word, core in bare.items():
             if word not in new:
                 new[word] = (known(core) if core else b"") + known(word[len(core):])
-        if len(self.words) + len(new) > self.words.size:
-            keep = {w: ids for s in split for w in s if (ids := self.words.get(w)) is not None}
-            self.words.clear()
-            self.words.update(keep)
-        self.words.update(new)
-        return [b"".join(map(self.words.__getitem__, words)) + end for words in split]
+        # what is remembered may give way to the new words, so these texts' own are held apart then
+        found: dict[bytes, bytes] = self.words
+        if not self.words.has_room(new):
+            found = {w: ids for s in split for w in s if (ids := self.words.get(w)) is not None} | new
+        for word, ids in new.items():
+            self.words.keep(word, ids)
+        return [b"".join(map(found.__getitem__, words)) + end for words in split]
 
 
 def _bare(word: bytes) -> bytes:
-    """The word without the signs after it; itself where what stands before them is no letter or digit."""
+    """The word without the signs after it; itself where what stands before them is no letter or digit,
+    or would be none once composed and in lower case, as some letters turn into a letter and a mark."""
     core = word.rstrip(SIGNS)
-    if len(core) < len(word) and core and not (core[-1:].isalnum() or core[-4:].decode(errors="ignore")[-1:].isalpha()):
-        return word
+    if len(core) < len(word) and core and not core[-1:].isalnum():
+        last = core[-4:].decode(errors="ignore")[-1:]
+        if not (last.isalpha() and unicodedata.normalize("NFC", last).lower()[-1].isalpha()):
+            return word
     return core
 
 

@@ -66,7 +66,7 @@ class Hashes(Recent):
         return self.keep(token, int.from_bytes(hashlib.blake2b(token, digest_size=8).digest(), "little", signed=True))
 
 
-HASHES = Hashes(300_000)
+HASHES = Hashes("suffix_tree", 0.5)
 END = np.int64(HASHES[b""])
 
 
