@@ -36,7 +36,7 @@ EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 LEVELS = (0.05, 0.2, 0.5)
 SYMBOLS = set("*#$%&|<>!")
 
-_hashed: dict[str, int] = Recent(500_000)
+_hashed: dict[str, int] = Recent("grader")
 
 
 def _slot(word: str) -> int:
@@ -71,7 +71,7 @@ class Model:
     thresholds: tuple[float, ...]
 
 
-def fit_rows(rows: list[tuple[int, list[int]]], least: int = 6, strength: float = 18.0, most: int = 1024) -> Model | None:
+def fit_rows(rows: list[tuple[int, list[int]]], least: int = 6, strength: float = 18.0) -> Model | None:
     """Weights of the (grade, features) rows; null without two grades."""
     grades = np.array([g for g, _ in rows], np.int64)
     if len(np.unique(grades)) < 2:
@@ -89,20 +89,18 @@ def fit_rows(rows: list[tuple[int, list[int]]], least: int = 6, strength: float
                                    (of_grade[k] - counts[k, often], (len(rows) - total[often]) * share[k])):
                 tests += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
     picked = often[tests > strength]
-    picked = np.sort(picked[np.argsort(-tests[tests > strength], kind="stable")[:most]])
     place = np.full(TABLE, -1, np.int32)
     place[picked] = np.arange(len(picked))
-    x = np.zeros((len(rows), len(picked)), np.float32)
-    for i, (_, slots) in enumerate(rows):
-        at = place[slots]
-        x[i, at[at >= 0]] = 1
-    weights, thresholds = _descend(x, grades)
+    held = [at[at >= 0] for at in (place[slots] for _, slots in rows)]
+    row = np.repeat(np.arange(len(rows)), list(map(len, held)))
+    weights, thresholds = _descend(row, np.concatenate(held).astype(np.int64), len(picked), grades)
     return Model(tuple(map(int, picked)), tuple(map(float, weights)), tuple(map(float, thresholds)))
 
 
-def _descend(x: np.ndarray, grades: np.ndarray, rounds: int = 400, rate: float = 0.1, ridge: float = 0.3):
-    """Adam on the cumulative-link likelihood; the step between thresholds is kept positive by its logarithm."""
-    n, width = x.shape
+def _descend(row: np.ndarray, feature: np.ndarray, width: int, grades: np.ndarray, rounds: int = 400, rate: float = 0.1, ridge: float = 0.3):
+    """Adam on the cumulative-link likelihood of rows that have the features named beside them; the step
+    between thresholds is kept positive by its logarithm."""
+    n = len(grades)
     below = np.clip(np.cumsum(np.bincount(grades, minlength=GRADES))[:-1] / n, 1e-4, 1 - 1e-4)
     first = np.log(below / (1 - below))
     theta = np.concatenate([np.zeros(width), [first[0]], np.log(np.maximum(np.diff(first), 0.1))])
@@ -110,7 +108,7 @@ def _descend(x: np.ndarray, grades: np.ndarray, rounds: int = 400, rate: float =
     sigma = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for t in range(1, rounds + 1):
         cuts = np.cumsum(np.concatenate([[theta[width]], np.exp(theta[width + 1:])]))
-        score = (x @ theta[:width].astype(np.float32)).astype(float)  # the same type, or x is copied each round
+        score = np.bincount(row, theta[feature], n)
         edge = np.concatenate([np.full((n, 1), 0.0), sigma(cuts - score[:, None]), np.full((n, 1), 1.0)], 1)
         rows = np.arange(n)
         low, high = edge[rows, grades], edge[rows, grades + 1]
@@ -121,7 +119,7 @@ def _descend(x: np.ndarray, grades: np.ndarray, rounds: int = 400, rate: float =
             (slope_low[grades == k + 1]).sum() - (slope_high[grades == k]).sum() for k in range(GRADES - 1)
         ])
         tail = np.cumsum(by_cut[::-1])[::-1]
-        gradient = np.concatenate([x.T @ by_score.astype(np.float32) + ridge * theta[:width], [tail[0]], tail[1:] * np.exp(theta[width + 1:])]) / n
+        gradient = np.concatenate([np.bincount(feature, by_score[row], width) + ridge * theta[:width], [tail[0]], tail[1:] * np.exp(theta[width + 1:])]) / n
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         theta = theta - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return theta[:width], np.cumsum(np.concatenate([[theta[width]], np.exp(theta[width + 1:])]))
