@@ -268,13 +268,19 @@ def with_spans(docs: DataFrame, model: Trees | None, text_column: str = "text")
         def selected(x: Column) -> Column:
             least = reduce(lambda c, kv: c.when(x["kind"] == kv[0], kv[1] - 1e-9), list(model.thresholds.items())[1:],
                            F.when(x["kind"] == list(model.thresholds.items())[0][0], list(model.thresholds.items())[0][1] - 1e-9))
-            return F.coalesce(model.column(x) >= least, F.lit(False))
+            return x["confirmed"] & F.coalesce(model.column(x) >= least, F.lit(False))
 
         picked = F.filter(candidates(whole_text(text_column)), selected)
         chosen = F.transform(picked, lambda x: F.struct(x["start"], x["rank"], x["end"], x["kind"])).cast(plain)
     # a candidate that a base span already covers adds nothing
     fresh = F.filter(chosen, lambda x: ~F.exists("base", lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"])))
-    return based.withColumn("spans", F.array_sort(F.array_union(F.col("base").cast(plain), F.array_distinct(fresh))))
+    # of equal candidates the first generator's stays
+    ordered = F.array_sort(F.transform(fresh, lambda x: F.struct(x["start"], x["end"], x["rank"], x["kind"])))
+    first = F.transform(F.array(ordered), lambda every: F.filter(every, lambda x, k: (k == 0) | (
+        F.struct(F.get(every, k - 1)["start"], F.get(every, k - 1)["end"]) != F.struct(x["start"], x["end"])
+    )))[0]
+    added = F.transform(first, lambda x: F.struct(x["start"], x["rank"], x["end"], x["kind"])).cast(plain)
+    return based.withColumn("spans", F.array_sort(F.array_union(F.col("base").cast(plain), added)))
 
 
 def listed(spans: str) -> Column:
