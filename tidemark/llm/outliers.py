@@ -9,8 +9,8 @@ Groups with fewer than ``least`` rows take their language's estimate, or that of
 
 Cases: null text has no words and fails the fixed rules; null languages and sources are
 groups of their own; identical statistics leave no scatter, which ``FLOORS`` then bounds
-from below; an empty table gives an empty result; a statistic's name among the columns is
-replaced; repeated rows get the same verdict each.
+from below; an empty table gives an empty result; a result's name among the columns is
+replaced, all others stay; repeated rows get the same verdict each.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ STATISTICS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines b
 FLOORS = {"word_length": 0.25, "symbols": 0.03, "dup_lines": 0.12, "repeats": 0.12, "upper": 0.06}
 FEATURES = tuple(FLOORS)
 PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
-SMALL_TABLE = 20_000
 
 
 def repeated_words(words: list[bytes], width: int = 5) -> int:
@@ -142,13 +141,6 @@ def _estimate(rows: DataFrame, inflate: float) -> DataFrame:
     return landed(sums.mapInPandas(lambda frames: _precisions(frames, inflate), schema), "outliers")
 
 
-def looked_up(rows: DataFrame, small: DataFrame, on: str) -> DataFrame:
-    """Left join of a table with one row per key: sent to all tasks where counted to be short, split by Spark else."""
-    if small.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
-        return rows.join(F.broadcast(small), on, "left")
-    return join_under_skew(rows, small, [on])
-
-
 def chi_square(p: float, quantile: float) -> float:
     """Quantile of the chi-square distribution (Wilson and Hilferty)."""
     from statistics import NormalDist
@@ -171,9 +163,9 @@ def fit(docs: DataFrame, lang: str, source: str, core: float, steps: int, least:
     p = len(FEATURES)
     inflate = core / _chi_cdf(p + 2, chi_square(p, core))
     for _ in range(steps):
-        far = looked_up(spread, found.select("key", "centre", "precision"), "key").withColumn("d2", _distance())
+        far = join_under_skew(spread, found.select("key", "centre", "precision"), ["key"]).withColumn("d2", _distance())
         radius = landed(far.groupBy("key").agg(F.percentile_approx("d2", core, 2000).alias("radius")), "outliers")
-        near = looked_up(far.select("key", *FEATURES, "d2"), radius, "key").filter("d2 <= radius")
+        near = join_under_skew(far.select("key", *FEATURES, "d2"), radius, ["key"]).filter("d2 <= radius")
         found = _estimate(near, inflate)
     # a small group takes the estimate of its language, or of all
     counts = medians.filter((F.col("n") >= least) | (F.col("key") == "all")).select("key")
@@ -195,16 +187,18 @@ def judged(
     core: float = 0.75, steps: int = 3, least: int = 200, quantile: float = 0.9999999,
 ) -> DataFrame:
     """All columns, the statistics, ``distance`` (squared), ``base_failed`` and ``kept``."""
-    stats = with_statistics(docs, text_column)
-    narrow = docs.select(F.col(text_column).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
+    named = F.col(text_column).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source")
+    narrow = docs.select(*named)
+    results = [*[part.split()[0] for part in STATISTICS.split(", ")], "distance", "base_failed", "kept"]
+    # everything the caller has stays in one column, so only the results' own names are taken
+    stats = with_statistics(docs.select(F.struct(*docs.drop(*results).columns).alias("row"), *named))
     estimates = fit(with_statistics(narrow), "lang", "source", core, steps, least)
-    own = [c for c in ("key", "centre", "precision", "distance", "base_failed", "kept", *FEATURES) if c in stats.columns]
-    keyed = stats.drop(*own).select("*", *features(), _keys(lang, source)[0].alias("key"))
-    far = looked_up(keyed, estimates, "key").withColumn("distance", _distance())
+    keyed = stats.select("*", *features(), _keys("lang", "source")[0].alias("key"))
+    far = join_under_skew(keyed, estimates, ["key"]).withColumn("distance", _distance())
     limit = chi_square(len(FEATURES), quantile)
     return far.select(
-        "*", base_failed().alias("base_failed"), (~base_failed() & (F.col("distance") <= limit)).alias("kept")
-    ).drop("key", "centre", "precision", *FEATURES)
+        "row.*", *results[:-2], base_failed().alias("base_failed"), (~base_failed() & (F.col("distance") <= limit)).alias("kept")
+    )
 
 
 def accepted(docs: DataFrame, **params) -> DataFrame:

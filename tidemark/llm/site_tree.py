@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import landed, small_batches, whole_text
-from tidemark.llm.outliers import looked_up
+from tidemark.operators.joins import join_under_skew
 
 LEAST_PAGES = 5
 LEAST_IMPORTANCE = 0.3
@@ -255,4 +255,4 @@ def extracted(pages: DataFrame, url_column: str = "url", html_column: str = "htm
     # everything the caller has stays in one column, so no name can clash
     kept = rows.select(F.struct("*").alias("row"), host.alias("host"))
     text = F.arrow_udf(run, "string")(whole_text(f"row.{html_column}"), F.col("unimportant"))
-    return looked_up(kept, listed, "host").select("row.*", text.alias(result))
+    return join_under_skew(kept, listed, ["host"]).select("row.*", text.alias(result))
