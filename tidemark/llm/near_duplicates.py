@@ -307,7 +307,7 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of one document of each group, with all columns."""
     gone = clusters(docs, id_column, text_column).filter("not kept").select(id_column).distinct()
-    rest = docs.join(gone, id_column, "left_anti").select(*docs.columns)
+    rest = docs.join(gone, id_column, "left_anti").select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"))
     # a row without id stands for itself
-    own = F.when(F.col(id_column).isNull(), F.monotonically_increasing_id())
-    return rest.withColumn("_own", own).dropDuplicates([id_column, "_own"]).drop("_own")
+    own = F.when(F.col("id").isNull(), F.monotonically_increasing_id())
+    return rest.withColumn("own", own).dropDuplicates(["id", "own"]).select("row.*")
