@@ -88,7 +88,7 @@ def test_fingerprints(spark, texts):
 def test_every_query_is_registered():
     names = entry_points.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names)
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables absent")

@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, grader, licenses, outliers, packing, personal_data, site_tree, suffix_tree
+from tidemark.llm import bpe, common, grader, licenses, outliers, packing, personal_data, site_tree, suffix_tree
 
 PATTERN = public_tokenizers.PATTERN
 BYTES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -242,3 +242,77 @@ def test_spelled_mail_is_found_in_any_case(spark):
     texts = [f"JOHN [{sign}] EXAMPLE [DOT] COM" for sign in ("AT", "At", "aT", "at")]
     found = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("found", personal_data.candidates(F.col("text")))
     assert all("spelled_mail" in {x["kind"] for x in r["found"]} for r in found.collect())
+
+
+def test_packing_parts_words_as_the_library_does():
+    """Every code point before a sign, whatever composing and lower case make of it."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORDS)
+    tokenizer.encode_special_tokens = True
+    texts = [f"{chr(c)}?)" for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts += ["\u0130.", "1\u0130)", "a\u0130,", "x\u0958!", "\u0958", "\u03a3. \u03a3x"]
+    found = packing.WordIds(WORDS).of(texts, 2)
+    expected = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert [t for t, f, e in zip(texts, found, expected) if np.frombuffer(f, np.uint32).tolist() != [*e.ids, 2]] == []
+
+
+def test_remembered_words_stay_within_their_bytes_and_their_operator(monkeypatch):
+    monkeypatch.setattr(common, "REMEMBERED_BYTES", 20_000)
+    words = packing.WordIds(WORDS)
+    assert words.of(["alpha beta"], 2) == packing.WordIds(WORDS).of(["alpha beta"], 2)
+    texts = [" ".join(f"w{i}x{k}" for k in range(120)) for i in range(6)]
+    assert [words.of([t], 2)[0] for t in texts] == words.of(texts, 2)  # more than there is room for, at once
+    assert words.words.held <= words.words.most
+    other = common.Recent("another")
+    other.keep("a", 1)
+    assert not words.words and other == {"a": 1}
+
+
+def test_equal_candidates_are_one_span_and_unproven_ones_none(spark):
+    texts = ["call 212-555-0142 now", "at 300.1.2.3 or 999.999.999.999", "from 10.0.0.1 on"]
+    # a model that takes whatever it is asked about
+    every = personal_data.Trees(9.0, (), {kind: 0.0 for kind in personal_data.KINDS})
+    docs = spark.createDataFrame([(t, "own", "own") for t in texts], "text string, base string, spans string")
+    found = {r["text"]: [(x["kind"], x["start"], x["end"]) for x in r["spans"]] for r in personal_data.with_spans(docs, every).collect()}
+    assert len({x[1:] for x in found[texts[0]]}) == len(found[texts[0]]) > 0
+    assert not [x for x in found[texts[1]] if x[0] == "ip"]
+    assert [x for x in found[texts[2]] if x[0] == "ip"] == [("ip", 5, 13)]
+    clean = personal_data.redacted(docs, every).filter("base = 'own' and spans = 'own'")
+    assert clean.count() == len(texts)
+
+
+def test_grader_weights_are_the_likeliest():
+    """The penalised likelihood at the fit is not raised by any small step, by a plain rendering of it."""
+    pick = np.random.default_rng(5)
+    grades = pick.integers(0, 3, 200)
+    held = [[f for f in range(4) if pick.random() < 0.2 + 0.15 * f * (g / 2)] for g in grades]
+    row, feature = np.repeat(np.arange(200), list(map(len, held))), np.concatenate(held).astype(np.int64)
+    weights, cuts = grader._descend(row, feature, 4, grades, rounds=3000, rate=0.02)
+
+    def loss(weights, cuts):
+        total = 0.15 * float(np.dot(weights, weights))
+        for grade, own in zip(grades, held):
+            score = sum(weights[f] for f in own)
+            above = [1.0, *[1 / (1 + math.exp(cut - score)) for cut in cuts], 0.0]
+            total -= math.log(above[grade] - above[grade + 1])
+        return total
+
+    best, theta = loss(weights, cuts), np.concatenate([weights, cuts])
+    for k in range(len(theta)):
+        for step in (-0.03, 0.03):
+            moved = theta.copy()
+            moved[k] += step
+            assert loss(moved[:4], moved[4:]) > best - 1e-4
+
+
+def test_grader_keeps_every_feature_that_passes():
+    rows = [(k % 3, list(range(700 * (k % 3), 700 * (k % 3) + 700))) for k in range(60)]
+    assert len(grader.fit_rows(rows).slots) == 2100
+
+
+def test_outliers_leave_other_columns_alone(spark):
+    own = ("key", "centre", "precision", "symbols", "upper", "repeats", "row", "text2")
+    docs = spark.createDataFrame([(1, "some words", None, None, *own)], "doc_id int, text string, lang string, source string, " + ", ".join(f"{c} string" for c in own))
+    row = outliers.judged(docs).first()
+    assert [row[c] for c in own] == list(own) and row["n_words"] == 2 and not row["kept"]
