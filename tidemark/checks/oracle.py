@@ -321,6 +321,24 @@ BODIES = {
                CASE WHEN event_type <> 'error' THEN 'c' || usr ELSE '' END AS comment
         FROM ev WHERE event_type IN ('click', 'purchase', 'error')""",
     "edits_aggregated": aggregated("ed"),
+    "days_united": f"""
+        SELECT strftime(timestamp_utc, '%Y%m%d') AS day, project, count(*) AS edits, CAST(sum(edit_size) AS BIGINT) AS edit_size
+        FROM ed WHERE CAST(timestamp_utc AS DATE) BETWEEN {D} - 6 AND {D} GROUP BY 1, 2""",
+    "inputs_absent": """
+        , month AS (
+            SELECT strftime(CAST(n AS DATE), '%Y%m%d') AS day
+            FROM generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) AS s(n))
+        SELECT 'formatted' AS layer, 'Edits' AS table_name, day FROM month
+        WHERE day = '20240115' OR day NOT IN (SELECT strftime(timestamp_utc, '%Y%m%d') FROM ed)
+        UNION ALL SELECT 'formatted', 'PageviewsHourly', day FROM month""",
+    "optional_entities": f"""
+        SELECT e.day, e.project, e.title, e.edit_count, CASE WHEN e.day = '20240130' THEN i.wikidata_id END AS wikidata_id
+        FROM (SELECT strftime(timestamp_utc, '%Y%m%d') AS day, project, title, count(*) AS edit_count FROM ed
+              WHERE CAST(timestamp_utc AS DATE) BETWEEN {D} - 1 AND {D} GROUP BY 1, 2, 3) e
+        JOIN ids i ON i.project = e.project AND i.title = e.title""",
+    "target_day": """
+        SELECT '20240130' AS day, 'landed' AS status, count(*) AS edits FROM ed_today
+        UNION ALL SELECT '20231201', 'missing', 0""",
     "lake_days": """
         SELECT strftime(timestamp_utc, '%Y%m%d') AS day, count(*) AS edits, count(DISTINCT rev_id) AS revisions
         FROM ed GROUP BY 1""",
@@ -356,6 +374,7 @@ BODIES = {
     "daily_views": """
         SELECT project, title, CAST(sum(views) AS BIGINT) AS views FROM vw WHERE title <> '-' GROUP BY 1, 2""",
     "top_exploded": "SELECT date_utc, project, rank, 'The ' || article AS article, views FROM tp",
+    "top_lists": "SELECT date_utc, project, rank, 'The ' || article AS article, views FROM tp_today",
     "top_ranks": "SELECT project, article AS title, min(rank) AS rank FROM tp GROUP BY 1, 2",
     "joined_readership": joined("ed_today", "vw_today", "tp_today"),
     "trending_scores": f"""
@@ -512,6 +531,9 @@ BODIES = {
         SELECT 'wikipedia-trending' AS _index, sha1('20240130|' || edit_project || '|' || title) AS _id,
                'one language' AS reason
         FROM trd WHERE language_count < 2""",
+    "documents_in_parts": f"""
+        SELECT 'wikipedia-trending' AS _index, sha1('20240130|' || project || '|' || title) AS _id, edit_count
+        FROM ({aggregated("ed")})""",
     "documents_upserted": f"""
         SELECT sha1('20240130|' || a.project || '|' || a.title) AS _id,
                coalesce(t.edit_count, a.edit_count) AS edit_count

@@ -26,9 +26,9 @@ from tidemark.plans.period import events_period, trending_period
 from tidemark.session import shared_folder
 from tidemark.sources import documents, edits, views
 from tidemark.sources import entities as landed
-from tidemark.sources.lake import Lake
+from tidemark.sources.lake import Lake, MissingInput
 from tidemark.streaming.live import land_live_hours
-from tidemark.streaming.drain import drain, edits_per_day, file_messages, message_counts
+from tidemark.streaming.drain import drain, edits_per_day, file_messages, message_counts, require_day
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -190,6 +190,64 @@ def lake_days(d: t.Tables) -> DataFrame:
     )
 
 
+def _dated_lake(d: t.Tables, without: str = "") -> Lake:
+    """A new lake with the edits of each day but one."""
+    lake = Lake(scratch(d.spark))
+    dated = d.edits.withColumn("day", day_key(F.col("timestamp_utc")))
+    lake.write_days(dated.filter(F.col("day") != without), "formatted", "Edits")
+    return lake
+
+
+@query
+def days_united(d: t.Tables) -> DataFrame:
+    """A week of day folders, all of them required, as one table."""
+    week = [f"{D - timedelta(days=n):%Y%m%d}" for n in range(7)]
+    rows = _dated_lake(d).days(d.spark, "formatted", "Edits", week, d.edits.schema)
+    return rows.groupBy("day", "project").agg(F.count("*").alias("edits"), F.sum("edit_size").alias("edit_size"))
+
+
+@query
+def inputs_absent(d: t.Tables) -> DataFrame:
+    """What a run over January would name as missing: a lost day, days nothing happened on, a table never written."""
+    lake = _dated_lake(d, without="20240115")
+    month = [f"{t.FIRST_DAY + timedelta(days=n):%Y%m%d}" for n in range(31)]
+    needed = [("formatted", name, day) for name in ("Edits", "PageviewsHourly") for day in month]
+    absent = lake.absent(d.spark, needed)
+    return d.spark.createDataFrame(absent, "layer STRING, table_name STRING, day STRING")
+
+
+@query
+def optional_entities(d: t.Tables) -> DataFrame:
+    """Articles of two days with their entity ids, where the first day's lookup never ran."""
+    lake, first, second = _dated_lake(d), f"{D - timedelta(days=1):%Y%m%d}", f"{D:%Y%m%d}"
+    lake.write_day(d.ids, "formatted", "Wikidata", second)
+
+    def known(day: str) -> DataFrame:
+        edited = lake.days(d.spark, "formatted", "Edits", [day], d.edits.schema).drop("day")
+        ids = lake.optional_day(d.spark, "formatted", "Wikidata", day, d.ids.schema)
+        return aggregates.join_entities(aggregates.edit_volumes(edited), ids).withColumn("day", F.lit(day))
+
+    both = known(first).unionByName(known(second))
+    return both.select("day", "project", "title", "edit_count", "wikidata_id")
+
+
+@query
+def target_day(d: t.Tables) -> DataFrame:
+    """What a formatting run finds of a day after the drain: its edits, or that there are none."""
+    lake = Lake(scratch(d.spark))
+    d.messages.write.text(f"{lake.root}/topic")
+    drain(file_messages(d.spark, f"{lake.root}/topic"), lake.path("raw", "Edits"), f"{lake.root}/state").awaitTermination()
+
+    def found(day: str) -> DataFrame:
+        try:
+            rows = require_day(d.spark, lake, day)
+        except MissingInput:
+            return d.spark.range(1).select(F.lit(day).alias("day"), F.lit("missing").alias("status"), F.lit(0).cast("bigint").alias("edits"))
+        return rows.agg(F.count("*").alias("edits")).select(F.lit(day).alias("day"), F.lit("landed").alias("status"), "edits")
+
+    return found(f"{D:%Y%m%d}").unionByName(found("20231201"))
+
+
 @query
 def history_counts(d: t.Tables) -> DataFrame:
     """The history window from the counts kept beside the edits.
@@ -299,6 +357,25 @@ def top_exploded(d: t.Tables) -> DataFrame:
     return views.explode_top(nested)
 
 
+@query
+def top_lists(d: t.Tables) -> DataFrame:
+    """The run day's lists as landed, one file of several lines per language, read back by their names."""
+    folder = scratch(d.spark)
+    article = F.struct(F.concat_ws("_", F.lit("The"), "article").alias("article"), "views", "rank")
+    lists = _top_today(d).groupBy("project").agg(F.array(F.struct(F.collect_list(article).alias("articles"))).alias("items"))
+    body = F.to_json(F.struct("items"), {"pretty": "true"})
+    named = lists.select(body.alias("value"), F.translate("project", ".", "_").alias("name"))
+    named.write.partitionBy("name").text(f"{folder}/parts")
+    path = d.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(d.spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{folder}/landed"))
+    # a file per tracked language, under the name the download gives it
+    for part in files.globStatus(path(f"{folder}/parts/name=*/part-*")):
+        name = part.getPath().getParent().getName().removeprefix("name=")
+        files.rename(part.getPath(), path(f"{folder}/landed/pageviews_{name}.json"))
+    return views.read_daily_top(d.spark, f"{folder}/landed", f"{D:%Y%m%d}")
+
+
 @query
 def top_ranks(d: t.Tables) -> DataFrame:
     """Best rank per article: the side of ``readership`` that comes from the lists."""
@@ -607,6 +684,18 @@ def documents_rejected(d: t.Tables) -> DataFrame:
     return lake.days(d.spark, "documents", "rejects", [day], documents.REJECTS).drop("day")
 
 
+@query
+def documents_in_parts(d: t.Tables) -> DataFrame:
+    """A day's documents written by many tasks and read as one table, after a first run with others."""
+    lake, day = Lake(scratch(d.spark)), f"{D:%Y%m%d}"
+    every = aggregates.edit_volumes(d.edits).withColumnRenamed("project", "edit_project")
+    for rows in (every.filter("edit_count > 1"), every):
+        parts = documents.to_documents(rows, "wikipedia-trending", day).repartition(16, "_id")
+        lake.write_day(parts, "documents", "wikipedia-trending", day)
+    read = lake.days(d.spark, "documents", "wikipedia-trending", [day], DOCUMENT)
+    return read.select("_index", "_id", F.get_json_object("_source", "$.edit_count").cast("bigint").alias("edit_count"))
+
+
 @query
 def documents_upserted(d: t.Tables) -> DataFrame:
     """The day's documents over those of all days: an article's newer document replaces the older."""

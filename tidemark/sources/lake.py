@@ -48,9 +48,13 @@ class Lake:
         self.require(spark, [(layer, table, d) for d in days])
         return self.scan(spark, layer, table, schema).filter(F.col("day").isin(*days))
 
+    def absent(self, spark: SparkSession, needed: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+        """Those (layer, table, day) that have no folder."""
+        return [day for day in needed if not self.has_day(spark, *day)]
+
     def require(self, spark: SparkSession, needed: list[tuple[str, str, str]]) -> None:
         """Fail unless every (layer, table, day) is there; all missing ones are named at once."""
-        missing = [self.path(*day) for day in needed if not self.has_day(spark, *day)]
+        missing = [self.path(*day) for day in self.absent(spark, needed)]
         if missing:
             raise MissingInput(f"missing inputs: {missing}")
 
