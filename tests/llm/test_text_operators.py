@@ -147,7 +147,7 @@ def test_license_phrases(docs):
     assert found[None][0] == 0 and found[None][3] == [] and found["the cat sat"][4] == 0.0
 
 
-def test_suffix_tree_sums_to_one_and_scores_all(spark, docs):
+def test_suffix_tree_scores_all(spark, docs):
     rows = {r["doc_id"]: r for r in suffix_tree.scored(docs).collect()}
     train = Counter()
     for i, t in enumerate(TEXTS):
@@ -160,12 +160,28 @@ def test_suffix_tree_sums_to_one_and_scores_all(spark, docs):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(own), sum(x in train for x in own), n)
         assert math.isclose(r["base_score"], sum(math.log10((train[x] + 1) / (n + v + 1)) for x in own), rel_tol=1e-9)
         assert r["score"] < 0
-    root = np.log10(np.full(suffix_tree.WIDTH, 1 / suffix_tree.WIDTH))
-    tree = suffix_tree.planted([(5, 1, 8, 10), (5, 2, 1, 10), (suffix_tree.ALPHABET + 2 + 5, 1, 3, 4)], root, 2.0)
-    for context in (5, 6):
-        every = np.arange(suffix_tree.WIDTH)
-        p = tree._extended(np.full(len(every), context), every, root)
-        assert math.isclose((10.0**p).sum(), 1.0, rel_tol=1e-9)
+
+
+def test_grown_states_sum_to_one(spark):
+    pick = np.random.default_rng(3)
+    texts = [" ".join(f"{w}{k % 3}" for k in pick.integers(0, 7, 12) for w in ("a", "b", "c"[: k % 2 + 1])) for _ in range(80)]
+    coded = F.arrow_udf(suffix_tree.coded, "array<bigint>")("text").alias("tokens")
+    training = spark.createDataFrame([(t,) for t in texts], "text string").select(coded)
+    counted = suffix_tree.counts(training)
+    words = suffix_tree.learned(counted)
+    tree = {r["key"]: r["value"] for r in suffix_tree.grow(training, counted, words, gain=1.0, part=0.5, depth=2).collect()}
+    following = np.append(words.keys, 12345)  # and one never seen
+    root = np.log10(np.append(words.counts * words.each, words.unseen))
+    states = {1: 0, 2: 0}
+    for context in [(x, y) for x in words.keys for y in words.keys]:
+        flat = np.array([x for last in following for x in (*context, last)])
+        score = root.copy()
+        for k, (_, before, whole, _) in enumerate(suffix_tree.runs(flat, np.full(len(following), 3), 2), 1):
+            state, kept = (x.reshape(len(following), -1)[:, -1] for x in (suffix_tree.state_key(before), whole))
+            states[k] += int(state[0]) in tree
+            score += [tree.get(int(s), 0.0) + tree.get(int(w), 0.0) for s, w in zip(state, kept)]
+        assert math.isclose((10.0**score).sum(), 1.0, rel_tol=1e-9)
+    assert min(states.values()) > 0
 
 
 def test_site_tree(spark):

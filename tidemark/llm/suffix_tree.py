@@ -50,10 +50,6 @@ CACHED = 400_000
 SUMMED = 1_000_000
 HANDED_ON = 100_000
 BITS = 26
-# of the tree in memory
-ALPHABET = 8_000
-PAIRED = 300
-WIDTH = ALPHABET + 1  # symbol ALPHABET stands for all further tokens
 
 
 def tokens(text: str) -> list[bytes]:
@@ -185,49 +181,6 @@ def found_at(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-@dataclass
-class Tree:
-    """The sums of ``grow`` for one and two symbols in memory, to compare with.
-
-    Kept (context, next) keys in order with their log probability; log share left to the shorter state.
-    """
-
-    keys: np.ndarray
-    values: np.ndarray
-    left: np.ndarray
-    state: np.ndarray
-    root: np.ndarray
-
-    def _extended(self, context: np.ndarray, following: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """Log probability in the context's state, or that of the shorter one where it is none."""
-        out = shorter + self.left[context]
-        if len(self.keys):
-            key = context * WIDTH + following
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            out = np.where(self.keys[at] == key, self.values[at], out)
-        return out
-
-
-def planted(rows: list[tuple[int, int, int, int]], root: np.ndarray, weight: float) -> Tree:
-    """The tree of (context, next, count, count of context) rows; shorter contexts have smaller numbers."""
-    size = ALPHABET + 2 + PAIRED * PAIRED
-    order = np.array(sorted(rows), np.int64).reshape(-1, 4)
-    context, following, n, total = order.T
-    tree = Tree(np.empty(0, np.int64), np.empty(0), np.zeros(size), np.zeros(size, bool), root)
-    for first, last in ((0, ALPHABET + 2), (ALPHABET + 2, size)):
-        here = (context >= first) & (context < last)
-        c, x = context[here], following[here]
-        short = root[x] if first == 0 else tree._extended((c - ALPHABET - 2) % PAIRED, x, root[x])
-        # a kept symbol: its count, smoothed towards the shorter state
-        p = (n[here] + weight * 10.0**short) / (total[here] + weight)
-        taken, shorter = np.bincount(c, p, size), np.bincount(c, 10.0**short, size)
-        states = np.unique(c)
-        tree.left[states] = np.log10(np.maximum(1 - taken[states], 1e-12) / np.maximum(1 - shorter[states], 1e-12))
-        tree.state[states] = True
-        tree.keys, tree.values = np.concatenate([tree.keys, c * WIDTH + x]), np.concatenate([tree.values, np.log10(p)])
-    return tree
-
-
 def grow(
     training: DataFrame, counted: DataFrame, words: Words, least: int = 20, seldom: int = 3, gain: float = 20.0, part: float = 3.0,
     weight: float = 4.0, depth: int = DEPTH,
