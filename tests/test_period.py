@@ -7,10 +7,12 @@ from conftest import at, rows
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.checks.queries import QUERIES
 from tidemark.operators import emergence
 from tidemark.params import Params
 from tidemark.plans.daily import trending_articles
 from tidemark.plans.period import events_period, trending_period
+from tidemark.sources.lake import Lake
 
 FIRST = date(2026, 10, 1)
 EDITS = "timestamp_utc TIMESTAMP, project STRING, title STRING, user STRING, edit_size BIGINT"
@@ -81,3 +83,22 @@ def test_edits_are_counted_once(inputs):
     """One aggregate of editors and one window over its days, however many days are asked for."""
     plan = trending_period(*inputs, FIRST, FIRST + timedelta(days=11), PARAMS)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RangeFrame, -4, -1") >= 1 and "CollectList" not in plan
+
+
+def test_nothing_after_the_counts_reads_the_edits(spark, inputs, tmp_path):
+    edits, *others = inputs
+    edits.write.parquet(str(tmp_path / "edits"))
+    got = trending_period(spark.read.parquet(str(tmp_path / "edits")), *others, FIRST, FIRST + timedelta(days=11), PARAMS)
+    assert got.inputFiles() and not [f for f in got.inputFiles() if str(tmp_path) in f]
+
+
+def test_published_tables_start_from_written_rows(spark, monkeypatch):
+    read, publish = [], Lake.publish
+
+    def watched(self, layer, tables, days):
+        read.extend(f for df in tables.values() for f in df.inputFiles())
+        return publish(self, layer, tables, days)
+
+    monkeypatch.setattr(Lake, "publish", watched)
+    assert QUERIES["published_tables"](spark, "/root/testdata/sf0.001").count() > 0
+    assert read and not [f for f in read if "events.parquet" in f]

@@ -274,7 +274,7 @@ def published_tables(d: t.Tables) -> DataFrame:
     lake = Lake(scratch(d.spark))
     text = F.date_format("day", "yyyyMMdd")
     period = landed_once(d, d.once(_period).withColumn("day", text))
-    tables = {"TrendingArticles": period, "CrossLanguageEvents": d.once(_period_events).withColumn("day", text)}
+    tables = {"TrendingArticles": period, "CrossLanguageEvents": events_period(period)}
     days = [f"{t.FIRST_DAY + timedelta(days=n):%Y%m%d}" for n in range((t.LAST_DAY - t.FIRST_DAY).days + 1)]
     lake.publish("usage", tables, days)
     today = f"{D:%Y%m%d}"

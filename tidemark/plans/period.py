@@ -11,6 +11,7 @@ from tidemark import schemas
 from tidemark.functions.columns import between_days
 from tidemark.operators import aggregates, emergence, languages
 from tidemark.params import DEFAULTS, Params
+from tidemark.session import WorkTables
 
 DAY = ["day"]
 
@@ -26,10 +27,14 @@ def trending_period(
     """The trending rows of every day from ``first`` to ``last``, with ``day`` as a date.
 
     Each day has the rows it would have alone. The edits are read and counted once, from the
-    first day's history on: the windows of all days are ranges of these counts.
+    first day's history on: the windows of all days are ranges of these counts. The counts are
+    written, as scores, languages and observed days all start from them.
     """
     start, _ = emergence.history_window(first, params)
-    volumes = aggregates.edit_volumes(_dated(edits, "timestamp_utc", start, last), DAY)
+    counted = aggregates.edit_volumes(_dated(edits, "timestamp_utc", start, last), DAY)
+    work = WorkTables(edits.sparkSession, "period")
+    work.write(counted, "volumes")
+    volumes = work.read("volumes", counted.schema)
     flagged = aggregates.join_entities(emergence.flag_period(volumes, first, last, params), ids)
     read = aggregates.readership(
         _dated(hourly, "hour_utc", first, last), _dated(top, "date_utc", first, last), params, DAY
