@@ -115,3 +115,26 @@ def test_very_long_text(spark):
     long = " ".join(str(k % 70_000) for k in range(300_000))
     docs = [(1, long), (2, long + " end"), (3, "short")]
     assert [r[2] for r in found(spark.createDataFrame(docs, SCHEMA))] == [1, 1, 3]
+
+
+def test_members_far_apart_make_no_pairs(spark):
+    """Near copies of one text, each with too many other changes than any other: their pairs are not made."""
+    size, members = 100, 60
+    base = list(range(size))
+    sets = []
+    for number in range(members):
+        gone = random.Random(number).sample(base, 9)
+        sets.append((number, number, size, sorted(set(base) - set(gone)) + [1000 + 100 * number + k for k in range(9)]))
+    mixed = lambda x: (x * 0x9E3779B97F4A7C15 & (1 << 64) - 1) - (1 << 63)
+    frame = spark.createDataFrame(
+        [(n, label, s, [mixed(g) for g in grams]) for n, label, s, grams in sets],
+        "number bigint, label bigint, size bigint, grams array<bigint>",
+    )
+    still_open = ngram_join._open_sets(frame, "open-sets")
+    pairs = ngram_join._all_partners(ngram_join._buckets(still_open), still_open)
+    enough = lambda a, b: 180 * len(a & b) >= 80 * 2 * size
+    own = {n: set(grams) for n, _, _, grams in sets}
+    linked = {p for p in itertools.combinations(own, 2) if enough(own[p[0]], own[p[1]])}
+    met = {tuple(r) for r in pairs.select("a", "b").collect()}
+    assert still_open.count() == members and linked <= met
+    assert len(met) <= len(linked) + members

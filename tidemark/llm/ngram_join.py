@@ -15,8 +15,8 @@ Links are wanted for the components, so pairs within a component need not be loo
 Each round every set that may still join another component is compared with one partner, a
 member chosen at random for each n-gram. Then n-grams held by one component only count as
 held by no other, which ends the search for all members of a large group at once. When a
-round joins little, all pairs that sizes, places in the order and components allow are
-compared. A group of copies so costs in proportion to its size, and no link between
+round joins little, all pairs that sizes, places in the order, components and sketches of
+their n-grams allow are compared. A group of copies so costs in proportion to its size, and no link between
 components is missed.
 
 Cases: a text without words, or null, has an empty set and is linked with nothing; fewer words
@@ -41,6 +41,7 @@ from tidemark.operators.joins import join_under_skew
 PERCENT = 80
 FRAGMENT_BITS = 2
 FRAGMENTS = 1 << FRAGMENT_BITS
+SKETCH_WORDS = 16
 LEAST_JOINED = 0.05  # a round that links a smaller share of its pairs is the last of its kind
 
 
@@ -151,17 +152,40 @@ def _one_partner_each(buckets: DataFrame, turn: int) -> DataFrame:
     return chosen.select(F.least("number", "hub").alias("a"), F.greatest("number", "hub").alias("b")).distinct()
 
 
-def _all_partners(buckets: DataFrame) -> DataFrame:
-    """a, b: all pairs of different labels that sizes and places allow, each in its first common bucket.
+def _sketched(open_sets: DataFrame) -> DataFrame:
+    """number, shared (how many n-grams are in ``ordered``) and these as the bits of ``SKETCH_WORDS`` longs, by their hash."""
+    words = [
+        F.expr(
+            f"""aggregate(filter(ordered, x -> (shiftright(x.gram, 6) & {SKETCH_WORDS - 1}) = {k}), 0L,
+                (bits, x) -> bits | shiftleft(1L, cast(x.gram & 63 AS int)))"""
+        ).alias(f"bits{k}")
+        for k in range(SKETCH_WORDS)
+    ]
+    return open_sets.select("number", F.size("ordered").alias("shared"), *words)
+
+
+def _most_common() -> Column:
+    """No pair shares more: each bit that one set alone has is at least one of its n-grams that the other lacks."""
+
+    def lacking(own: str, other: str) -> Column:
+        alone = [F.bit_count(F.col(f"bits{k}_{own}").bitwiseAND(F.bitwise_not(f"bits{k}_{other}"))) for k in range(SKETCH_WORDS)]
+        return F.col(f"shared_{own}") - sum(alone[1:], alone[0])
+
+    return F.least(lacking("a", "b"), lacking("b", "a"))
+
+
+def _all_partners(buckets: DataFrame, open_sets: DataFrame) -> DataFrame:
+    """a, b: all pairs of different labels that sizes, places and sketches allow, each in its first common bucket.
 
     In each bucket the label with the most members needs no pairs of its own: only the
     others are joined with all.
     """
     of_set = buckets.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("place", "key")))["key"].alias("keys"))
+    of_set = of_set.join(_sketched(open_sets), "number")
     counts = buckets.groupBy("key", "label").agg(F.count("*").alias("members"))
     main = counts.groupBy("key").agg(F.max_by("label", F.struct("members", "label")).alias("main"))
     placed = join_under_skew(buckets.join(of_set, "number"), main, ["key"])
-    columns = ("number", "label", "size", "place", "keys")
+    columns = ("number", "label", "size", "place", "keys", "shared", *(f"bits{k}" for k in range(SKETCH_WORDS)))
     left = placed.filter("label != main").select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
     right = placed.select("key", (F.col("label") == F.col("main")).alias("in_main"), *[F.col(c).alias(f"{c}_b") for c in columns])
     after = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
@@ -170,6 +194,7 @@ def _all_partners(buckets: DataFrame) -> DataFrame:
         & (F.col("in_main") | (F.col("number_a") < F.col("number_b")))
         & _sizes_fit(F.col("size_a"), F.col("size_b"))
         & (after >= _needed(F.col("size_a"), F.col("size_b")))
+        & (_most_common() >= _needed(F.col("size_a"), F.col("size_b")))
         # both lists are in the global order
         & (left["key"] == F.array_intersect("keys_a", "keys_b")[0])
     )
@@ -224,7 +249,8 @@ def joined(sets: DataFrame) -> DataFrame | None:
     # sets whose n-grams still lead to another label, counted anew, and all their pairs
     left = whole.join(buckets.select("number").distinct(), "number", "left_semi")
     left = left.select("number", "size", F.transform("ordered", lambda x: x["gram"]).alias("grams"))
-    last = landed(linked(landed(_all_partners(landed(_buckets(_open_sets(_labelled(left, labels), "open-sets")), "buckets")), "pairs"), whole), "links")
+    still_open = _open_sets(_labelled(left, labels), "open-sets")
+    last = landed(linked(landed(_all_partners(landed(_buckets(still_open), "buckets"), still_open), "pairs"), whole), "links")
     if not last.isEmpty():
         labels = components(last if links is None else links.unionByName(last))
     return labels
