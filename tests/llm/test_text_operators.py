@@ -332,3 +332,22 @@ def test_outliers_leave_other_columns_alone(spark):
     docs = spark.createDataFrame([(1, "some words", None, None, *own)], "doc_id int, text string, lang string, source string, " + ", ".join(f"{c} string" for c in own))
     row = outliers.judged(docs).first()
     assert [row[c] for c in own] == list(own) and row["n_words"] == 2 and not row["kept"]
+
+
+def test_suffix_tree_shuffles_no_more_than_tells_a_run(spark, monkeypatch):
+    """Context and what follows its first token tell the run, so its own hash is not shuffled beside them."""
+    flat, sizes = np.arange(1, 8, dtype=np.int64), np.array([3, 4])
+    for k, (_, context, whole, short) in enumerate(suffix_tree.runs(flat, sizes, 3), 1):
+        assert (suffix_tree.whole(context.view(np.uint64), short.view(np.uint64), k).view(np.int64) == whole).all()
+    counted, landed = [], suffix_tree.landed
+
+    def watched(df, name):
+        if name == "runs":
+            counted.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return landed(df, name)
+
+    monkeypatch.setattr(suffix_tree, "landed", watched)
+    texts = spark.createDataFrame([(str(i), "a b c d e " * 8) for i in range(20)], "doc_id string, text string")
+    assert suffix_tree.scored(texts).count() == 20
+    sent = [line.split("), ")[-1] for plan in counted for line in plan.splitlines() if "MapInArrow" in line]
+    assert len(sent) == suffix_tree.DEPTH and all("[context#" in x and "run#" not in x for x in sent), sent

@@ -81,6 +81,11 @@ def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def whole(context: np.ndarray, short: np.ndarray, k: int) -> np.ndarray:
+    """The run whose first ``k`` tokens are the context, and whose last ones are ``short``."""
+    return _mixed(context * np.uint64(0x9E3779B97F4A7C15) + _mixed(short) + np.uint64(k))
+
+
 def runs(flat: np.ndarray, sizes: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
     """For contexts of 1 to ``depth`` tokens: the text of each place, its context, context and token, these without the first."""
     starts = np.cumsum(sizes) - sizes
@@ -90,7 +95,7 @@ def runs(flat: np.ndarray, sizes: np.ndarray, depth: int) -> Iterator[tuple[np.n
     run = every
     for k in range(1, depth + 1):
         longer = np.zeros_like(run)
-        longer[1:] = _mixed(run[:-1] * np.uint64(0x9E3779B97F4A7C15) + _mixed(every[1:]) + np.uint64(k))
+        longer[1:] = whole(run[:-1], run[1:], k)
         at = np.flatnonzero(place >= k)
         yield text[at], run[at - 1].view(np.int64), longer[at].view(np.int64), run[at].view(np.int64)
         run = longer
@@ -119,10 +124,11 @@ class Bitmap:
 
 
 def _summed(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
-    """Counts by the first column; the others are functions of it."""
+    """Counts by the first column; the others are functions of it. Only the last ones, as many as names, are handed on."""
     columns = [np.concatenate(c) for c in zip(*parts)]
     _, first, n = np.unique(columns[0], return_index=True, return_counts=True)
-    return pa.RecordBatch.from_arrays([*(pa.array(c[first]) for c in columns), pa.array(n.astype(np.int64))], names=[*names, "n"])
+    sent = columns[-len(names):]
+    return pa.RecordBatch.from_arrays([*(pa.array(c[first]) for c in sent), pa.array(n.astype(np.int64))], names=[*names, "n"])
 
 
 def _gathered(parts: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -181,6 +187,16 @@ def found_at(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
+def _whole(k: int):
+    """``whole`` for columns."""
+    bits = lambda c: c.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+
+    def run(context: pa.Array, short: pa.Array) -> pa.Array:
+        return pa.array(whole(bits(context), bits(short), k).view(np.int64))
+
+    return F.arrow_udf(run, "bigint")
+
+
 def grow(
     training: DataFrame, counted: DataFrame, words: Words, least: int = 20, seldom: int = 3, gain: float = 20.0, part: float = 3.0,
     weight: float = 4.0, depth: int = DEPTH,
@@ -201,11 +217,12 @@ def grow(
                         may = before.has(context) & last.has(short)
                         yield own[may], context[may], short[may]
 
-            return _gathered(parts(), ["run", "context", "short"])
+            return _gathered(parts(), ["context", "short"])
 
-        seen = training.select("tokens").mapInArrow(run, "run bigint, context bigint, short bigint, n bigint")
-        summed = seen.groupBy("run").agg(F.sum("n").alias("n"), F.first("context").alias("context"), F.first("short").alias("short"))
-        often = landed(summed.filter(F.col("n") >= seldom), "runs")
+        seen = training.select("tokens").mapInArrow(run, "context bigint, short bigint, n bigint")
+        # both tell the run, which so need not be shuffled
+        summed = seen.groupBy("context", "short").agg(F.sum("n").alias("n")).filter(F.col("n") >= seldom)
+        often = landed(summed.withColumn("run", _whole(k)("context", "short")), "runs")
         totals = shorter.filter(F.col("n") >= least).select(F.col("run").alias("context"), F.col("n").alias("total"))
         p = shorter.select(F.col("run").alias("short"), F.col("p").alias("p_short"))
         each = landed(
