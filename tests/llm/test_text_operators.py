@@ -351,3 +351,19 @@ def test_suffix_tree_shuffles_no_more_than_tells_a_run(spark, monkeypatch):
     assert suffix_tree.scored(texts).count() == 20
     sent = [line.split("), ")[-1] for plan in counted for line in plan.splitlines() if "MapInArrow" in line]
     assert len(sent) == suffix_tree.DEPTH and all("[context#" in x and "run#" not in x for x in sent), sent
+
+
+def test_a_batch_of_words_is_kept_at_once_within_the_bound():
+    words = common.Recent("batch", 1 / 1024)
+    first = {b"w%d" % k: b"0123" for k in range(300)}
+    words.keep_all(first)
+    held = words.held
+    assert words == first and held == common._held(first, first.values()) <= words.most
+    more = {b"x%d" % k: b"0123" for k in range(400)}
+    words.keep_all(more)
+    assert words == more and words.held <= words.most
+    words.keep_all({b"y%d" % k: b"0123" for k in range(3000)})
+    assert 0 < len(words) < 3000 and words.held <= words.most
+    other = common.Recent("batch-other")
+    other.keep_all({b"a": b"b"})
+    assert not words and words.held == 0

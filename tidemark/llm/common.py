@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 from sys import getsizeof
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,9 +54,9 @@ def released(*frames: DataFrame) -> None:
             delete_folder(df.sparkSession, folder)
 
 
-def _held(key, value) -> int:
-    """Bytes of both objects and their place in a table."""
-    return getsizeof(key) + getsizeof(value) + 100
+def _held(keys: Collection, values: Collection) -> int:
+    """Bytes of all these objects and their places in a table."""
+    return sum(map(getsizeof, keys)) + sum(map(getsizeof, values)) + 100 * len(keys)
 
 
 class Recent(dict):
@@ -73,18 +74,35 @@ class Recent(dict):
         Recent._all.append(self)
 
     def keep(self, key, value):
+        self._take_over()
+        size = _held((key,), (value,))
+        if self.held + size > self.most:
+            self.clear()
+        self.held += size
+        self[key] = value
+        return value
+
+    def keep_all(self, new: dict) -> None:
+        """Keep what is not yet held, sized up at once; where it does not fit beside the rest, that goes."""
+        size = _held(new, new.values())
+        if size > self.most:
+            for key, value in new.items():
+                self.keep(key, value)
+            return
+        if self.held + size > self.most:
+            self.clear()
+        self._take_over()
+        self.held += size
+        self.update(new)
+
+    def _take_over(self) -> None:
         if self.held == 0:
             for other in Recent._all:
                 if other.owner != self.owner:
                     other.clear()
-        if not self.has_room({key: value}):
-            self.clear()
-        self.held += _held(key, value)
-        self[key] = value
-        return value
 
     def has_room(self, new: dict) -> bool:
-        return self.held + sum(map(_held, new.keys(), new.values())) <= self.most
+        return self.held + _held(new, new.values()) <= self.most
 
     def clear(self) -> None:
         super().clear()

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import Any
@@ -56,7 +57,7 @@ class WordIds:
         for at in range(0, len(wanted), 20_000):
             part = wanted[at:at + 20_000]
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            new.update((word, np.array(c.ids, np.uint32).tobytes()) for word, c in zip(part, coded))
+            new.update((word, array("I", c.ids).tobytes()) for word, c in zip(part, coded))
         known = lambda word: new[word] if word in new else self.words[word]
         for word, core in bare.items():
             if word not in new:
@@ -65,8 +66,7 @@ class WordIds:
         found: dict[bytes, bytes] = self.words
         if not self.words.has_room(new):
             found = {w: ids for s in split for w in s if (ids := self.words.get(w)) is not None} | new
-        for word, ids in new.items():
-            self.words.keep(word, ids)
+        self.words.keep_all(new)
         return [b"".join(map(found.__getitem__, words)) + end for words in split]
 
 
