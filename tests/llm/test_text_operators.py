@@ -7,11 +7,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, common, grader, licenses, outliers, packing, personal_data, site_tree, suffix_tree
+from tidemark.llm import bpe, common, grader, licenses, near_duplicates, outliers, packing, personal_data, site_tree, suffix_tree
 
 PATTERN = public_tokenizers.PATTERN
 BYTES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -367,3 +368,14 @@ def test_a_batch_of_words_is_kept_at_once_within_the_bound():
     other = common.Recent("batch-other")
     other.keep_all({b"a": b"b"})
     assert not words and words.held == 0
+
+
+def test_memories_give_way_to_operators_that_keep_none(docs, monkeypatch):
+    taken, real = [], F.arrow_udf
+    monkeypatch.setattr(outliers.F, "arrow_udf", lambda run, schema: taken.append(run) or real(run, schema))
+    outliers.with_statistics(docs)
+    for run in (taken[0], near_duplicates._signatures):
+        words = common.Recent("one that has ended")
+        words.keep(b"a", b"b")
+        assert len(run(pa.array(["some text of some words"]))) == 1
+        assert not words and words.held == 0

@@ -63,7 +63,7 @@ class Recent(dict):
     """A worker's repeated words, bounded by bytes; what is ``keep``-t beyond them starts it afresh.
 
     One process serves many operators in turn, so the memories of an ``owner`` give way
-    as soon as another one keeps something.
+    as soon as another one keeps something, or says that it begins.
     """
 
     _all: list[Recent] = []
@@ -97,9 +97,14 @@ class Recent(dict):
 
     def _take_over(self) -> None:
         if self.held == 0:
-            for other in Recent._all:
-                if other.owner != self.owner:
-                    other.clear()
+            Recent.leave_to(self.owner)
+
+    @classmethod
+    def leave_to(cls, owner: str) -> None:
+        """Only this operator's memories stay; for one that keeps none, before its work."""
+        for other in cls._all:
+            if other.owner != owner and other:
+                other.clear()
 
     def has_room(self, new: dict) -> bool:
         return self.held + _held(new, new.values()) <= self.most

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import landed, small_batches, whole_text
+from tidemark.llm.common import Recent, landed, small_batches, whole_text
 from tidemark.operators.joins import join_under_skew
 
 WIDTH = 5
@@ -101,6 +101,7 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def _signatures(texts: pa.Array) -> pa.Array:
+    Recent.leave_to("near_duplicates")
     sizes, digests, sketches, bands = [], [], [], []
     for text in texts.to_pylist():
         found = shingles(text)

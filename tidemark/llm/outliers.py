@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import landed, small_batches, whole_text
+from tidemark.llm.common import Recent, landed, small_batches, whole_text
 from tidemark.operators.joins import join_under_skew
 
 SYMBOLS = "#*$%&|<>"
@@ -75,6 +75,7 @@ def with_statistics(docs: DataFrame, text_column: str = "text") -> DataFrame:
     names = [part.split()[0] for part in STATISTICS.split(", ")]
 
     def run(texts: pa.Array) -> pa.Array:
+        Recent.leave_to("outliers")
         rows = np.array([statistics_of(text) for text in texts.to_pylist()], np.int64).reshape(-1, len(names))
         return pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in range(len(names))], names=names)
 
