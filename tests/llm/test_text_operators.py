@@ -379,3 +379,24 @@ def test_memories_give_way_to_operators_that_keep_none(docs, monkeypatch):
         words.keep(b"a", b"b")
         assert len(run(pa.array(["some text of some words"]))) == 1
         assert not words and words.held == 0
+
+
+def test_packing_leaves_plain_words_to_the_model_alone():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = True
+    texts = ["Plain words, only Straße été naïve ÀÉ÷", "", "x1 a'b plain\u0301 plain. \xa0 <|endoftext|>", "words " * 5000]
+    words, asked = packing.WordIds(WORDS), []
+
+    class Watched:
+        def encode_batch_fast(self, some, **how):
+            asked.extend(some)
+            return library.encode_batch_fast(some, **how)
+
+    words.tokenizer = Watched()
+    found = words.of(texts, 2)
+    expected = library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(f, np.uint32).tolist() for f in found] == [[*e.ids, 2] for e in expected]
+    assert asked and not {"plain", "words", "only", "straße", "été", "naïve"} & set(asked)
+    assert words.of([], 2) == []

@@ -6,6 +6,9 @@ import uuid
 from collections.abc import Collection
 from sys import getsizeof
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +57,31 @@ def released(*frames: DataFrame) -> None:
             delete_folder(df.sparkSession, folder)
 
 
+def parted(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words in lower case (A-Z), told apart by the white space of ASCII: each once, which of them stands at each
+    place of all texts, and the place after each text's last one."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat = lists.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False), dtype=np.int64)])
+    ends = before[np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))]
+    words = flat.filter(real).cast(pa.binary()).dictionary_encode()
+    return words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False), ends
+
+
+def strung(pieces: list[bytes], which: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """For each text the pieces of its places put together; ``ends`` are the places after its last one."""
+    return joined(pa.array(pieces, pa.binary()).take(pa.array(which)), ends)
+
+
+def joined(flat: pa.Array, ends: np.ndarray) -> pa.Array:
+    """Byte strings put together: those up to each of ``ends``, from the one before."""
+    _, offsets, data = flat.buffers()
+    starts = np.frombuffer(offsets, np.int32, len(flat) + 1) if len(flat) else np.zeros(1, np.int32)
+    cuts = starts[np.concatenate([[0], ends]).astype(np.int64)]
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(cuts.tobytes()), data or pa.py_buffer(b"")])
+
+
 def _held(keys: Collection, values: Collection) -> int:
     """Bytes of all these objects and their places in a table."""
     return sum(map(getsizeof, keys)) + sum(map(getsizeof, values)) + 100 * len(keys)

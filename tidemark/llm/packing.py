@@ -15,6 +15,7 @@ length is cut into as many pieces as it needs; further columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -23,14 +24,16 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Recent, landed, small_batches, whole_text
+from tidemark.llm.common import Recent, landed, parted, small_batches, strung, whole_text
 
 SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # all but the apostrophe, which starts endings like 's
+PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch  # letters that composing and lower case leave as they are
 
 
 class WordIds:
@@ -39,35 +42,57 @@ class WordIds:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # what the steps before the model make of a plain word is the word itself
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         self.words: dict[bytes, bytes] = Recent("packing", 1.5)
 
     def of(self, texts: list[str], closing: int) -> list[bytes]:
+        return self.coded(pa.array(texts, pa.string()), closing).to_pylist()
+
+    def coded(self, texts: pa.Array, closing: int) -> pa.Array:
         """The vocabulary drops white space and no token crosses it, nor the place where signs follow a
         letter or digit, so words and the signs after them can be encoded one by one."""
-        end = np.uint32(closing).tobytes()
-        split = [text.encode().lower().split() for text in texts]
-        missing = set().union(*split) - self.words.keys()
+        words, which, ends = parted(texts)
+        found = list(map(self.words.get, words))
+        new = self._new([word for word, ids in zip(words, found) if ids is None])
+        pieces = [new[word] if ids is None else ids for word, ids in zip(words, found)]
+        self.words.keep_all(new)
+        each = np.insert(which, ends, len(words))  # the closing id
+        return strung([*pieces, np.uint32(closing).tobytes()], each, ends + 1 + np.arange(len(ends)))
+
+    def _new(self, missing: list[bytes]) -> dict[bytes, bytes]:
         bare = {word: _bare(word) for word in missing}
         parts = {core for core in bare.values() if core} | {word[len(core):] for word, core in bare.items() if len(core) < len(word)}
         new: dict[bytes, bytes] = {}
-        wanted = list(parts - self.words.keys())
-        for at in range(0, len(wanted), 20_000):
-            part = wanted[at:at + 20_000]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            new.update((word, array("I", c.ids).tobytes()) for word, c in zip(part, coded))
-        known = lambda word: new[word] if word in new else self.words[word]
+        plain, other = [], []
+        known = {}
+        for part in parts:
+            ids = self.words.get(part)
+            if ids is not None:
+                known[part] = ids
+            else:
+                text = part.decode()
+                (plain if PLAIN(text) else other).append(text)
+        for at in range(0, len(plain), 1000):
+            words = plain[at:at + 1000]
+            coded = self.model.encode(" ".join(words), add_special_tokens=False)
+            ids, ends = np.array(coded.ids, np.uint32).tobytes(), np.cumsum(np.bincount(coded.word_ids, minlength=len(words)))
+            cuts = [0, *(4 * ends).tolist()]
+            new.update((word.encode(), ids[a:b]) for word, a, b in zip(words, cuts, cuts[1:]))
+        for at in range(0, len(other), 1000):
+            words = other[at:at + 1000]
+            coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            new.update((word.encode(), array("I", c.ids).tobytes()) for word, c in zip(words, coded))
+        known.update(new)
         for word, core in bare.items():
             if word not in new:
-                new[word] = (known(core) if core else b"") + known(word[len(core):])
-        # what is remembered may give way to the new words, so these texts' own are held apart then
-        found: dict[bytes, bytes] = self.words
-        if not self.words.has_room(new):
-            found = {w: ids for s in split for w in s if (ids := self.words.get(w)) is not None} | new
-        self.words.keep_all(new)
-        return [b"".join(map(found.__getitem__, words)) + end for words in split]
+                new[word] = (known[core] if core else b"") + known[word[len(core):]]
+        return new
 
 
 def _bare(word: bytes) -> bytes:
@@ -99,13 +124,13 @@ def tokenized(docs: DataFrame, path: str, closing: int, id_column: str, text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = word_ids(path).of(batch.column("text").to_pylist(), closing)
-            tokens = np.array([len(x) // 4 for x in ids], np.int64)
+            ids = word_ids(path).coded(batch.column("text"), closing)
+            tokens = pc.binary_length(ids).to_numpy().astype(np.int64) // 4
             starts = total + np.cumsum(tokens) - tokens
             total += int(tokens.sum())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), pa.array(np.full(len(ids), part)), pa.array(starts), pa.array(tokens),
-                 pa.array(ids, pa.binary())],
+                 ids],
                 names=["doc", "part", "start", "tokens", "ids"],
             )
 
