@@ -400,3 +400,23 @@ def test_packing_leaves_plain_words_to_the_model_alone():
     assert [np.frombuffer(f, np.uint32).tolist() for f in found] == [[*e.ids, 2] for e in expected]
     assert asked and not {"plain", "words", "only", "straße", "été", "naïve"} & set(asked)
     assert words.of([], 2) == []
+
+
+def test_bpe_computes_each_match_of_a_batch_once_and_shares_prefixes(monkeypatch):
+    coder = bpe.Codec(bpe.codec(BYTES, PATTERN).vocabulary.ranks, PATTERN)
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=coder.vocabulary.ranks, special_tokens={})
+    done, reach = [], bpe.Prefixes._reach
+    monkeypatch.setattr(bpe.Prefixes, "_reach", lambda self, start, stop: done.append(stop - start) or reach(self, start, stop))
+    words = [f"unforeseeable{end}" for end in ("", "s", "sting", "stingly", "ness", "nesses")]
+    texts = [" ".join(words[k:] + words[:k]) for k in range(len(words))]
+    awkward = ["", " ", "  a", "a ", "a  b", " \n a\n \n", "a\xa0 b \x1c c", "  ", "\n", "a\t b's  'll 1 2"]
+    for batch in (texts, awkward):
+        flat, ends = coder.lists(pa.array(batch))
+        cuts = [0, *ends.tolist()]
+        assert [flat[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [library.encode_ordinary(t) for t in batch]
+        assert coder.decode_all(flat, ends).to_pylist() == [t.encode() for t in batch]
+        if batch is texts:
+            assert sum(done) < sum(len(w) + 1 for w in words)
+    assert len(coder.lists(pa.array([], pa.string()))[1]) == 0
+    with pytest.raises(IndexError):
+        coder.decode_all(np.array([max(coder.vocabulary.bytes_of) + 1], np.int32), np.array([1]))
