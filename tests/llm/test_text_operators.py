@@ -420,3 +420,15 @@ def test_bpe_computes_each_match_of_a_batch_once_and_shares_prefixes(monkeypatch
     assert len(coder.lists(pa.array([], pa.string()))[1]) == 0
     with pytest.raises(IndexError):
         coder.decode_all(np.array([max(coder.vocabulary.bytes_of) + 1], np.int32), np.array([1]))
+
+
+def test_suffix_tree_shuffles_looked_up_keys_once_and_loses_none(spark):
+    own = suffix_tree.coded(pa.array(["A b\x0bB  \xc9", "", " "])).to_pylist()
+    assert own == [suffix_tree.hashes([b"a", b"b", b"b", "É".encode(), b""]).tolist()] + [[int(suffix_tree.END)]] * 2
+    texts = spark.createDataFrame([(str(i), f"a b c d e f{i % 3} " * 8 + f"g{i}") for i in range(40)], "doc_id string, text string")
+    none, all_cached = suffix_tree.scored(texts, cached=0), suffix_tree.scored(texts)
+    plan = none._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate [row#" in line]
+    assert grouped and not [line for line in grouped if "], [" in line and "," in line.split("], [")[0]], grouped
+    first, second = ({r["doc_id"]: r["score"] for r in df.collect()} for df in (none, all_cached))
+    assert first.keys() == second.keys() and all(math.isclose(first[k], second[k], rel_tol=1e-9) for k in first)

@@ -31,7 +31,6 @@ each and count each; further columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,36 +38,32 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Recent, landed, released, small_batches, whole_text
+from tidemark.llm.common import landed, parted, released, small_batches, whole_text
 
 DEPTH = 3
 FREQUENT = 150_000
-CACHED = 400_000
+CACHED = 1_200_000
 SUMMED = 1_000_000
 HANDED_ON = 100_000
 BITS = 26
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words in lower case, then the empty one as the end."""
-    return [*text.encode().lower().split(), b""]
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
-class Hashes(Recent):
-    def __missing__(self, token: bytes) -> int:
-        return self.keep(token, int.from_bytes(hashlib.blake2b(token, digest_size=8).digest(), "little", signed=True))
-
-
-HASHES = Hashes("suffix_tree", 0.5)
-END = np.int64(HASHES[b""])
+END = hashes([b""])[0]
 
 
 def coded(texts: pa.Array) -> pa.Array:
-    own = [[HASHES[t] for t in tokens(text)] for text in texts.to_pylist()]
-    return pa.array(own, pa.list_(pa.int64()))
+    """Hashes of each text's words in lower case, then of the empty one as its end."""
+    words, which, ends = parted(texts)
+    flat = hashes([*words, b""])[np.insert(which, ends, len(words))]
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends + 1 + np.arange(len(ends))]), pa.int32()), pa.array(flat))
 
 
 def _mixed(a: np.ndarray) -> np.ndarray:
@@ -201,7 +196,7 @@ def grow(
     training: DataFrame, counted: DataFrame, words: Words, least: int = 20, seldom: int = 3, gain: float = 20.0, part: float = 3.0,
     weight: float = 4.0, depth: int = DEPTH,
 ) -> DataFrame:
-    """key, value, n: what each state leaves to the shorter one, and what each kept next token differs by."""
+    """key, value, n, state: what each state leaves to the shorter one, and what each kept next token differs by."""
     session = training.sparkSession
     shorter = counted.select(F.col("token").alias("run"), F.col("c").alias("n"), (F.col("c") * F.lit(words.each)).alias("p"))
     model = []
@@ -246,8 +241,8 @@ def grow(
         shorter = landed(told.select("run", "n", own.alias("p"), differs.alias("differs")), "shorter")
         released(each)
         key = F.arrow_udf(lambda c: pa.array(state_key(c.to_numpy(zero_copy_only=False).astype(np.int64))), "bigint")
-        model.append(states.select(key("context").alias("key"), F.log10("left").alias("value"), F.col("total").alias("n")))
-        model.append(landed(shorter.filter("differs is not null").select(F.col("run").alias("key"), F.col("differs").alias("value"), "n"), "kept"))
+        model.append(states.select(key("context").alias("key"), F.log10("left").alias("value"), F.col("total").alias("n"), F.lit(True).alias("state")))
+        model.append(landed(shorter.filter("differs is not null").select(F.col("run").alias("key"), F.col("differs").alias("value"), "n", F.lit(False).alias("state")), "kept"))
     every = model[0]
     for more in model[1:]:
         every = every.union(more)
@@ -284,10 +279,12 @@ def scored(
     counted = counts(training)
     words = learned(counted)
     tree = grow(training, counted, words, depth=depth)
+    bitmaps = [Bitmap(tree.filter(F.col("state") == of), "key") for of in (True, False)]
+    tree = tree.select("key", "value", "n")
     top = tree.orderBy(F.desc("n"), "key").limit(cached).toArrow()
     keys = top["key"].to_numpy().astype(np.int64)
     order = np.argsort(keys)
-    sent = session.sparkContext.broadcast((words, keys[order], top["value"].to_numpy().astype(float)[order], Bitmap(tree, "key")))
+    sent = session.sparkContext.broadcast((words, keys[order], top["value"].to_numpy().astype(float)[order], *bitmaps))
     kinds = {
         "n_tokens": pa.int64(), "known": pa.int64(), "logs": pa.float64(), "score": pa.float64(),
         "rare": pa.list_(pa.int64()), "further": pa.list_(pa.int64()),
@@ -300,7 +297,7 @@ def scored(
         return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(values[order], pa.int64()))
 
     def run(lists: pa.Array) -> pa.Array:
-        words, keys, values, bitmap = sent.value
+        words, keys, values, states, others = sent.value
         n = len(lists)
         if not n:
             return pa.array([], pa.struct(list(kinds.items())))
@@ -313,9 +310,12 @@ def scored(
         score = by_text(text[known], np.log10(own * words.each))
         further, texts = [], []
         for places, context, whole, _ in runs(flat, sizes, depth):
-            for key in (state_key(context), whole):
-                may = bitmap.has(key)
-                key, where = key[may], places[may]
+            key = state_key(context)
+            may = states.has(key)
+            # only a state keeps next tokens
+            after = whole[may]
+            kept = others.has(after)
+            for key, where in ((key[may], places[may]), (after[kept], places[may][kept])):
                 at = found_at(keys, key)
                 cached = at >= 0
                 score += by_text(where[cached], values[at[cached]])
@@ -329,13 +329,13 @@ def scored(
 
     first = landed(rows.select("id", "held_out", "row", F.arrow_udf(run, schema)("tokens").alias("s")).select("id", "held_out", "row", "s.*"), "scores")
     released(rows)
-    deep = first.select("row", F.explode("further").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
-    deep = deep.join(tree, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("deeper"))
-    rare = first.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count("*").alias("times"))
+    # shuffled once, by what is looked up: keys of these are rare, and so are those that a text has twice
+    deep = first.select("row", F.explode("further").alias("key")).join(tree, "key").groupBy("row").agg(F.sum("value").alias("deeper"))
+    rare = first.select("row", F.explode("rare").alias("token"))
     found = rare.join(counted, "token").groupBy("row").agg(
-        F.sum("times").alias("more"),
-        F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more_logs"),
-        F.sum(F.col("times") * F.log10(F.col("c") * F.lit(words.each))).alias("inner"),
+        F.count("*").alias("more"),
+        F.sum(F.log10(F.col("c") + 1)).alias("more_logs"),
+        F.sum(F.log10(F.col("c") * F.lit(words.each))).alias("inner"),
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     unseen = F.col("n_tokens") - F.col("known") - zero("more")
