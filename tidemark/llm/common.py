@@ -66,7 +66,17 @@ def parted(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False), dtype=np.int64)])
     ends = before[np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))]
     words = flat.filter(real).cast(pa.binary()).dictionary_encode()
-    return words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False), ends
+    return _as_bytes(words.dictionary), words.indices.to_numpy(zero_copy_only=False), ends
+
+
+def _as_bytes(words: pa.Array) -> list[bytes]:
+    """What ``to_pylist`` gives for byte strings without null, cut from their buffer at once."""
+    _, offsets, data = words.buffers()
+    if not len(words):
+        return []
+    cuts = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1].tolist()
+    whole = data.to_pybytes() if data else b""
+    return [whole[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def strung(pieces: list[bytes], which: np.ndarray, ends: np.ndarray) -> pa.Array:

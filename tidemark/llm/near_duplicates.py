@@ -38,10 +38,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Recent, landed, small_batches, whole_text
+from tidemark.llm.common import Recent, landed, parted, small_batches, whole_text
 from tidemark.operators.joins import join_under_skew
 
 WIDTH = 5
+TEXTS = 250
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 1024
@@ -62,19 +63,42 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str) -> np.ndarray:
-    """Distinct 64-bit hashes of the text's word shingles, sorted."""
-    words = text.encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < WIDTH:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
+def shingles(texts: pa.Array) -> list[np.ndarray]:
+    """For each text the distinct 64-bit hashes of its word shingles, sorted.
+
+    Each word of ``TEXTS`` texts is hashed once; what Arrow then holds for no array goes back, so that a worker that waits is small.
+    """
+    sets = []
+    for at in range(0, len(texts), TEXTS):
+        sets += _shingles(texts.slice(at, TEXTS))
+    pa.default_memory_pool().release_unused()
+    return sets
+
+
+def _shingles(texts: pa.Array) -> list[np.ndarray]:
+    words, which, ends = parted(texts)
     hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    n = len(words) - WIDTH + 1
-    found = np.zeros(n, np.uint64)
+    n = max(len(which) - WIDTH + 1, 0)
+    every = np.zeros(n, np.uint64)
     for k in range(WIDTH):
-        found += _mixed(hashed[k:k + n] + _PLACES[k])
-    return np.unique(_mixed(found))
+        every += _mixed(hashed + _PLACES[k])[which[k:k + n]]
+    every = _mixed(every)
+    sets, start = [], 0
+    for end in ends.tolist():
+        if end - start >= WIDTH:
+            found = np.sort(every[start:end - WIDTH + 1])
+            sets.append(found[np.concatenate([[True], found[1:] != found[:-1]])])
+        else:
+            whole = [words[w] for w in which[start:end]]
+            sets.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(whole), seed=len(whole))] if whole else [], np.uint64))
+        start = end
+    return sets
+
+
+def list_array(rows: list[np.ndarray]) -> pa.Array:
+    """The rows as lists of longs."""
+    cuts = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate([*rows, np.empty(0, np.uint64)]).view(np.int64)))
 
 
 def samples(found: np.ndarray) -> np.ndarray:
@@ -103,8 +127,7 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 def _signatures(texts: pa.Array) -> pa.Array:
     Recent.leave_to("near_duplicates")
     sizes, digests, sketches, bands = [], [], [], []
-    for text in texts.to_pylist():
-        found = shingles(text)
+    for found in shingles(texts):
         sizes.append(len(found))
         if len(found):
             least = samples(found)
@@ -266,7 +289,7 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     ends = members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
     shared = landed(join_under_skew(members, ends, ["key"]).filter("low is not null"), "buckets")
     involved = shared.select(F.col("rep").alias("id")).distinct()
-    as_set = F.arrow_udf(lambda texts: pa.array([shingles(t).tobytes() for t in texts.to_pylist()], pa.binary()), "binary")
+    as_set = F.arrow_udf(lambda texts: pa.array([s.tobytes() for s in shingles(texts)], pa.binary()), "binary")
     sets = landed(rows.join(involved, "id", "left_semi").dropDuplicates(["id", "text"]).select("id", as_set("text").alias("hashes")), "sets")
     # first each member with the smallest one of all its buckets
     star = shared.groupBy(F.col("rep").alias("b")).agg(F.min("low").alias("a")).filter("a < b").select("a", "b")

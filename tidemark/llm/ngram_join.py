@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import landed, small_batches, whole_text
-from tidemark.llm.near_duplicates import components, shingles
+from tidemark.llm.near_duplicates import components, list_array, shingles
 from tidemark.operators.joins import join_under_skew
 
 PERCENT = 80
@@ -49,28 +49,24 @@ def _fragment(gram: Column) -> Column:
     return F.shiftrightunsigned(gram, 64 - FRAGMENT_BITS)
 
 
-def _as_list(found: np.ndarray) -> np.ndarray:
-    return found.view(np.int64)
-
-
 def _digest(found: np.ndarray) -> bytes | None:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
 
 
 def _signed(texts: pa.Array) -> pa.Array:
     """size, digest and the n-grams of the first fragment of every text."""
-    sets = [shingles(t) for t in texts.to_pylist()]
-    first = [_as_list(s[: np.searchsorted(s, np.uint64(1 << (64 - FRAGMENT_BITS)))]) for s in sets]
+    sets = shingles(texts)
+    first = [s[: np.searchsorted(s, np.uint64(1 << (64 - FRAGMENT_BITS)))] for s in sets]
     return pa.StructArray.from_arrays(
-        [pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()), pa.array(first, pa.list_(pa.int64()))],
+        [pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()), list_array(first)],
         names=["size", "digest", "grams"],
     )
 
 
 def _all_fragments(texts: pa.Array) -> pa.Array:
-    sets = [shingles(t) for t in texts.to_pylist()]
+    sets = shingles(texts)
     return pa.StructArray.from_arrays(
-        [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([_as_list(s) for s in sets], pa.list_(pa.int64()))],
+        [pa.array([_digest(s) for s in sets], pa.binary()), list_array(sets)],
         names=["digest", "grams"],
     )
 
