@@ -19,8 +19,9 @@ cost work and change no count.
 The logarithm of a token's probability is a sum: that of the token alone, for every suffix
 that is a state its share left to the shorter one, and for every kept next token what it
 differs by. So a text's score is a sum over the keys of the tree that occur in it. The
-``CACHED`` keys and ``FREQUENT`` tokens that occur most go to the tasks, all others are
-looked up by a join.
+``CACHED`` keys and ``FREQUENT`` tokens that occur most go to the tasks. Other tokens are
+looked up by a join, other keys by slices of the tree: what a part of the texts asks of
+a slice is one row of the shuffle, and so is what the slice answers them.
 
 Tokens and runs of tokens are known by 64 bits of hash; two alike would share their counts.
 
@@ -49,6 +50,8 @@ FREQUENT = 150_000
 CACHED = 1_200_000
 SUMMED = 1_000_000
 HANDED_ON = 100_000
+ASKED = 1_000_000
+SLICE = 250_000
 BITS = 26
 
 
@@ -265,6 +268,127 @@ def learned(counted: DataFrame) -> Words:
     return Words(keys[order], own[order], int(n), int(v), int(once))
 
 
+def _slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
+    """Slices are equal ranges of the upper half of a key, which is a hash."""
+    return ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
+
+
+def _cut(which: np.ndarray, slices: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each slice with the places where it is, in order."""
+    order = np.argsort(which, kind="stable")
+    ends = np.cumsum(np.bincount(which, minlength=slices))
+    for k, (start, end) in enumerate(zip(np.concatenate([[0], ends]), ends)):
+        if start < end:
+            yield k, order[start:end]
+
+
+_EXCHANGED = {
+    "slice": pa.int64(), "part": pa.int64(), "rows": pa.list_(pa.int64()), "sizes": pa.list_(pa.int32()),
+    "keys": pa.list_(pa.int64()), "found": pa.list_(pa.float64()),
+}
+_EXCHANGED_COLUMNS = "slice bigint, part bigint, rows array<bigint>, sizes array<int>, keys array<bigint>, found array<double>"
+_ANSWERED_COLUMNS = "part bigint, rows array<bigint>, found array<double>"
+
+
+def _row(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([columns.get(n)], kind) for n, kind in _EXCHANGED.items()], names=list(_EXCHANGED))
+
+
+def looked_up(asked: DataFrame, tree: DataFrame) -> DataFrame:
+    """row, value: for parts of each row, the sum of the values of its keys that are in the tree. From row, further.
+
+    The tree is cut into slices of about ``SLICE`` keys, and a task reads a slice before what is asked of it, a part
+    at a time. A part is consecutive rows with ``ASKED`` keys; its answers meet again, so a row comes out once or twice.
+    """
+    slices = max(1, math.ceil(tree.count() / SLICE))
+
+    def questions(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        rows, keys = (np.concatenate(c) for c in zip(*held))
+        for k, at in _cut(_slice_of(keys, slices), slices):
+            mine = rows[at]
+            first = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+            yield _row(slice=k, part=rows[0], rows=mine[first], sizes=np.diff(np.append(first, len(mine))), keys=keys[at])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            keys, sizes = _flat(batch.column(1))
+            if len(keys):
+                held.append((np.repeat(batch.column(0).to_numpy(), sizes), keys))
+            if sum(len(keys) for _, keys in held) > ASKED:
+                yield from questions(held)
+                held.clear()
+        if held:
+            yield from questions(held)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def cut() -> Iterator[pa.RecordBatch]:
+            keys, values = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in (0, 1))
+            for k, at in _cut(_slice_of(keys, slices), slices):
+                yield _row(slice=k, keys=keys[at], found=values[at])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) > ASKED:
+                yield from cut()
+                held.clear()
+        if held:
+            yield from cut()
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, pieces, keys, values = None, [], np.empty(0, np.int64), np.empty(0)
+        for batch in batches:
+            slice_of, part = (batch.column(c).to_pylist() for c in (0, 1))
+            lists = [[batch.column(c)[i].values for c in range(2, 6)] for i in range(len(batch))]
+            for k, p, (rows, sizes, sought, found) in zip(slice_of, part, lists):
+                if k != current:
+                    current, pieces, keys, values = k, [], np.empty(0, np.int64), np.empty(0)
+                sought = sought.to_numpy(zero_copy_only=False)
+                if p is None:
+                    pieces.append((sought.copy(), found.to_numpy(zero_copy_only=False).copy()))
+                    continue
+                if pieces:
+                    keys, values = (np.concatenate(c) for c in zip(*pieces))
+                    order = np.argsort(keys)
+                    pieces, keys, values = [], keys[order], values[order]
+                at = found_at(keys, sought)
+                sizes = sizes.to_numpy(zero_copy_only=False)
+                sums = np.add.reduceat(np.where(at >= 0, values[at] if len(values) else 0.0, 0.0), np.cumsum(sizes) - sizes)
+                any_found = np.add.reduceat((at >= 0).astype(np.int64), np.cumsum(sizes) - sizes) > 0
+                if any_found.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([p]), pa.array([rows.to_numpy(zero_copy_only=False)[any_found]], pa.list_(pa.int64())),
+                         pa.array([sums[any_found]], pa.list_(pa.float64()))], names=["part", "rows", "found"],
+                    )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+
+        def summed() -> pa.RecordBatch:
+            rows, found = (np.concatenate(c) for c in zip(*held))
+            each, at = np.unique(rows, return_inverse=True)
+            return pa.RecordBatch.from_arrays([pa.array(each), pa.array(np.bincount(at, found, len(each)))], names=["row", "value"])
+
+        for batch in batches:
+            for i, p in enumerate(batch.column(0).to_pylist()):
+                if held and (p != current or sum(len(x) for x, _ in held) > ASKED):
+                    yield summed()
+                    held = []
+                current = p
+                held.append(tuple(batch.column(c)[i].values.to_numpy(zero_copy_only=False).copy() for c in (1, 2)))
+        if held:
+            yield summed()
+
+    pieces = tree.select("key", "value").mapInArrow(spread, _EXCHANGED_COLUMNS)
+    questions_of = asked.select("row", "further").mapInArrow(ask, _EXCHANGED_COLUMNS)
+    # null first: a slice's keys stand before what is asked of it
+    met = pieces.union(questions_of).repartition("slice").sortWithinPartitions("slice", F.col("part").asc_nulls_first())
+    answers = met.mapInArrow(answer, _ANSWERED_COLUMNS)
+    return answers.repartition("part").sortWithinPartitions("part").mapInArrow(add, "row bigint, value double")
+
+
 def scored(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", cached: int = CACHED, depth: int = DEPTH
 ) -> DataFrame:
@@ -329,8 +453,7 @@ def scored(
 
     first = landed(rows.select("id", "held_out", "row", F.arrow_udf(run, schema)("tokens").alias("s")).select("id", "held_out", "row", "s.*"), "scores")
     released(rows)
-    # shuffled once, by what is looked up: keys of these are rare, and so are those that a text has twice
-    deep = first.select("row", F.explode("further").alias("key")).join(tree, "key").groupBy("row").agg(F.sum("value").alias("deeper"))
+    deep = looked_up(first, tree).groupBy("row").agg(F.sum("value").alias("deeper"))
     rare = first.select("row", F.explode("rare").alias("token"))
     found = rare.join(counted, "token").groupBy("row").agg(
         F.count("*").alias("more"),
