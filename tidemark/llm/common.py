@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
+from contextlib import contextmanager
 from sys import getsizeof
 
 import numpy as np
@@ -36,18 +37,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
+def landed(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write once to the shared folder and read back: work done before is never done again, on any executor."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    with _shuffles_freed(spark):
+        df.write.option("compression", "zstd").options(**options).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def collected(df: DataFrame) -> pa.Table:
+    """The rows on the driver; what their query has shuffled goes."""
+    with _shuffles_freed(df.sparkSession):
+        return df.toArrow()
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Once a query has ended, what it has shuffled is of no use."""
     before = spark.conf.get(SHUFFLE_CLEANUP)
-    # once written, what the write has shuffled is of no use
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        yield
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def released(*frames: DataFrame) -> None:

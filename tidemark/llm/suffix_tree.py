@@ -13,15 +13,16 @@ seen once have (Good and Turing); like in the unigram base they count as one.
 Everything counted and the tree are Spark tables that grow with the training texts: nothing
 is ranked away. A run of tokens is counted where the run without its last token is seen
 ``least`` times and the run without its first one ``seldom`` times; others cannot pass the
-test, so no state is lost. These two are looked up in bitmaps of fixed size, whose false hits
+test, so no state is lost. These two are looked up in bitmaps of fixed size, and so is, found by
+a first pass over halves of hashes, what is itself seen ``seldom`` times; their false hits
 cost work and change no count.
 
 The logarithm of a token's probability is a sum: that of the token alone, for every suffix
 that is a state its share left to the shorter one, and for every kept next token what it
 differs by. So a text's score is a sum over the keys of the tree that occur in it. The
-``CACHED`` keys and ``FREQUENT`` tokens that occur most go to the tasks. Other tokens are
-looked up by a join, other keys by slices of the tree: what a part of the texts asks of
-a slice is one row of the shuffle, and so is what the slice answers them.
+``CACHED`` keys and ``FREQUENT`` tokens that occur most go to the tasks. Others are looked up
+by slices of the tree and of the tokens: what a part of the texts asks of a slice is one
+row of the shuffle, and so is what the slice answers them.
 
 Tokens and runs of tokens are known by 64 bits of hash; two alike would share their counts.
 
@@ -33,8 +34,9 @@ each and count each; further columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import landed, parted, released, small_batches, whole_text
+from tidemark.llm.common import collected, landed, parted, released, small_batches, whole_text
 
 DEPTH = 3
 FREQUENT = 150_000
@@ -51,8 +53,12 @@ CACHED = 1_200_000
 SUMMED = 1_000_000
 HANDED_ON = 100_000
 ASKED = 1_000_000
+TURNS = 2
 SLICE = 250_000
+COUNTED = 1_000_000
 BITS = 26
+# a dictionary that holds the distinct tokens of a file, so that they are written as their places in it
+landed_tokens = partial(landed, **{"parquet.dictionary.page.size": str(8 << 20)})
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
@@ -104,21 +110,33 @@ def state_key(context: np.ndarray) -> np.ndarray:
     return _mixed(context.view(np.uint64) + np.uint64(0x5851F42D4C957F2D)).view(np.int64)
 
 
+_TWO_BITS = ((np.uint64(1) << np.arange(64, dtype=np.uint64))[:, None] | (np.uint64(1) << np.arange(64, dtype=np.uint64))).ravel().view(np.int64)
+
+
 class Bitmap:
-    """Of the hashes in a table: true for all of them and for few others."""
+    """Of the hashes in a table: true for all of them and for few others. Each has two bits of a cell, told by its upper half."""
 
-    def __init__(self, keys: DataFrame, column: str) -> None:
-        place = F.shiftrightunsigned(F.col(column), 64 - BITS)
-        cells = keys.select(place.alias("p")).select(
-            F.shiftright("p", 6).alias("cell"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bit")
-        )
-        found = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
+    def __init__(self, cells: DataFrame) -> None:
+        """From cell, bits."""
+        found = collected(cells)
         self.cells = np.zeros(1 << (BITS - 6), np.int64)
-        self.cells[found["cell"].to_numpy()] = found["bits"].to_numpy()
+        np.bitwise_or.at(self.cells, found["cell"].to_numpy(), found["bits"].to_numpy())
+
+    @classmethod
+    def of(cls, keys: DataFrame, column: str) -> Bitmap:
+        cell = F.shiftrightunsigned(F.col(column), 70 - BITS)
+        bits = F.expr(" | ".join(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - BITS - 6 * k}) & 63 AS int))" for k in (0, 1)))
+        return cls(keys.select(cell.alias("cell"), bits.alias("bits")).groupBy("cell").agg(F.bit_or("bits").alias("bits")))
+
+    @staticmethod
+    def placed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cell and the bits of each key."""
+        keys = keys.view(np.uint64)
+        return (keys >> np.uint64(70 - BITS)).view(np.int64), _TWO_BITS[((keys >> np.uint64(58 - BITS)) & np.uint64(4095)).view(np.int64)]
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        p = (keys.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
-        return (self.cells[p >> 6] >> (p & 63)) & 1 == 1
+        cells, bits = self.placed(keys)
+        return self.cells[cells] & bits == bits
 
 
 def _summed(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
@@ -130,7 +148,7 @@ def _summed(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordB
 
 
 def _gathered(parts: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Partial counts of a task, summed over a million places at a time and handed on in small batches."""
+    """Partial counts of a task, summed over ``SUMMED`` places at a time and handed on in small batches."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def batches() -> Iterator[pa.RecordBatch]:
@@ -177,22 +195,186 @@ class Words:
         return (1 - self.unseen) / max(self.total, 1)
 
 
-def found_at(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted one among the ordered keys, or -1."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+class Places:
+    """Where each of some ordered hashes stands; equal ranges of them, as many as keys at least, tell where to look."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys, self.shift = keys, np.uint64(64 - max(len(keys).bit_length(), 1))
+        of_range = np.bincount(self._ranges(keys), minlength=1 << (64 - int(self.shift)))
+        self.starts = np.concatenate([[0], np.cumsum(of_range)]).astype(np.int32)
+
+    def _ranges(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) ^ np.uint64(1 << 63)) >> self.shift).astype(np.int64)
+
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        """The place of each wanted one, or -1."""
+        found, ranges = np.full(len(wanted), -1), self._ranges(wanted)
+        at, end = self.starts[ranges], self.starts[ranges + 1]
+        left = np.flatnonzero(at < end)
+        at, end, wanted = at[left], end[left], wanted[left]
+        while len(left):
+            same = self.keys[at] == wanted
+            found[left[same]] = at[same]
+            at = at + 1
+            more = ~same & (at < end)
+            left, at, end, wanted = left[more], at[more], end[more], wanted[more]
+        return found
+
+
+def _slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
+    """Slices are equal ranges of the upper half of a key, which is a hash."""
+    return ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
+
+
+def _cut(which: np.ndarray, slices: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each slice with the places where it is, in order."""
+    # short numbers are ordered in one go
+    order = np.argsort(which.astype(np.uint16) if slices <= 1 << 16 else which, kind="stable")
+    ends = np.cumsum(np.bincount(which, minlength=slices))
+    for k, (start, end) in enumerate(zip(np.concatenate([[0], ends]), ends)):
+        if start < end:
+            yield k, order[start:end]
+
+
+def _ends(ordered: np.ndarray) -> np.ndarray:
+    """Where another value begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1]]))
+
+
+def _small(values: np.ndarray) -> bytes:
+    return pa.compress(values, codec="zstd", asbytes=True)
+
+
+def _back(column: pa.Array, counts: list[int], kind: type) -> list[np.ndarray]:
+    size = np.dtype(kind).itemsize
+    return [np.frombuffer(pa.decompress(x.as_buffer(), n * size, codec="zstd"), kind) for x, n in zip(column, counts)]
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], k: int, may: Callable[..., np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Runs, their contexts and these without the first token and with the last, where ``may`` allows it: ``SUMMED`` places at a time."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        if len(batch):
+            *_, (_, context, own, short) = runs(*_flat(batch.column(0)), k)
+            sent = may(own, context, short)
+            held.append((own[sent], context[sent], short[sent]))
+        if sum(len(x[0]) for x in held) > SUMMED:
+            columns = [np.concatenate(c) for c in zip(*held)]
+            held.clear()
+            yield columns
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
 
 
-def _whole(k: int):
-    """``whole`` for columns."""
-    bits = lambda c: c.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+def seen_often(training: DataFrame, k: int, may: Callable[..., np.ndarray], places: int, seldom: int) -> Bitmap:
+    """Runs that ``may`` allows and that are seen ``seldom`` times at least: by the upper half of their hash, so a few others too.
 
-    def run(context: pa.Array, short: pa.Array) -> pa.Array:
-        return pa.array(whole(bits(context), bits(short), k).view(np.int64))
+    Most runs are seen once or twice, and here one is sent as what it differs by from the one before, which is a few bytes.
+    """
+    slices = max(1, math.ceil(places / COUNTED))
+    kinds = pa.schema([("halves", pa.binary()), ("n", pa.binary()), ("rows", pa.int64()), ("slice", pa.int64())])
+
+    def sent_rows(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        halves = np.sort(np.concatenate(held))
+        first = _ends(halves)
+        n = np.minimum(np.diff(np.append(first, len(halves))), 255).astype(np.uint8)
+        halves = halves[first]
+        # the first half of each slice
+        least = np.array([-(-(k << 32) // slices) for k in range(slices)], np.uint32)
+        cuts = [*np.searchsorted(halves, least).tolist(), len(halves)]
+        for piece, (start, end) in enumerate(zip(cuts, cuts[1:])):
+            if start < end:
+                steps = np.diff(halves[start:end], prepend=np.uint32(0))
+                yield pa.RecordBatch.from_pylist(
+                    [{"halves": _small(steps), "n": _small(n[start:end]), "rows": end - start, "slice": piece}], kinds
+                )
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for own, _, _ in _candidates(batches, k, may):
+            held.append((own.view(np.uint64) >> np.uint64(32)).astype(np.uint32))
+            if sum(map(len, held)) > 2 * SUMMED:
+                yield from sent_rows(held)
+                held.clear()
+        if held:
+            yield from sent_rows(held)
 
-    return F.arrow_udf(run, "bigint")
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        halves, counts = [], []
+        for batch in batches:
+            rows = batch.column("rows").to_pylist()
+            halves += [np.cumsum(steps, dtype=np.uint32) for steps in _back(batch.column("halves"), rows, np.uint32)]
+            counts += _back(batch.column("n"), rows, np.uint8)
+        found = np.concatenate(halves)
+        order = np.argsort(found)
+        found = found[order]
+        first = _ends(found)
+        n = np.add.reduceat(np.concatenate(counts)[order].astype(np.int64), first)
+        cells, bits = Bitmap.placed(found[first][n >= seldom].astype(np.uint64) << np.uint64(32))
+        first = _ends(cells)
+        bits = np.bitwise_or.reduceat(bits, first) if len(first) else bits
+        yield pa.RecordBatch.from_arrays([pa.array(cells[first]), pa.array(bits)], names=["cell", "bits"])
+
+    sent = training.select("tokens").mapInArrow(seen, "halves binary, n binary, rows bigint, slice bigint")
+    return Bitmap(sent.groupBy("slice").applyInArrow(summed, "cell bigint, bits bigint"))
+
+
+def runs_seen(training: DataFrame, k: int, may: Callable[..., np.ndarray], places: int, seldom: int) -> DataFrame:
+    """context, short, n, run: how often a token follows each ``k`` of them, where ``may`` allows it and at least ``seldom`` times.
+
+    Runs are cut into slices of at most ``COUNTED`` of the ``places`` on average, by their context and, as one context may
+    have many tokens after it, a part of these. What a task has seen of a slice, half ``SUMMED`` runs at a time, is one row
+    of the shuffle, contexts in order and compressed.
+    """
+    slices = max(1, math.ceil(places / COUNTED))
+    parts = max(1, slices // 16)
+
+    def together(own: np.ndarray, context: np.ndarray, short: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        upper = np.uint64(0xFFFFFFFF00000000)
+        # a run that another one parts in this order has two partial counts
+        order = np.argsort((context.view(np.uint64) & upper) | (own.view(np.uint64) & ~upper))
+        first = _ends(own[order])
+        at = order[first]
+        return own[at], context[at], short[at], np.add.reduceat(n[order], first, dtype=np.int32) if len(first) else n
+
+    def sent_rows(_: np.ndarray, context: np.ndarray, short: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part = _slice_of(short, parts).view(np.uint64)
+        for piece, of in _cut(_slice_of(_mixed(context.view(np.uint64) + _mixed(part)), slices), slices):
+            yield pa.RecordBatch.from_pylist(
+                [{"context": _small(context[of]), "short": _small(short[of]), "n": _small(n[of]), "rows": len(of), "slice": piece}], kinds
+            )
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[np.ndarray, ...] | None = None
+        for columns in _candidates(batches, k, may):
+            columns.append(np.ones(len(columns[0]), np.int32))
+            held = together(*(columns if held is None else map(np.concatenate, zip(held, columns))))
+            if len(held[0]) > SUMMED // 2:
+                yield from sent_rows(*held)
+                held = None
+        if held is not None:
+            yield from sent_rows(*held)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: list[list[np.ndarray]] = [[], [], []]
+        for batch in batches:
+            counts = batch.column("rows").to_pylist()
+            for held, name, kind in zip(pieces, ("context", "short", "n"), (np.int64, np.int64, np.int32)):
+                held += _back(batch.column(name), counts, kind)
+        context, short, n = (np.concatenate(held).astype(np.int64, copy=False) for held in pieces)
+        run = whole(context.view(np.uint64), short.view(np.uint64), k).view(np.int64)
+        order = np.argsort(run)
+        first = _ends(run[order])
+        n = np.add.reduceat(n[order], first) if len(first) else n
+        often = n >= seldom
+        at = order[first][often]
+        out = pa.RecordBatch.from_arrays([pa.array(x) for x in (context[at], short[at], n[often], run[at])], names=["context", "short", "n", "run"])
+        for start in range(0, len(out), HANDED_ON):
+            yield out.slice(start, HANDED_ON)
+
+    kinds = pa.schema([("context", pa.binary()), ("short", pa.binary()), ("n", pa.binary()), ("rows", pa.int64()), ("slice", pa.int64())])
+    sent = training.select("tokens").mapInArrow(seen, "context binary, short binary, n binary, rows bigint, slice bigint")
+    return sent.groupBy("slice").applyInArrow(summed, "context bigint, short bigint, n bigint, run bigint")
 
 
 def grow(
@@ -204,23 +386,23 @@ def grow(
     shorter = counted.select(F.col("token").alias("run"), F.col("c").alias("n"), (F.col("c") * F.lit(words.each)).alias("p"))
     model = []
     for k in range(1, depth + 1):
-        sent = session.sparkContext.broadcast((Bitmap(shorter.filter(F.col("n") >= least), "run"), Bitmap(shorter.filter(F.col("n") >= seldom), "run")))
-
-        def run(batches: Iterator[pa.RecordBatch], k: int = k, sent=sent) -> Iterator[pa.RecordBatch]:
-            def parts() -> Iterator[tuple[np.ndarray, ...]]:
-                before, last = sent.value
-                for batch in batches:
-                    if len(batch):
-                        *_, (_, context, own, short) = runs(*_flat(batch.column(0)), k)
-                        may = before.has(context) & last.has(short)
-                        yield own[may], context[may], short[may]
-
-            return _gathered(parts(), ["context", "short"])
-
-        seen = training.select("tokens").mapInArrow(run, "context bigint, short bigint, n bigint")
-        # both tell the run, which so need not be shuffled
-        summed = seen.groupBy("context", "short").agg(F.sum("n").alias("n")).filter(F.col("n") >= seldom)
-        often = landed(summed.withColumn("run", _whole(k)("context", "short")), "runs")
+        sent = session.sparkContext.broadcast((Bitmap.of(shorter.filter(F.col("n") >= least), "run"), Bitmap.of(shorter.filter(F.col("n") >= seldom), "run")))
+
+        def may(own: np.ndarray, context: np.ndarray, short: np.ndarray, sent=sent) -> np.ndarray:
+            before, last = sent.value
+            at = np.flatnonzero(before.has(context))
+            return at[last.has(short[at])]
+
+        # few runs with the longest contexts are seen but once, so these are counted at once
+        of_them = [session.sparkContext.broadcast(seen_often(training, k, may, words.total, seldom))] if k < depth else []
+
+        def may_count(own: np.ndarray, context: np.ndarray, short: np.ndarray, may=may, of_them=of_them) -> np.ndarray:
+            at = np.flatnonzero(of_them[0].value.has(own)) if of_them else np.arange(len(own))
+            return at[may(own[at], context[at], short[at])]
+
+        often = landed(runs_seen(training, k, may_count, words.total, seldom), "runs")
+        for used in (sent, *of_them):
+            used.destroy()
         totals = shorter.filter(F.col("n") >= least).select(F.col("run").alias("context"), F.col("n").alias("total"))
         p = shorter.select(F.col("run").alias("short"), F.col("p").alias("p_short"))
         each = landed(
@@ -262,26 +444,12 @@ def learned(counted: DataFrame) -> Words:
     n, v, once = counted.agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum((F.col("c") == 1).cast("bigint")), F.lit(0))
     ).first()
-    top = counted.orderBy(F.desc("c"), "token").limit(FREQUENT).toArrow()
+    top = collected(counted.orderBy(F.desc("c"), "token").limit(FREQUENT))
     keys, own = top["token"].to_numpy().astype(np.int64), top["c"].to_numpy().astype(np.int64)
     order = np.argsort(keys)
     return Words(keys[order], own[order], int(n), int(v), int(once))
 
 
-def _slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
-    """Slices are equal ranges of the upper half of a key, which is a hash."""
-    return ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
-
-
-def _cut(which: np.ndarray, slices: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each slice with the places where it is, in order."""
-    order = np.argsort(which, kind="stable")
-    ends = np.cumsum(np.bincount(which, minlength=slices))
-    for k, (start, end) in enumerate(zip(np.concatenate([[0], ends]), ends)):
-        if start < end:
-            yield k, order[start:end]
-
-
 _EXCHANGED = {
     "slice": pa.int64(), "part": pa.int64(), "rows": pa.list_(pa.int64()), "sizes": pa.list_(pa.int32()),
     "keys": pa.list_(pa.int64()), "found": pa.list_(pa.float64()),
@@ -294,40 +462,47 @@ def _row(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([columns.get(n)], kind) for n, kind in _EXCHANGED.items()], names=list(_EXCHANGED))
 
 
-def looked_up(asked: DataFrame, tree: DataFrame) -> DataFrame:
+def looked_up(
+    asked: DataFrame, tree: DataFrame, names: tuple[str, ...] = ("value",), terms: Callable[[np.ndarray], tuple[np.ndarray, ...]] = lambda x: (x,)
+) -> DataFrame:
     """row, value: for parts of each row, the sum of the values of its keys that are in the tree. From row, further.
 
-    The tree is cut into slices of about ``SLICE`` keys, and a task reads a slice before what is asked of it, a part
-    at a time. A part is consecutive rows with ``ASKED`` keys; its answers meet again, so a row comes out once or twice.
+    With ``names``, as many sums: of each of the ``terms`` that they make of a value. The tree is cut into slices of about
+    ``SLICE`` keys, and a task reads a slice before what is asked of it, a part at a time. A part is consecutive rows with
+    ``ASKED`` keys; its answers meet again, so a row comes out once or twice for each of the ``TURNS`` in which slices are
+    asked: what a turn has shuffled goes before the next.
     """
     slices = max(1, math.ceil(tree.count() / SLICE))
 
-    def questions(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def questions(held: list[tuple[np.ndarray, np.ndarray]], turn: int) -> Iterator[pa.RecordBatch]:
         rows, keys = (np.concatenate(c) for c in zip(*held))
         for k, at in _cut(_slice_of(keys, slices), slices):
+            if k % TURNS != turn:
+                continue
             mine = rows[at]
             first = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
             yield _row(slice=k, part=rows[0], rows=mine[first], sizes=np.diff(np.append(first, len(mine))), keys=keys[at])
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             keys, sizes = _flat(batch.column(1))
             if len(keys):
                 held.append((np.repeat(batch.column(0).to_numpy(), sizes), keys))
             if sum(len(keys) for _, keys in held) > ASKED:
-                yield from questions(held)
+                yield from questions(held, turn)
                 held.clear()
         if held:
-            yield from questions(held)
+            yield from questions(held, turn)
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def cut() -> Iterator[pa.RecordBatch]:
             keys, values = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in (0, 1))
             for k, at in _cut(_slice_of(keys, slices), slices):
-                yield _row(slice=k, keys=keys[at], found=values[at])
+                if k % TURNS == turn:
+                    yield _row(slice=k, keys=keys[at], found=values[at])
 
         for batch in batches:
             held.append(batch)
@@ -338,13 +513,13 @@ def looked_up(asked: DataFrame, tree: DataFrame) -> DataFrame:
             yield from cut()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, pieces, keys, values = None, [], np.empty(0, np.int64), np.empty(0)
+        current, pieces = None, []
         for batch in batches:
             slice_of, part = (batch.column(c).to_pylist() for c in (0, 1))
             lists = [[batch.column(c)[i].values for c in range(2, 6)] for i in range(len(batch))]
             for k, p, (rows, sizes, sought, found) in zip(slice_of, part, lists):
                 if k != current:
-                    current, pieces, keys, values = k, [], np.empty(0, np.int64), np.empty(0)
+                    current, pieces, places, values = k, [], Places(np.empty(0, np.int64)), terms(np.empty(0))
                 sought = sought.to_numpy(zero_copy_only=False)
                 if p is None:
                     pieces.append((sought.copy(), found.to_numpy(zero_copy_only=False).copy()))
@@ -352,15 +527,16 @@ def looked_up(asked: DataFrame, tree: DataFrame) -> DataFrame:
                 if pieces:
                     keys, values = (np.concatenate(c) for c in zip(*pieces))
                     order = np.argsort(keys)
-                    pieces, keys, values = [], keys[order], values[order]
-                at = found_at(keys, sought)
-                sizes = sizes.to_numpy(zero_copy_only=False)
-                sums = np.add.reduceat(np.where(at >= 0, values[at] if len(values) else 0.0, 0.0), np.cumsum(sizes) - sizes)
-                any_found = np.add.reduceat((at >= 0).astype(np.int64), np.cumsum(sizes) - sizes) > 0
-                if any_found.any():
+                    pieces, places, values = [], Places(keys[order]), terms(values[order])
+                at = places.of(sought)
+                here = np.flatnonzero(at >= 0)
+                if len(here):
+                    at, row_of = at[here], np.repeat(np.arange(len(rows)), sizes.to_numpy(zero_copy_only=False))[here]
+                    first = _ends(row_of)
+                    sums = np.stack([np.add.reduceat(v[at], first) for v in values], 1).ravel()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([p]), pa.array([rows.to_numpy(zero_copy_only=False)[any_found]], pa.list_(pa.int64())),
-                         pa.array([sums[any_found]], pa.list_(pa.float64()))], names=["part", "rows", "found"],
+                        [pa.array([p]), pa.array([rows.to_numpy(zero_copy_only=False)[row_of[first]]], pa.list_(pa.int64())),
+                         pa.array([sums], pa.list_(pa.float64()))], names=["part", "rows", "found"],
                     )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,7 +545,8 @@ def looked_up(asked: DataFrame, tree: DataFrame) -> DataFrame:
         def summed() -> pa.RecordBatch:
             rows, found = (np.concatenate(c) for c in zip(*held))
             each, at = np.unique(rows, return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(each), pa.array(np.bincount(at, found, len(each)))], names=["row", "value"])
+            sums = [pa.array(np.bincount(at, of, len(each))) for of in found.reshape(-1, len(names)).T]
+            return pa.RecordBatch.from_arrays([pa.array(each), *sums], names=["row", *names])
 
         for batch in batches:
             for i, p in enumerate(batch.column(0).to_pylist()):
@@ -381,12 +558,16 @@ def looked_up(asked: DataFrame, tree: DataFrame) -> DataFrame:
         if held:
             yield summed()
 
-    pieces = tree.select("key", "value").mapInArrow(spread, _EXCHANGED_COLUMNS)
-    questions_of = asked.select("row", "further").mapInArrow(ask, _EXCHANGED_COLUMNS)
-    # null first: a slice's keys stand before what is asked of it
-    met = pieces.union(questions_of).repartition("slice").sortWithinPartitions("slice", F.col("part").asc_nulls_first())
-    answers = met.mapInArrow(answer, _ANSWERED_COLUMNS)
-    return answers.repartition("part").sortWithinPartitions("part").mapInArrow(add, "row bigint, value double")
+    schema, found = "row bigint, " + ", ".join(f"{name} double" for name in names), None
+    for turn in range(min(TURNS, slices)):
+        pieces = tree.select("key", "value").mapInArrow(partial(spread, turn=turn), _EXCHANGED_COLUMNS)
+        questions_of = asked.select("row", "further").mapInArrow(partial(ask, turn=turn), _EXCHANGED_COLUMNS)
+        # null first: a slice's keys stand before what is asked of it
+        met = pieces.union(questions_of).repartition("slice").sortWithinPartitions("slice", F.col("part").asc_nulls_first())
+        answers = met.mapInArrow(answer, _ANSWERED_COLUMNS)
+        sums = landed(answers.repartition("part").sortWithinPartitions("part").mapInArrow(add, schema), "answers")
+        found = sums if found is None else found.union(sums)
+    return found
 
 
 def scored(
@@ -395,7 +576,7 @@ def scored(
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score; one row per row of ``docs``."""
     session = docs.sparkSession
     small_batches(session)
-    rows = landed(docs.select(
+    rows = landed_tokens(docs.select(
         F.col(id_column).alias("id"), held_out(id_column).alias("held_out"), F.monotonically_increasing_id().alias("row"),
         F.arrow_udf(coded, "array<bigint>")(whole_text(text_column)).alias("tokens"),
     ), "coded")
@@ -403,12 +584,12 @@ def scored(
     counted = counts(training)
     words = learned(counted)
     tree = grow(training, counted, words, depth=depth)
-    bitmaps = [Bitmap(tree.filter(F.col("state") == of), "key") for of in (True, False)]
+    bitmaps = [Bitmap.of(tree.filter(F.col("state") == of), "key") for of in (True, False)]
     tree = tree.select("key", "value", "n")
-    top = tree.orderBy(F.desc("n"), "key").limit(cached).toArrow()
+    top = collected(tree.orderBy(F.desc("n"), "key").limit(cached))
     keys = top["key"].to_numpy().astype(np.int64)
     order = np.argsort(keys)
-    sent = session.sparkContext.broadcast((words, keys[order], top["value"].to_numpy().astype(float)[order], *bitmaps))
+    sent = session.sparkContext.broadcast((words, Places(words.keys), Places(keys[order]), top["value"].to_numpy().astype(float)[order], *bitmaps))
     kinds = {
         "n_tokens": pa.int64(), "known": pa.int64(), "logs": pa.float64(), "score": pa.float64(),
         "rare": pa.list_(pa.int64()), "further": pa.list_(pa.int64()),
@@ -416,18 +597,18 @@ def scored(
     schema = "struct<n_tokens:bigint,known:bigint,logs:double,score:double,rare:array<bigint>,further:array<bigint>>"
 
     def listed(values: np.ndarray, text: np.ndarray, n: int) -> pa.Array:
-        order = np.argsort(text, kind="stable")
+        order = np.argsort(text.astype(np.uint16) if n <= 1 << 16 else text, kind="stable")
         cut = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n))])
         return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(values[order], pa.int64()))
 
     def run(lists: pa.Array) -> pa.Array:
-        words, keys, values, states, others = sent.value
+        words, frequent, cached, values, states, others = sent.value
         n = len(lists)
         if not n:
             return pa.array([], pa.struct(list(kinds.items())))
         flat, sizes = _flat(lists)
         text = np.repeat(np.arange(n), sizes)
-        at = found_at(words.keys, flat)
+        at = frequent.of(flat)
         known = at >= 0
         own = words.counts[at[known]]
         by_text = lambda t, x: np.bincount(t, x, n)
@@ -440,11 +621,11 @@ def scored(
             after = whole[may]
             kept = others.has(after)
             for key, where in ((key[may], places[may]), (after[kept], places[may][kept])):
-                at = found_at(keys, key)
-                cached = at >= 0
-                score += by_text(where[cached], values[at[cached]])
-                further.append(key[~cached])
-                texts.append(where[~cached])
+                at = cached.of(key)
+                here = at >= 0
+                score += by_text(where[here], values[at[here]])
+                further.append(key[~here])
+                texts.append(where[~here])
         columns = [
             pa.array(sizes), pa.array(np.bincount(text[known], minlength=n)), pa.array(by_text(text[known], np.log10(own + 1.0))),
             pa.array(score), listed(flat[~known], text[~known], n), listed(np.concatenate(further), np.concatenate(texts), n),
@@ -454,12 +635,15 @@ def scored(
     first = landed(rows.select("id", "held_out", "row", F.arrow_udf(run, schema)("tokens").alias("s")).select("id", "held_out", "row", "s.*"), "scores")
     released(rows)
     deep = looked_up(first, tree).groupBy("row").agg(F.sum("value").alias("deeper"))
-    rare = first.select("row", F.explode("rare").alias("token"))
-    found = rare.join(counted, "token").groupBy("row").agg(
-        F.count("*").alias("more"),
-        F.sum(F.log10(F.col("c") + 1)).alias("more_logs"),
-        F.sum(F.log10(F.col("c") * F.lit(words.each))).alias("inner"),
+    each = words.each
+    # how many are known, and the logarithms for the base and for the score
+    sums = ("more", "more_logs", "inner")
+    rare = looked_up(
+        first.select("row", F.col("rare").alias("further")), counted.select(F.col("token").alias("key"), F.col("c").cast("double").alias("value")),
+        sums, lambda c: (np.ones(len(c)), np.log10(c + 1), np.log10(c * each)),
     )
+    found = rare.groupBy("row").agg(*[F.sum(name).alias(name) for name in sums])
+    found = found.withColumn("more", F.col("more").cast("bigint"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     unseen = F.col("n_tokens") - F.col("known") - zero("more")
     return first.drop("rare", "further").join(found, "row", "left").join(deep, "row", "left").select(
